@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The rollup this library rebuilds is a batch job that runs once a month after
+the previous month's data is in; it has no streams, watermarks, event-time
+windows or state. Re-running a month is handled by the batch replace-by-key
+writer in :mod:`shelfcost.operators.writer`, which is idempotent, so an
+incremental trigger would only need to call :func:`shelfcost.plans.monthly.run_rollup`
+with the month that arrived. Nothing else belongs here.
+"""
