@@ -47,10 +47,19 @@ def xfer_lines(src: Sources) -> DataFrame:
     return _header(src).join(_detail(src), "TransferBinNo")
 
 
-def xfers_out(src: Sources, window: Window) -> DataFrame:
-    """Outbound transfers by the lines' event month, at the sending store."""
-    h = _header(src).where(window.contains(F.col("HeaderTime")))
-    lines = h.join(_detail(src), "TransferBinNo")
+def xfers_out(src: Sources, window: Window, window_on: str = "header") -> DataFrame:
+    """Outbound transfers by the lines' event month, at the sending store.
+
+    ``window_on="header"`` (default, as the rule is written) filters on the
+    header's CreateTime; ``"event_time"`` is the opt-in that filters on the
+    same line time the month is bucketed on, so OUT and IN agree.
+    """
+    if window_on == "header":
+        lines = _header(src).where(window.contains(F.col("HeaderTime"))).join(_detail(src), "TransferBinNo")
+    elif window_on == "event_time":
+        lines = _header(src).join(_detail(src).where(window.contains(F.col("EventTime"))), "TransferBinNo")
+    else:
+        raise ValueError(f"window_on must be 'header' or 'event_time', not {window_on!r}")
     return _finish(src, lines, "LocationNo", F.col("TransferType"))
 
 
