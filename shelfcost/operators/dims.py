@@ -23,9 +23,19 @@ MAX_BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``.
+
+    The checked side is cached while it is counted, so the join that follows
+    reads the rows the check computed instead of deriving them again; a side
+    over the bound is released and joined without a hint (sort-merge, or a
+    broadcast AQE chooses from measured sizes).
+    """
+    cached = df.persist()
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def category_dim(src: Sources) -> DataFrame:

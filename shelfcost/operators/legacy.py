@@ -29,9 +29,9 @@ from shelfcost.functions.columns import (
     rightmost,
 )
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import bounded_broadcast, facilities_b, locations_b, product_types_b
+from shelfcost.operators.dims import facilities_b, locations_b, product_types_b
 from shelfcost.operators.pivot import SALES_MEASURES, V1_XFER_MEASURES, pivot_measures
-from shelfcost.operators.rollup import grid_locations, grid_months, key_grid
+from shelfcost.operators.rollup import combine_wide, grid_locations, grid_months, key_grid
 from shelfcost.operators.sales import TIDY_COLUMNS, _signed, _tidy, bookworm_lines, register_lines
 from shelfcost.operators.transfers import TIDY_COLUMNS as XFER_COLUMNS
 from shelfcost.sources.catalog import Sources
@@ -232,20 +232,16 @@ V1_REPORT_COLUMNS = (
 
 def v1_report(src: Sources, window: Window, materialise: bool = True) -> DataFrame:
     """The v1 result set -- dense month x store grid, zero-filled, sorted."""
-    sw = pivot_measures(v1_sales_tidy(src, window), SALES_MEASURES)
-    xw = pivot_measures(v1_xfers_tidy(src, window), V1_XFER_MEASURES)
+    wide = combine_wide(pivot_measures(v1_sales_tidy(src, window), SALES_MEASURES),
+                        pivot_measures(v1_xfers_tidy(src, window), V1_XFER_MEASURES))
     if materialise:
         from shelfcost.plans.monthly import materialise as _m
 
-        sw, xw = _m(sw), _m(xw)
-    grid = key_grid(grid_months(sw, xw), grid_locations(sw, xw), drop_null_keys=False)
-    keys = ["BusinessMonth", "LocationNo"]
-    sa = sw.select(*keys, *[F.col(w).alias("sa_" + w) for _, w in V1_REPORT_COLUMNS if w in sw.columns])
-    xr = xw.select(*keys, *[F.col(w).alias("xr_" + w) for _, w in V1_REPORT_COLUMNS if w in xw.columns])
-    joined = grid.join(sa, keys, "left").join(xr, keys, "left")
+        wide = _m(wide)
+    grid = key_grid(grid_months(wide), grid_locations(wide), drop_null_keys=False)
+    joined = grid.join(wide, ["BusinessMonth", "LocationNo"], "left")
     cols = [F.col("BusinessMonth"), F.col("LocationNo")]
     for out, w in V1_REPORT_COLUMNS:
-        src_col = F.col("sa_" + w) if w in sw.columns else F.col("xr_" + w)
         cast = qty if w.endswith("Qty") else money
-        cols.append(cast(F.coalesce(src_col, F.lit(0))).alias(out))
+        cols.append(cast(F.coalesce(F.col(w), F.lit(0))).alias(out))
     return joined.select(*cols).orderBy("BusinessMonth", "LocationNo")

@@ -39,14 +39,29 @@ ROLLUP_FROM_SALES = (
 )
 
 
-def grid_months(sales_wide: DataFrame, xfers_wide: DataFrame) -> DataFrame:
-    """Distinct union of the months of both wide tables."""
-    return sales_wide.select("BusinessMonth").union(xfers_wide.select("BusinessMonth")).distinct()
+def grid_months(*wides: DataFrame) -> DataFrame:
+    """Distinct union of the months of the wide tables."""
+    out = wides[0].select("BusinessMonth")
+    for w in wides[1:]:
+        out = out.union(w.select("BusinessMonth"))
+    return out.distinct()
 
 
-def grid_locations(sales_wide: DataFrame, xfers_wide: DataFrame) -> DataFrame:
-    """Distinct union of the stores of both wide tables."""
-    return sales_wide.select("LocationNo").union(xfers_wide.select("LocationNo")).distinct()
+def grid_locations(*wides: DataFrame) -> DataFrame:
+    """Distinct union of the stores of the wide tables."""
+    out = wides[0].select("LocationNo")
+    for w in wides[1:]:
+        out = out.union(w.select("LocationNo"))
+    return out.distinct()
+
+
+def combine_wide(sales_wide: DataFrame, xfers_wide: DataFrame) -> DataFrame:
+    """Both wide tables side by side: full outer join on (month, store).
+
+    Its keys are exactly the union of both tables' keys, so the grid can be
+    built from it, and it is the one table the run materialises.
+    """
+    return sales_wide.join(xfers_wide, list(KEYS), "full")
 
 
 def bounded_months(months: DataFrame, max_months: int = MAX_GRID_MONTHS) -> list[dt.date]:
@@ -66,15 +81,12 @@ def key_grid(months: DataFrame, locations: DataFrame, drop_null_keys: bool = Tru
     return locs.select(F.explode(F.array(*[F.lit(m) for m in month_list])).alias("BusinessMonth"), "LocationNo")
 
 
-def assemble_rollup(grid: DataFrame, sales_wide: DataFrame, xfers_wide: DataFrame) -> DataFrame:
-    """J14 + P13 + P14: grid left-joined to both wide tables, zero-filled, in table order."""
+def assemble_rollup(grid: DataFrame, wide: DataFrame) -> DataFrame:
+    """J14 + P13 + P14: grid left-joined to the combined wide table, zero-filled, in table order."""
     rename = dict(ROLLUP_FROM_SALES)
-    sa = sales_wide.select(*KEYS, *[F.col(src).alias(dst) for dst, src in ROLLUP_FROM_SALES])
-    xfer_cols = [name for name, _ in ROLLUP_MEASURES if name not in rename]
-    xr = xfers_wide.select(*KEYS, *xfer_cols)
-    joined = grid.join(sa, list(KEYS), "left").join(xr, list(KEYS), "left")
+    joined = grid.join(wide, list(KEYS), "left")
     out = [F.col("BusinessMonth"), F.col("LocationNo")]
     for name, kind in ROLLUP_MEASURES:
         cast = qty if kind == "qty" else money
-        out.append(cast(F.coalesce(F.col(name), F.lit(0))).alias(name))
+        out.append(cast(F.coalesce(F.col(rename.get(name, name)), F.lit(0))).alias(name))
     return joined.select(*out)

@@ -23,6 +23,9 @@ Plan shape (what would hold at 100 TB):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,13 +68,17 @@ def register_lines(src: Sources, window: Window) -> DataFrame:
     The window is stated on both sides; the header's copy is implied by the
     equi-join on BusinessDate and lets both scans prune.
     """
-    h = src.sales_header.where(
+    i = src.sales_item.where(window.contains(F.col("BusinessDate")))
+    return i.join(active_headers(src, window), TXN_KEYS)
+
+
+def active_headers(src: Sources, window: Window) -> DataFrame:
+    """Keys of active sale transactions (status A, type S) in the window."""
+    return src.sales_header.where(
         (F.col("Status") == fixed.SALE_STATUS_ACTIVE)
         & (F.col("XactionType") == fixed.SALE_XACTION_SALE)
         & window.contains(F.col("BusinessDate"))
     ).select("LocationID", "BusinessDate", F.col("SalesXactionID").alias("SalesXactionId"))
-    i = src.sales_item.where(window.contains(F.col("BusinessDate")))
-    return i.join(h, TXN_KEYS)
 
 
 def _signed(df: DataFrame) -> DataFrame:
@@ -105,15 +112,23 @@ def bookworm_keyed(src: Sources) -> DataFrame:
 
 
 def bookworm_lines(src: Sources, window: Window) -> DataFrame:
-    """Register placeholder lines matched to their Bookworm order line."""
-    lines = register_lines(src, window).where(F.col("ItemCode") == fixed.BOOKWORM_PLACEHOLDER_ITEM)
-    bw = bookworm_keyed(src)
-    return lines.join(
-        bw,
+    """J1 + J8: placeholder register lines matched to their Bookworm order line, of
+    active sale transactions.
+
+    The placeholder lines are matched to Bookworm orders *before* the header
+    join, so the header join's other side is the small matched set rather
+    than every register line (inner joins commute; the result is the same).
+    """
+    items = src.sales_item.where(
+        window.contains(F.col("BusinessDate")) & (F.col("ItemCode") == fixed.BOOKWORM_PLACEHOLDER_ITEM)
+    )
+    matched = items.join(
+        bookworm_keyed(src),
         (F.col("LocationID") == F.col("bwLocationID"))
         & (F.col("SalesXactionId") == F.col("bwXactionId"))
         & (F.col("LineNumber") == F.col("bwLineNumber")),
     )
+    return matched.join(active_headers(src, window), TXN_KEYS)
 
 
 def sales_bookworm(src: Sources, window: Window) -> DataFrame:
@@ -132,6 +147,42 @@ def sales_bookworm(src: Sources, window: Window) -> DataFrame:
 
 
 # --- online channels ----------------------------------------------------------------
+#
+# A channel's shipped and refund branches share every join (facility,
+# fulfilment header and detail, product). They are computed in one pass:
+# orders matching *either* branch's window and condition are joined once,
+# each joined line emits one tagged row per branch it belongs to
+# (``explode`` of an array of optional structs), and one aggregate groups by
+# (month, store, sale type, category). Asking for a single kind runs the same
+# code with one tag.
+
+
+@dataclass(frozen=True)
+class OnlineKind:
+    sld_ty: int
+    date_col: str                         # bucketing and window column
+    condition: Callable[[], Column]       # branch-specific order filter
+    measures: Callable[[], tuple[Column, Column, Column, Column]]  # Qty, Cost, Val, Fee per joined line
+
+
+ISTORE_KINDS = {
+    "shipped": OnlineKind(
+        fixed.SLD_ISTORE_SHIPPED, "ShipDate", lambda: F.col("ShippedQuantity") > 0,
+        lambda: (F.col("ShippedQuantity"), F.col("Cost"), F.col("Price"), F.col("ShippingFee"))),
+    "refund": OnlineKind(
+        fixed.SLD_ISTORE_REFUND, "RefundDate", lambda: F.col("RefundAmount") > 0,
+        lambda: (F.lit(0), F.lit(0), -F.col("RefundAmount"), F.lit(0))),
+}
+
+WEB_KINDS = {
+    "shipped": OnlineKind(
+        fixed.SLD_WEB_SHIPPED, "ShipDate", lambda: F.lit(True),
+        lambda: (F.col("Quantity"), F.col("Cost"), F.col("ExtendedAmount"), F.col("ShippingAmount"))),
+    "refund": OnlineKind(
+        fixed.SLD_WEB_REFUND, "SiteLastModifiedDate", lambda: F.col("ItemRefundAmount") > 0,
+        lambda: (F.lit(0), F.lit(0), -F.col("ItemRefundAmount"), F.lit(0))),
+}
+
 
 def _fulfilment(src: Sources, order_system: str) -> tuple[DataFrame, DataFrame]:
     oh = src.fulfil_header.where(F.col("OrderSystem") == order_system).select(
@@ -148,22 +199,46 @@ def _fulfilment(src: Sources, order_system: str) -> tuple[DataFrame, DataFrame]:
     return oh, od
 
 
-def _online_finish(joined: DataFrame, src: Sources, date_col: str) -> DataFrame:
-    """Product join, month bucket and fallback location of joined online lines."""
-    return joined.join(products_categorised(src, new_goods_only=False), "ItemCode").select(
-        "*",
-        month_bucket(F.col(date_col)).alias("BusinessMonth"),
+def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
+    """Orders in at least one requested branch: a disjunction pushed to the order scan."""
+    cond = None
+    for k in kinds:
+        c = window.contains(F.col(k.date_col)) & k.condition()
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
+    """Product join, one tagged row per (joined line, branch), one aggregate for all branches."""
+    lines = joined.join(products_categorised(src, new_goods_only=False), "ItemCode")
+    tags = []
+    for k in kinds:
+        q, c, v, f = k.measures()
+        tag = F.struct(
+            F.lit(k.sld_ty).alias("SldTy"), month_bucket(F.col(k.date_col)).alias("BusinessMonth"),
+            q.cast("bigint").alias("q"), money(c).alias("c"), money(v).alias("v"), money(f).alias("f"),
+        )
+        tags.append(F.when(window.contains(F.col(k.date_col)) & k.condition(), tag))
+    tagged = lines.select(
         location_fallback(F.col("odLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
-    )
-
-
-def istore_lines(src: Sources, window: Window, date_col: str, extra: Column) -> DataFrame:
-    """iStore orders joined to facility, fulfilment header and detail."""
+        F.col("PrCat"),
+        F.explode(F.array(*tags)).alias("t"),
+    ).where(F.col("t").isNotNull())
+    return tagged.groupBy(F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo",
+                          F.col("t.SldTy").alias("SldTy"), "PrCat").agg(
+        qty(F.sum("t.q")).alias("Qty"), money(F.sum("t.c")).alias("Cost"),
+        money(F.sum("t.v")).alias("Val"), money(F.sum("t.f")).alias("Fee"),
+    ).select(*TIDY_COLUMNS)
+
+
+def istore_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> DataFrame:
+    """A2 + A3: iStore orders joined to facility, fulfilment header and detail
+    at order level (fan-out kept), shipped by ship month, refunds by refund month."""
+    ks = [ISTORE_KINDS[k] for k in kinds]
     om = src.istore_orders.where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
-        & window.contains(F.col(date_col))
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
-        & extra
+        & _any_kind(window, ks)
     )
     oh, od = _fulfilment(src, fixed.ISTORE_ORDER_SYSTEM)
     joined = (
@@ -171,31 +246,19 @@ def istore_lines(src: Sources, window: Window, date_col: str, extra: Column) ->
         .join(oh, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
         .join(od, F.col("ohOrderID") == F.col("odOrderID"))
     )
-    return _online_finish(joined, src, date_col)
+    return _online_tidy(joined, src, window, ks)
 
 
-def sales_istore_shipped(src: Sources, window: Window) -> DataFrame:
-    """A2: shipped iStore orders by ship month; Cost is per line, not x quantity."""
-    lines = istore_lines(src, window, "ShipDate", F.col("ShippedQuantity") > 0)
-    return _tidy(lines, fixed.SLD_ISTORE_SHIPPED, F.col("ShippedQuantity"), F.col("Cost"), F.col("Price"),
-                 F.col("ShippingFee"))
-
-
-def sales_istore_refunds(src: Sources, window: Window) -> DataFrame:
-    """A3: iStore refunds by refund month; negated value, zero quantity and cost."""
-    lines = istore_lines(src, window, "RefundDate", F.col("RefundAmount") > 0)
-    return _tidy(lines, fixed.SLD_ISTORE_REFUND, F.lit(0), F.lit(0), -F.col("RefundAmount"), F.lit(0))
-
-
-def web_lines(src: Sources, window: Window, date_col: str, extra: Column) -> DataFrame:
-    """Web-store orders joined to facility, header (2 keys) and detail."""
+def web_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> DataFrame:
+    """A4 + A5: web-store lines joined to facility, header on two keys and detail on
+    order and the text form of the item id (J7)."""
+    ks = [WEB_KINDS[k] for k in kinds]
     om = src.web_orders.where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
-        & window.contains(F.col(date_col))
         & (F.col("ShippingMethod") != fixed.WEB_PICKUP_SHIPPING_METHOD)
         & (F.col("Quantity") > 0)
-        & extra
+        & _any_kind(window, ks)
     ).withColumn("MarketOrderItemKey", F.col("MarketOrderItemID").cast("string"))
     oh, od = _fulfilment(src, fixed.WEB_ORDER_SYSTEM)
     joined = (
@@ -204,20 +267,27 @@ def web_lines(src: Sources, window: Window, date_col: str, extra: Column) -> Dat
         .join(od, (F.col("ohOrderID") == F.col("odOrderID"))
               & (F.col("odMarketOrderItemID") == F.col("MarketOrderItemKey")))
     )
-    return _online_finish(joined, src, date_col)
+    return _online_tidy(joined, src, window, ks)
+
+
+def sales_istore_shipped(src: Sources, window: Window) -> DataFrame:
+    """A2: shipped iStore orders by ship month; Cost is per line, not x quantity."""
+    return istore_sales(src, window, ("shipped",))
+
+
+def sales_istore_refunds(src: Sources, window: Window) -> DataFrame:
+    """A3: iStore refunds by refund month; negated value, zero quantity and cost."""
+    return istore_sales(src, window, ("refund",))
 
 
 def sales_web_shipped(src: Sources, window: Window) -> DataFrame:
     """A4: shipped web-store lines by ship month."""
-    lines = web_lines(src, window, "ShipDate", F.lit(True))
-    return _tidy(lines, fixed.SLD_WEB_SHIPPED, F.col("Quantity"), F.col("Cost"), F.col("ExtendedAmount"),
-                 F.col("ShippingAmount"))
+    return web_sales(src, window, ("shipped",))
 
 
 def sales_web_refunds(src: Sources, window: Window) -> DataFrame:
     """A5: web-store refunds by last-modified month."""
-    lines = web_lines(src, window, "SiteLastModifiedDate", F.col("ItemRefundAmount") > 0)
-    return _tidy(lines, fixed.SLD_WEB_REFUND, F.lit(0), F.lit(0), -F.col("ItemRefundAmount"), F.lit(0))
+    return web_sales(src, window, ("refund",))
 
 
 BRANCHES = (sales_register, sales_istore_shipped, sales_istore_refunds, sales_web_shipped, sales_web_refunds,
@@ -225,9 +295,10 @@ BRANCHES = (sales_register, sales_istore_shipped, sales_istore_refunds, sales_we
 
 
 def sales_tidy(src: Sources, window: Window) -> DataFrame:
-    """K2: bag union of the six branches."""
-    out = None
-    for branch in BRANCHES:
-        df = branch(src, window).select(*TIDY_COLUMNS)
-        out = df if out is None else out.unionByName(df)
+    """K2: bag union of the six branches (online pairs computed in one pass each)."""
+    parts = [sales_register(src, window), istore_sales(src, window), web_sales(src, window),
+             sales_bookworm(src, window)]
+    out = parts[0].select(*TIDY_COLUMNS)
+    for df in parts[1:]:
+        out = out.unionByName(df.select(*TIDY_COLUMNS))
     return out

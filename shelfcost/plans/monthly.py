@@ -1,11 +1,12 @@
 """Monthly jobs: category load and the rollup.
 
 ``build_rollup`` composes the lazily planned stages; the only materialisation
-points are the two *wide* tables. They are read three times (grid months,
-grid stores, final join) and are tiny -- months x stores -- at any input
-size, so they are checkpointed (reliably, to the shared checkpoint folder)
-instead of recomputing every branch three times. Everything upstream of
-them runs once.
+point is the combined *wide* table (sales and transfer measures side by side
+per month and store). It is read three times (grid months, grid stores,
+final join) and is tiny -- months x stores -- at any input size, so it is
+checkpointed (reliably, to the shared checkpoint folder) instead of
+recomputing every branch three times. All eight branches feed that one job,
+so they run concurrently; everything upstream runs once.
 """
 
 from __future__ import annotations
@@ -33,8 +34,7 @@ class RollupRun:
     window: Window
     sales_tidy: DataFrame
     xfers_tidy: DataFrame
-    sales_wide: DataFrame
-    xfers_wide: DataFrame
+    wide: DataFrame        # sales and transfer measures per (month, store), materialised
     grid: DataFrame
     rollup: DataFrame
 
@@ -42,12 +42,11 @@ class RollupRun:
 def build_rollup(src: Sources, window: Window, materialise_wide: bool = True) -> RollupRun:
     st = sales.sales_tidy(src, window)
     xt = transfers.xfers_tidy(src, window)
-    sw = pivot_measures(st, SALES_MEASURES)
-    xw = pivot_measures(xt, XFER_MEASURES)
+    wide = rollup.combine_wide(pivot_measures(st, SALES_MEASURES), pivot_measures(xt, XFER_MEASURES))
     if materialise_wide:
-        sw, xw = materialise(sw), materialise(xw)
-    grid = rollup.key_grid(rollup.grid_months(sw, xw), rollup.grid_locations(sw, xw))
-    return RollupRun(window, st, xt, sw, xw, grid, rollup.assemble_rollup(grid, sw, xw))
+        wide = materialise(wide)
+    grid = rollup.key_grid(rollup.grid_months(wide), rollup.grid_locations(wide))
+    return RollupRun(window, st, xt, wide, grid, rollup.assemble_rollup(grid, wide))
 
 
 def run_category_load(src: Sources, path: str) -> None:

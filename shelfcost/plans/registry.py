@@ -227,8 +227,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xfers_tidy": _branch(transfers.xfers_tidy),
     "xfers_wide": lambda spark, d: pivot_measures(transfers.xfers_tidy(_src(spark, d), WINDOW), XFER_MEASURES),
     # grid and rollup
-    "grid_months": lambda spark, d: rollup.grid_months(_run(_src(spark, d)).sales_wide, _run(_src(spark, d)).xfers_wide),
-    "grid_locations": lambda spark, d: (lambda r: rollup.grid_locations(r.sales_wide, r.xfers_wide))(_run(_src(spark, d))),
+    "grid_months": lambda spark, d: rollup.grid_months(_run(_src(spark, d)).wide),
+    "grid_locations": lambda spark, d: rollup.grid_locations(_run(_src(spark, d)).wide),
     "key_grid": lambda spark, d: _run(_src(spark, d)).grid,
     "rollup": _rollup,
     "rollup_delete_keys": rollup_delete_keys,

@@ -245,5 +245,6 @@ def test_e24_unknown_class_is_zzz(spark):
 def test_bounded_broadcast_falls_back(spark):
     small = spark.range(10)
     big = spark.range(1000)
-    assert dims.bounded_broadcast(small, 10) is not small
+    hinted = dims.bounded_broadcast(small, 10)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     assert dims.bounded_broadcast(big, 10) is big
