@@ -8,7 +8,7 @@ Plan shape (what would hold at 100 TB):
 
 * Date windows are half-open comparisons on raw date columns, pushed to the
   parquet scans of both join sides.
-* Register and Bookworm lines are pre-aggregated to (month, store, item)
+* Every branch pre-aggregates its lines to (month, store, [type,] item)
   *before* the product join. The product master grows with the catalogue and
   a single item (the Bookworm placeholder, a best seller) may carry a third
   of all lines; after pre-aggregation an item has at most months x stores
@@ -162,25 +162,26 @@ class OnlineKind:
     sld_ty: int
     date_col: str                         # bucketing and window column
     condition: Callable[[], Column]       # branch-specific order filter
-    measures: Callable[[], tuple[Column, Column, Column, Column]]  # Qty, Cost, Val, Fee per joined line
+    # per joined line: (quantity, product costs counted, value, fee)
+    measures: Callable[[], tuple[Column, int, Column, Column]]
 
 
 ISTORE_KINDS = {
     "shipped": OnlineKind(
         fixed.SLD_ISTORE_SHIPPED, "ShipDate", lambda: F.col("ShippedQuantity") > 0,
-        lambda: (F.col("ShippedQuantity"), F.col("Cost"), F.col("Price"), F.col("ShippingFee"))),
+        lambda: (F.col("ShippedQuantity"), 1, F.col("Price"), F.col("ShippingFee"))),
     "refund": OnlineKind(
         fixed.SLD_ISTORE_REFUND, "RefundDate", lambda: F.col("RefundAmount") > 0,
-        lambda: (F.lit(0), F.lit(0), -F.col("RefundAmount"), F.lit(0))),
+        lambda: (F.lit(0), 0, -F.col("RefundAmount"), F.lit(0))),
 }
 
 WEB_KINDS = {
     "shipped": OnlineKind(
         fixed.SLD_WEB_SHIPPED, "ShipDate", lambda: F.lit(True),
-        lambda: (F.col("Quantity"), F.col("Cost"), F.col("ExtendedAmount"), F.col("ShippingAmount"))),
+        lambda: (F.col("Quantity"), 1, F.col("ExtendedAmount"), F.col("ShippingAmount"))),
     "refund": OnlineKind(
         fixed.SLD_WEB_REFUND, "SiteLastModifiedDate", lambda: F.col("ItemRefundAmount") > 0,
-        lambda: (F.lit(0), F.lit(0), -F.col("ItemRefundAmount"), F.lit(0))),
+        lambda: (F.lit(0), 0, -F.col("ItemRefundAmount"), F.lit(0))),
 }
 
 
@@ -209,25 +210,33 @@ def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
 
 
 def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
-    """Product join, one tagged row per (joined line, branch), one aggregate for all branches."""
-    lines = joined.join(products_categorised(src, new_goods_only=False), "ItemCode")
+    """One tagged row per (joined line, branch); pre-aggregate per item; product join; final aggregate.
+
+    Cost is the product cost once per joined line (not x quantity), so the
+    pre-aggregate counts lines (``n``) and the product join multiplies.
+    """
     tags = []
     for k in kinds:
-        q, c, v, f = k.measures()
+        q, n, v, f = k.measures()
         tag = F.struct(
             F.lit(k.sld_ty).alias("SldTy"), month_bucket(F.col(k.date_col)).alias("BusinessMonth"),
-            q.cast("bigint").alias("q"), money(c).alias("c"), money(v).alias("v"), money(f).alias("f"),
+            q.cast("bigint").alias("q"), F.lit(n).cast("bigint").alias("n"), money(v).alias("v"),
+            money(f).alias("f"),
         )
         tags.append(F.when(window.contains(F.col(k.date_col)) & k.condition(), tag))
-    tagged = lines.select(
+    tagged = joined.select(
         location_fallback(F.col("odLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
-        F.col("PrCat"),
+        F.col("ItemCode"),
         F.explode(F.array(*tags)).alias("t"),
     ).where(F.col("t").isNotNull())
-    return tagged.groupBy(F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo",
-                          F.col("t.SldTy").alias("SldTy"), "PrCat").agg(
-        qty(F.sum("t.q")).alias("Qty"), money(F.sum("t.c")).alias("Cost"),
-        money(F.sum("t.v")).alias("Val"), money(F.sum("t.f")).alias("Fee"),
+    pre = tagged.groupBy(F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo",
+                         F.col("t.SldTy").alias("SldTy"), "ItemCode").agg(
+        F.sum("t.q").alias("q"), F.sum("t.n").alias("n"), F.sum("t.v").alias("v"), F.sum("t.f").alias("f"),
+    )
+    return pre.join(products_categorised(src, new_goods_only=False), "ItemCode").groupBy(
+        "BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
+        qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
+        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
     ).select(*TIDY_COLUMNS)
 
 
