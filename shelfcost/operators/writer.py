@@ -65,8 +65,9 @@ def replace_by_key(spark: SparkSession, path: str, new_rows: DataFrame, grid: Da
     if table_exists(spark, path):
         existing = read_rollup(spark, path).where(F.col("BusinessMonth").isin(months))
         merged = delete_keys(existing, grid).unionByName(merged)
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
+        # the write below replaces files this plan reads: cut the lineage first
+        checkpoint_dir(spark)
+        merged = merged.checkpoint(eager=True)
     (
         merged.repartition("BusinessMonth")
         .sortWithinPartitions("LocationNo")

@@ -45,20 +45,25 @@ def _d(col: Column) -> Column:
 
 
 class StarTables:
-    """Lazy readers of the star tables under one directory."""
+    """Readers of the star tables under one directory, one DataFrame per table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._frames[name]
 
 
-def _lo(t: StarTables, *cols: str) -> DataFrame:
+def _lo(t: StarTables) -> DataFrame:
     """lineitem joined to its order (every line has one)."""
-    o = t.read("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    return t.read("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    if "_lo" not in t._frames:
+        o = t.read("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+        t._frames["_lo"] = t.read("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return t._frames["_lo"]
 
 
 def locations(t: StarTables) -> DataFrame:
