@@ -40,8 +40,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 def category_dim(src: Sources) -> DataFrame:
     """Category of every product type (ordered CASE, first match wins)."""
-    pt = src.product_types
-    return pt.select(
+    types = src.product_types
+    return types.select(
         F.col("ProductType"),
         category(F.col("ProductType"), F.col("PTypeClass")).alias("PTypeCategory"),
         F.col("PTypeClass"),

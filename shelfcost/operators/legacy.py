@@ -39,9 +39,9 @@ from shelfcost.sources.catalog import Sources
 
 def v1_products(src: Sources, classify=v1_sales_category) -> DataFrame:
     """Product master filtered by type (no gift cards) and class (not USED), with v1 category."""
-    pt = product_types_b(src).where(F.col("PTypeClass") != fixed.USED_CLASS).select("ProductType")
-    pm = src.product_master.where(~F.col("ProductType").isin(list(fixed.GIFT_CARD_TYPES)))
-    return pm.join(pt, "ProductType").select("ItemCode", classify(F.col("ProductType")).alias("PrCat"), "Cost")
+    types = product_types_b(src).where(F.col("PTypeClass") != fixed.USED_CLASS).select("ProductType")
+    products = src.product_master.where(~F.col("ProductType").isin(list(fixed.GIFT_CARD_TYPES)))
+    return products.join(types, "ProductType").select("ItemCode", classify(F.col("ProductType")).alias("PrCat"), "Cost")
 
 
 def v1_sales_classify(src: Sources) -> DataFrame:
@@ -72,8 +72,8 @@ def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
         _signed(bookworm_lines(src, window))
         .groupBy(
             month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
-            F.col("bwLocationNo").alias("LocationNo"),
-            F.col("bwItemCode").alias("ItemCode"),
+            F.col("BookwormLocationNo").alias("LocationNo"),
+            F.col("BookwormItemCode").alias("ItemCode"),
         )
         .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
     )
@@ -83,29 +83,29 @@ def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
 
 def _v1_istore_lines(src: Sources, window: Window, date_col: str, extra: Column) -> DataFrame:
     """iStore orders LEFT-joined to fulfilment, filters inside the ON clause."""
-    om = src.istore_orders.where(
+    orders = src.istore_orders.where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
         & window.contains(F.col(date_col))
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
         & extra
     ).withColumn("ItemCode", rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH))
-    oh = src.fulfil_header.where(F.col("OrderSystem") == fixed.ISTORE_ORDER_SYSTEM).select(
-        F.col("OrderID").alias("ohOrderID"), "ISISOrderID"
+    heads = src.fulfil_header.where(F.col("OrderSystem") == fixed.ISTORE_ORDER_SYSTEM).select(
+        F.col("OrderID").alias("HeadOrderID"), "ISISOrderID"
     )
-    od = src.fulfil_detail.where(
+    fulfil = src.fulfil_detail.where(
         F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES))
         & (F.col("ProblemStatusID").isNull() | (F.col("ProblemStatusID") == 0))
-    ).select(F.col("OrderID").alias("odOrderID"), F.col("LocationNo").alias("odLocationNo"))
-    pm = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+    ).select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
+    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
     return (
-        om.join(facilities_b(src), "FacilityID")
-        .join(oh, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
-        .join(od, F.col("ohOrderID") == F.col("odOrderID"), "left")
-        .join(pm, "ItemCode")
+        orders.join(facilities_b(src), "FacilityID")
+        .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
+        .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"), "left")
+        .join(products, "ItemCode")
         .select(
             "*",
             month_bucket(F.col(date_col)).alias("BusinessMonth"),
-            location_fallback(F.col("odLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
+            location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
         )
     )
 
@@ -123,7 +123,7 @@ def v1_istore_refunds(src: Sources, window: Window) -> DataFrame:
 
 def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_item_master: bool) -> DataFrame:
     """Web orders at the facility's store, pre-aggregated per (month, store, item) before the product join."""
-    om = src.web_orders.where(
+    orders = src.web_orders.where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
         & (F.col("ShippingMethod") != fixed.WEB_PICKUP_SHIPPING_METHOD)
@@ -133,7 +133,7 @@ def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_ite
         & extra
     )
     pre = (
-        om.join(facilities_b(src), "FacilityID")
+        orders.join(facilities_b(src), "FacilityID")
         .groupBy(
             month_bucket(F.col(date_col)).alias("BusinessMonth"),
             F.col("HPBLocationNo").alias("LocationNo"),
@@ -144,10 +144,10 @@ def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_ite
             F.sum("ShippingAmount").alias("f"), F.sum("ItemRefundAmount").alias("r"),
         )
     )
-    pm = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
     if with_item_master:
-        pm = pm.join(src.item_master, "ItemCode")
-    return pre.join(pm, "ItemCode")
+        products = products.join(src.item_master, "ItemCode")
+    return pre.join(products, "ItemCode")
 
 
 def v1_web_shipped(src: Sources, window: Window) -> DataFrame:
@@ -173,15 +173,15 @@ def v1_sales_tidy(src: Sources, window: Window) -> DataFrame:
 
 
 def _v1_xfers(src: Sources, window: Window, types: tuple[int, ...], location: str, sign: int) -> DataFrame:
-    xh = src.xfer_header.where(
+    bins = src.xfer_header.where(
         (F.col("StatusCode") == fixed.XFER_HEADER_DONE)
         & F.col("TransferType").isin(list(types))
         & window.contains(F.col("CreateTime"))
     ).select("TransferBinNo", "LocationNo", "ToLocationNo", "TransferType", F.col("CreateTime").alias("HeaderTime"))
-    xd = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
+    bin_lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
         "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost"
     )
-    pre = xh.join(xd, "TransferBinNo").groupBy(
+    pre = bins.join(bin_lines, "TransferBinNo").groupBy(
         month_bucket(F.col("HeaderTime")).alias("BusinessMonth"),
         F.col(location).alias("LocationNo"),
         (F.col("TransferType") * F.lit(sign)).alias("XfrTy"),

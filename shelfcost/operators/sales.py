@@ -101,13 +101,13 @@ def sales_register(src: Sources, window: Window) -> DataFrame:
 
 def bookworm_keyed(src: Sources) -> DataFrame:
     """Bookworm orders with the derived register keys."""
-    bw = src.bookworm
-    return bw.select(
-        F.col("locationId").alias("bwLocationID"),
-        bookworm_xaction_id(F.col("tillnumber"), F.col("transactionNumber")).alias("bwXactionId"),
-        F.col("detailNumber").alias("bwLineNumber"),
-        item_code_from_sku(F.col("SKU")).alias("bwItemCode"),
-        F.col("LocationNo").alias("bwLocationNo"),
+    bk = src.bookworm
+    return bk.select(
+        F.col("locationId").alias("BkLocationID"),
+        bookworm_xaction_id(F.col("tillnumber"), F.col("transactionNumber")).alias("BkXactionId"),
+        F.col("detailNumber").alias("BkLineNumber"),
+        item_code_from_sku(F.col("SKU")).alias("BookwormItemCode"),
+        F.col("LocationNo").alias("BookwormLocationNo"),
     )
 
 
@@ -124,9 +124,9 @@ def bookworm_lines(src: Sources, window: Window) -> DataFrame:
     )
     matched = items.join(
         bookworm_keyed(src),
-        (F.col("LocationID") == F.col("bwLocationID"))
-        & (F.col("SalesXactionId") == F.col("bwXactionId"))
-        & (F.col("LineNumber") == F.col("bwLineNumber")),
+        (F.col("LocationID") == F.col("BkLocationID"))
+        & (F.col("SalesXactionId") == F.col("BkXactionId"))
+        & (F.col("LineNumber") == F.col("BkLineNumber")),
     )
     return matched.join(active_headers(src, window), TXN_KEYS)
 
@@ -137,8 +137,8 @@ def sales_bookworm(src: Sources, window: Window) -> DataFrame:
         _signed(bookworm_lines(src, window))
         .groupBy(
             month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
-            F.col("bwLocationNo").alias("LocationNo"),
-            F.col("bwItemCode").alias("ItemCode"),
+            F.col("BookwormLocationNo").alias("LocationNo"),
+            F.col("BookwormItemCode").alias("ItemCode"),
         )
         .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
     )
@@ -186,18 +186,18 @@ WEB_KINDS = {
 
 
 def _fulfilment(src: Sources, order_system: str) -> tuple[DataFrame, DataFrame]:
-    oh = src.fulfil_header.where(F.col("OrderSystem") == order_system).select(
-        F.col("OrderID").alias("ohOrderID"), F.col("ISISOrderID"), F.col("MarketOrderID").alias("ohMarketOrderID")
+    heads = src.fulfil_header.where(F.col("OrderSystem") == order_system).select(
+        F.col("OrderID").alias("HeadOrderID"), F.col("ISISOrderID"), F.col("MarketOrderID").alias("HeadMarketOrderID")
     )
-    od = src.fulfil_detail.where(
+    fulfil = src.fulfil_detail.where(
         F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES)) & F.col("ProblemStatusID").isNull()
     ).select(
-        F.col("OrderID").alias("odOrderID"),
+        F.col("OrderID").alias("LineOrderID"),
         F.col("ItemCode"),
-        F.col("LocationNo").alias("odLocationNo"),
-        F.col("MarketOrderItemID").alias("odMarketOrderItemID"),
+        F.col("LocationNo").alias("FulfilLocationNo"),
+        F.col("MarketOrderItemID").alias("LineMarketItemID"),
     )
-    return oh, od
+    return heads, fulfil
 
 
 def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
@@ -225,7 +225,7 @@ def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[On
         )
         tags.append(F.when(window.contains(F.col(k.date_col)) & k.condition(), tag))
     tagged = joined.select(
-        location_fallback(F.col("odLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
+        location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
         F.col("ItemCode"),
         F.explode(F.array(*tags)).alias("t"),
     ).where(F.col("t").isNotNull())
@@ -244,16 +244,16 @@ def istore_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> D
     """A2 + A3: iStore orders joined to facility, fulfilment header and detail
     at order level (fan-out kept), shipped by ship month, refunds by refund month."""
     ks = [ISTORE_KINDS[k] for k in kinds]
-    om = src.istore_orders.where(
+    orders = src.istore_orders.where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
         & _any_kind(window, ks)
     )
-    oh, od = _fulfilment(src, fixed.ISTORE_ORDER_SYSTEM)
+    heads, fulfil = _fulfilment(src, fixed.ISTORE_ORDER_SYSTEM)
     joined = (
-        om.join(facilities_b(src), "FacilityID")
-        .join(oh, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
-        .join(od, F.col("ohOrderID") == F.col("odOrderID"))
+        orders.join(facilities_b(src), "FacilityID")
+        .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
+        .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"))
     )
     return _online_tidy(joined, src, window, ks)
 
@@ -262,19 +262,19 @@ def web_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> Data
     """A4 + A5: web-store lines joined to facility, header on two keys and detail on
     order and the text form of the item id (J7)."""
     ks = [WEB_KINDS[k] for k in kinds]
-    om = src.web_orders.where(
+    orders = src.web_orders.where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
         & (F.col("ShippingMethod") != fixed.WEB_PICKUP_SHIPPING_METHOD)
         & (F.col("Quantity") > 0)
         & _any_kind(window, ks)
     ).withColumn("MarketOrderItemKey", F.col("MarketOrderItemID").cast("string"))
-    oh, od = _fulfilment(src, fixed.WEB_ORDER_SYSTEM)
+    heads, fulfil = _fulfilment(src, fixed.WEB_ORDER_SYSTEM)
     joined = (
-        om.join(facilities_b(src), "FacilityID")
-        .join(oh, (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("MarketOrderID") == F.col("ohMarketOrderID")))
-        .join(od, (F.col("ohOrderID") == F.col("odOrderID"))
-              & (F.col("odMarketOrderItemID") == F.col("MarketOrderItemKey")))
+        orders.join(facilities_b(src), "FacilityID")
+        .join(heads, (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("MarketOrderID") == F.col("HeadMarketOrderID")))
+        .join(fulfil, (F.col("HeadOrderID") == F.col("LineOrderID"))
+              & (F.col("LineMarketItemID") == F.col("MarketOrderItemKey")))
     )
     return _online_tidy(joined, src, window, ks)
 

@@ -110,23 +110,23 @@ def join_sales_header_item(spark, d):
 
 def join_bookworm_items(spark, d):
     src = _src(spark, d)
-    bw = sales.bookworm_keyed(src)
+    bk = sales.bookworm_keyed(src)
     return src.sales_item.join(
-        bw,
-        (F.col("LocationID") == F.col("bwLocationID"))
-        & (F.col("SalesXactionId") == F.col("bwXactionId"))
-        & (F.col("LineNumber") == F.col("bwLineNumber")),
-    ).select("LocationID", "SalesXactionId", "LineNumber", "ItemCode", "bwItemCode",
-             F.col("bwLocationNo").alias("BookwormLocationNo"))
+        bk,
+        (F.col("LocationID") == F.col("BkLocationID"))
+        & (F.col("SalesXactionId") == F.col("BkXactionId"))
+        & (F.col("LineNumber") == F.col("BkLineNumber")),
+    ).select("LocationID", "SalesXactionId", "LineNumber", "ItemCode", "BookwormItemCode",
+             F.col("BookwormLocationNo").alias("BookwormLocationNo"))
 
 
 def join_xfer_header_detail(spark, d):
     src = _src(spark, d)
-    xh = src.xfer_header.select("TransferBinNo", "LocationNo", "ToLocationNo", "TransferType",
+    bins = src.xfer_header.select("TransferBinNo", "LocationNo", "ToLocationNo", "TransferType",
                                 F.col("StatusCode").alias("HeaderStatus"), F.col("CreateTime").alias("HeaderTime"))
-    xd = src.xfer_detail.select("TransferBinNo", "DipsItemCode", "Quantity", "DipsCost",
+    bin_lines = src.xfer_detail.select("TransferBinNo", "DipsItemCode", "Quantity", "DipsCost",
                                 F.col("StatusCode").alias("DetailStatus"), "CreateTime", "UpdateTime")
-    return xh.join(xd, "TransferBinNo")
+    return bins.join(bin_lines, "TransferBinNo")
 
 
 def month_bucket_q(spark, d):
@@ -143,27 +143,27 @@ def signed_quantity_q(spark, d):
 
 def location_fallback_q(spark, d):
     src = _src(spark, d)
-    oh = src.fulfil_header.select(F.col("OrderID").alias("ohOrderID"), "ISISOrderID")
-    od = src.fulfil_detail.select(F.col("OrderID").alias("odOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
+    heads = src.fulfil_header.select(F.col("OrderID").alias("HeadOrderID"), "ISISOrderID")
+    fulfil = src.fulfil_detail.select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
     return (
         src.istore_orders.select("ISIS_OrderID", "FacilityID")
         .join(dims.facilities_b(src), "FacilityID")
-        .join(oh, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
-        .join(od, F.col("ohOrderID") == F.col("odOrderID"))
+        .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
+        .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"))
         .select("ISIS_OrderID", "FulfilLocationNo", "HPBLocationNo",
                 location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"))
     )
 
 
 def bookworm_xaction_id_q(spark, d):
-    bw = _src(spark, d).bookworm
-    return bw.select("locationId", "tillnumber", "transactionNumber", "detailNumber",
+    bk = _src(spark, d).bookworm
+    return bk.select("locationId", "tillnumber", "transactionNumber", "detailNumber",
                      bookworm_xaction_id(F.col("tillnumber"), F.col("transactionNumber")).alias("XactionId"))
 
 
 def bookworm_sku_pad_q(spark, d):
-    bw = _src(spark, d).bookworm
-    return bw.select("SKU", item_code_from_sku(F.col("SKU")).alias("ItemCode"))
+    bk = _src(spark, d).bookworm
+    return bk.select("SKU", item_code_from_sku(F.col("SKU")).alias("ItemCode"))
 
 
 def report_default_dates_q(spark, d):

@@ -94,9 +94,9 @@ def test_e8_window_edges_and_e23_returns(spark):
 
 
 def test_e10_frontline_used_counts_online_not_register(spark):
-    pt = [{"ProductType": "TRF", "PTypeClass": "USED"}]
-    pm = [{"ItemCode": item(2), "ProductType": "TRF", "Cost": money(7)}]
-    src = make_sources(spark, product_types=pt, product_master=pm,
+    types = [{"ProductType": "TRF", "PTypeClass": "USED"}]
+    products = [{"ItemCode": item(2), "ProductType": "TRF", "Cost": money(7)}]
+    src = make_sources(spark, product_types=types, product_master=products,
                        sales_header=[_header(1, D(2001, 5, 2), "A")],
                        sales_item=[_line(1, D(2001, 5, 2), "A", 1, item(2), 1, 9)])
     assert dims.category_dim(src).first().PTypeCategory == "frln"
@@ -104,7 +104,7 @@ def test_e10_frontline_used_counts_online_not_register(spark):
     orders = [_web(ISIS_OrderID=1, MarketOrderItemID=1)]
     fh = [{"OrderID": 1001, "ISISOrderID": 1, "OrderSystem": "HMP", "MarketOrderID": "M1"}]
     fd = [{"OrderID": 1001, "ItemCode": item(2), "Status": 4, "MarketOrderItemID": "1"}]
-    src = make_sources(spark, product_types=pt, product_master=pm, web_orders=orders, fulfil_header=fh,
+    src = make_sources(spark, product_types=types, product_master=products, web_orders=orders, fulfil_header=fh,
                        fulfil_detail=fd)
     assert _rows(sales.sales_web_shipped(src, MAY), "PrCat", "LocationNo") == [("frln", "00001")]
 
