@@ -28,6 +28,15 @@ class Window:
         """Sargable half-open range on a raw date/timestamp column."""
         return (col >= F.lit(self.start)) & (col < F.lit(self.end))
 
+    def contains_first(self, preferred: Column, fallback: Column) -> Column:
+        """``coalesce(preferred, fallback)`` in the window, stated on the raw columns.
+
+        Exactly equivalent to ``contains(coalesce(preferred, fallback))`` but
+        each arm compares a raw column, so parquet can push the disjunction
+        into the scan instead of reading the whole history.
+        """
+        return self.contains(preferred) | (preferred.isNull() & self.contains(fallback))
+
 
 def first_of_month(d: dt.date) -> dt.date:
     return d.replace(day=1)

@@ -29,8 +29,13 @@ from shelfcost.sources.catalog import Sources
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "XfrTy", "PrCat", "Qty", "Cost")
 
 
-def _detail(src: Sources) -> DataFrame:
-    return src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
+def _detail(src: Sources, window: Window | None = None) -> DataFrame:
+    """Completed transfer lines with their event time; optionally only events in ``window``
+    (stated on the raw columns so the filter reaches the scan)."""
+    lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE)
+    if window is not None:
+        lines = lines.where(window.contains_first(F.col("UpdateTime"), F.col("CreateTime")))
+    return lines.select(
         "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost",
         event_time(F.col("UpdateTime"), F.col("CreateTime")).alias("EventTime"),
     )
@@ -57,7 +62,7 @@ def xfers_out(src: Sources, window: Window, window_on: str = "header") -> DataFr
     if window_on == "header":
         lines = _header(src).where(window.contains(F.col("HeaderTime"))).join(_detail(src), "TransferBinNo")
     elif window_on == "event_time":
-        lines = _header(src).join(_detail(src).where(window.contains(F.col("EventTime"))), "TransferBinNo")
+        lines = _header(src).join(_detail(src, window), "TransferBinNo")
     else:
         raise ValueError(f"window_on must be 'header' or 'event_time', not {window_on!r}")
     return _finish(src, lines, "LocationNo", F.col("TransferType"))
@@ -65,8 +70,7 @@ def xfers_out(src: Sources, window: Window, window_on: str = "header") -> DataFr
 
 def xfers_in(src: Sources, window: Window) -> DataFrame:
     """Inbound transfers by event month, at the receiving store, type negated."""
-    d = _detail(src).where(window.contains(F.col("EventTime")))
-    lines = _header(src).join(d, "TransferBinNo")
+    lines = _header(src).join(_detail(src, window), "TransferBinNo")
     return _finish(src, lines, "ToLocationNo", -F.col("TransferType"))
 
 

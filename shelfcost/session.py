@@ -43,6 +43,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
     "spark.sql.files.maxPartitionBytes": "512MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # A month's orders may exceed the default 10 MB creation side; let the
+    # runtime bloom filter still prune the full-history fulfilment scans.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 

@@ -61,3 +61,15 @@ def test_window_is_half_open(spark):
     df = spark.createDataFrame([(D(2001, 5, 1),), (D(2001, 6, 1),), (D(2001, 5, 31),)], "d date")
     got = sorted(r.d for r in df.where(w.contains(F.col("d"))).collect())
     assert got == [D(2001, 5, 1), D(2001, 5, 31)]
+
+
+def test_contains_first_equals_coalesce_window(spark):
+    w = Window(D(2001, 5, 1), D(2001, 6, 1))
+    vals = [None, D(2001, 4, 30), D(2001, 5, 1), D(2001, 5, 31), D(2001, 6, 1)]
+    rows = [(u, c) for u in vals for c in vals]
+    df = spark.createDataFrame(rows, "u date, c date")
+    got = df.select(
+        w.contains_first(F.col("u"), F.col("c")).alias("a"),
+        w.contains(F.coalesce(F.col("u"), F.col("c"))).alias("b"),
+    ).collect()
+    assert all((r.a is True) == (r.b is True) for r in got)
