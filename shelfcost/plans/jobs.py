@@ -1,9 +1,10 @@
-"""spark-submit entry points for the three jobs.
+"""spark-submit entry points for the four jobs (category load, rollup, report, v1 script).
 
     spark-submit -m shelfcost.plans.jobs category --sources sources.json --out <path>
     spark-submit -m shelfcost.plans.jobs rollup   --sources sources.json --target <path> [--month 2024-03-01] [--as-of ...]
     spark-submit -m shelfcost.plans.jobs report   --sources sources.json --target <path> --type Region --location ASIA \\
                                                    --start 2024-01-01 --end 2024-03-31 --out <path>
+    spark-submit -m shelfcost.plans.jobs v1       --sources sources.json --start 2021-06-01 --end 2021-07-01 --out <path>
 
 ``sources.json`` maps each source name of :mod:`shelfcost.sources.schemas` to a
 parquet path or a catalog table name. The session comes from the submitting
@@ -19,8 +20,8 @@ import json
 
 from pyspark.sql import SparkSession
 
-from shelfcost.functions.dates import report_default_dates
-from shelfcost.operators import report, writer
+from shelfcost.functions.dates import Window, report_default_dates
+from shelfcost.operators import legacy, report, writer
 from shelfcost.plans.monthly import run_category_load, run_rollup
 from shelfcost.sources.catalog import from_tables
 
@@ -31,7 +32,7 @@ def _date(text: str | None) -> dt.date | None:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shelfcost")
-    ap.add_argument("job", choices=["category", "rollup", "report"])
+    ap.add_argument("job", choices=["category", "rollup", "report", "v1"])
     ap.add_argument("--sources", required=True, help="JSON file: source name -> path or table")
     ap.add_argument("--target", help="rollup table path")
     ap.add_argument("--out", help="output path (category table, report parquet)")
@@ -52,6 +53,10 @@ def main(argv: list[str] | None = None) -> None:
         run_category_load(src, args.out)
     elif args.job == "rollup":
         run_rollup(src, args.target, _date(args.month), as_of)
+    elif args.job == "v1":
+        # the v1 script's window: start inclusive, end exclusive
+        window = Window(_date(args.start), _date(args.end))
+        legacy.v1_report(src, window).write.mode("overwrite").parquet(args.out)
     else:
         start, end = report_default_dates(as_of)
         rows = report.report(writer.read_rollup(spark, args.target),

@@ -46,3 +46,19 @@ def test_category_rollup_report_jobs(spark, star_src):
                "--start", "2000-01-01", "--end", "2000-06-30", "--out", out])
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 30 and {r.BusinessMonth for r in rows} == {dt.date(2000, m, 1) for m in range(1, 7)}
+
+
+def test_v1_job(spark, star_src):
+    root = tempfile.mkdtemp(prefix="shelfcost-v1-")
+    paths = {}
+    for name in SOURCE_COLUMNS:
+        paths[name] = os.path.join(root, "src", name)
+        star_src.table(name).write.parquet(paths[name])
+    cfg = os.path.join(root, "sources.json")
+    with open(cfg, "w") as fh:
+        json.dump(paths, fh)
+    out = os.path.join(root, "v1")
+    w = registry.WINDOW
+    jobs.main(["v1", "--sources", cfg, "--start", w.start.isoformat(), "--end", w.end.isoformat(), "--out", out])
+    expected = registry.QUERIES["v1_report"](spark, SF_SMALL)
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, expected.collect()))
