@@ -81,14 +81,15 @@ def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
     return _tidy(lines, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
-def _v1_istore_lines(src: Sources, window: Window, date_col: str, extra: Column) -> DataFrame:
-    """iStore orders LEFT-joined to fulfilment, filters inside the ON clause."""
+def _v1_istore(src: Sources, window: Window, date_col: str, extra: Column, sld_ty: int, measures) -> DataFrame:
+    """iStore orders LEFT-joined to fulfilment with the filters inside the ON
+    clause; pre-aggregated per (month, store, item) before the product join."""
     orders = src.istore_orders.where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
         & window.contains(F.col(date_col))
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
         & extra
-    ).withColumn("ItemCode", rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH))
+    )
     heads = src.fulfil_header.where(F.col("OrderSystem") == fixed.ISTORE_ORDER_SYSTEM).select(
         F.col("OrderID").alias("HeadOrderID"), "ISISOrderID"
     )
@@ -96,29 +97,31 @@ def _v1_istore_lines(src: Sources, window: Window, date_col: str, extra: Column)
         F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES))
         & (F.col("ProblemStatusID").isNull() | (F.col("ProblemStatusID") == 0))
     ).select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
-    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
-    return (
+    q, v, f = measures()
+    pre = (
         orders.join(facilities_b(src), "FacilityID")
         .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
         .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"), "left")
-        .join(products, "ItemCode")
-        .select(
-            "*",
+        .groupBy(
             month_bucket(F.col(date_col)).alias("BusinessMonth"),
             location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
+            rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
         )
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(q).alias("q"), F.sum(v).alias("v"), F.sum(f).alias("f"))
     )
+    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+    cost = F.col("n") * F.col("Cost") if sld_ty == fixed.SLD_ISTORE_SHIPPED else F.lit(0)
+    return _tidy(pre.join(products, "ItemCode"), sld_ty, F.col("q"), cost, F.col("v"), F.col("f"))
 
 
 def v1_istore_shipped(src: Sources, window: Window) -> DataFrame:
-    lines = _v1_istore_lines(src, window, "OrderDate", F.col("ShippedQuantity") > 0)
-    return _tidy(lines, fixed.SLD_ISTORE_SHIPPED, F.col("ShippedQuantity"), F.col("Cost"), F.col("Price"),
-                 F.col("ShippingFee"))
+    return _v1_istore(src, window, "OrderDate", F.col("ShippedQuantity") > 0, fixed.SLD_ISTORE_SHIPPED,
+                      lambda: (F.col("ShippedQuantity"), F.col("Price"), F.col("ShippingFee")))
 
 
 def v1_istore_refunds(src: Sources, window: Window) -> DataFrame:
-    lines = _v1_istore_lines(src, window, "RefundDate", F.col("RefundAmount") > 0)
-    return _tidy(lines, fixed.SLD_ISTORE_REFUND, F.lit(0), F.lit(0), -F.col("RefundAmount"), F.lit(0))
+    return _v1_istore(src, window, "RefundDate", F.col("RefundAmount") > 0, fixed.SLD_ISTORE_REFUND,
+                      lambda: (F.lit(0), -F.col("RefundAmount"), F.lit(0)))
 
 
 def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_item_master: bool) -> DataFrame:
