@@ -6,8 +6,8 @@ for tables by name. Two constructors:
 * :func:`from_star` -- the driver's star-schema test tables, mapped onto the
   retail tables by :mod:`shelfcost.sources.star`.
 * :func:`from_tables` -- real source tables (parquet paths or catalog
-  names), read with a typed select of only the used columns; fixed-width
-  text is right-trimmed once here, so no operator repeats ``rtrim``.
+  names), read with a typed select of only the used columns; text is
+  right-trimmed once here, so no operator repeats ``rtrim``.
 """
 
 from __future__ import annotations
@@ -18,16 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcost.sources import star
-from shelfcost.sources.schemas import PADDED_COLUMNS, SOURCE_COLUMNS
+from pyspark.sql.types import StringType
+
+from shelfcost.sources.schemas import SOURCE_COLUMNS
 
 
 def normalise(name: str, df: DataFrame) -> DataFrame:
-    """Typed select of the used columns; rtrim of fixed-width text."""
-    padded = set(PADDED_COLUMNS.get(name, ()))
+    """Typed select of the used columns; text right-trimmed.
+
+    The source system compares text ignoring trailing blanks (fixed-width
+    columns are stored blank-padded), so every text column is trimmed once
+    here and operators compare plain values. Date and number columns are
+    untouched, so the run windows still reach the parquet scans.
+    """
     cols = []
     for col, typ in SOURCE_COLUMNS[name]:
         c = F.col(col).cast(typ)
-        if col in padded:
+        if isinstance(typ, StringType):
             c = F.rtrim(c)
         cols.append(c.alias(col))
     return df.select(*cols)

@@ -1,9 +1,9 @@
 """Schemas of the source tables (as used) and of the two owned tables.
 
 Source tables are read with a typed ``select`` of only the columns named here
-(column pruning reaches the parquet scan). Fixed-width text columns are
-right-trimmed once at load so equality behaves as in a blank-padding
-database (``'dist  ' = 'dist'``).
+(column pruning reaches the parquet scan). Text columns are right-trimmed
+once at load so equality behaves as in the source database, which ignores
+trailing blanks (``'dist  ' = 'dist'``).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def _schema(*fields: tuple) -> StructType:
     return StructType([StructField(name, typ, nullable) for name, typ, nullable in fields])
 
 
-# (table -> [(column, type, nullable)]); "padded" columns are rtrimmed at load.
+# table -> [(column, type)]
 SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
     "sales_header": [("LocationID", I), ("BusinessDate", D), ("SalesXactionID", S), ("Status", S),
                      ("XactionType", S)],
@@ -57,19 +57,6 @@ SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
     "item_master": [("ItemCode", S)],
 }
 
-# Fixed-width (char) columns: trailing blanks are not significant.
-PADDED_COLUMNS: dict[str, tuple[str, ...]] = {
-    "locations": ("LocationNo", "DistrictCode"),
-    "product_master": ("ItemCode", "ProductType"),
-    "product_types": ("ProductType", "PTypeClass"),
-    "facilities": ("HPBLocationNo",),
-    "fulfil_detail": ("ItemCode", "LocationNo"),
-    "bookworm": ("LocationNo",),
-    "xfer_header": ("LocationNo", "ToLocationNo"),
-    "xfer_detail": ("DipsItemCode",),
-    "item_master": ("ItemCode",),
-}
-
 # --- owned tables ---------------------------------------------------------------
 
 CATEGORY_DIM = _schema(
