@@ -89,6 +89,6 @@ def _finish(src: Sources, lines: DataFrame, location: str, xfr_ty) -> DataFrame:
     )
 
 
-def xfers_tidy(src: Sources, window: Window) -> DataFrame:
+def xfers_tidy(src: Sources, window: Window, out_window_on: str = "header") -> DataFrame:
     """K3: bag union of the two transfer branches."""
-    return xfers_out(src, window).unionByName(xfers_in(src, window))
+    return xfers_out(src, window, out_window_on).unionByName(xfers_in(src, window))

@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", help="output path (category table, report parquet)")
     ap.add_argument("--month", help="roll up only this month (any day in it)")
     ap.add_argument("--as-of", help="run date; defaults to today")
+    ap.add_argument("--out-window-on", choices=["header", "event_time"], default="header",
+                    help="outbound transfers: window on header time (default) or on line event time")
     ap.add_argument("--type", default="All Locations")
     ap.add_argument("--location")
     ap.add_argument("--start")
@@ -52,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "category":
         run_category_load(src, args.out)
     elif args.job == "rollup":
-        run_rollup(src, args.target, _date(args.month), as_of)
+        run_rollup(src, args.target, _date(args.month), as_of, args.out_window_on)
     elif args.job == "v1":
         # the v1 script's window: start inclusive, end exclusive
         window = Window(_date(args.start), _date(args.end))

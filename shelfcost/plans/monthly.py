@@ -39,9 +39,12 @@ class RollupRun:
     rollup: DataFrame
 
 
-def build_rollup(src: Sources, window: Window, materialise_wide: bool = True) -> RollupRun:
+def build_rollup(src: Sources, window: Window, materialise_wide: bool = True,
+                 out_window_on: str = "header") -> RollupRun:
+    """Plan one run. ``out_window_on="event_time"`` is the opt-in that windows
+    outbound transfers on line time (no months past the window)."""
     st = sales.sales_tidy(src, window)
-    xt = transfers.xfers_tidy(src, window)
+    xt = transfers.xfers_tidy(src, window, out_window_on)
     wide = rollup.combine_wide(pivot_measures(st, SALES_MEASURES), pivot_measures(xt, XFER_MEASURES))
     if materialise_wide:
         wide = materialise(wide)
@@ -55,9 +58,9 @@ def run_category_load(src: Sources, path: str) -> None:
 
 
 def run_rollup(src: Sources, target_path: str, first_day: dt.date | None = None,
-               as_of: dt.date | None = None) -> RollupRun:
+               as_of: dt.date | None = None, out_window_on: str = "header") -> RollupRun:
     """Entry point B: roll up one month (or the default window) and replace its keys."""
     window = resolve_window(first_day, as_of or dt.date.today())
-    run = build_rollup(src, window)
+    run = build_rollup(src, window, out_window_on=out_window_on)
     writer.replace_by_key(src.spark, target_path, run.rollup, run.grid)
     return run

@@ -101,3 +101,12 @@ def test_tidy_counts_match_fixture_notes(star_src):
     assert sales.sales_tidy(star_src, w).count() == 1168
     assert transfers.xfers_tidy(star_src, w).count() == 543
     assert pivot_measures(sales.sales_tidy(star_src, w), SALES_MEASURES).count() == 584
+
+
+def test_event_time_option_keeps_months_in_window(star_src):
+    w = registry.WINDOW
+    run = build_rollup(star_src, w, out_window_on="event_time")
+    months = {r.BusinessMonth for r in run.grid.select("BusinessMonth").distinct().collect()}
+    assert months and all(w.start <= m < w.end for m in months)
+    default = {r.BusinessMonth for r in build_rollup(star_src, w).grid.select("BusinessMonth").distinct().collect()}
+    assert months <= default
