@@ -49,8 +49,14 @@ def category_dim(src: Sources) -> DataFrame:
 
 
 def category_dim_b(src: Sources) -> DataFrame:
-    """Category dimension, broadcast when bounded (memoised per source set)."""
-    return src.memo("dim:category", lambda: bounded_broadcast(category_dim(src)))
+    """Category dimension, broadcast when bounded (memoised per source set).
+
+    Reads the persisted table written by the category load when the source
+    set names one (the monthly flow: load categories, then roll up), else
+    derives it from the product types.
+    """
+    table = src.category_dim if src.has("category_dim") else category_dim(src)
+    return src.memo("dim:category", lambda: bounded_broadcast(table))
 
 
 def locations_b(src: Sources) -> DataFrame:

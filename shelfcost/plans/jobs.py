@@ -20,9 +20,10 @@ import json
 
 from pyspark.sql import SparkSession
 
-from shelfcost.functions.dates import Window, report_default_dates
-from shelfcost.operators import legacy, report, writer
+from shelfcost.functions.dates import Window
+from shelfcost.operators import legacy
 from shelfcost.plans.monthly import run_category_load, run_rollup
+from shelfcost.plans.report import run_report
 from shelfcost.sources.catalog import from_tables
 
 
@@ -60,10 +61,7 @@ def main(argv: list[str] | None = None) -> None:
         window = Window(_date(args.start), _date(args.end))
         legacy.v1_report(src, window).write.mode("overwrite").parquet(args.out)
     else:
-        start, end = report_default_dates(as_of)
-        rows = report.report(writer.read_rollup(spark, args.target),
-                             report.select_locations(src, args.type, args.location),
-                             _date(args.start) or start, _date(args.end) or end)
+        rows = run_report(src, args.target, args.type, args.location, _date(args.start), _date(args.end), as_of)
         rows.write.mode("overwrite").parquet(args.out)
 
 

@@ -66,6 +66,9 @@ class Sources:
     def names(self) -> list[str]:
         return sorted(self._builders)
 
+    def has(self, name: str) -> bool:
+        return name in self._builders
+
     def memo(self, key: str, build: Callable[[], object]):
         """Memoise a derived object (dimension, bounded-size check) per source set."""
         if key not in self._cache:

@@ -55,8 +55,14 @@ SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
     "xfer_detail": [("TransferBinNo", L), ("DipsItemCode", S), ("Quantity", I), ("DipsCost", MONEY),
                     ("StatusCode", I), ("CreateTime", D), ("UpdateTime", D)],
     "item_master": [("ItemCode", S)],
+    # optional: the persisted output of the category load (derived from product_types when absent)
+    "category_dim": [("ProductType", S), ("PTypeCategory", S), ("PTypeClass", S)],
 }
 
+# Sources a deployment may omit; each has a derivation from the required ones.
+OPTIONAL_SOURCES = ("category_dim",)
+REQUIRED_SOURCES = tuple(n for n in SOURCE_COLUMNS if n not in OPTIONAL_SOURCES)
+
 # --- owned tables ---------------------------------------------------------------
 
 CATEGORY_DIM = _schema(

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql.types import StructField, StructType
 
 from shelfcost.sources.catalog import from_frames
-from shelfcost.sources.schemas import SOURCE_COLUMNS
+from shelfcost.sources.schemas import OPTIONAL_SOURCES, SOURCE_COLUMNS
 
 D = dt.date
 
@@ -56,6 +56,8 @@ def make_sources(spark, base: bool = True, **tables):
     data.update(tables)
     frames = {}
     for name, cols in SOURCE_COLUMNS.items():
+        if name in OPTIONAL_SOURCES and name not in data:
+            continue
         schema = StructType([StructField(c, t, True) for c, t in cols])
         rows = [tuple(r.get(c) for c, _ in cols) for r in data.get(name, [])]
         frames[name] = spark.createDataFrame(rows, schema)

@@ -247,3 +247,12 @@ def test_bounded_broadcast_falls_back(spark):
     hinted = dims.bounded_broadcast(small, 10)
     assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     assert dims.bounded_broadcast(big, 10) is big
+
+
+def test_persisted_category_table_is_used_when_configured(spark):
+    """The rollup reads the category table written by the category load, when one is named."""
+    cats = [{"ProductType": "HB", "PTypeCategory": "frln  ", "PTypeClass": "NEW"}]  # padded, as stored
+    src = make_sources(spark, category_dim=cats,
+                       sales_header=[_header(1, D(2001, 5, 2), "A")],
+                       sales_item=[_line(1, D(2001, 5, 2), "A", 1, item(1), 1, 9)])
+    assert _rows(sales.sales_register(src, MAY), "PrCat") == [("frln",)]

@@ -9,14 +9,14 @@ import tempfile
 
 from shelfcost.operators import writer
 from shelfcost.plans import jobs, registry
-from shelfcost.sources.schemas import SOURCE_COLUMNS
+from shelfcost.sources.schemas import REQUIRED_SOURCES
 from tests.conftest import SF_SMALL
 
 
 def test_category_rollup_report_jobs(spark, star_src):
     root = tempfile.mkdtemp(prefix="shelfcost-jobs-")
     paths = {}
-    for name in SOURCE_COLUMNS:  # materialise every source as its own parquet table
+    for name in REQUIRED_SOURCES:  # materialise every source as its own parquet table
         paths[name] = os.path.join(root, "src", name)
         star_src.table(name).write.parquet(paths[name])
     cfg = os.path.join(root, "sources.json")
@@ -26,6 +26,10 @@ def test_category_rollup_report_jobs(spark, star_src):
 
     jobs.main(["category", "--sources", cfg, "--out", os.path.join(root, "category")])
     assert spark.read.parquet(os.path.join(root, "category")).count() == 20
+    # the monthly flow: later jobs read the persisted category table
+    paths["category_dim"] = os.path.join(root, "category")
+    with open(cfg, "w") as fh:
+        json.dump(paths, fh)
 
     jobs.main(["rollup", "--sources", cfg, "--target", target, "--as-of", registry.AS_OF.isoformat()])
     expected = registry.QUERIES["rollup"](spark, SF_SMALL)
@@ -51,7 +55,7 @@ def test_category_rollup_report_jobs(spark, star_src):
 def test_v1_job(spark, star_src):
     root = tempfile.mkdtemp(prefix="shelfcost-v1-")
     paths = {}
-    for name in SOURCE_COLUMNS:
+    for name in REQUIRED_SOURCES:
         paths[name] = os.path.join(root, "src", name)
         star_src.table(name).write.parquet(paths[name])
     cfg = os.path.join(root, "sources.json")
