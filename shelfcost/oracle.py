@@ -350,7 +350,7 @@ def _v1_stages(w) -> dict[str, str]:
                        and {_in_window(date_col, w)})
         select {_month('ord.' + date_col)} as BusinessMonth,
                coalesce(line.LocationNo, fac.HPBLocationNo) as LocationNo, {sld} as SldTy,
-               {amounts(sales_cat.replace('p.', 'p.'), q, c, v, f)}
+               {amounts(sales_cat, q, c, v, f)}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
         left join v_fulfil_header head on head.ISISOrderID = ord.ISIS_OrderID and head.OrderSystem = 'MON'

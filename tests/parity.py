@@ -37,7 +37,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     if isinstance(v, decimal.Decimal):
-        return ("dec", format(v.normalize(), "f") if v == v.to_integral_value() or True else str(v))
+        return ("dec", format(v.normalize(), "f"))  # scale is compared through the column types
     if isinstance(v, bool):
         return ("bool", v)
     if isinstance(v, int):
