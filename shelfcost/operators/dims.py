@@ -77,9 +77,12 @@ def products_categorised(src: Sources, new_goods_only: bool) -> DataFrame:
     ``new_goods_only`` applies the register/Bookworm/transfer filter: class
     NEW and not a gift card. Online branches take every category.
     """
-    cat = category_dim_b(src)
-    if new_goods_only:
-        cat = cat.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PTypeCategory") != fixed.CAT_GC))
-    return src.product_master.join(cat.select("ProductType", "PTypeCategory"), "ProductType").select(
-        "ItemCode", F.col("PTypeCategory").alias("PrCat"), "Cost"
-    )
+    def build() -> DataFrame:
+        cat = category_dim_b(src)
+        if new_goods_only:
+            cat = cat.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PTypeCategory") != fixed.CAT_GC))
+        return src.product_master.join(cat.select("ProductType", "PTypeCategory"), "ProductType").select(
+            "ItemCode", F.col("PTypeCategory").alias("PrCat"), "Cost"
+        )
+
+    return src.memo(f"dim:products:{new_goods_only}", build)
