@@ -67,6 +67,28 @@ def band_of() -> dict[str, str]:
     return out
 
 
+def report_title(report_name: str, location_type: str, location: str | None,
+                 start: dt.date, end: dt.date) -> str:
+    """Title line of the report (a driver-side string of the parameters, no data).
+
+    ``<name> - <selection> - <Month YYYY>[ to <Month YYYY>]``; the range part
+    collapses to one month when start and end fall in the same month, and an
+    unknown location type leaves the selection empty.
+    """
+    if location_type == fixed.LOC_ALL:
+        selection = fixed.LOC_ALL
+    elif location_type == fixed.LOC_STORE:
+        selection = f"{fixed.LOC_STORE} {location}"
+    elif location_type in (fixed.LOC_DISTRICT, fixed.LOC_REGION):
+        selection = f"{location} {location_type}"
+    else:
+        selection = ""
+    months = f"{start:%B} {start.year}"
+    if (start.year, start.month) != (end.year, end.month):
+        months += f" to {end:%B} {end.year}"
+    return f"{report_name} - {selection} - {months}"
+
+
 # --- location selection (R1-R5) ---------------------------------------------------------
 
 def _active_stores(src: Sources) -> DataFrame:
