@@ -76,8 +76,16 @@ class Sources:
         return self._cache[key]
 
 
+# Star readers per (session, directory): the test tables are immutable, so their
+# file listing and schema are read once per session, like registering views.
+_STAR_READERS: dict[tuple[int, str], star.StarTables] = {}
+
+
 def from_star(spark: SparkSession, root: str) -> Sources:
-    tables = star.StarTables(spark, root)
+    key = (id(spark), root.rstrip("/"))
+    tables = _STAR_READERS.get(key)
+    if tables is None or tables.spark is not spark:
+        tables = _STAR_READERS[key] = star.StarTables(spark, root)
     return Sources(spark, {name: (lambda fn=fn: fn(tables)) for name, fn in star.BUILDERS.items()})
 
 
