@@ -90,14 +90,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     the bench -- gets a fresh scratch folder; on a cluster a missing setting is
     an error, never a machine-local folder.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    if sc is not None:
+        path = path or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
     if not path:
-        path = sc.getCheckpointDir()
-    if not path:
-        if not sc.master.startswith("local"):
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="shelfcost-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
