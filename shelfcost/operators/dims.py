@@ -1,16 +1,25 @@
 """Dimensions: product categories, product lookups, stores.
 
 Broadcast policy: a side is broadcast only after a bounded check proves its
-size (``limit(bound + 1).count()`` reads at most ``bound + 1`` rows). Beyond
-the bound the join is left to the planner -- sort-merge, or a broadcast that
-AQE picks at run time from real shuffle sizes. The category dimension (one
-row per product type), the store list and the facility list are the
-broadcast candidates; the product master is *not* (it grows with the
-catalogue) and is joined after pre-aggregation instead.
+size (``limit(bound + 1).count()`` reads at most ``bound + 1`` rows; the
+bound is the session setting ``shelfcost.broadcast.maxRows``, default
+200 000). Beyond the bound the join is left to the planner -- sort-merge, or
+a broadcast AQE picks at run time from measured sizes.
+
+The categorised product dimension is the one lookup that grows with the
+business (the catalogue). :func:`join_products` therefore has two plans:
+within the bound it is broadcast and every line is priced map-side (nothing
+is shuffled by item, so no item can be hot); beyond it, lines are first
+pre-aggregated per (keys, item) -- map-side partial aggregation collapses a
+hot item to a few rows per task -- and only then shuffle-joined. Every branch
+measure is a sum and product columns are constant per item, so both plans
+give the same result.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,24 +27,55 @@ from shelfcost import fixed
 from shelfcost.functions.classify import category
 from shelfcost.sources.catalog import Sources
 
-# Row bounds under which a dimension is broadcast.
+# Default row bound under which a dimension is broadcast (session setting below overrides).
 MAX_BROADCAST_ROWS = 200_000
+CONF_MAX_ROWS = "shelfcost.broadcast.maxRows"
+
+
+def broadcast_bound(spark) -> int:
+    return int(spark.conf.get(CONF_MAX_ROWS, str(MAX_BROADCAST_ROWS)))
+
 
+@dataclass(frozen=True)
+class Dim:
+    """A dimension after its size check: the DataFrame to join, and whether it is broadcast."""
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``.
+    df: DataFrame
+    broadcast: bool
+
+
+def checked(df: DataFrame, max_rows: int | None = None) -> Dim:
+    """Size-check ``df``: broadcast (cached) if it has at most the bound's rows, else as is.
 
     The checked side is cached while it is counted, so the join that follows
     reads the rows the check computed instead of deriving them again; a side
-    over the bound is released and joined without a hint (sort-merge, or a
-    broadcast AQE chooses from measured sizes).
+    over the bound is released and joined without a hint.
     """
+    bound = broadcast_bound(df.sparkSession) if max_rows is None else max_rows
     cached = df.persist()
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
+    n = cached.limit(bound + 1).count()
+    if n <= bound:
+        return Dim(F.broadcast(cached), True)
     cached.unpersist()
-    return df
+    return Dim(df, False)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if it provably has at most the bound's rows, else ``df``."""
+    return checked(df, max_rows).df
+
+
+def join_products(lines: DataFrame, keys: list[str], sums: list[str], products: Dim) -> DataFrame:
+    """Attach product columns to lines measured by the additive columns ``sums``.
+
+    ``lines`` carries ``keys``, ``ItemCode`` and ``sums``; the result carries
+    the same plus the product columns, at line level when the products are
+    broadcast, else pre-aggregated per (keys, item).
+    """
+    lines = lines.select(*keys, "ItemCode", *sums)
+    if not products.broadcast:
+        lines = lines.groupBy(*keys, "ItemCode").agg(*[F.sum(c).alias(c) for c in sums])
+    return lines.join(products.df, "ItemCode")
 
 
 def category_dim(src: Sources) -> DataFrame:
@@ -77,12 +117,14 @@ def products_categorised(src: Sources, new_goods_only: bool) -> DataFrame:
     ``new_goods_only`` applies the register/Bookworm/transfer filter: class
     NEW and not a gift card. Online branches take every category.
     """
-    def build() -> DataFrame:
-        cat = category_dim_b(src)
-        if new_goods_only:
-            cat = cat.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PTypeCategory") != fixed.CAT_GC))
-        return src.product_master.join(cat.select("ProductType", "PTypeCategory"), "ProductType").select(
-            "ItemCode", F.col("PTypeCategory").alias("PrCat"), "Cost"
-        )
-
-    return src.memo(f"dim:products:{new_goods_only}", build)
+    cat = category_dim_b(src)
+    if new_goods_only:
+        cat = cat.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PTypeCategory") != fixed.CAT_GC))
+    return src.product_master.join(cat.select("ProductType", "PTypeCategory"), "ProductType").select(
+        "ItemCode", F.col("PTypeCategory").alias("PrCat"), "Cost"
+    )
+
+
+def products_dim(src: Sources, new_goods_only: bool) -> Dim:
+    """The categorised products, size-checked once per source set."""
+    return src.memo(f"dim:products:{new_goods_only}", lambda: checked(products_categorised(src, new_goods_only)))

@@ -29,7 +29,7 @@ from shelfcost.functions.columns import (
     rightmost,
 )
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import facilities_b, locations_b, product_types_b
+from shelfcost.operators.dims import Dim, checked, facilities_b, join_products, locations_b, product_types_b
 from shelfcost.operators.pivot import SALES_MEASURES, V1_XFER_MEASURES, pivot_measures
 from shelfcost.operators.rollup import combine_wide, grid_locations, grid_months, key_grid
 from shelfcost.operators.sales import TIDY_COLUMNS, _signed, _tidy, bookworm_lines, register_lines
@@ -44,6 +44,24 @@ def v1_products(src: Sources, classify=v1_sales_category) -> DataFrame:
     return products.join(types, "ProductType").select("ItemCode", classify(F.col("ProductType")).alias("PrCat"), "Cost")
 
 
+def _v1_dim(src: Sources, kind: str) -> Dim:
+    """Size-checked v1 product dimensions, once per source set.
+
+    ``sales`` / ``xfer``: filtered products with the sales / transfer category;
+    ``all``: every product, sales category; ``all_im``: ``all`` restricted to
+    the item master (an inner join: duplicates would multiply, as in v1).
+    """
+    def build() -> DataFrame:
+        if kind == "sales":
+            return v1_products(src, v1_sales_category)
+        if kind == "xfer":
+            return v1_products(src, v1_transfer_category)
+        every = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+        return every.join(src.item_master, "ItemCode") if kind == "all_im" else every
+
+    return src.memo(f"dim:v1products:{kind}", lambda: checked(build()))
+
+
 def v1_sales_classify(src: Sources) -> DataFrame:
     """P2 over the whole product master."""
     return src.product_master.select("ItemCode", "ProductType", v1_sales_category(F.col("ProductType")).alias("PrCat"))
@@ -56,34 +74,29 @@ def v1_xfers_classify(src: Sources) -> DataFrame:
     )
 
 
-def v1_sales_register(src: Sources, window: Window) -> DataFrame:
-    pre = (
-        _signed(register_lines(src, window))
-        .groupBy(month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode")
-        .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
+def _register_measured(lines: DataFrame, store: str, item: str) -> DataFrame:
+    return _signed(lines).select(
+        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), F.col(store).alias(store.replace("Bookworm", "")),
+        F.col(item).alias("ItemCode"), F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
-    lines = pre.join(v1_products(src), "ItemCode").join(locations_b(src).select("LocationID", "LocationNo"),
-                                                        "LocationID")
-    return _tidy(lines, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+
+
+def v1_sales_register(src: Sources, window: Window) -> DataFrame:
+    lines = _register_measured(register_lines(src, window), "LocationID", "ItemCode")
+    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], _v1_dim(src, "sales"))
+    priced = priced.join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
+    return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
-    pre = (
-        _signed(bookworm_lines(src, window))
-        .groupBy(
-            month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
-            F.col("BookwormLocationNo").alias("LocationNo"),
-            F.col("BookwormItemCode").alias("ItemCode"),
-        )
-        .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
-    )
-    lines = pre.join(v1_products(src), "ItemCode")
-    return _tidy(lines, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+    lines = _register_measured(bookworm_lines(src, window), "BookwormLocationNo", "BookwormItemCode")
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], _v1_dim(src, "sales"))
+    return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def _v1_istore(src: Sources, window: Window, date_col: str, extra: Column, sld_ty: int, measures) -> DataFrame:
     """iStore orders LEFT-joined to fulfilment with the filters inside the ON
-    clause; pre-aggregated per (month, store, item) before the product join."""
+    clause, then priced through the adaptive product join."""
     orders = src.istore_orders.where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
         & window.contains(F.col(date_col))
@@ -98,20 +111,20 @@ def _v1_istore(src: Sources, window: Window, date_col: str, extra: Column, sld_t
         & (F.col("ProblemStatusID").isNull() | (F.col("ProblemStatusID") == 0))
     ).select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
     q, v, f = measures()
-    pre = (
+    lines = (
         orders.join(facilities_b(src), "FacilityID")
         .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
         .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"), "left")
-        .groupBy(
+        .select(
             month_bucket(F.col(date_col)).alias("BusinessMonth"),
             location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
             rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
+            F.lit(1).cast("bigint").alias("n"), q.alias("q"), v.alias("v"), f.alias("f"),
         )
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(q).alias("q"), F.sum(v).alias("v"), F.sum(f).alias("f"))
     )
-    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["n", "q", "v", "f"], _v1_dim(src, "all"))
     cost = F.col("n") * F.col("Cost") if sld_ty == fixed.SLD_ISTORE_SHIPPED else F.lit(0)
-    return _tidy(pre.join(products, "ItemCode"), sld_ty, F.col("q"), cost, F.col("v"), F.col("f"))
+    return _tidy(priced, sld_ty, F.col("q"), cost, F.col("v"), F.col("f"))
 
 
 def v1_istore_shipped(src: Sources, window: Window) -> DataFrame:
@@ -125,7 +138,7 @@ def v1_istore_refunds(src: Sources, window: Window) -> DataFrame:
 
 
 def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_item_master: bool) -> DataFrame:
-    """Web orders at the facility's store, pre-aggregated per (month, store, item) before the product join."""
+    """Web orders at the facility's store, priced through the adaptive product join."""
     orders = src.web_orders.where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
@@ -135,22 +148,15 @@ def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_ite
         & (F.col("Quantity") > 0)
         & extra
     )
-    pre = (
-        orders.join(facilities_b(src), "FacilityID")
-        .groupBy(
-            month_bucket(F.col(date_col)).alias("BusinessMonth"),
-            F.col("HPBLocationNo").alias("LocationNo"),
-            rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.sum("Quantity").alias("q"), F.sum("ExtendedAmount").alias("v"),
-            F.sum("ShippingAmount").alias("f"), F.sum("ItemRefundAmount").alias("r"),
-        )
+    lines = orders.join(facilities_b(src), "FacilityID").select(
+        month_bucket(F.col(date_col)).alias("BusinessMonth"),
+        F.col("HPBLocationNo").alias("LocationNo"),
+        rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
+        F.lit(1).cast("bigint").alias("n"), F.col("Quantity").alias("q"), F.col("ExtendedAmount").alias("v"),
+        F.col("ShippingAmount").alias("f"), F.col("ItemRefundAmount").alias("r"),
     )
-    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
-    if with_item_master:
-        products = products.join(src.item_master, "ItemCode")
-    return pre.join(products, "ItemCode")
+    dim = _v1_dim(src, "all_im" if with_item_master else "all")
+    return join_products(lines, ["BusinessMonth", "LocationNo"], ["n", "q", "v", "f", "r"], dim)
 
 
 def v1_web_shipped(src: Sources, window: Window) -> DataFrame:
@@ -184,15 +190,17 @@ def _v1_xfers(src: Sources, window: Window, types: tuple[int, ...], location: st
     bin_lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
         "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost"
     )
-    pre = bins.join(bin_lines, "TransferBinNo").groupBy(
+    lines = bins.join(bin_lines, "TransferBinNo").select(
         month_bucket(F.col("HeaderTime")).alias("BusinessMonth"),
         F.col(location).alias("LocationNo"),
         (F.col("TransferType") * F.lit(sign)).alias("XfrTy"),
         F.col("DipsItemCode").alias("ItemCode"),
-    ).agg(F.sum("Quantity").alias("q"), F.sum("DipsCost").alias("c"))
+        F.col("Quantity").alias("q"),
+        F.col("DipsCost").alias("c"),
+    )
+    priced = join_products(lines, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], _v1_dim(src, "xfer"))
     return (
-        pre.join(v1_products(src, v1_transfer_category), "ItemCode")
-        .groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
+        priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
         .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
         .select(*XFER_COLUMNS)
     )

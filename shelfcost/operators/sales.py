@@ -8,12 +8,14 @@ Plan shape (what would hold at 100 TB):
 
 * Date windows are half-open comparisons on raw date columns, pushed to the
   parquet scans of both join sides.
-* Every branch pre-aggregates its lines to (month, store, [type,] item)
-  *before* the product join. The product master grows with the catalogue and
-  a single item (the Bookworm placeholder, a best seller) may carry a third
-  of all lines; after pre-aggregation an item has at most months x stores
-  rows, so no task receives a hot key and the product join sees a fraction
-  of the rows. Cost is exact: ``sum(q * cost) = cost * sum(q)`` in decimal.
+* The product join (:func:`shelfcost.operators.dims.join_products`) is
+  adaptive: a size-checked product dimension is broadcast and lines are
+  priced map-side; a catalogue over the bound is joined after the lines are
+  pre-aggregated to (month, store, [type,] item). A single item (the Bookworm
+  placeholder, a best seller) may carry a third of all lines: with broadcast
+  nothing is shuffled by item, and after pre-aggregation an item has at most
+  months x stores rows per task. Cost is exact either way:
+  ``sum(q * cost) = cost * sum(q)`` in decimal.
 * Small dimensions (categories, stores, facilities) are broadcast only after
   a bounded size check (:mod:`shelfcost.operators.dims`).
 * Online orders join fulfilment header and detail at *order* level; the
@@ -41,7 +43,7 @@ from shelfcost.functions.columns import (
     return_sign,
 )
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import facilities_b, locations_b, products_categorised
+from shelfcost.operators.dims import facilities_b, join_products, locations_b, products_dim
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "SldTy", "PrCat", "Qty", "Cost", "Val", "Fee")
@@ -87,16 +89,13 @@ def _signed(df: DataFrame) -> DataFrame:
 
 def sales_register(src: Sources, window: Window) -> DataFrame:
     """A1: register sales of new goods (no gift cards), per store's LocationNo."""
-    pre = (
-        _signed(register_lines(src, window))
-        .groupBy(month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode")
-        .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
+    lines = _signed(register_lines(src, window)).select(
+        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode",
+        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
-    lines = (
-        pre.join(products_categorised(src, new_goods_only=True), "ItemCode")
-        .join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
-    )
-    return _tidy(lines, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], products_dim(src, True))
+    priced = priced.join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
+    return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def bookworm_keyed(src: Sources) -> DataFrame:
@@ -133,17 +132,13 @@ def bookworm_lines(src: Sources, window: Window) -> DataFrame:
 
 def sales_bookworm(src: Sources, window: Window) -> DataFrame:
     """Bookworm sales, valued by the ordered item, at the Bookworm store."""
-    pre = (
-        _signed(bookworm_lines(src, window))
-        .groupBy(
-            month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
-            F.col("BookwormLocationNo").alias("LocationNo"),
-            F.col("BookwormItemCode").alias("ItemCode"),
-        )
-        .agg(F.sum("SignedQty").alias("q"), F.sum("ExtendedAmt").alias("v"))
+    lines = _signed(bookworm_lines(src, window)).select(
+        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
+        F.col("BookwormLocationNo").alias("LocationNo"), F.col("BookwormItemCode").alias("ItemCode"),
+        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
-    lines = pre.join(products_categorised(src, new_goods_only=True), "ItemCode")
-    return _tidy(lines, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], products_dim(src, True))
+    return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 # --- online channels ----------------------------------------------------------------
@@ -210,10 +205,10 @@ def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
 
 
 def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
-    """One tagged row per (joined line, branch); pre-aggregate per item; product join; final aggregate.
+    """One tagged row per (joined line, branch); product join; final aggregate.
 
-    Cost is the product cost once per joined line (not x quantity), so the
-    pre-aggregate counts lines (``n``) and the product join multiplies.
+    Cost is the product cost once per joined line (not x quantity): each line
+    carries ``n = 1`` (0 for refunds), which the product join multiplies.
     """
     tags = []
     for k in kinds:
@@ -228,13 +223,13 @@ def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[On
         location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
         F.col("ItemCode"),
         F.explode(F.array(*tags)).alias("t"),
-    ).where(F.col("t").isNotNull())
-    pre = tagged.groupBy(F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo",
-                         F.col("t.SldTy").alias("SldTy"), "ItemCode").agg(
-        F.sum("t.q").alias("q"), F.sum("t.n").alias("n"), F.sum("t.v").alias("v"), F.sum("t.f").alias("f"),
+    ).where(F.col("t").isNotNull()).select(
+        F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo", F.col("t.SldTy").alias("SldTy"), "ItemCode",
+        F.col("t.q").alias("q"), F.col("t.n").alias("n"), F.col("t.v").alias("v"), F.col("t.f").alias("f"),
     )
-    return pre.join(products_categorised(src, new_goods_only=False), "ItemCode").groupBy(
-        "BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
+    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "SldTy"], ["q", "n", "v", "f"],
+                           products_dim(src, False))
+    return priced.groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
         qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
         money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
     ).select(*TIDY_COLUMNS)

@@ -11,8 +11,10 @@ Rules reproduced on purpose:
 * IN has no type filter: inbound trash/donate/damage rows add keys but match
   no measure.
 
-Both branches pre-aggregate to (month, store, type, item) before the product
-join, so a hot item never concentrates in one task.
+The product join is adaptive (:func:`shelfcost.operators.dims.join_products`):
+broadcast when the product dimension is within the size bound, else after
+pre-aggregating to (month, store, type, item), so a hot item never
+concentrates in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from shelfcost import fixed
 from shelfcost.functions.columns import event_time, money, qty
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import products_categorised
+from shelfcost.operators.dims import join_products, products_dim
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "XfrTy", "PrCat", "Qty", "Cost")
@@ -75,15 +77,18 @@ def xfers_in(src: Sources, window: Window) -> DataFrame:
 
 
 def _finish(src: Sources, lines: DataFrame, location: str, xfr_ty) -> DataFrame:
-    pre = lines.groupBy(
+    """Measure lines, attach the product category (new goods only), aggregate."""
+    measured = lines.select(
         month_bucket(F.col("EventTime")).alias("BusinessMonth"),
         F.col(location).alias("LocationNo"),
         xfr_ty.alias("XfrTy"),
         F.col("DipsItemCode").alias("ItemCode"),
-    ).agg(F.sum("Quantity").alias("q"), F.sum(F.col("Quantity") * F.col("DipsCost")).alias("c"))
+        F.col("Quantity").alias("q"),
+        (F.col("Quantity") * F.col("DipsCost")).alias("c"),
+    )
+    priced = join_products(measured, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], products_dim(src, True))
     return (
-        pre.join(products_categorised(src, new_goods_only=True), "ItemCode")
-        .groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
+        priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
         .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
         .select(*TIDY_COLUMNS)
     )

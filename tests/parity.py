@@ -4,7 +4,7 @@ Mirrors the driver's gate: same column names, same row count, same
 order-insensitive multiset of values (columns compared in name order), and
 compatible column types. Usable from pytest and as a script::
 
-    python tests/parity.py /root/testdata/sf0.01 [name ...]
+    python tests/parity.py /root/testdata/sf0.01 [name ...] [conf.key=value ...]
 """
 
 from __future__ import annotations
@@ -117,9 +117,11 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from shelfcost.session import build_session
 
+    conf = dict(a.split("=", 1) for a in argv if "=" in a)   # e.g. shelfcost.broadcast.maxRows=0
+    argv = [a for a in argv if "=" not in a]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session()
+    spark = build_session(extra=conf)
     queries, statements = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0

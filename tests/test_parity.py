@@ -38,3 +38,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["BusinessMonth", "LocationNo"] and len(df.columns) == 41
+
+
+NO_BROADCAST_KEYS = ["sales_register", "sales_tidy", "xfers_tidy", "rollup", "v1_report", "report_region"]
+
+
+@pytest.mark.parametrize("name", NO_BROADCAST_KEYS)
+def test_parity_without_dimension_broadcasts(spark, ctx, name):
+    """The shuffle-join plan (catalogue over the broadcast bound) gives the same answers."""
+    queries, statements, con = ctx
+    spark.conf.set("shelfcost.broadcast.maxRows", "0")
+    try:
+        res = compare(spark, con, name, SF_SMALL, queries, statements)
+    finally:
+        spark.conf.unset("shelfcost.broadcast.maxRows")
+    assert res["ok"], res
