@@ -490,6 +490,7 @@ def _report_stages() -> dict[str, str]:
     for key in ("all", "store", "district", "region", "unknown"):
         s[f"q_report_{key}"] = _report_sql(f"q_loc_{key}", R.REPORT_START, R.REPORT_END)
     s["q_report_date_range"] = _report_sql("q_loc_all", R.RANGE_START, R.RANGE_END)
+    s["q_report_persisted_region"] = _report_sql("q_loc_region", R.RANGE_START, R.RANGE_END)
     fmt = ["strftime(BusinessMonth, '%-m/%-d/%Y') as BusinessMonth", "LocationNo"]
     for name in report.MEASURE_NAMES:
         fmt.append(f"{_currency(name)} as {name}" if report._is_amount(name) else name)
@@ -573,7 +574,7 @@ def _finals() -> dict[str, str]:
     for key in ("all", "store", "district", "region", "unknown"):
         f[f"loc_{key}"] = f"select * from q_loc_{key}"
         f["report_all_locations" if key == "all" else f"report_{key}"] = f"select * from q_report_{key}"
-    for key in ("date_range", "formatted", "long"):
+    for key in ("date_range", "formatted", "long", "persisted_region"):
         f[f"report_{key}"] = f"select * from q_report_{key}"
     first = month_list_start(R.AS_OF)
     f["month_dim"] = f"""

@@ -21,6 +21,7 @@ from shelfcost.functions.dates import report_default_end_col, report_default_sta
 from shelfcost.operators import dims, legacy, quality, report, rollup, sales, transfers, writer
 from shelfcost.operators.pivot import SALES_MEASURES, XFER_MEASURES, pivot_measures
 from shelfcost.plans.monthly import build_rollup
+from shelfcost.plans.report import run_report
 from shelfcost.sources.catalog import Sources, from_star
 
 # --- fixture run parameters ----------------------------------------------------------
@@ -74,6 +75,12 @@ def rollup_scan(spark, d):
     return writer.read_rollup(spark, path)
 
 
+def report_persisted_region(spark, d):
+    """Entry point C as deployed: the report over the written, month-partitioned rollup."""
+    path, src = _written_rollup(spark, d)
+    return run_report(src, path, fixed.LOC_REGION, REGION, RANGE_START, RANGE_END)
+
+
 def rollup_replace_by_key(spark, d):
     path, src = _written_rollup(spark, d)
     one = _run(src, WINDOW_ONE)
@@ -249,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_region": _report(fixed.LOC_REGION, REGION),
     "report_unknown": _report(UNKNOWN_TYPE, REGION),
     "report_date_range": _report(fixed.LOC_ALL, None, RANGE_START, RANGE_END),
+    "report_persisted_region": report_persisted_region,
     "report_formatted": lambda spark, d: report.report_formatted(_report(fixed.LOC_ALL, None)(spark, d)),
     "report_long": lambda spark, d: report.report_long(_report(fixed.LOC_ALL, None)(spark, d)),
     # v1 rule set
