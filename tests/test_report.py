@@ -33,8 +33,8 @@ def test_bands_partition_the_measures():
 
 def test_report_title():
     d = __import__("datetime").date
-    assert report.report_title("New Goods Costs", "All Locations", None, d(2024, 1, 1), d(2024, 1, 31)) == \
-        "New Goods Costs - All Locations - January 2024"
+    assert report.report_title("Cost Report", "All Locations", None, d(2024, 1, 1), d(2024, 1, 31)) == \
+        "Cost Report - All Locations - January 2024"
     assert report.report_title("R", "Store", "00003", d(2023, 11, 1), d(2024, 2, 29)) == \
         "R - Store 00003 - November 2023 to February 2024"
     assert report.report_title("R", "Region", "ASIA", d(2024, 3, 1), d(2024, 3, 31)) == "R - ASIA Region - March 2024"
