@@ -117,7 +117,7 @@ def _v1_istore(src: Sources, window: Window, date_col: str, extra: Column, sld_t
         .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"), "left")
         .select(
             month_bucket(F.col(date_col)).alias("BusinessMonth"),
-            location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
+            location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"),
             rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
             F.lit(1).cast("bigint").alias("n"), q.alias("q"), v.alias("v"), f.alias("f"),
         )
@@ -150,7 +150,7 @@ def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_ite
     )
     lines = orders.join(facilities_b(src), "FacilityID").select(
         month_bucket(F.col(date_col)).alias("BusinessMonth"),
-        F.col("HPBLocationNo").alias("LocationNo"),
+        F.col("FacilityLocationNo").alias("LocationNo"),
         rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
         F.lit(1).cast("bigint").alias("n"), F.col("Quantity").alias("q"), F.col("ExtendedAmount").alias("v"),
         F.col("ShippingAmount").alias("f"), F.col("ItemRefundAmount").alias("r"),

@@ -220,7 +220,7 @@ def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[On
         )
         tags.append(F.when(window.contains(F.col(k.date_col)) & k.condition(), tag))
     tagged = joined.select(
-        location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"),
+        location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"),
         F.col("ItemCode"),
         F.explode(F.array(*tags)).alias("t"),
     ).where(F.col("t").isNotNull()).select(

@@ -64,7 +64,7 @@ VIEWS: dict[str, str] = {
         select concat('D', cast(n_nationkey % 8 as varchar)) as District, r_name as Region
         from nation join region on n_nationkey % 4 = r_regionkey""",
     "v_facilities": f"""
-        select cast(n_nationkey as integer) as FacilityID, {_pad('n_nationkey + 1', 5)} as HPBLocationNo
+        select cast(n_nationkey as integer) as FacilityID, {_pad('n_nationkey + 1', 5)} as FacilityLocationNo
         from nation""",
     "v_product_master": f"""
         select {_pad('p_partkey', 20)} as ItemCode, {_residue_case()} as ProductType,
@@ -215,7 +215,7 @@ def _stages(w, sfx: str) -> dict[str, str]:
                       where Status in (1, 4) and ProblemStatusID is null),
              goods as ({any_goods})
         select {_month('ord.' + date_col)} as BusinessMonth,
-               coalesce(line.LocationNo, fac.HPBLocationNo) as LocationNo, {sld} as SldTy, goods.PrCat,
+               coalesce(line.LocationNo, fac.FacilityLocationNo) as LocationNo, {sld} as SldTy, goods.PrCat,
                {amounts(q, c, v, f)}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
@@ -234,7 +234,7 @@ def _stages(w, sfx: str) -> dict[str, str]:
                       where Status in (1, 4) and ProblemStatusID is null),
              goods as ({any_goods})
         select {_month('ord.' + date_col)} as BusinessMonth,
-               coalesce(line.LocationNo, fac.HPBLocationNo) as LocationNo, {sld} as SldTy, goods.PrCat,
+               coalesce(line.LocationNo, fac.FacilityLocationNo) as LocationNo, {sld} as SldTy, goods.PrCat,
                {amounts(q, c, v, f)}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
@@ -349,7 +349,7 @@ def _v1_stages(w) -> dict[str, str]:
                      where lower(OrderStatus) in ({open_statuses}) and left(SKU, 1) = 'D' and {cond}
                        and {_in_window(date_col, w)})
         select {_month('ord.' + date_col)} as BusinessMonth,
-               coalesce(line.LocationNo, fac.HPBLocationNo) as LocationNo, {sld} as SldTy,
+               coalesce(line.LocationNo, fac.FacilityLocationNo) as LocationNo, {sld} as SldTy,
                {amounts(sales_cat, q, c, v, f)}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
@@ -407,7 +407,7 @@ def _v1_stages(w) -> dict[str, str]:
     s["q_v1_istore_refunds"] = istore("RefundDate", "RefundAmount > 0", -2, "0", "0", "-ord.RefundAmount", "0")
     s["q_v1_web_shipped"] = f"""
         with ord as (select * from v_web_orders where {web_ok} and {_in_window('OrderDate', w)})
-        select {_month('ord.OrderDate')} as BusinessMonth, fac.HPBLocationNo as LocationNo, 3 as SldTy,
+        select {_month('ord.OrderDate')} as BusinessMonth, fac.FacilityLocationNo as LocationNo, 3 as SldTy,
                {amounts(sales_cat, 'ord.Quantity', 'p.Cost', 'ord.ExtendedAmount', 'ord.ShippingAmount')}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
@@ -417,7 +417,7 @@ def _v1_stages(w) -> dict[str, str]:
     s["q_v1_web_refunds"] = f"""
         with ord as (select * from v_web_orders
                      where {web_ok} and ItemRefundAmount > 0 and {_in_window('SiteLastModifiedDate', w)})
-        select {_month('ord.SiteLastModifiedDate')} as BusinessMonth, fac.HPBLocationNo as LocationNo, -3 as SldTy,
+        select {_month('ord.SiteLastModifiedDate')} as BusinessMonth, fac.FacilityLocationNo as LocationNo, -3 as SldTy,
                {amounts(sales_cat, '0', '0', '-ord.ItemRefundAmount', '0')}
         from ord
         join v_facilities fac on fac.FacilityID = ord.FacilityID
@@ -539,8 +539,8 @@ def _finals() -> dict[str, str]:
                Quantity * case when IsReturn = 'Y' then -1 else 1 end as SignedQty
         from v_sales_item"""
     f["location_fallback"] = """
-        select o.ISIS_OrderID, d.LocationNo as FulfilLocationNo, f.HPBLocationNo,
-               coalesce(d.LocationNo, f.HPBLocationNo) as LocationNo
+        select o.ISIS_OrderID, d.LocationNo as FulfilLocationNo, f.FacilityLocationNo,
+               coalesce(d.LocationNo, f.FacilityLocationNo) as LocationNo
         from v_istore_orders o
         join v_facilities f using (FacilityID)
         join v_fulfil_header h on h.ISISOrderID = o.ISIS_OrderID

@@ -157,8 +157,8 @@ def location_fallback_q(spark, d):
         .join(dims.facilities_b(src), "FacilityID")
         .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
         .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"))
-        .select("ISIS_OrderID", "FulfilLocationNo", "HPBLocationNo",
-                location_fallback(F.col("FulfilLocationNo"), F.col("HPBLocationNo")).alias("LocationNo"))
+        .select("ISIS_OrderID", "FulfilLocationNo", "FacilityLocationNo",
+                location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"))
     )
 
 

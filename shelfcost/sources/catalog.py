@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfcost.sources import star
 from pyspark.sql.types import StringType
 
-from shelfcost.sources.schemas import SOURCE_COLUMNS
+from shelfcost.sources.schemas import PHYSICAL_NAMES, SOURCE_COLUMNS
 
 
 def normalise(name: str, df: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     """
     cols = []
     for col, typ in SOURCE_COLUMNS[name]:
-        c = F.col(col).cast(typ)
+        physical = PHYSICAL_NAMES.get((name, col))
+        c = F.col(physical if physical in df.columns else col).cast(typ)
         if isinstance(typ, StringType):
             c = F.rtrim(c)
         cols.append(c.alias(col))

@@ -44,7 +44,7 @@ SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
                    ("SKU", S), ("OrderStatus", S), ("ItemStatus", S), ("ShippingMethod", S), ("Quantity", I),
                    ("ExtendedAmount", MONEY), ("ShippingAmount", MONEY), ("ItemRefundAmount", MONEY),
                    ("OrderDate", D), ("ShipDate", D), ("SiteLastModifiedDate", D)],
-    "facilities": [("FacilityID", I), ("HPBLocationNo", S)],
+    "facilities": [("FacilityID", I), ("FacilityLocationNo", S)],
     "fulfil_header": [("OrderID", L), ("ISISOrderID", L), ("OrderSystem", S), ("MarketOrderID", S)],
     "fulfil_detail": [("OrderID", L), ("ItemCode", S), ("LocationNo", S), ("Status", I),
                       ("ProblemStatusID", I), ("MarketOrderItemID", S)],
@@ -59,6 +59,11 @@ SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
     "category_dim": [("ProductType", S), ("PTypeCategory", S), ("PTypeClass", S)],
 }
 
+# --- fixed values: physical column names ---------------------------------------
+# Columns whose name in the source system differs from the name used here:
+# (table, column used here) -> column name in the source table.
+PHYSICAL_NAMES = {("facilities", "FacilityLocationNo"): "HPBLocationNo"}
+
 # Sources a deployment may omit; each has a derivation from the required ones.
 OPTIONAL_SOURCES = ("category_dim",)
 REQUIRED_SOURCES = tuple(n for n in SOURCE_COLUMNS if n not in OPTIONAL_SOURCES)

@@ -89,7 +89,7 @@ def report_locations(t: StarTables) -> DataFrame:
 
 def facilities(t: StarTables) -> DataFrame:
     k = F.col("n_nationkey")
-    return t.read("nation").select(k.cast("int").alias("FacilityID"), pad(k + 1, 5).alias("HPBLocationNo"))
+    return t.read("nation").select(k.cast("int").alias("FacilityID"), pad(k + 1, 5).alias("FacilityLocationNo"))
 
 
 def product_master(t: StarTables) -> DataFrame:

@@ -31,7 +31,7 @@ BASE = {
          "DistrictCode": "D2  "},
     ],
     "report_locations": [{"District": "D1", "Region": "NORTH"}, {"District": "D2", "Region": "SOUTH"}],
-    "facilities": [{"FacilityID": 1, "HPBLocationNo": "00001"}, {"FacilityID": 2, "HPBLocationNo": "00002"}],
+    "facilities": [{"FacilityID": 1, "FacilityLocationNo": "00001"}, {"FacilityID": 2, "FacilityLocationNo": "00002"}],
     "product_types": [
         {"ProductType": "HB", "PTypeClass": "NEW"},
         {"ProductType": "TRF", "PTypeClass": "NEW"},

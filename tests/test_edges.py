@@ -136,7 +136,7 @@ def test_e11_null_location_is_rejected_not_gridded(spark):
     orders = [_istore(1, fac=9)]  # facility 9 has no store
     fh = [{"OrderID": 101, "ISISOrderID": 1, "OrderSystem": "MON"}]
     fd = [{"OrderID": 101, "ItemCode": item(1), "LocationNo": None, "Status": 1}]
-    facilities = [{"FacilityID": 9, "HPBLocationNo": None}]
+    facilities = [{"FacilityID": 9, "FacilityLocationNo": None}]
     src = make_sources(spark, istore_orders=orders, fulfil_header=fh, fulfil_detail=fd, facilities=facilities)
     run = build_rollup(src, MAY)
     assert quality.null_keys(run.sales_tidy, ["BusinessMonth", "LocationNo"]).count() == 1
@@ -256,3 +256,13 @@ def test_persisted_category_table_is_used_when_configured(spark):
                        sales_header=[_header(1, D(2001, 5, 2), "A")],
                        sales_item=[_line(1, D(2001, 5, 2), "A", 1, item(1), 1, 9)])
     assert _rows(sales.sales_register(src, MAY), "PrCat") == [("frln",)]
+
+
+def test_source_column_read_under_its_physical_name(spark):
+    from shelfcost.sources.catalog import from_frames
+    from shelfcost.sources.schemas import PHYSICAL_NAMES
+
+    physical = PHYSICAL_NAMES[("facilities", "FacilityLocationNo")]
+    fac = spark.createDataFrame([(1, "00007 ")], f"FacilityID int, {physical} string")
+    src = from_frames(spark, {"facilities": fac})
+    assert [tuple(r) for r in src.facilities.collect()] == [(1, "00007")]
