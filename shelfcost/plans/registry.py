@@ -23,6 +23,7 @@ from shelfcost.operators.pivot import SALES_MEASURES, XFER_MEASURES, pivot_measu
 from shelfcost.plans.monthly import build_rollup
 from shelfcost.plans.report import run_report
 from shelfcost.sources.catalog import Sources, from_star
+from shelfcost.sources.schemas import REQUIRED_SOURCES
 
 # --- fixture run parameters ----------------------------------------------------------
 AS_OF = dt.date(2001, 8, 15)
@@ -38,9 +39,7 @@ DISTRICT = "D2"
 REGION = "ASIA"
 UNKNOWN_TYPE = "Country"
 
-SOURCE_NAMES = ("sales_header", "sales_item", "locations", "report_locations", "product_master", "product_types",
-                "istore_orders", "web_orders", "facilities", "fulfil_header", "fulfil_detail", "bookworm",
-                "xfer_header", "xfer_detail", "item_master")
+SOURCE_NAMES = REQUIRED_SOURCES
 
 
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
