@@ -190,7 +190,8 @@ def location_dim(src: Sources) -> DataFrame:
         F.lit(fixed.LOC_DISTRICT).alias("FilterType"), F.col("DistrictCode").alias("DynFilter"),
         F.col("DistrictCode").alias("DynFilterLabel"),
     )
-    regions = src.report_locations.join(districts, F.col("District") == F.col("DistrictCode")).select("Region").distinct()
+    regions = (src.report_locations.join(districts, F.col("District") == F.col("DistrictCode"))
+               .select("Region").distinct())
     region_rows = regions.select(
         F.lit(fixed.LOC_REGION).alias("FilterType"), F.col("Region").alias("DynFilter"),
         F.col("Region").alias("DynFilterLabel"),

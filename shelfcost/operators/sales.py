@@ -267,7 +267,8 @@ def web_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> Data
     heads, fulfil = _fulfilment(src, fixed.WEB_ORDER_SYSTEM)
     joined = (
         orders.join(facilities_b(src), "FacilityID")
-        .join(heads, (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("MarketOrderID") == F.col("HeadMarketOrderID")))
+        .join(heads, (F.col("ISIS_OrderID") == F.col("ISISOrderID"))
+              & (F.col("MarketOrderID") == F.col("HeadMarketOrderID")))
         .join(fulfil, (F.col("HeadOrderID") == F.col("LineOrderID"))
               & (F.col("LineMarketItemID") == F.col("MarketOrderItemKey")))
     )

@@ -150,7 +150,8 @@ def signed_quantity_q(spark, d):
 def location_fallback_q(spark, d):
     src = _src(spark, d)
     heads = src.fulfil_header.select(F.col("OrderID").alias("HeadOrderID"), "ISISOrderID")
-    fulfil = src.fulfil_detail.select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
+    fulfil = src.fulfil_detail.select(F.col("OrderID").alias("LineOrderID"),
+                                      F.col("LocationNo").alias("FulfilLocationNo"))
     return (
         src.istore_orders.select("ISIS_OrderID", "FacilityID")
         .join(dims.facilities_b(src), "FacilityID")
@@ -240,8 +241,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_delete_keys": rollup_delete_keys,
     "rollup_replace_by_key": rollup_replace_by_key,
     # quality
-    "dq_rollup_duplicate_keys": lambda spark, d: quality.duplicate_keys(_rollup(spark, d), ["BusinessMonth", "LocationNo"]),
-    "dq_category_duplicate_keys": lambda spark, d: quality.duplicate_keys(dims.category_dim(_src(spark, d)), ["ProductType"]),
+    "dq_rollup_duplicate_keys":
+        lambda spark, d: quality.duplicate_keys(_rollup(spark, d), ["BusinessMonth", "LocationNo"]),
+    "dq_category_duplicate_keys":
+        lambda spark, d: quality.duplicate_keys(dims.category_dim(_src(spark, d)), ["ProductType"]),
     "dq_null_keys": dq_null_keys,
     # location selection and report
     "loc_all": lambda spark, d: report.select_locations(_src(spark, d), fixed.LOC_ALL, None),
