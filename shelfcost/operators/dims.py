@@ -38,11 +38,21 @@ def broadcast_bound(spark) -> int:
 
 @dataclass(frozen=True)
 class Dim:
-    """A dimension after its size check: the DataFrame to join, and whether it is broadcast."""
+    """A dimension after its size check: its rows, and whether they are broadcast."""
 
-    df: DataFrame
+    base: DataFrame
     broadcast: bool
 
+    @property
+    def df(self) -> DataFrame:
+        """The side to join: hinted for broadcast when the check passed."""
+        return F.broadcast(self.base) if self.broadcast else self.base
+
+    def narrowed(self, fn) -> "Dim | None":
+        """A filter or projection of a checked dimension stays within its bound,
+        so it needs no second count; ``None`` when this one was over the bound."""
+        return Dim(fn(self.base), True) if self.broadcast else None
+
 
 def checked(df: DataFrame, max_rows: int | None = None) -> Dim:
     """Size-check ``df``: broadcast (cached) if it has at most the bound's rows, else as is.
@@ -55,7 +65,7 @@ def checked(df: DataFrame, max_rows: int | None = None) -> Dim:
     cached = df.persist()
     n = cached.limit(bound + 1).count()
     if n <= bound:
-        return Dim(F.broadcast(cached), True)
+        return Dim(cached, True)
     cached.unpersist()
     return Dim(df, False)
 
@@ -111,20 +121,37 @@ def product_types_b(src: Sources) -> DataFrame:
     return src.memo("dim:product_types", lambda: bounded_broadcast(src.product_types))
 
 
+def _products_with_class(src: Sources) -> DataFrame:
+    """Every product with its category and class: (ItemCode, PrCat, PTypeClass, Cost)."""
+    cat = category_dim_b(src).select("ProductType", F.col("PTypeCategory").alias("PrCat"), "PTypeClass")
+    return src.product_master.join(cat, "ProductType").select("ItemCode", "PrCat", "PTypeClass", "Cost")
+
+
+def _narrow(df: DataFrame, new_goods_only: bool) -> DataFrame:
+    if new_goods_only:
+        df = df.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PrCat") != fixed.CAT_GC))
+    return df.select("ItemCode", "PrCat", "Cost")
+
+
 def products_categorised(src: Sources, new_goods_only: bool) -> DataFrame:
     """Product master with category: (ItemCode, PrCat, Cost).
 
     ``new_goods_only`` applies the register/Bookworm/transfer filter: class
     NEW and not a gift card. Online branches take every category.
     """
-    cat = category_dim_b(src)
-    if new_goods_only:
-        cat = cat.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PTypeCategory") != fixed.CAT_GC))
-    return src.product_master.join(cat.select("ProductType", "PTypeCategory"), "ProductType").select(
-        "ItemCode", F.col("PTypeCategory").alias("PrCat"), "Cost"
-    )
+    return _narrow(_products_with_class(src), new_goods_only)
 
 
 def products_dim(src: Sources, new_goods_only: bool) -> Dim:
-    """The categorised products, size-checked once per source set."""
-    return src.memo(f"dim:products:{new_goods_only}", lambda: checked(products_categorised(src, new_goods_only)))
+    """The categorised products, size-checked once per source set.
+
+    The new-goods dimension is a filter of the all-goods one, so when the
+    latter is within the bound the former is too and is not counted again.
+    """
+    every = src.memo("dim:products", lambda: checked(_products_with_class(src)))
+
+    def build() -> Dim:
+        narrowed = every.narrowed(lambda df: _narrow(df, new_goods_only))
+        return narrowed or checked(_narrow(every.base, new_goods_only))
+
+    return src.memo(f"dim:products:{new_goods_only}", build)
