@@ -57,16 +57,14 @@ class Dim:
 def checked(df: DataFrame, max_rows: int | None = None) -> Dim:
     """Size-check ``df``: broadcast (cached) if it has at most the bound's rows, else as is.
 
-    The checked side is cached while it is counted, so the join that follows
-    reads the rows the check computed instead of deriving them again; a side
-    over the bound is released and joined without a hint.
+    The count runs on the uncached plan under a limit, so every partition
+    stops after ``bound + 1`` rows and an oversized side is never
+    materialised. Only a side proven small is cached, so its several joins
+    share one computation.
     """
     bound = broadcast_bound(df.sparkSession) if max_rows is None else max_rows
-    cached = df.persist()
-    n = cached.limit(bound + 1).count()
-    if n <= bound:
-        return Dim(cached, True)
-    cached.unpersist()
+    if df.limit(bound + 1).count() <= bound:
+        return Dim(df.persist(), True)
     return Dim(df, False)
 
 
