@@ -115,7 +115,7 @@ def type_classes(spark: SparkSession) -> DataFrame:
 def product_types(t: StarTables) -> DataFrame:
     """Product types in use by the product master, with their class."""
     used = product_master(t).select("ProductType").distinct()
-    return used.join(F.broadcast(type_classes(t.spark)), "ProductType")
+    return used.join(type_classes(t.spark), "ProductType")
 
 
 def sales_header(t: StarTables) -> DataFrame:
