@@ -38,6 +38,11 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ROLLUP.fields])
 
 
+def create_table(spark: SparkSession, path: str) -> None:
+    """K9: (re)create the rollup table at ``path``, empty, with the declared schema."""
+    spark.createDataFrame([], ROLLUP).write.mode("overwrite").partitionBy("BusinessMonth").parquet(path)
+
+
 def delete_keys(target: DataFrame, keys: DataFrame) -> DataFrame:
     """K5: target rows whose (month, store) key is not in ``keys``."""
     return target.join(keys.select(*KEYS), list(KEYS), "left_anti")

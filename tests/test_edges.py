@@ -266,3 +266,16 @@ def test_source_column_read_under_its_physical_name(spark):
     fac = spark.createDataFrame([(1, "00007 ")], f"FacilityID int, {physical} string")
     src = from_frames(spark, {"facilities": fac})
     assert [tuple(r) for r in src.facilities.collect()] == [(1, "00007")]
+
+
+def test_k9_create_empty_table_then_replace(spark):
+    h, d = _xfer(1, "00001", "00002", 1, D(2001, 5, 10), None, item(1))
+    src = make_sources(spark, xfer_header=[h], xfer_detail=[d])
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-k9-"), "rollup")
+    writer.create_table(spark, path)
+    empty = writer.read_rollup(spark, path)
+    assert empty.count() == 0
+    assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in writer.ROLLUP]
+    run = build_rollup(src, MAY)
+    writer.replace_by_key(spark, path, run.rollup, run.grid)
+    assert sorted(map(tuple, writer.read_rollup(spark, path).collect())) == sorted(map(tuple, run.rollup.collect()))
