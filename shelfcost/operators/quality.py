@@ -32,3 +32,16 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     for k in keys:
         good = good.where(F.col(k).isNotNull())
     return good, null_keys(df, keys)
+
+
+class KeyViolation(ValueError):
+    """Rows would break the table's key: duplicate or NULL key values."""
+
+
+def enforce_key(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise :class:`KeyViolation` if ``df`` has a NULL or repeated key (one small job each)."""
+    if null_keys(df, keys).limit(1).count():
+        raise KeyViolation(f"NULL in key {list(keys)}")
+    dup = duplicate_keys(df, keys).limit(1).collect()
+    if dup:
+        raise KeyViolation(f"duplicate key {[dup[0][k] for k in keys]}")

@@ -15,6 +15,9 @@ A run replaces exactly the (month, store) keys of its grid:
    recomputes from the checkpoint, not from half-overwritten input --
 5. overwrite the affected month folders only (dynamic partition overwrite).
 
+The new rows are checked against the table's key (no NULL, no repeat)
+before anything is written.
+
 The delete and insert are one overwrite, so a failed job leaves the old
 months in place instead of a deleted-but-not-reinserted gap.
 """
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from shelfcost.operators import quality
 from shelfcost.operators.pivot import KEYS
 from shelfcost.operators.rollup import bounded_months
 from shelfcost.session import checkpoint_dir
@@ -67,6 +71,7 @@ def replace_by_key(spark: SparkSession, path: str, new_rows: DataFrame, grid: Da
     if not months:
         return
     merged = conform(new_rows)
+    quality.enforce_key(merged, KEYS)   # the table's primary key, as the database would enforce it
     if table_exists(spark, path):
         existing = read_rollup(spark, path).where(F.col("BusinessMonth").isin(months))
         merged = delete_keys(existing, grid).unionByName(merged)

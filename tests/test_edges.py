@@ -279,3 +279,17 @@ def test_k9_create_empty_table_then_replace(spark):
     run = build_rollup(src, MAY)
     writer.replace_by_key(spark, path, run.rollup, run.grid)
     assert sorted(map(tuple, writer.read_rollup(spark, path).collect())) == sorted(map(tuple, run.rollup.collect()))
+
+
+def test_writer_refuses_duplicate_keys(spark):
+    import pytest
+
+    from shelfcost.operators.quality import KeyViolation
+
+    h, d = _xfer(1, "00001", "00002", 1, D(2001, 5, 10), None, item(1))
+    src = make_sources(spark, xfer_header=[h], xfer_detail=[d])
+    run = build_rollup(src, MAY)
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-dup-"), "rollup")
+    with pytest.raises(KeyViolation):
+        writer.replace_by_key(spark, path, run.rollup.unionByName(run.rollup), run.grid)
+    assert not writer.table_exists(spark, path)
