@@ -74,22 +74,23 @@ def v1_xfers_classify(src: Sources) -> DataFrame:
     )
 
 
-def _register_measured(lines: DataFrame, store: str, item: str) -> DataFrame:
+def _register_measured(lines: DataFrame, store: str, store_as: str, item: str) -> DataFrame:
+    """Register lines as (month, store, item, q = signed quantity, v = amount)."""
     return _signed(lines).select(
-        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), F.col(store).alias(store.replace("Bookworm", "")),
+        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), F.col(store).alias(store_as),
         F.col(item).alias("ItemCode"), F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
 
 
 def v1_sales_register(src: Sources, window: Window) -> DataFrame:
-    lines = _register_measured(register_lines(src, window), "LocationID", "ItemCode")
+    lines = _register_measured(register_lines(src, window), "LocationID", "LocationID", "ItemCode")
     priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], _v1_dim(src, "sales"))
     priced = priced.join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
     return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
-    lines = _register_measured(bookworm_lines(src, window), "BookwormLocationNo", "BookwormItemCode")
+    lines = _register_measured(bookworm_lines(src, window), "BookwormLocationNo", "LocationNo", "BookwormItemCode")
     priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], _v1_dim(src, "sales"))
     return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
