@@ -1,10 +1,12 @@
 """spark-submit entry points for the four jobs (category load, rollup, report, v1 script).
 
-    spark-submit -m shelfcost.plans.jobs category --sources sources.json --out <path>
-    spark-submit -m shelfcost.plans.jobs rollup   --sources sources.json --target <path> [--month 2024-03-01] [--as-of ...]
-    spark-submit -m shelfcost.plans.jobs report   --sources sources.json --target <path> --type Region --location ASIA \\
-                                                   --start 2024-01-01 --end 2024-03-31 --out <path>
-    spark-submit -m shelfcost.plans.jobs v1       --sources sources.json --start 2021-06-01 --end 2021-07-01 --out <path>
+Run through the root launcher (spark-submit runs a file), or ``python -m shelfcost.plans.jobs``:
+
+    spark-submit run_job.py category --sources sources.json --out <path>
+    spark-submit run_job.py rollup   --sources sources.json --target <path> [--month 2024-03-01] [--as-of ...]
+    spark-submit run_job.py report   --sources sources.json --target <path> --type Region --location ASIA \\
+                                     --start 2024-01-01 --end 2024-03-31 --out <path>
+    spark-submit run_job.py v1       --sources sources.json --start 2021-06-01 --end 2021-07-01 --out <path>
 
 ``sources.json`` maps each source name of :mod:`shelfcost.sources.schemas` to a
 parquet path or a catalog table name. The session comes from the submitting
