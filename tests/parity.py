@@ -4,7 +4,7 @@ Mirrors the driver's gate: same column names, same row count, same
 order-insensitive multiset of values (columns compared in name order), and
 compatible column types. Usable from pytest and as a script::
 
-    python tests/parity.py /root/testdata/sf0.01 [name ...] [conf.key=value ...]
+    python tests/parity.py /root/testdata/sf0.01 [name ...] [conf.key=value ...] [--strict]
 """
 
 from __future__ import annotations
@@ -81,22 +81,23 @@ def duck_result(con, sql: str):
     return cols, kinds, rows
 
 
-def _canon(cols, kinds, rows):
+def _canon(cols, kinds, rows, strict: bool = False):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     names = [cols[i] for i in order]
     types = [kinds[i] for i in order]
-    bag = Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+    norm = repr if strict else _norm   # strict: raw Python values, decimal scale included
+    bag = Counter(tuple(norm(r[i]) for i in order) for r in rows)
     return names, types, bag
 
 
-def compare(spark, con, name: str, sf_dir: str, queries, statements) -> dict:
+def compare(spark, con, name: str, sf_dir: str, queries, statements, strict: bool = False) -> dict:
     t0 = time.time()
     s_cols, s_kinds, s_rows = spark_result(queries[name](spark, sf_dir))
     t1 = time.time()
     d_cols, d_kinds, d_rows = duck_result(con, statements[name])
     t2 = time.time()
-    sn, st, sb = _canon(s_cols, s_kinds, s_rows)
-    dn, dt_, db = _canon(d_cols, d_kinds, d_rows)
+    sn, st, sb = _canon(s_cols, s_kinds, s_rows, strict)
+    dn, dt_, db = _canon(d_cols, d_kinds, d_rows, strict)
     out = {
         "name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
         "columns_match": sn == dn, "types_match": st == dt_, "values_match": sb == db,
@@ -117,8 +118,9 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from shelfcost.session import build_session
 
+    strict = "--strict" in argv
     conf = dict(a.split("=", 1) for a in argv if "=" in a)   # e.g. shelfcost.broadcast.maxRows=0
-    argv = [a for a in argv if "=" not in a]
+    argv = [a for a in argv if "=" not in a and a != "--strict"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = build_session(extra=conf)
@@ -127,7 +129,7 @@ def main(argv: list[str]) -> int:
     bad = 0
     for name in names or sorted(queries):
         try:
-            res = compare(spark, con, name, sf_dir, queries, statements)
+            res = compare(spark, con, name, sf_dir, queries, statements, strict)
         except Exception as exc:  # report and continue
             res = {"name": name, "ok": False, "error": repr(exc)[:400]}
         bad += not res["ok"]
