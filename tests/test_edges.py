@@ -293,3 +293,30 @@ def test_writer_refuses_duplicate_keys(spark):
     with pytest.raises(KeyViolation):
         writer.replace_by_key(spark, path, run.rollup.unionByName(run.rollup), run.grid)
     assert not writer.table_exists(spark, path)
+
+
+def test_v1_item_master_join_multiplies_duplicates(spark):
+    """v1 web shipped sales inner-join the item master; a duplicated item doubles."""
+    orders = [_web(ISIS_OrderID=1, MarketOrderItemID=1, OrderDate=D(2001, 5, 2))]
+    once = make_sources(spark, web_orders=orders, item_master=[{"ItemCode": item(1)}])
+    twice = make_sources(spark, web_orders=orders, item_master=[{"ItemCode": item(1)}, {"ItemCode": item(1)}])
+    a = legacy.v1_web_shipped(once, MAY).first()
+    b = legacy.v1_web_shipped(twice, MAY).first()
+    assert (a.Qty, a.Cost, a.Val) == (3, money(5), money(30))
+    assert (b.Qty, b.Cost, b.Val) == (6, money(10), money(60))
+
+
+def test_v1_transfers_count_scan_as_dist(spark):
+    """Q6: v1 transfer classes have no scan arm, so a SCAN transfer is distribution."""
+    h, d = _xfer(1, "00001", "00002", 1, D(2001, 5, 10), None, item(3))   # item 3 is SCAN
+    src = make_sources(spark, xfer_header=[h], xfer_detail=[d])
+    assert _rows(legacy.v1_xfers_out(src, MAY), "PrCat", "Qty") == [("dist", 2)]
+    assert _rows(transfers.xfers_out(src, MAY), "PrCat", "Qty") == [("scan", 2)]
+
+
+def test_v1_left_join_keeps_orders_without_fulfilment(spark):
+    """With no fulfilment rows, v1 still counts the order at the facility's store."""
+    src = make_sources(spark, istore_orders=[_istore(1, fac=2)])
+    assert sales.sales_istore_shipped(src, MAY).count() == 0          # current rules: inner joins
+    rows = legacy.v1_istore_shipped(src, MAY).collect()
+    assert [(r.LocationNo, r.Qty, r.Val) for r in rows] == [("00002", 3, money(20))]
