@@ -50,3 +50,41 @@ def test_windows(day, as_of):
     assert d.start == dt.date(as_of.year - 3, 1, 1) and d.end == as_of.replace(day=1)
     start, end = report_default_dates(as_of)
     assert start.day == 1 and end == as_of.replace(day=1) - dt.timedelta(days=1) and start <= end
+
+
+tidy_rows = st.lists(
+    st.tuples(
+        st.sampled_from([dt.date(2001, 1, 1), dt.date(2001, 2, 1)]),
+        st.sampled_from(["00001", "00002"]),
+        st.sampled_from([1, 2, -2, 3, -3, 0]),
+        st.sampled_from(["dist", "frln", "scan", "gc", "used"]),
+        st.integers(-5, 50),
+        st.integers(-10_000, 100_000),
+        st.integers(-10_000, 100_000),
+    ),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(tidy_rows)
+def test_sales_pivot_matches_scope_rules(spark, rows):
+    from decimal import Decimal
+
+    from shelfcost.operators.pivot import SALES_MEASURES, pivot_measures
+
+    cents = [(m, s, t, c, q, Decimal(cost) / 100, Decimal(val) / 100) for m, s, t, c, q, cost, val in rows]
+    df = spark.createDataFrame(
+        cents, "BusinessMonth date, LocationNo string, SldTy int, PrCat string, Qty long, "
+               "Cost decimal(19,4), Val decimal(19,4)")
+    got = {(r.BusinessMonth, r.LocationNo): r.asDict() for r in pivot_measures(df, SALES_MEASURES).collect()}
+    scopes = {"": lambda t: True, "s": lambda t: t == 1, "o": lambda t: abs(t) > 1, "bw": lambda t: t == 0}
+    QTY, COST, VAL = 4, 5, 6   # positions in a row
+    kinds = {"DistSoldCost": ({"dist", "scan"}, COST), "DistSoldVal": ({"dist", "scan"}, VAL),
+             "FrlnSoldCost": ({"frln"}, COST), "FrlnSoldVal": ({"frln"}, VAL), "ScanSoldQty": ({"scan"}, QTY),
+             "ScanSoldCost": ({"scan"}, COST), "ScanSoldVal": ({"scan"}, VAL)}
+    for key in {(r[0], r[1]) for r in cents}:
+        for prefix, in_scope in scopes.items():
+            for name, (cats, idx) in kinds.items():
+                want = sum((r[idx] for r in cents if (r[0], r[1]) == key and in_scope(r[2]) and r[3] in cats), 0)
+                assert got[key][prefix + name] == want, (key, prefix + name)
