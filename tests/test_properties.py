@@ -88,3 +88,37 @@ def test_sales_pivot_matches_scope_rules(spark, rows):
             for name, (cats, idx) in kinds.items():
                 want = sum((r[idx] for r in cents if (r[0], r[1]) == key and in_scope(r[2]) and r[3] in cats), 0)
                 assert got[key][prefix + name] == want, (key, prefix + name)
+
+
+xfer_rows = st.lists(
+    st.tuples(
+        st.sampled_from([dt.date(2001, 1, 1), dt.date(2001, 2, 1)]),
+        st.sampled_from(["00001", "00002"]),
+        st.sampled_from([1, 2, 3, 4, 7, -1, -2, -3, -7]),
+        st.sampled_from(["dist", "frln", "scan"]),
+        st.integers(0, 50),
+        st.integers(0, 100_000),
+    ),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(xfer_rows)
+def test_transfer_pivot_matches_type_rules(spark, rows):
+    from decimal import Decimal
+
+    from shelfcost.operators.pivot import XFER_MEASURES, pivot_measures
+
+    data = [(m, s, t, c, q, Decimal(cost) / 100) for m, s, t, c, q, cost in rows]
+    df = spark.createDataFrame(data, "BusinessMonth date, LocationNo string, XfrTy int, PrCat string, "
+                                     "Qty long, Cost decimal(19,4)")
+    got = {(r.BusinessMonth, r.LocationNo): r.asDict() for r in pivot_measures(df, XFER_MEASURES).collect()}
+    stems = {"Tsh": {1}, "Dmg": {7}, "Dnt": {2}, "Rfi": {1, 2, 7}, "TotXfrOut": {3}, "TotXfrIn": {-3}}
+    for key in {(r[0], r[1]) for r in data}:
+        for cat, title in (("dist", "Dist"), ("frln", "Frln")):
+            for stem, types in stems.items():
+                for measure, idx in (("Qty", 4), ("Cost", 5)):
+                    name = f"Tot{title}Rfi{measure}" if stem == "Rfi" else f"{title}{stem}{measure}"
+                    want = sum((r[idx] for r in data if (r[0], r[1]) == key and r[2] in types and r[3] == cat), 0)
+                    assert got[key][name] == want, (key, name)
