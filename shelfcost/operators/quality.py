@@ -39,9 +39,12 @@ class KeyViolation(ValueError):
 
 
 def enforce_key(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise :class:`KeyViolation` if ``df`` has a NULL or repeated key (one small job each)."""
-    if null_keys(df, keys).limit(1).count():
-        raise KeyViolation(f"NULL in key {list(keys)}")
-    dup = duplicate_keys(df, keys).limit(1).collect()
-    if dup:
-        raise KeyViolation(f"duplicate key {[dup[0][k] for k in keys]}")
+    """Raise :class:`KeyViolation` if ``df`` has a NULL or repeated key (one grouped pass)."""
+    bad = F.col("n") > 1
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(bad).limit(1).collect()
+    if rows:
+        key = [rows[0][k] for k in keys]
+        kind = "NULL in" if any(v is None for v in key) else "duplicate"
+        raise KeyViolation(f"{kind} key {key}")

@@ -320,3 +320,16 @@ def test_v1_left_join_keeps_orders_without_fulfilment(spark):
     assert sales.sales_istore_shipped(src, MAY).count() == 0          # current rules: inner joins
     rows = legacy.v1_istore_shipped(src, MAY).collect()
     assert [(r.LocationNo, r.Qty, r.Val) for r in rows] == [("00002", 3, money(20))]
+
+
+def test_enforce_key_reports_nulls_and_duplicates(spark):
+    import pytest
+
+    from shelfcost.operators.quality import KeyViolation, enforce_key
+
+    ok = spark.createDataFrame([(1, "a"), (1, "b")], "m int, s string")
+    enforce_key(ok, ["m", "s"])
+    with pytest.raises(KeyViolation, match="duplicate"):
+        enforce_key(ok.unionByName(ok), ["m", "s"])
+    with pytest.raises(KeyViolation, match="NULL"):
+        enforce_key(spark.createDataFrame([(1, None)], "m int, s string"), ["m", "s"])
