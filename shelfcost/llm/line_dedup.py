@@ -1,23 +1,24 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its words. A line is removed if an earlier line of the corpus (smaller
-document id, then smaller line number; removed or not) has a Jaccard similarity of at least
-``num / den`` with it, 0.8 by default. Lines without a word are never removed.
+A line is the set of its five-word shingles (a shorter line: its words as one shingle). A line is removed if an
+earlier line of the corpus (smaller document id, then smaller line number; removed or not) has a Jaccard
+similarity of at least ``num / den`` with it, 0.8 by default. Lines without a word are never removed.
 
-Tokens are ordered by rarity: by the class of their hash bucket's count in the whole corpus (a fixed number
-of buckets, so the lookup has a fixed size), then by their hash. Two similar sets share a token among the first
-``n - ceil(t n) + 1`` of each, so only these are indexed; the pairs that meet there pass the length filter
-and the positional filter at their first common token before the words themselves are compared.
+Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by the class of their hash
+bucket's count in the whole corpus (a fixed number of buckets, so the lookup has a fixed size), then by their hash.
+Two similar sets share a token among the first ``n - ceil(t n) + 1`` of each, so only these are indexed; the pairs
+that meet there pass the length filter and the positional filter at their first common token before the sets
+themselves are compared.
 
-Equal lines are merged into one class before the join. Within a token's list each line is first compared with
-the list's first line and with the one before it, which settles groups of near copies in linear time;
-only lines that are still unsettled meet all earlier lines of the list.
+Within a token's list each line is first compared with the list's first line and with the one before it, which settles
+groups of near copies in linear time; only lines that are still unsettled meet all earlier lines of the list.
 
-Only DataFrame functions are used on this path.
+Only DataFrame functions are used on this path. The tables of removed lines are broadcast to the documents while
+their files stay below ``store.BROADCAST_BYTES``, and joined by a shuffle beyond.
 
-Defined cases: a null text stays null, an empty one empty; a null id sorts first; rows repeated under one id are
-taken as one document at one place, so that none of them is earlier than the other; an empty table
-gives an empty table; other columns are carried, whatever their names.
+Defined cases: a null text stays null, an empty one empty; a null id sorts first; rows that share an id are one document
+at one place, so a line number removed from one is removed from all of them; an empty table gives an empty table; other
+columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,44 +28,71 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcost.llm.store import save
+from shelfcost.llm.store import save, small
 from shelfcost.llm.text import words
 
-BUCKETS = 1 << 15
-_ID = ("id0", "no0")  # a class is named by its first line; with the line's hash it is unique
+BUCKETS = 1 << 18
+SHINGLE = 5
+_NULL = -(1 << 63)
+_HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+def _nid() -> Column:
+    """The id, with the least number for null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))
 
 
-def rarity(texts: DataFrame) -> bytes:
-    """One byte per hash bucket: the class (four to a doubling) of the bucket's word count in all of ``text``."""
-    counted = texts.select(F.explode(words(F.col("text"))).alias("w")).groupBy(_bucket(F.col("w")).alias("b")).count()
+def _tokens(line: Column) -> Column:
+    """The 64-bit hashes of the line's shingles, each once."""
+    w = words(line)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, SHINGLE))))
+
+
+def _bucket(token: Column) -> Column:
+    return F.pmod(token, F.lit(BUCKETS)).cast("int")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(nid, no, line): the lines with a word."""
+    lines = docs.select(_nid().alias("nid"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    return lines.where(F.col("line").rlike(_HAS_WORD))
+
+
+def equal_lines(docs: DataFrame) -> DataFrame:
+    """(nid, gone): per document the numbers of the lines that equal an earlier one."""
+    lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "no")
+    at = F.struct("nid", "no")
+    several = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
+    later = lines.join(several, ["h1", "h2"]).where(at != F.col("first"))
+    return later.groupBy("nid").agg(F.collect_set("no").alias("gone"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """(nid, all, gone): documents with their lines and the numbers of the removed ones (null: none)."""
+    d = docs.select(_nid().alias("nid"), F.split("text", "\n").alias("all"))
+    return d.join(small(gone), "nid", "left")
+
+
+def rarity(docs: DataFrame) -> bytes:
+    """One byte per hash bucket: the class (four to a doubling) of the bucket's token count in all lines."""
+    counted = _lines(docs).select(F.explode(_tokens(F.col("line"))).alias("t")).groupBy(_bucket(F.col("t")).alias("b")).count()
     table = bytearray(BUCKETS)
-    for b, n in counted.toLocalIterator():  # BUCKETS rows at most
+    for b, n in counted.collect():  # BUCKETS rows at most
         table[b] = min(255, round(4 * math.log2(1 + n)))
     return bytes(table)
 
 
-def _classes(docs: DataFrame) -> DataFrame:
-    """(h1, h2, line, id0, no0): each different line once, with the place of its first copy."""
-    lines = docs.select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    keyed = lines.select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "line", F.struct("id", "no").alias("at"))
-    first = keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("line").alias("line"))
-    return first.select("h1", "h2", "line", F.col("at.id").alias("id0"), F.col("at.no").alias("no0"))
-
-
-def _postings(classes: DataFrame, table: bytes, num: int, den: int) -> DataFrame:
-    """(token, h1, h2, id0, no0, n, pos): the indexed tokens of each class."""
-    distinct = F.array_distinct(words(F.col("line")))
-    token = F.transform(distinct, lambda w: F.struct(F.substring(F.lit(table), _bucket(w) + 1, F.lit(1)).alias("f"), F.xxhash64(w, F.lit(7)).alias("t")))
-    c = classes.select("h1", "h2", "id0", "no0", F.sort_array(token).alias("tokens"))
+def _postings(docs: DataFrame, equal: DataFrame, table: bytes, num: int, den: int) -> DataFrame:
+    """(token, nid, no, n, pos): the indexed tokens of the lines that equal no earlier one."""
+    lines = _without(docs, equal).select("nid", "gone", F.posexplode("all").alias("no", "line"))
+    first = F.col("gone").isNull() | ~F.array_contains("gone", F.col("no"))
+    lines = lines.where(F.col("line").rlike(_HAS_WORD) & first)
+    ranked = F.transform(_tokens(F.col("line")), lambda t: F.struct(F.substring(F.lit(table), _bucket(t) + 1, F.lit(1)).alias("f"), t.alias("t")))
+    lines = lines.select("nid", "no", F.sort_array(ranked).alias("tokens"))
     n = F.size("tokens")
     prefix = n - F.floor((num * n + den - 1) / den).cast("int") + 1
-    c = c.select("h1", "h2", "id0", "no0", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "tok"))
-    return c.select(F.col("tok.t").alias("token"), "h1", "h2", "id0", "no0", "n", "pos")
+    lines = lines.select("nid", "no", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "tok"))
+    return lines.select(F.col("tok.t").alias("token"), "nid", "no", "n", "pos")
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -> Column:
@@ -74,57 +102,56 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
     return length & ((num + den) * reach >= num * (n + m))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The later sides (h1, h2) of the ``pairs`` (h1, h2, e1, e2) that are similar enough."""
-    late = classes.select("h1", "h2", F.array_distinct(words(F.col("line"))).alias("late"))
-    early = classes.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.array_distinct(words(F.col("line"))).alias("early"))
-    both = pairs.distinct().join(late, ["h1", "h2"]).join(early, ["e1", "e2"])
-    common = F.size(F.array_intersect("late", "early"))
-    similar = (num + den) * common >= num * (F.size("late") + F.size("early"))
-    return both.where(similar).select("h1", "h2").distinct()
+def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """(nid, no, tokens) of every line that shares an indexed token with another."""
+    wanted = save(lists.groupBy("nid").agg(F.collect_set("no").alias("want")), "wanted")
+    d = docs.select(_nid().alias("nid"), F.split("text", "\n").alias("all")).join(small(wanted), "nid")
+    picked = d.select("nid", F.explode("want").alias("no"), "all").select("nid", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
+    return save(picked.select("nid", "no", _tokens(F.col("line")).alias("tokens")), "sets")
 
 
-def later_matches(docs: DataFrame, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(classes, matched): every class of equal lines, and those (h1, h2) with an earlier similar line."""
-    texts = docs.select("doc_id", "text")
-    table = rarity(texts)
-    classes = save(_classes(texts), "lines")
-    postings = _postings(classes, table, num, den)
-    by_token = Window.partitionBy("token").orderBy(F.col("id0").asc_nulls_first(), "no0", "h1", "h2")
-    me = F.struct("h1", "h2", "n", "pos")
-    lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("h1").over(by_token).isNotNull().alias("more"))
-    lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The later sides (nid, no) of the ``pairs`` (nid, no, e_nid, e_no) that are similar enough."""
+    early = sets.select(F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("tokens").alias("early"))
+    both = pairs.distinct().join(sets, ["nid", "no"]).join(early, ["e_nid", "e_no"])
+    common = F.size(F.array_intersect("tokens", "early"))
+    similar = (num + den) * common >= num * (F.size("tokens") + F.size("early"))
+    return both.where(similar).select("nid", "no").distinct()
 
-    near = lists.where(F.col("p").isNotNull()).select("h1", "h2", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
-    near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
-    settled = save(_verified(near.select("h1", "h2", F.col("e.h1").alias("e1"), F.col("e.h2").alias("e2")), classes, num, den), "settled")
 
-    late = lists.where(F.col("p").isNotNull()).join(settled, ["h1", "h2"], "left_anti")
-    early = lists.select("token", F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("id0").alias("eid"), F.col("no0").alias("eno"), F.col("n").alias("m"), F.col("pos").alias("epos"))
-    before = F.struct(F.col("eid"), F.col("eno"), F.col("e1"), F.col("e2")) < F.struct(F.col("id0"), F.col("no0"), F.col("h1"), F.col("h2"))
-    rest = late.join(early, "token").where(before & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("epos"), num, den))
-    more = _verified(rest.select("h1", "h2", "e1", "e2"), classes, num, den)
-    return classes, settled.unionByName(more)
+def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
+    """(nid, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
+    postings = _postings(docs, equal, rarity(docs), num, den)
+    by_token = Window.partitionBy("token").orderBy("nid", "no")
+    me = F.struct("nid", "no", "n", "pos")
+    lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("no").over(by_token).isNotNull().alias("more"))
+    lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
+    sets = _sets(docs, lists)
 
+    near = lists.where(F.col("p").isNotNull()).select("nid", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
+    near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
+    settled = save(_verified(near.select("nid", "no", F.col("e.nid").alias("e_nid"), F.col("e.no").alias("e_no")), sets, num, den), "settled")
 
-def removed_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
-    """(id, gone): per document the line numbers (from 0) to remove; documents that lose nothing are absent."""
-    classes, matched = later_matches(docs, num, den)
-    kept = classes.join(matched, ["h1", "h2"], "left_anti").select("h1", "h2", "id0", "no0")
-    lines = docs.select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n")).alias("no", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    lines = lines.select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "id", "no")
-    first = kept.select("h1", "h2", F.col("id0").alias("id"), F.col("no0").alias("no"))
-    gone = lines.join(first.withColumn("stays", F.lit(True)), (lines.h1 == first.h1) & (lines.h2 == first.h2) & lines.id.eqNullSafe(first.id) & (lines.no == first.no), "left_anti")
-    return gone.groupBy("id").agg(F.collect_set("no").alias("gone"))
+    late = lists.where(F.col("p").isNotNull()).join(settled, ["nid", "no"], "left_anti").select("token", "nid", "no", "n", "pos")
+    early = lists.select("token", F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"))
+    before = F.struct("e_nid", "e_no") < F.struct("nid", "no")
+    rest = late.join(early, "token").where(before & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("e_pos"), num, den))
+    more = _verified(rest.select("nid", "no", "e_nid", "e_no"), sets, num, den)
+    return settled.unionByName(more).groupBy("nid").agg(F.collect_set("no").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines, with ``__line_n`` (lines) and ``__line_gone`` (removed lines); ``n_chars`` follows the text where there is such a column."""
-    gone = removed_lines(docs, num, den).withColumnsRenamed({"id": "__line_id", "gone": "__line_set"})
-    d = docs.join(gone, docs.doc_id.eqNullSafe(gone["__line_id"]), "left").withColumn("__line_all", F.split("text", "\n"))
+    texts = docs.select("doc_id", "text")
+    equal = save(equal_lines(texts), "equal")
+    similar = save(similar_lines(texts, equal, num, den), "similar")
+    gone = save(equal.unionByName(similar).groupBy("nid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
+    gone = gone.withColumnsRenamed({"nid": "__line_id", "gone": "__line_set"})
+    d = docs.withColumns({"__line_id": _nid(), "__line_all": F.split("text", "\n")}).join(small(gone), "__line_id", "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("__line_all") - 1), "__line_set")
     text = F.when(F.col("__line_set").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col("__line_all"), i)), "\n"))
-    out = d.withColumns({"text": text, "__line_n": F.coalesce(F.size("__line_all"), F.lit(0)).cast("long"), "__line_gone": F.coalesce(F.size("__line_set"), F.lit(0)).cast("long")})
+    here = F.size(F.col("__line_all")) - F.size(stay)
+    out = d.withColumns({"__line_n": F.coalesce(F.size("__line_all"), F.lit(0)).cast("long"), "__line_gone": F.when(F.col("__line_set").isNull() | F.col("text").isNull(), F.lit(0)).otherwise(here).cast("long"), "text": text})
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns, "__line_n", "__line_gone")
@@ -142,7 +169,8 @@ WITH l AS (
 ), cls AS (
   SELECT line, min((doc_id, no)) AS first_at FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
 ), tok AS (
-  SELECT DISTINCT line, unnest(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM cls
+  SELECT DISTINCT line, unnest(list_transform(range(1, greatest(len(x) - 4, 1) + 1), lambda i: array_to_string(x[i:i + 4], ' '))) AS w
+  FROM (SELECT line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS x FROM cls)
 ), freq AS (
   SELECT w, count(*) AS f FROM tok GROUP BY w
 ), ord AS (

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcost.llm import decontam, line_dedup, mixing, quality_rules, simhash
+from shelfcost.llm import decontam, html_extract, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,15 +22,24 @@ def _decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": _over("pages", html_extract.report),
     "op2_simhash": _over("documents", simhash.report),
     "op3_decontamination": _decontam,
+    "op5_quality_classifier": _quality,
+    "op6_warc": _over("pages", warc.report),
+    "op7_suffix_dedup": _over("documents", substring_dedup.report),
     "op8_mixing": _over("documents", mixing.report),
     "op9_line_dedup": _over("documents", line_dedup.report),
     "op10_quality_rules": _over("documents", quality_rules.report),
 }
 
 ORACLE: dict[str, str] = {
+    "op6_warc": warc.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfcost.session import checkpoint_dir
 
@@ -41,3 +42,19 @@ def drop(df: DataFrame) -> None:
         if base in folder:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: A saved table of at most this many bytes may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 16 << 20
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a table that :func:`save` returned, marked for broadcast if its files take at most ``limit`` bytes."""
+    fs_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    size = 0
+    for folder in folders:
+        path = fs_path(folder)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return F.broadcast(df) if size <= limit else df
