@@ -4,8 +4,9 @@ A line is the set of its five-word shingles (a shorter line: its words as one sh
 earlier line of the corpus (smaller document id, then smaller line number; removed or not) has a Jaccard
 similarity of at least ``num / den`` with it, 0.8 by default. Lines without a word are never removed.
 
-Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by the class of their hash
-bucket's count in the whole corpus (a fixed number of buckets, so the lookup has a fixed size), then by their hash.
+Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by the corpus-wide
+count of their rarest word, which bounds how often the shingle occurs (in classes by hash bucket, a fixed number of
+buckets, so the lookup has a fixed size), then by their hash. Tokens are 64-bit hashes.
 Two similar sets share a token among the first ``n - ceil(t n) + 1`` of each, so only these are indexed; the pairs
 that meet there pass the length filter and the positional filter at their first common token before the sets
 themselves are compared.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from shelfcost.llm.store import save, small
 from shelfcost.llm.text import words
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 14
 SHINGLE = 5
 _NULL = -(1 << 63)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -42,14 +43,32 @@ def _nid() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))
 
 
-def _tokens(line: Column) -> Column:
-    """The 64-bit hashes of the line's shingles, each once."""
-    w = words(line)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, SHINGLE))))
+def _words(line: Column) -> Column:
+    """The line's words; a plain split where blanks are the only white space, which is much cheaper."""
+    return F.when(line.rlike(r"[\x09-\x0D]"), words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
-def _bucket(token: Column) -> Column:
-    return F.pmod(token, F.lit(BUCKETS)).cast("int")
+def _tokens(line: Column, classes: Column) -> Column:
+    """The line's different tokens: for each shingle the rarity class and some hash bits of its rarest word, then its own hash.
+
+    So the order of the tokens as numbers is by rarity. What is used more than once stands as a lambda's argument,
+    which is computed once.
+    """
+
+    def ranked(h: Column) -> Column:
+        return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
+    def shingles(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
+
+        def token(i: Column) -> Column:
+            of = [F.get(w, i + k) for k in range(SHINGLE)]
+            return F.least(*of).bitwiseAND(F.lit(-1 << 40)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*of), 24))
+
+        return F.array_distinct(F.transform(starts, token))
+
+    ranks = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), ranked)
+    return F.get(F.transform(F.array(ranks), shingles), F.lit(0))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -73,26 +92,24 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return d.join(small(gone), "nid", "left")
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """One byte per hash bucket: the class (four to a doubling) of the bucket's token count in all lines."""
-    counted = _lines(docs).select(F.explode(_tokens(F.col("line"))).alias("t")).groupBy(_bucket(F.col("t")).alias("b")).count()
-    table = bytearray(BUCKETS)
+def rarity(docs: DataFrame) -> Column:
+    """The class (four to a doubling, at most 127) of each hash bucket's word count in all lines, as a constant array."""
+    counted = _lines(docs).select(F.explode(_words(F.col("line"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count()
+    table = [0] * BUCKETS
     for b, n in counted.collect():  # BUCKETS rows at most
-        table[b] = min(255, round(4 * math.log2(1 + n)))
-    return bytes(table)
+        table[b] = min(127, round(4 * math.log2(1 + n)))
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
 
 
-def _postings(docs: DataFrame, equal: DataFrame, table: bytes, num: int, den: int) -> DataFrame:
+def _postings(docs: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     """(token, nid, no, n, pos): the indexed tokens of the lines that equal no earlier one."""
     lines = _without(docs, equal).select("nid", "gone", F.posexplode("all").alias("no", "line"))
     first = F.col("gone").isNull() | ~F.array_contains("gone", F.col("no"))
     lines = lines.where(F.col("line").rlike(_HAS_WORD) & first)
-    ranked = F.transform(_tokens(F.col("line")), lambda t: F.struct(F.substring(F.lit(table), _bucket(t) + 1, F.lit(1)).alias("f"), t.alias("t")))
-    lines = lines.select("nid", "no", F.sort_array(ranked).alias("tokens"))
+    lines = lines.select("nid", "no", F.sort_array(_tokens(F.col("line"), classes)).alias("tokens"))
     n = F.size("tokens")
     prefix = n - F.floor((num * n + den - 1) / den).cast("int") + 1
-    lines = lines.select("nid", "no", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "tok"))
-    return lines.select(F.col("tok.t").alias("token"), "nid", "no", "n", "pos")
+    return lines.select("nid", "no", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -> Column:
@@ -102,12 +119,12 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
     return length & ((num + den) * reach >= num * (n + m))
 
 
-def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, lists: DataFrame, classes: Column) -> DataFrame:
     """(nid, no, tokens) of every line that shares an indexed token with another."""
     wanted = save(lists.groupBy("nid").agg(F.collect_set("no").alias("want")), "wanted")
     d = docs.select(_nid().alias("nid"), F.split("text", "\n").alias("all")).join(small(wanted), "nid")
     picked = d.select("nid", F.explode("want").alias("no"), "all").select("nid", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
-    return save(picked.select("nid", "no", _tokens(F.col("line")).alias("tokens")), "sets")
+    return save(picked.select("nid", "no", _tokens(F.col("line"), classes).alias("tokens")), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -121,12 +138,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(nid, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
-    postings = _postings(docs, equal, rarity(docs), num, den)
+    classes = rarity(docs)
+    postings = _postings(docs, equal, classes, num, den)
     by_token = Window.partitionBy("token").orderBy("nid", "no")
     me = F.struct("nid", "no", "n", "pos")
     lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("no").over(by_token).isNotNull().alias("more"))
     lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
-    sets = _sets(docs, lists)
+    sets = _sets(docs, lists, classes)
 
     near = lists.where(F.col("p").isNotNull()).select("nid", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
     near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
