@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcost.llm import decontam, html_extract, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, warc
+from shelfcost.llm import decontam, html_extract, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def _decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -30,6 +34,7 @@ QUERIES: dict[str, Query] = {
     "op1_html_extraction": _over("pages", html_extract.report),
     "op2_simhash": _over("documents", simhash.report),
     "op3_decontamination": _decontam,
+    "op4_toxicity": _toxicity,
     "op5_quality_classifier": _quality,
     "op6_warc": _over("pages", warc.report),
     "op7_suffix_dedup": _over("documents", substring_dedup.report),
