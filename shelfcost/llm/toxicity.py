@@ -8,7 +8,8 @@ Rare expressions therefore weigh the same in both classes, and only what the lab
 
 A document is scored by its log-likelihood under the toxic model less that under the ordinary one, normalised by length:
 over the whole text, and over its most toxic words, so that a few words in a long text still show. A logistic
-regression on a part of the labelled rows that the counts have not seen turns these into a probability.
+regression turns these into a probability; it is fitted on the labelled rows, each scored by models that were counted without
+the row's own fold.
 
 All counts come from all documents (two passes over the texts); the tables have at most ``len(alphabet) ** ORDER`` entries
 for any corpus, so the models may be held by the driver and every task.
@@ -37,7 +38,8 @@ from shelfcost.llm.store import drop, save, small
 ORDER = 4
 DISCOUNT = 0.75
 LETTERS = 40  # boundary, a-z, digit, and 12 classes of other letters
-FOLDS, HELD_OUT, CALIBRATION = 4, 2, 3
+FOLDS, HELD_OUT = 4, 2
+PARTS = (0, 1, 3)  # the folds that labels are learned from
 FEATURES = ("mean", "top1", "top2", "top3", "over4", "over6", "dense")
 
 
@@ -77,30 +79,33 @@ def grams(x: np.ndarray) -> np.ndarray:
 
 
 def counts(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Gram counts by class: rows 0 and 1 of the labelled rows used for counting, row 2 of all other documents."""
-    known = save(labels.where(~fold(F.col("doc_id"), FOLDS).isin(HELD_OUT, CALIBRATION)), "labels")
-    rows = docs.select("doc_id", "text").join(small(known), "doc_id", "left").select("text", F.coalesce("label", F.lit(2)).alias("label"))
+    """Gram counts, by fold and class for the labelled rows (row 2 * fold's place + label), and in the last row of all other documents."""
+    own = F.array_position(F.array(*map(F.lit, PARTS)), fold(F.col("doc_id"), FOLDS)).cast("int")
+    known = save(labels.select("doc_id", (2 * (own - 1) + F.col("label")).alias("row")), "labels")
+    rest = 2 * len(PARTS)
+    rows = docs.select("doc_id", "text").join(small(known), "doc_id", "left").select("text", F.coalesce("row", F.lit(rest)).alias("row"))
     size = LETTERS**ORDER
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((3, size), np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for label, texts in batch.groupby("label")["text"]:
+            for row, texts in batch.groupby("row")["text"]:
                 held: list[np.ndarray] = []
                 n = 0
                 for i, text in enumerate(texts):
                     held.append(grams(letters(text)))
                     n += len(held[-1])
                     if n > 1 << 21 or i == len(texts) - 1:
-                        total[label] += np.bincount(np.concatenate(held), minlength=size)
+                        total.setdefault(row, np.zeros(size, np.int64))
+                        total[row] += np.bincount(np.concatenate(held), minlength=size)
                         held, n = [], 0
-        for label in range(3):
-            key = np.flatnonzero(total[label])
-            yield pd.DataFrame({"label": np.int32(label), "gram": key.astype(np.int32), "n": total[label][key]})
+        for row, found in total.items():
+            key = np.flatnonzero(found)
+            yield pd.DataFrame({"row": np.int32(row), "gram": key.astype(np.int32), "n": found[key]})
 
-    found = rows.mapInPandas(count, "label int, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n")).toPandas()  # 3 * LETTERS ** ORDER rows at most
-    table = np.zeros((3, size), np.int64)
-    table[found["label"].to_numpy(), found["gram"].to_numpy()] = found["n"].to_numpy()
+    found = rows.mapInPandas(count, "row int, gram int, n long").groupBy("row", "gram").agg(F.sum("n").alias("n")).toPandas()  # (rest + 1) * LETTERS ** ORDER rows at most
+    table = np.zeros((rest + 1, size), np.int64)
+    table[found["row"].to_numpy(), found["gram"].to_numpy()] = found["n"].to_numpy()
     return table
 
 
@@ -122,12 +127,23 @@ def _shared(seen: np.ndarray, order: int) -> np.ndarray:
     return _interpolated(follow, np.tile(lower, (len(follow) // len(lower), 1)))
 
 
-def log_ratios(table: np.ndarray) -> np.ndarray:
-    """By gram: the log of its last letter's probability under the toxic model less that under the ordinary one."""
-    lower = _shared(table.sum(axis=0) > 0, ORDER - 1)
+def log_ratios(ordinary: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """By gram, from counts by gram: the log of its last letter's probability under the toxic model less that under the ordinary one."""
+    lower = _shared((ordinary + toxic + other) > 0, ORDER - 1)
     full = np.tile(lower, (LETTERS ** (ORDER - 1) // len(lower), 1))
-    toxic, ordinary = (np.log(_interpolated(table[c].reshape(-1, LETTERS), full)) for c in (1, 0))
-    return (toxic - ordinary).astype(np.float32).ravel()
+    ratio = np.log(_interpolated(toxic.reshape(-1, LETTERS), full))
+    ratio -= np.log(_interpolated(ordinary.reshape(-1, LETTERS), full))
+    return ratio.astype(np.float32).ravel()
+
+
+def models(table: np.ndarray) -> list[np.ndarray]:
+    """The log ratios from all labelled rows, then those without each of the PARTS."""
+    out = []
+    for left_out in (None, *range(len(PARTS))):
+        used = [k for k in range(len(PARTS)) if k != left_out]
+        other = table[-1] if left_out is None else table[-1] + table[2 * left_out] + table[2 * left_out + 1]
+        out.append(log_ratios(sum(table[2 * k] for k in used), sum(table[2 * k + 1] for k in used), other))
+    return out
 
 
 def features(text: str | None, ratios: np.ndarray) -> tuple[float, ...]:
@@ -142,16 +158,16 @@ def features(text: str | None, ratios: np.ndarray) -> tuple[float, ...]:
     return (float(v.mean()), *map(float, top), float(np.log1p((words > 4).sum())), float(np.log1p((words > 6).sum())), float((words / (ends - starts + 1)).max()))
 
 
-def described(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """doc_id and the features of every text; one narrow pass."""
-    held = docs.sparkSession.sparkContext.broadcast(ratios)  # LETTERS ** ORDER floats
+def described(rows: DataFrame, ratios: list[np.ndarray]) -> DataFrame:
+    """``rows`` (doc_id, text, model) as doc_id and the features of every text under the model of that number; one narrow pass."""
+    held = rows.sparkSession.sparkContext.broadcast(ratios)  # LETTERS ** ORDER floats each
 
     @F.pandas_udf(StructType([StructField(f, DoubleType()) for f in FEATURES]))
-    def describe(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            yield pd.DataFrame([features(t, held.value) for t in batch], columns=list(FEATURES), dtype="float64")
+    def describe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, model in batches:
+            yield pd.DataFrame([features(t, held.value[m]) for t, m in zip(texts, model)], columns=list(FEATURES), dtype="float64")
 
-    return docs.select("doc_id", describe(F.col("text")).alias("f")).select("doc_id", "f.*")
+    return rows.select("doc_id", describe(F.col("text"), F.col("model")).alias("f")).select("doc_id", "f.*")
 
 
 def calibrated(rows: DataFrame, share: float) -> Column:
@@ -170,11 +186,13 @@ def calibrated(rows: DataFrame, share: float) -> Column:
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted. Learned from labelled rows outside fold 2 of 4."""
-    labels = labelled(labels, "toxic").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    known = save(labels, "labels")
-    ratios = log_ratios(counts(docs, known))
-    table = save(described(docs, ratios), "features")
-    own = save(table.join(known.where(fold(F.col("doc_id"), FOLDS) == CALIBRATION), "doc_id"), "labelled")
+    known = save(labelled(labels, "toxic").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT), "labels")
+    ratios = models(counts(docs, known))
+    texts = docs.select("doc_id", "text")
+    table = save(described(texts.withColumn("model", F.lit(0)), ratios), "features")
+    without = F.array_position(F.array(*map(F.lit, PARTS)), fold(F.col("doc_id"), FOLDS)).cast("int")
+    own = texts.join(small(known), "doc_id").select("doc_id", "text", "label", without.alias("model"))
+    own = save(described(own, ratios).join(known, "doc_id"), "labelled")
     n, ones = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     score = calibrated(own, ones / n if n else 0.5)
     drop(own)
