@@ -1,0 +1,126 @@
+"""Extraction, rules and classifiers: expected pages, a plain restatement of the counts, and held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from shelfcost.llm import html_extract, quality_model, quality_rules, toxicity
+
+ARTICLE = "<p>The first paragraph is long enough to be told from a menu by its ratio of text to tags.<p>Short &amp; <b>so</b>wn.<ul><li>one\n  thing<li>other</ul>"
+TEXT = "The first paragraph is long enough to be told from a menu by its ratio of text to tags. Short & sown. one thing other"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><a>x</a></nav><article>{ARTICLE}</article><footer>&copy;</footer></body></html>",
+        f"<body><header><h1>Site</h1></header><div id='side-bar' class='sidebar'>more</div><main>{ARTICLE}</main><aside>read this too</aside>",
+        f"<div class='cookie-notice'>We use cookies and a very long sentence about them, as such pages have it.</div><article>{ARTICLE}<script>var a='</p>';</script></article>",
+        f"<body><div class=ad>Buy<article>{ARTICLE}</article><section id=comments><article class=comment><p>A reader has a long opinion on all this, too long.</p></article></section>",
+        f"<form><p>Enter your address in this field to get a very long newsletter each day</p></form><div class=content>{ARTICLE}</div><div class='footer'>end</div>",
+    ],
+)
+def test_article_without_furniture(html):
+    assert html_extract.extract(html) == TEXT
+
+
+def test_article_header_belongs_to_the_article():
+    assert html_extract.extract("<header>Site</header><article><header><h1>Title</h1></header><p>Text.</p></article>") == "Title Text."
+
+
+def test_smoothing_and_threshold():
+    x = np.array([1.0, 1, 1, 50, 60, 55, 1, 1])
+    s = html_extract.smoothed(x)
+    assert abs(html_extract.smoothed(np.full(9, 4.0)) - 4).max() < 1e-12 and s.argmax() == 4
+    cut = html_extract.threshold(x)
+    assert 1 < cut <= 50 and html_extract.threshold(np.array([3.0])) == 3
+
+
+def _repeated(words: list[str]) -> int:
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    hit = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
+    return len(hit)
+
+
+def test_measurements():
+    r = random.Random(4)
+    for _ in range(200):
+        words = r.choices(["a", "bb", "C#", "d|", "é"], k=r.randint(0, 40))
+        text = "".join(w + r.choice([" ", "\n", "\t ", "\n\n"]) for w in words)
+        m = dict(zip(quality_rules.MEASURES, quality_rules.measure_text(text)))
+        lines = [x for x in text.split("\n") if x.strip()]
+        assert m["n_words"] == len(words) and m["word_chars"] == sum(map(len, words)) and m["n_repeat_words"] == _repeated(words)
+        assert m["n_dup_lines"] == len(lines) - len(set(lines)) and m["n_symbols"] == sum(text.count(c) for c in "#*$%&|<>")
+
+
+def test_ledger_policies_and_ablation(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    texts = [good, "short", good + " #" * 60, "a b c " * 40, good.upper(), ("\n" + good) * 3, None]
+    led = quality_rules.ledger(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).cache()
+    bits = {r.doc_id: r.failed_bits for r in led.collect()}
+    m = quality_rules.mask
+    assert bits[0] == 0 and bits[4] == m("shouting") and bits[1] & m("too_short") and bits[3] & m("repeated_words") and bits[2] & m("symbols") and bits[5] & m("duplicate_lines")
+    for policy, of in quality_rules.POLICIES.items():
+        kept = {r.doc_id for r in led.where(quality_rules.kept(policy)).collect()}
+        assert kept == {i for i, b in bits.items() if not b & of}
+        for row in quality_rules.ablation(led, policy).collect():
+            bit = m(row.rule)
+            assert row.failed == sum(bool(b & bit) for b in bits.values()) and row.failed_alone == sum(b & of == bit for b in bits.values()) and row.documents == len(texts)
+
+
+def test_rule_bits_follow_the_rule_list():
+    assert [quality_rules.mask(r.name) for r in quality_rules.rules()] == [1 << i for i in range(len(quality_rules.rules()))]
+
+
+def _held_out(rows, labels, n, fold):
+    pairs = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == fold) and 0 <= r.score <= 1 for r in rows)
+    return sum(p == y for p, y in pairs) / len(pairs)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    r = random.Random(9)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    word = lambda: "".join(r.choices(syllables, k=r.randint(1, 4)))
+    rows, labels = [], {}
+    for i in range(900):
+        words = [word() for _ in range(r.randint(30, 120))]
+        toxic = i % 5 == 0
+        if toxic:
+            for _ in range(r.randint(2, 5)):
+                words.insert(r.randrange(len(words)), r.choice(["zwork", "quixla"]) + r.choice(syllables))
+        rows.append((i, " ".join(words)))
+        if i % 3:
+            labels[i] = int(toxic)
+    table = spark.createDataFrame([(i, None, y) for i, y in labels.items()], "doc_id long, quality int, toxic int")
+    got = toxicity.report(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()
+    assert _held_out(got, labels, 4, 2) > 0.97
+
+
+def test_kneser_ney_sums_to_one():
+    rng = np.random.default_rng(0)
+    table = np.zeros((3, toxicity.LETTERS**toxicity.ORDER), np.int64)
+    table[:, rng.integers(0, table.shape[1], 5000)] = rng.integers(1, 9, (3, 5000))
+    lower = toxicity._shared(table.sum(axis=0) > 0, toxicity.ORDER - 1)
+    assert np.allclose(lower.sum(axis=1), 1)
+    full = np.tile(lower, (toxicity.LETTERS, 1))
+    assert np.allclose(toxicity._interpolated(table[1].reshape(-1, toxicity.LETTERS), full).sum(axis=1), 1)
+
+
+def test_quality_on_held_out_rows(spark):
+    r = random.Random(3)
+    rows, labels = [], {}
+    for i in range(400):
+        words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(r.randint(60, 200))]
+        junk = i % 4 == 0
+        if junk:
+            words = [w + "###" for w in words] if i % 8 else words[:3] * 30
+        rows.append((i, " ".join(words)))
+        labels[i] = int(not junk)
+    table = spark.createDataFrame([(i, y, None) for i, y in labels.items()], "doc_id long, quality int, toxic int")
+    got = quality_model.report(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()
+    assert _held_out(got, labels, 5, 0) > 0.97
