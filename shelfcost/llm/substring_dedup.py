@@ -9,8 +9,8 @@ match within themselves. A window's anchor is its leftmost smallest hash of ``GR
 offsets. A maximal run of windows with one anchor is a segment. Segments with equal bytes are merged to a class: a
 class of several occurrences needs no search. Classes that share an anchor but differ (the
 ends of repeated passages) are searched with a suffix array over their bytes: with the suffixes in order, the previous and
-next smaller positions of each give its longest previous factor (and, mirrored, its longest next factor), and a window is
-repeated if that reaches ``length``. Anchors with more than ``GROUP`` classes are searched by
+next smaller positions of each give its longest previous factor (and what that repeats), and a window is
+repeated if it reaches ``length``. Anchors with more than ``GROUP`` classes are searched by
 counting their windows' 128-bit hashes, which needs no group in one place; both ways are exact up to hash collisions of 128 bits.
 
 Defined cases: a null text is empty, and texts shorter than ``length`` lose nothing; matches never cross documents;
@@ -141,7 +141,7 @@ def _segments(part: list[tuple[int, int, bytes]], length: int, gram: int) -> tup
 
 
 def suffix_order(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes of ``buf`` (symbols up to 510) in the order of their first ``length`` symbols, then position; and each one's rank.
+    """The suffixes of ``buf`` (symbols up to 510) in the order of their first ``length`` symbols; and each one's rank.
 
     Prefix doubling from 7 symbols on; suffixes that nothing ties with any more are not sorted again. Equal prefixes have equal ranks.
     """
@@ -150,7 +150,7 @@ def suffix_order(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, np.int64)
     for k in range(min(width, n)):
         key[: n - k] += (buf[k:] + 1) << (9 * (width - 1 - k))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     rank = np.empty(n, np.int64)
     slots = np.arange(n)
     members, key = order, key[order]
@@ -165,7 +165,7 @@ def suffix_order(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         ahead = members + step
         follow = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         key = rank[members] * (n + 1) + follow
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         members, key = members[by], key[by]
         order[slots] = members
         width += step
@@ -183,20 +183,6 @@ def _nearest_smaller(values: np.ndarray) -> np.ndarray:
     return near
 
 
-def _reaches(rank: np.ndarray, order: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    """By position: whether the longest previous factor has full length, "previous" meaning a smaller value of ``positions``."""
-    n = len(order)
-    value = positions[order]
-    before = _nearest_smaller(value)
-    after = n - 1 - _nearest_smaller(value[::-1])[::-1]
-    out = np.zeros(n, bool)
-    here = rank[order]
-    for near, ok in ((before, before >= 0), (after, after < n)):
-        at = np.flatnonzero(ok)
-        out[order[at]] |= here[near[at]] == here[at]
-    return out
-
-
 def repeated(texts: list[bytes], length: int, later_only: bool) -> list[np.ndarray]:
     """For each text and each window of it, whether its string starts elsewhere in the texts (earlier, if ``later_only``).
 
@@ -211,14 +197,21 @@ def repeated(texts: list[bytes], length: int, later_only: bool) -> list[np.ndarr
     buf[ends] = 256
     starts = ends - sizes
     order, rank = suffix_order(buf, length)
-    whole = np.zeros(len(buf), bool)  # places with a full window before the end of their text
-    for s, n in zip(starts, sizes):
-        whole[s : s + max(0, n - length + 1)] = True
-    rank = np.where(whole, rank, len(buf) + np.arange(len(buf)))  # others match nothing
-    at = np.arange(len(buf), dtype=np.int64)
-    found = _reaches(rank, order, at)
-    if not later_only:
-        found |= _reaches(rank, order, -at)
+    left = np.repeat(ends, sizes + 1) - np.arange(len(buf))  # bytes up to the end of the text
+    # only suffixes that tie with another in the full length can reach it; the others are left out of the order
+    order = order[left[order] >= length]
+    same = rank[order[1:]] == rank[order[:-1]]
+    order = order[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(order) > 1 else order[:0]
+    found = np.zeros(len(buf), bool)
+    # the longest previous factor starts at the previous or next smaller position in suffix order
+    before = _nearest_smaller(order)
+    after = len(order) - 1 - _nearest_smaller(order[::-1])[::-1]
+    for near, ok in ((before, before >= 0), (after, after < len(order))):
+        at = np.flatnonzero(ok)
+        at = at[rank[order[near[at]]] == rank[order[at]]]
+        found[order[at]] = True
+        if not later_only:
+            found[order[near[at]]] = True  # what it repeats
     return [found[s : s + max(0, n - length + 1)] for s, n in zip(starts, sizes)]
 
 
@@ -249,11 +242,18 @@ def _fetched(d: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     lists = wanted.groupBy(*_ID).agg(F.collect_list(F.struct("start", "n", "key", "lone", "k")).alias("parts"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["nid", "th", "start", "key", "lone", "k", "seg"]
+        out: list[tuple] = []
         for batch in batches:
             for nid, th, raw, parts in zip(batch["nid"], batch["th"], batch["raw"], batch["parts"]):
                 raw = bytes(raw)
-                out = [(nid, th, p["start"], p["key"], p["lone"], p["k"], raw[p["start"] : p["start"] + p["n"] + length - 1]) for p in parts]
-                yield pd.DataFrame(out, columns=["nid", "th", "start", "key", "lone", "k", "seg"])
+                for p in parts:
+                    out.append((nid, th, p["start"], p["key"], p["lone"], p["k"], raw[p["start"] : p["start"] + p["n"] + length - 1]))
+                    if len(out) >= 5000:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return save(d.join(lists, list(_ID)).select(*_ID, "raw", "parts").mapInPandas(cut, "nid long, th int, start int, key long, lone boolean, k long, seg binary"), "parts")
 
