@@ -5,7 +5,7 @@ earlier line of the corpus (smaller document id, then smaller line number; remov
 similarity of at least ``num / den`` with it, 0.8 by default. Lines without a word are never removed.
 
 Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by the corpus-wide
-count of their rarest word, which bounds how often the shingle occurs (in classes by hash bucket, a fixed number of
+count of their first word, which bounds how often the shingle occurs (in classes by hash bucket, a fixed number of
 buckets, so the lookup has a fixed size), then by their hash. Tokens are 64-bit hashes.
 Two similar sets share a token among the first ``n - ceil(t n) + 1`` of each, so only these are indexed; the pairs
 that meet there pass the length filter and the positional filter at their first common token before the sets
@@ -45,30 +45,27 @@ def _nid() -> Column:
 
 def _words(line: Column) -> Column:
     """The line's words; a plain split where blanks are the only white space, which is much cheaper."""
-    return F.when(line.rlike(r"[\x09-\x0D]"), words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+    return F.when(other, words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
 def _tokens(line: Column, classes: Column) -> Column:
-    """The line's different tokens: for each shingle the rarity class and some hash bits of its rarest word, then its own hash.
+    """The line's different tokens: for each shingle the rarity class of its first word, then its own hash.
 
     So the order of the tokens as numbers is by rarity. What is used more than once stands as a lambda's argument,
     which is computed once.
     """
 
-    def ranked(h: Column) -> Column:
-        return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-
     def shingles(w: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
 
         def token(i: Column) -> Column:
-            of = [F.get(w, i + k) for k in range(SHINGLE)]
-            return F.least(*of).bitwiseAND(F.lit(-1 << 40)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*of), 24))
+            own = F.shiftrightunsigned(F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))), 8)
+            return F.shiftleft(F.get(classes, F.pmod(F.get(w, i), F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(own)
 
         return F.array_distinct(F.transform(starts, token))
 
-    ranks = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), ranked)
-    return F.get(F.transform(F.array(ranks), shingles), F.lit(0))
+    return F.get(F.transform(F.array(F.transform(_words(line), lambda w: F.xxhash64(w))), shingles), F.lit(0))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -82,7 +79,8 @@ def equal_lines(docs: DataFrame) -> DataFrame:
     lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "no")
     at = F.struct("nid", "no")
     several = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
-    later = lines.join(several, ["h1", "h2"]).where(at != F.col("first"))
+    several = save(several, "several")  # so that a very common line can be split over tasks in the join
+    later = lines.join(small(several), ["h1", "h2"]).where(at != F.col("first"))
     return later.groupBy("nid").agg(F.collect_set("no").alias("gone"))
 
 
@@ -98,7 +96,7 @@ def rarity(docs: DataFrame) -> Column:
     table = [0] * BUCKETS
     for b, n in counted.collect():  # BUCKETS rows at most
         table[b] = min(127, round(4 * math.log2(1 + n)))
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
 def _postings(docs: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
@@ -122,7 +120,7 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
 def _sets(docs: DataFrame, lists: DataFrame, classes: Column) -> DataFrame:
     """(nid, no, tokens) of every line that shares an indexed token with another."""
     wanted = save(lists.groupBy("nid").agg(F.collect_set("no").alias("want")), "wanted")
-    d = docs.select(_nid().alias("nid"), F.split("text", "\n").alias("all")).join(small(wanted), "nid")
+    d = docs.select(_nid().alias("nid"), "text").join(small(wanted), "nid").select("nid", "want", F.split("text", "\n").alias("all"))
     picked = d.select("nid", F.explode("want").alias("no"), "all").select("nid", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
     return save(picked.select("nid", "no", _tokens(F.col("line"), classes).alias("tokens")), "sets")
 
