@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcost.llm.store import save
+from shelfcost.llm.store import save, small
 
 LENGTH = 400
 GRAM = 48
@@ -301,7 +301,8 @@ def _counted(parts: DataFrame, length: int, later_only: bool) -> DataFrame:
     windows = parts.select(*_ID, "start", "lone", "seg").mapInPandas(hashed, "nid long, th int, a int, lone boolean, h1 long, h2 long")
     at = F.struct(*_ID, "a")
     groups = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("first")).where("c > 1")
-    found = windows.join(groups, ["h1", "h2"])
+    groups = save(groups, "groups")  # so that a very common window can be split over tasks in the join
+    found = windows.join(small(groups), ["h1", "h2"])
     found = found.where(at != F.col("first")) if later_only else found.where("lone")
     return found.select(*_ID, "a", (F.col("a") + 1).alias("b"))
 
