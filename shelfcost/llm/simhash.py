@@ -175,7 +175,8 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     residents = fps.select(home("fp").alias("anchor"), F.col("fp").alias("a"))
     visitors = fps.mapInPandas(visits, "anchor long, b long")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return residents.join(visitors, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    # a merge join at every size: the visitors are many whether or not the residents would fit a broadcast
+    return residents.hint("merge").join(visitors, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
