@@ -6,7 +6,9 @@ every run of characters other than letters and digits has become one space.
 
 An item with k allowed edits is split into k + 1 pieces. If a stretch is within k edits, at least one piece stands
 in it unchanged, so an exact search for all pieces (one Aho-Corasick pass over the whole text) finds every
-candidate place; around each, Myers' bit-parallel algorithm computes the distance.
+candidate place; around each, Myers' bit-parallel algorithm computes the distance. Chance hits of a piece are
+dismissed early by the same argument on 2, 4, 8, ... neighbouring pieces: of m pieces with fewer than m edits
+together, one half has fewer edits than pieces again, so a true place has a piece all of whose enclosing groups match.
 
 The items are taken in blocks of at most ``BLOCK_CHARS`` characters, so what each executor holds has a fixed
 bound; a benchmark beyond it is searched block by block, each against all documents.
@@ -44,57 +46,106 @@ def pieces(item: str, k: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def myers(pattern: str, text: str, k: int) -> int | None:
-    """The smallest edit distance, if at most ``k``, between ``pattern`` and any stretch of ``text``."""
-    m = len(pattern)
-    full, top = (1 << m) - 1, 1 << (m - 1)
+def _masks(pattern: str) -> tuple[int, dict[str, int]]:
+    """Length, and the places of each character as a bit mask."""
     at: dict[str, int] = {}
     for i, c in enumerate(pattern):
         at[c] = at.get(c, 0) | 1 << i
+    return len(pattern), at
+
+
+def _distance(masks: tuple[int, dict[str, int]], text: str, enough: int) -> int:
+    """The smallest edit distance between the pattern and any stretch of ``text``; the first one of at most ``enough`` ends the search."""
+    m, at = masks
+    full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score, best = full, 0, m, m
     for c in text:
-        eq = at.get(c, 0)
-        x = eq | down
+        x = at.get(c, 0) | down
         d0 = ((((x & up) + up) ^ up) | x) & full
         plus = down | (full ^ (d0 | up))
         minus = up & d0
-        score += bool(plus & top) - bool(minus & top)
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+            if score < best:
+                best = score
+                if best <= enough:
+                    return best
         plus, minus = plus << 1 & full, minus << 1 & full
         up = minus | (full ^ (d0 | plus))
         down = plus & d0
-        if score < best:
-            best = score
+    return best
+
+
+def myers(pattern: str, text: str, k: int) -> int | None:
+    """The smallest edit distance, if at most ``k``, between ``pattern`` and any stretch of ``text``."""
+    best = _distance(_masks(pattern), text, 0)
     return best if best <= k else None
 
 
+def _half_stands(piece: str, text: str, at: int, before: bool) -> bool:
+    """A quick necessary test that ``piece`` stands at ``at`` with one edit at most, its other end (``before``: its right end) being fixed: one half is unchanged."""
+    half = len(piece) // 2
+    left, right, mid = piece[:half], piece[half:], at + half
+    if before:
+        return text.startswith(right, mid) and mid >= 0 or any(text.startswith(left, at + d) for d in (-1, 0, 1) if at + d >= 0)
+    return text.startswith(left, at) or any(text.startswith(right, mid + d) for d in (-1, 0, 1))
+
+
 class Matcher:
     """Searches texts for a block of items."""
 
     def __init__(self, items: list[tuple[int, str]], budget: float):
         import ahocorasick
 
-        self.items: list[tuple[int, str, int]] = []
+        self.items: list[tuple[int, str, int, list[int]]] = []  # id, text, allowed edits, where the pieces start
+        self.groups: dict[tuple[int, int, int], tuple[int, dict[str, int]]] = {}
         by_piece: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             k = int(len(text) * budget)
-            for offset, piece in pieces(text, k):
-                by_piece.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((item_id, text, k))
+            cut = pieces(text, k)
+            for number, (_, piece) in enumerate(cut):
+                by_piece.setdefault(piece, []).append((len(self.items), number))
+            self.items.append((item_id, text, k, [offset for offset, _ in cut] + [len(text)]))
         self.automaton = ahocorasick.Automaton()
         for piece, places in by_piece.items():
             self.automaton.add_word(piece, (len(piece), places))
         if by_piece:
             self.automaton.make_automaton()
 
+    def _plausible(self, item: int, number: int, start: int, text: str) -> bool:
+        """Whether the groups of 2, 4, ... pieces around the piece found at ``start`` match within their share of edits."""
+        _, pattern, k, cuts = self.items[item]
+        other = number ^ 1
+        if other <= k and not _half_stands(pattern[cuts[other] : cuts[other + 1]], text, start - cuts[number] + cuts[other], other < number):
+            return False
+        width = 2
+        while width <= k:
+            a = number // width * width
+            b = min(a + width, k + 1)
+            if b - a > 1:
+                masks = self.groups.get((item, a, b))
+                if masks is None:
+                    masks = self.groups[item, a, b] = _masks(pattern[cuts[a] : cuts[b]])
+                edits = b - a - 1
+                first = start - (cuts[number] - cuts[a])
+                if _distance(masks, text[max(0, first - edits) : first + masks[0] + edits], edits) > edits:
+                    return False
+            width *= 2
+        return True
+
     def search(self, text: str) -> list[tuple[int, int]]:
         """(item_id, distance) of each item found in a normalised text, with its smallest distance."""
         if not self.items or not text:
             return []
         spans: dict[int, list[list[int]]] = {}
         for end, (n, places) in self.automaton.iter(text):
-            for item, offset in places:
-                _, pattern, k = self.items[item]
-                start = end + 1 - n - offset
+            for item, number in places:
+                if not self._plausible(item, number, end + 1 - n, text):
+                    continue
+                _, pattern, k, cuts = self.items[item]
+                start = end + 1 - n - cuts[number]
                 a, b = max(0, start - k), start + len(pattern) + k
                 found = spans.setdefault(item, [])
                 if found and a <= found[-1][1]:  # windows come nearly in order; those that overlap are verified at once
@@ -103,7 +154,7 @@ class Matcher:
                     found.append([a, b])
         out = []
         for item, found in spans.items():
-            item_id, pattern, k = self.items[item]
+            item_id, pattern, k, _ = self.items[item]
             if pattern in text:
                 out.append((item_id, 0))
                 continue
