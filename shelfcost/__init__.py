@@ -8,7 +8,6 @@ functions/  Column-level building blocks (month buckets, signs, ids, classes)
 operators/  DataFrame -> DataFrame operators (branches, pivots, grid, writer,
             report, quality checks, the older v1 rule set)
 plans/      end-to-end jobs and the registry of named queries
-streaming/  (nothing: the reference has no streaming; see its docstring)
 """
 
 __all__ = ["__version__"]

@@ -89,6 +89,3 @@ def report_default_start_col(as_of: Column) -> Column:
 def report_default_end_col(as_of: Column) -> Column:
     return F.date_sub(F.trunc(as_of, "MM"), 1)
 
-
-def month_end_col(month: Column) -> Column:
-    return F.last_day(month)

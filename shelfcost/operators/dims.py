@@ -1,25 +1,19 @@
 """Dimensions: product categories, product lookups, stores.
 
-Broadcast policy: a side is broadcast only after a bounded check proves its
-size (``limit(bound + 1).count()`` reads at most ``bound + 1`` rows; the
-bound is the session setting ``shelfcost.broadcast.maxRows``, default
-200 000). Beyond the bound the join is left to the planner -- sort-merge, or
-a broadcast AQE picks at run time from measured sizes.
+No dimension is counted, cached or hinted: a join side is broadcast only
+where the planner's byte statistics or AQE's measured bytes allow it, and the
+plan is the same at every size.
 
 The categorised product dimension is the one lookup that grows with the
-business (the catalogue). :func:`join_products` therefore has two plans:
-within the bound it is broadcast and every line is priced map-side (nothing
-is shuffled by item, so no item can be hot); beyond it, lines are first
-pre-aggregated per (keys, item) -- map-side partial aggregation collapses a
-hot item to a few rows per task -- and only then shuffle-joined. Every branch
-measure is a sum and product columns are constant per item, so both plans
-give the same result.
+business (the catalogue). :func:`join_products` pre-aggregates lines per
+(keys, item) before the join, so map-side partial aggregation collapses a hot
+item to a few rows per task and the join's other side stays below months x
+stores x items rows whatever the line count. Every branch measure is a sum
+and product columns are constant per item, so this changes no result.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,63 +21,15 @@ from shelfcost import fixed
 from shelfcost.functions.classify import category
 from shelfcost.sources.catalog import Sources
 
-# Default row bound under which a dimension is broadcast (session setting below overrides).
-MAX_BROADCAST_ROWS = 200_000
-CONF_MAX_ROWS = "shelfcost.broadcast.maxRows"
-
-
-def broadcast_bound(spark) -> int:
-    return int(spark.conf.get(CONF_MAX_ROWS, str(MAX_BROADCAST_ROWS)))
-
-
-@dataclass(frozen=True)
-class Dim:
-    """A dimension after its size check: its rows, and whether they are broadcast."""
-
-    base: DataFrame
-    broadcast: bool
-
-    @property
-    def df(self) -> DataFrame:
-        """The side to join: hinted for broadcast when the check passed."""
-        return F.broadcast(self.base) if self.broadcast else self.base
-
-    def narrowed(self, fn) -> "Dim | None":
-        """A filter or projection of a checked dimension stays within its bound,
-        so it needs no second count; ``None`` when this one was over the bound."""
-        return Dim(fn(self.base), True) if self.broadcast else None
-
 
-def checked(df: DataFrame, max_rows: int | None = None) -> Dim:
-    """Size-check ``df``: broadcast (cached) if it has at most the bound's rows, else as is.
-
-    The count runs on the uncached plan under a limit, so every partition
-    stops after ``bound + 1`` rows and an oversized side is never
-    materialised. Only a side proven small is cached, so its several joins
-    share one computation.
-    """
-    bound = broadcast_bound(df.sparkSession) if max_rows is None else max_rows
-    if df.limit(bound + 1).count() <= bound:
-        return Dim(df.persist(), True)
-    return Dim(df, False)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most the bound's rows, else ``df``."""
-    return checked(df, max_rows).df
-
-
-def join_products(lines: DataFrame, keys: list[str], sums: list[str], products: Dim) -> DataFrame:
+def join_products(lines: DataFrame, keys: list[str], sums: list[str], products: DataFrame) -> DataFrame:
     """Attach product columns to lines measured by the additive columns ``sums``.
 
     ``lines`` carries ``keys``, ``ItemCode`` and ``sums``; the result carries
-    the same plus the product columns, at line level when the products are
-    broadcast, else pre-aggregated per (keys, item).
+    the same plus the product columns, one row per (keys, item, product row).
     """
-    lines = lines.select(*keys, "ItemCode", *sums)
-    if not products.broadcast:
-        lines = lines.groupBy(*keys, "ItemCode").agg(*[F.sum(c).alias(c) for c in sums])
-    return lines.join(products.df, "ItemCode")
+    per_item = lines.groupBy(*keys, "ItemCode").agg(*[F.sum(c).alias(c) for c in sums])
+    return per_item.join(products, "ItemCode")
 
 
 def category_dim(src: Sources) -> DataFrame:
@@ -96,39 +42,10 @@ def category_dim(src: Sources) -> DataFrame:
     )
 
 
-def category_dim_b(src: Sources) -> DataFrame:
-    """Category dimension, broadcast when bounded (memoised per source set).
-
-    Reads the persisted table written by the category load when the source
-    set names one (the monthly flow: load categories, then roll up), else
-    derives it from the product types.
-    """
-    table = src.category_dim if src.has("category_dim") else category_dim(src)
-    return src.memo("dim:category", lambda: bounded_broadcast(table))
-
-
-def locations_b(src: Sources) -> DataFrame:
-    return src.memo("dim:locations", lambda: bounded_broadcast(src.locations))
-
-
-def facilities_b(src: Sources) -> DataFrame:
-    return src.memo("dim:facilities", lambda: bounded_broadcast(src.facilities))
-
-
-def product_types_b(src: Sources) -> DataFrame:
-    return src.memo("dim:product_types", lambda: bounded_broadcast(src.product_types))
-
-
-def _products_with_class(src: Sources) -> DataFrame:
-    """Every product with its category and class: (ItemCode, PrCat, PTypeClass, Cost)."""
-    cat = category_dim_b(src).select("ProductType", F.col("PTypeCategory").alias("PrCat"), "PTypeClass")
-    return src.product_master.join(cat, "ProductType").select("ItemCode", "PrCat", "PTypeClass", "Cost")
-
-
-def _narrow(df: DataFrame, new_goods_only: bool) -> DataFrame:
-    if new_goods_only:
-        df = df.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PrCat") != fixed.CAT_GC))
-    return df.select("ItemCode", "PrCat", "Cost")
+def categories(src: Sources) -> DataFrame:
+    """The persisted category table when the source set names one (the monthly
+    flow: load categories, then roll up), else derived from the product types."""
+    return src.category_dim if src.has("category_dim") else category_dim(src)
 
 
 def products_categorised(src: Sources, new_goods_only: bool) -> DataFrame:
@@ -137,19 +54,8 @@ def products_categorised(src: Sources, new_goods_only: bool) -> DataFrame:
     ``new_goods_only`` applies the register/Bookworm/transfer filter: class
     NEW and not a gift card. Online branches take every category.
     """
-    return _narrow(_products_with_class(src), new_goods_only)
-
-
-def products_dim(src: Sources, new_goods_only: bool) -> Dim:
-    """The categorised products, size-checked once per source set.
-
-    The new-goods dimension is a filter of the all-goods one, so when the
-    latter is within the bound the former is too and is not counted again.
-    """
-    every = src.memo("dim:products", lambda: checked(_products_with_class(src)))
-
-    def build() -> Dim:
-        narrowed = every.narrowed(lambda df: _narrow(df, new_goods_only))
-        return narrowed or checked(_narrow(every.base, new_goods_only))
-
-    return src.memo(f"dim:products:{new_goods_only}", build)
+    cat = categories(src).select("ProductType", F.col("PTypeCategory").alias("PrCat"), "PTypeClass")
+    products = src.product_master.join(cat, "ProductType")
+    if new_goods_only:
+        products = products.where((F.col("PTypeClass") == fixed.NEW_CLASS) & (F.col("PrCat") != fixed.CAT_GC))
+    return products.select("ItemCode", "PrCat", "Cost")

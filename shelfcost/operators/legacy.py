@@ -29,39 +29,22 @@ from shelfcost.functions.columns import (
     rightmost,
 )
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import Dim, checked, facilities_b, join_products, locations_b, product_types_b
+from shelfcost.operators.dims import join_products
 from shelfcost.operators.pivot import SALES_MEASURES, V1_XFER_MEASURES, pivot_measures
 from shelfcost.operators.rollup import combine_wide, grid_locations, grid_months, key_grid
-from shelfcost.operators.sales import TIDY_COLUMNS, _signed, _tidy, bookworm_lines, register_lines
+from shelfcost.operators.sales import TIDY_COLUMNS, OnlineKind, _any_kind, _signed, _tags, _tidy, bookworm_lines, register_lines
 from shelfcost.operators.transfers import TIDY_COLUMNS as XFER_COLUMNS
+from shelfcost.session import checkpoint_dir
 from shelfcost.sources.catalog import Sources
 
 
 def v1_products(src: Sources, classify=v1_sales_category) -> DataFrame:
     """Product master filtered by type (no gift cards) and class (not USED), with v1 category."""
-    types = product_types_b(src).where(F.col("PTypeClass") != fixed.USED_CLASS).select("ProductType")
+    types = src.product_types.where(F.col("PTypeClass") != fixed.USED_CLASS).select("ProductType")
     products = src.product_master.where(~F.col("ProductType").isin(list(fixed.GIFT_CARD_TYPES)))
     return products.join(types, "ProductType").select("ItemCode", classify(F.col("ProductType")).alias("PrCat"), "Cost")
 
 
-def _v1_dim(src: Sources, kind: str) -> Dim:
-    """Size-checked v1 product dimensions, once per source set.
-
-    ``sales`` / ``xfer``: filtered products with the sales / transfer category;
-    ``all``: every product, sales category; ``all_im``: ``all`` restricted to
-    the item master (an inner join: duplicates would multiply, as in v1).
-    """
-    def build() -> DataFrame:
-        if kind == "sales":
-            return v1_products(src, v1_sales_category)
-        if kind == "xfer":
-            return v1_products(src, v1_transfer_category)
-        every = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
-        return every.join(src.item_master, "ItemCode") if kind == "all_im" else every
-
-    return src.memo(f"dim:v1products:{kind}", lambda: checked(build()))
-
-
 def v1_sales_classify(src: Sources) -> DataFrame:
     """P2 over the whole product master."""
     return src.product_master.select("ItemCode", "ProductType", v1_sales_category(F.col("ProductType")).alias("PrCat"))
@@ -84,122 +67,152 @@ def _register_measured(lines: DataFrame, store: str, store_as: str, item: str) -
 
 def v1_sales_register(src: Sources, window: Window) -> DataFrame:
     lines = _register_measured(register_lines(src, window), "LocationID", "LocationID", "ItemCode")
-    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], _v1_dim(src, "sales"))
-    priced = priced.join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
+    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], v1_products(src))
+    priced = priced.join(src.locations.select("LocationID", "LocationNo"), "LocationID")
     return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
     lines = _register_measured(bookworm_lines(src, window), "BookwormLocationNo", "LocationNo", "BookwormItemCode")
-    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], _v1_dim(src, "sales"))
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], v1_products(src))
     return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
-def _v1_istore(src: Sources, window: Window, date_col: str, extra: Column, sld_ty: int, measures) -> DataFrame:
-    """iStore orders LEFT-joined to fulfilment with the filters inside the ON
-    clause, then priced through the adaptive product join."""
-    orders = src.istore_orders.where(
-        ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
-        & window.contains(F.col(date_col))
-        & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
-        & extra
-    )
-    heads = src.fulfil_header.where(F.col("OrderSystem") == fixed.ISTORE_ORDER_SYSTEM).select(
-        F.col("OrderID").alias("HeadOrderID"), "ISISOrderID"
-    )
-    fulfil = src.fulfil_detail.where(
-        F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES))
-        & (F.col("ProblemStatusID").isNull() | (F.col("ProblemStatusID") == 0))
-    ).select(F.col("OrderID").alias("LineOrderID"), F.col("LocationNo").alias("FulfilLocationNo"))
-    q, v, f = measures()
-    lines = (
-        orders.join(facilities_b(src), "FacilityID")
-        .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
-        .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"), "left")
-        .select(
-            month_bucket(F.col(date_col)).alias("BusinessMonth"),
-            location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"),
-            rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
-            F.lit(1).cast("bigint").alias("n"), q.alias("q"), v.alias("v"), f.alias("f"),
-        )
-    )
-    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["n", "q", "v", "f"], _v1_dim(src, "all"))
-    cost = F.col("n") * F.col("Cost") if sld_ty == fixed.SLD_ISTORE_SHIPPED else F.lit(0)
-    return _tidy(priced, sld_ty, F.col("q"), cost, F.col("v"), F.col("f"))
+# --- online: one pass over both channels, tagged like the current rules ------------------
 
+V1_ISTORE_KINDS = {
+    "shipped": OnlineKind(
+        fixed.SLD_ISTORE_SHIPPED, "OrderDate", lambda: F.col("ShippedQuantity") > 0,
+        lambda: (F.col("ShippedQuantity"), 1, F.col("Price"), F.col("ShippingFee"))),
+    "refund": OnlineKind(
+        fixed.SLD_ISTORE_REFUND, "RefundDate", lambda: F.col("RefundAmount") > 0,
+        lambda: (F.lit(0), 0, -F.col("RefundAmount"), F.lit(0))),
+}
 
-def v1_istore_shipped(src: Sources, window: Window) -> DataFrame:
-    return _v1_istore(src, window, "OrderDate", F.col("ShippedQuantity") > 0, fixed.SLD_ISTORE_SHIPPED,
-                      lambda: (F.col("ShippedQuantity"), F.col("Price"), F.col("ShippingFee")))
+V1_WEB_KINDS = {
+    "shipped": OnlineKind(
+        fixed.SLD_WEB_SHIPPED, "OrderDate", lambda: F.lit(True),
+        lambda: (F.col("Quantity"), 1, F.col("ExtendedAmount"), F.col("ShippingAmount"))),
+    "refund": OnlineKind(
+        fixed.SLD_WEB_REFUND, "SiteLastModifiedDate", lambda: F.col("ItemRefundAmount") > 0,
+        lambda: (F.lit(0), 0, -F.col("ItemRefundAmount"), F.lit(0))),
+}
 
 
-def v1_istore_refunds(src: Sources, window: Window) -> DataFrame:
-    return _v1_istore(src, window, "RefundDate", F.col("RefundAmount") > 0, fixed.SLD_ISTORE_REFUND,
-                      lambda: (F.lit(0), -F.col("RefundAmount"), F.lit(0)))
-
+def _v1_istore_lines(src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
+    """iStore orders LEFT-joined to fulfilment, filters inside the ON clause.
 
-def _v1_web(src: Sources, window: Window, date_col: str, extra: Column, with_item_master: bool) -> DataFrame:
-    """Web orders at the facility's store, priced through the adaptive product join."""
-    orders = src.web_orders.where(
+    Headers and details are left-joined first and the orders then join that
+    once, so no order without a header ever carries a NULL join key.
+    """
+    orders = src.having("istore_orders", "SKU", fixed.ISTORE_SKU_PREFIX).where(
+        ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
+        & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
+        & _any_kind(window, kinds)
+    )
+    heads = src.having("fulfil_header", "OrderSystem", fixed.ISTORE_ORDER_SYSTEM).where(
+        F.col("OrderSystem") == fixed.ISTORE_ORDER_SYSTEM).select("OrderID", "ISISOrderID")
+    details = src.fulfil_detail.where(
+        F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES))
+        & (F.col("ProblemStatusID").isNull() | (F.col("ProblemStatusID") == 0))
+    ).select("OrderID", F.col("LocationNo").alias("FulfilLocationNo"))
+    fulfilment = heads.join(details, "OrderID", "left").select("ISISOrderID", "FulfilLocationNo")
+    joined = orders.join(src.facilities, "FacilityID").join(
+        fulfilment, F.col("ISIS_OrderID") == F.col("ISISOrderID"), "left")
+    return joined.select(
+        location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"),
+        rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"), F.explode(_tags(window, kinds)).alias("t"))
+
+
+def _v1_web_lines(src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
+    """Web orders at the facility's store."""
+    orders = src.having("web_orders", "SKU", fixed.ISTORE_SKU_PREFIX).where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
         & (F.col("ShippingMethod") != fixed.WEB_PICKUP_SHIPPING_METHOD)
-        & window.contains(F.col(date_col))
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
         & (F.col("Quantity") > 0)
-        & extra
+        & _any_kind(window, kinds)
     )
-    lines = orders.join(facilities_b(src), "FacilityID").select(
-        month_bucket(F.col(date_col)).alias("BusinessMonth"),
+    return orders.join(src.facilities, "FacilityID").select(
         F.col("FacilityLocationNo").alias("LocationNo"),
-        rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"),
-        F.lit(1).cast("bigint").alias("n"), F.col("Quantity").alias("q"), F.col("ExtendedAmount").alias("v"),
-        F.col("ShippingAmount").alias("f"), F.col("ItemRefundAmount").alias("r"),
-    )
-    dim = _v1_dim(src, "all_im" if with_item_master else "all")
-    return join_products(lines, ["BusinessMonth", "LocationNo"], ["n", "q", "v", "f", "r"], dim)
+        rightmost(F.col("SKU"), fixed.ITEM_CODE_WIDTH).alias("ItemCode"), F.explode(_tags(window, kinds)).alias("t"))
 
 
-def v1_web_shipped(src: Sources, window: Window) -> DataFrame:
-    lines = _v1_web(src, window, "OrderDate", F.lit(True), with_item_master=True)
-    return _tidy(lines, fixed.SLD_WEB_SHIPPED, F.col("q"), F.col("n") * F.col("Cost"), F.col("v"), F.col("f"))
+def v1_online(src: Sources, window: Window, istore=("shipped", "refund"), web=("shipped", "refund")) -> DataFrame:
+    """The four v1 online branches in one pass, matched to every product by ``right(SKU, 20)``.
 
+    Web shipped sales also require the item master (J12): an inner join, so an
+    item that stands there twice counts twice and a missing one not at all.
+    """
+    parts = []
+    if istore:
+        parts.append(_v1_istore_lines(src, window, [V1_ISTORE_KINDS[k] for k in istore]))
+    if web:
+        parts.append(_v1_web_lines(src, window, [V1_WEB_KINDS[k] for k in web]))
+    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    products = src.product_master.select("ItemCode", v1_sales_category(F.col("ProductType")).alias("PrCat"), "Cost")
+    sums = ["q", "n", "v", "f"]
+    priced = join_products(lines.select("LocationNo", "ItemCode", "t.*"), ["BusinessMonth", "LocationNo", "SldTy"], sums,
+                           products)
+    if "shipped" in web:
+        listed = src.item_master.groupBy("ItemCode").agg(F.count(F.lit(1)).alias("times"))
+        shipped = F.col("SldTy") == fixed.SLD_WEB_SHIPPED
+        times = F.when(shipped, F.col("times")).otherwise(F.lit(1))
+        priced = priced.join(listed, "ItemCode", "left").where(times.isNotNull())
+        priced = priced.withColumns({c: F.col(c) * times for c in sums})
+    return priced.groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
+        qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
+        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
+    ).select(*TIDY_COLUMNS)
+
+
+def v1_istore_shipped(src: Sources, window: Window) -> DataFrame:
+    return v1_online(src, window, istore=("shipped",), web=())
 
-def v1_web_refunds(src: Sources, window: Window) -> DataFrame:
-    lines = _v1_web(src, window, "SiteLastModifiedDate", F.col("ItemRefundAmount") > 0, with_item_master=False)
-    return _tidy(lines, fixed.SLD_WEB_REFUND, F.lit(0), F.lit(0), -F.col("r"), F.lit(0))
+
+def v1_istore_refunds(src: Sources, window: Window) -> DataFrame:
+    return v1_online(src, window, istore=("refund",), web=())
 
 
-V1_SALES_BRANCHES = (v1_sales_register, v1_istore_shipped, v1_istore_refunds, v1_web_shipped, v1_web_refunds,
-                     v1_sales_bookworm)
+def v1_web_shipped(src: Sources, window: Window) -> DataFrame:
+    return v1_online(src, window, istore=(), web=("shipped",))
+
+
+def v1_web_refunds(src: Sources, window: Window) -> DataFrame:
+    return v1_online(src, window, istore=(), web=("refund",))
 
 
 def v1_sales_tidy(src: Sources, window: Window) -> DataFrame:
-    out = None
-    for branch in V1_SALES_BRANCHES:
-        df = branch(src, window).select(*TIDY_COLUMNS)
-        out = df if out is None else out.unionByName(df)
+    out = v1_sales_register(src, window).select(*TIDY_COLUMNS)
+    for part in (v1_online(src, window), v1_sales_bookworm(src, window)):
+        out = out.unionByName(part.select(*TIDY_COLUMNS))
     return out
 
 
-def _v1_xfers(src: Sources, window: Window, types: tuple[int, ...], location: str, sign: int) -> DataFrame:
-    bins = src.xfer_header.where(
-        (F.col("StatusCode") == fixed.XFER_HEADER_DONE)
-        & F.col("TransferType").isin(list(types))
-        & window.contains(F.col("CreateTime"))
-    ).select("TransferBinNo", "LocationNo", "ToLocationNo", "TransferType", F.col("CreateTime").alias("HeaderTime"))
-    bin_lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
-        "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost"
-    )
-    lines = bins.join(bin_lines, "TransferBinNo").select(
-        month_bucket(F.col("HeaderTime")).alias("BusinessMonth"),
-        F.col(location).alias("LocationNo"),
-        (F.col("TransferType") * F.lit(sign)).alias("XfrTy"),
-        F.col("DipsItemCode").alias("ItemCode"),
-        F.col("Quantity").alias("q"),
-        F.col("DipsCost").alias("c"),
-    )
-    priced = join_products(lines, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], _v1_dim(src, "xfer"))
+def v1_transfers(src: Sources, window: Window, directions=("out", "in")) -> DataFrame:
+    """Both v1 transfer branches in one pass over the joined lines, bucketed on the header's month."""
+    kinds = F.col("TransferType")
+    sides = {
+        "out": (kinds.isin(list(fixed.V1_XFR_OUT_TYPES)), F.col("LocationNo"), kinds),
+        "in": (kinds == fixed.XFR_STORE_TO_STORE, F.col("ToLocationNo"), -kinds),
+    }
+    keep, rows = F.lit(False), []
+    for d in directions:
+        counts, store, kind = sides[d]
+        keep = keep | counts
+        rows.append(F.when(counts, F.struct(store.alias("LocationNo"), kind.alias("XfrTy"))))
+    heads = src.xfer_header.where(
+        (F.col("StatusCode") == fixed.XFER_HEADER_DONE) & window.contains(F.col("CreateTime")) & keep
+    ).select("TransferBinNo", month_bucket(F.col("CreateTime")).alias("BusinessMonth"),
+             F.array_compact(F.array(*rows)).alias("sides"))
+    lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
+        "TransferBinNo", F.col("DipsItemCode").alias("ItemCode"), F.col("Quantity").alias("q"), F.col("DipsCost").alias("c"))
+    tagged = heads.join(lines, "TransferBinNo").select(
+        "BusinessMonth", F.explode("sides").alias("side"), "ItemCode", "q", "c"
+    ).select("BusinessMonth", "side.*", "ItemCode", "q", "c")
+    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"],
+                           v1_products(src, v1_transfer_category))
     return (
         priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
         .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
@@ -208,15 +221,15 @@ def _v1_xfers(src: Sources, window: Window, types: tuple[int, ...], location: st
 
 
 def v1_xfers_out(src: Sources, window: Window) -> DataFrame:
-    return _v1_xfers(src, window, fixed.V1_XFR_OUT_TYPES, "LocationNo", 1)
+    return v1_transfers(src, window, ("out",))
 
 
 def v1_xfers_in(src: Sources, window: Window) -> DataFrame:
-    return _v1_xfers(src, window, (fixed.XFR_STORE_TO_STORE,), "ToLocationNo", -1)
+    return v1_transfers(src, window, ("in",))
 
 
 def v1_xfers_tidy(src: Sources, window: Window) -> DataFrame:
-    return v1_xfers_out(src, window).unionByName(v1_xfers_in(src, window))
+    return v1_transfers(src, window)
 
 
 # --- fixed values: v1 report columns ---------------------------------------------------------
@@ -247,10 +260,9 @@ def v1_report(src: Sources, window: Window, materialise: bool = True) -> DataFra
     wide = combine_wide(pivot_measures(v1_sales_tidy(src, window), SALES_MEASURES),
                         pivot_measures(v1_xfers_tidy(src, window), V1_XFER_MEASURES))
     if materialise:
-        from shelfcost.plans.monthly import materialise as _m
-
-        wide = _m(wide)
-    grid = key_grid(grid_months(wide), grid_locations(wide), drop_null_keys=False)
+        checkpoint_dir(src.spark)
+        wide = wide.checkpoint(eager=True)
+    grid = key_grid(grid_months(wide), grid_locations(wide))
     joined = grid.join(wide, ["BusinessMonth", "LocationNo"], "left")
     cols = [F.col("BusinessMonth"), F.col("LocationNo")]
     for out, w in V1_REPORT_COLUMNS:

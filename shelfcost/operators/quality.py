@@ -38,13 +38,17 @@ class KeyViolation(ValueError):
     """Rows would break the table's key: duplicate or NULL key values."""
 
 
-def enforce_key(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise :class:`KeyViolation` if ``df`` has a NULL or repeated key (one grouped pass)."""
+def enforce_key(df: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> None:
+    """Raise :class:`KeyViolation` if ``df`` has a NULL or repeated key, or a NULL in ``not_null`` (one grouped pass)."""
     bad = F.col("n") > 1
     for k in keys:
         bad = bad | F.col(k).isNull()
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(bad).limit(1).collect()
+    empty = F.lit(0)
+    for c in not_null:
+        empty = empty + F.count_if(F.col(c).isNull())
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), empty.alias("empty")).where(bad | (F.col("empty") > 0)).limit(1).collect()
     if rows:
         key = [rows[0][k] for k in keys]
-        kind = "NULL in" if any(v is None for v in key) else "duplicate"
-        raise KeyViolation(f"{kind} key {key}")
+        if any(v is None for v in key):
+            raise KeyViolation(f"NULL in key {key}")
+        raise KeyViolation(f"duplicate key {key}" if rows[0]["n"] > 1 else f"NULL column at key {key}")

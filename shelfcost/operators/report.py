@@ -1,7 +1,6 @@
 """Report operators: location selection, the report query and its variants.
 
-``report`` joins the rollup to the selected stores (broadcast after a bounded
-check -- the selection is at most the store list) and keeps months in the
+``report`` joins the rollup to the selected stores and keeps months in the
 *inclusive* range ``[start, end]``; on the partitioned table the month range
 prunes folders.
 """
@@ -14,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcost import fixed
-from shelfcost.functions.columns import MONEY
+from shelfcost.functions.columns import MONEY, ci_equals
 from shelfcost.functions.dates import month_bucket, month_list_start
-from shelfcost.operators.dims import bounded_broadcast
 from shelfcost.sources.catalog import Sources
 
 # --- fixed values: report columns ------------------------------------------------------
@@ -67,28 +65,6 @@ def band_of() -> dict[str, str]:
     return out
 
 
-def report_title(report_name: str, location_type: str, location: str | None,
-                 start: dt.date, end: dt.date) -> str:
-    """Title line of the report (a driver-side string of the parameters, no data).
-
-    ``<name> - <selection> - <Month YYYY>[ to <Month YYYY>]``; the range part
-    collapses to one month when start and end fall in the same month, and an
-    unknown location type leaves the selection empty.
-    """
-    if location_type == fixed.LOC_ALL:
-        selection = fixed.LOC_ALL
-    elif location_type == fixed.LOC_STORE:
-        selection = f"{fixed.LOC_STORE} {location}"
-    elif location_type in (fixed.LOC_DISTRICT, fixed.LOC_REGION):
-        selection = f"{location} {location_type}"
-    else:
-        selection = ""
-    months = f"{start:%B} {start.year}"
-    if (start.year, start.month) != (end.year, end.month):
-        months += f" to {end:%B} {end.year}"
-    return f"{report_name} - {selection} - {months}"
-
-
 # --- location selection (R1-R5) ---------------------------------------------------------
 
 def _active_stores(src: Sources) -> DataFrame:
@@ -101,22 +77,33 @@ def _label(df: DataFrame) -> DataFrame:
     return df.select("LocationNo", F.concat(F.col("LocationNo"), F.lit(" "), F.col("Name")).alias("LocationName"))
 
 
-def select_locations(src: Sources, location_type: str, location: str | None) -> DataFrame:
-    """Stores chosen by the report's (LocationType, Location) pair.
+def selectors(src: Sources) -> DataFrame:
+    """Every (FilterType, DynFilter) pair the report accepts, with each store it selects.
 
-    An unknown type selects nothing, which yields an empty report, not an error.
+    The pair is data, so an unknown type or value matches no row and selects
+    nothing: an empty report, not an error. "All Locations" takes no value.
     """
-    stores = _active_stores(src)
-    if location_type == fixed.LOC_ALL:
-        return _label(stores)
-    if location_type == fixed.LOC_STORE:
-        return _label(stores.where(F.col("LocationNo") == F.lit(location)))
-    if location_type == fixed.LOC_DISTRICT:
-        return _label(stores.where(F.col("DistrictCode") == F.lit(location)))
-    if location_type == fixed.LOC_REGION:
-        rl = src.report_locations.where(F.col("Region") == F.lit(location)).select("District")
-        return _label(stores.join(rl, F.col("DistrictCode") == F.col("District"))).distinct()
-    return _label(stores.where(F.lit(False)))
+    stores = _active_stores(src).select("LocationNo", "Name", "DistrictCode")
+    regions = src.report_locations.select("District", "Region").distinct()
+
+    def pairs(df: DataFrame, kind: str, value: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("FilterType"), value.alias("DynFilter"), "LocationNo", "Name")
+
+    return (
+        pairs(stores, fixed.LOC_ALL, F.lit(None).cast("string"))
+        .unionByName(pairs(stores, fixed.LOC_STORE, F.col("LocationNo")))
+        .unionByName(pairs(stores, fixed.LOC_DISTRICT, F.col("DistrictCode")))
+        .unionByName(pairs(stores.join(regions, F.col("DistrictCode") == F.col("District")), fixed.LOC_REGION,
+                           F.col("Region")))
+    )
+
+
+def select_locations(src: Sources, location_type: str, location: str | None) -> DataFrame:
+    """Stores chosen by the report's (LocationType, Location) pair; text is compared ignoring case."""
+    every = F.col("FilterType") == fixed.LOC_ALL
+    one = F.lower("DynFilter") == F.lower(F.lit(location))
+    chosen = selectors(src).where(ci_equals(F.col("FilterType"), location_type) & (every | one))
+    return _label(chosen).distinct()
 
 
 # --- report (R6) -------------------------------------------------------------------------
@@ -124,7 +111,7 @@ def select_locations(src: Sources, location_type: str, location: str | None) ->
 def report(rollup: DataFrame, selection: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Rollup rows of the selected stores, months in ``[start, end]``, report names, sorted."""
     rows = rollup.where(F.col("BusinessMonth").between(F.lit(start), F.lit(end)))
-    rows = rows.join(bounded_broadcast(selection.select("LocationNo")), "LocationNo")
+    rows = rows.join(selection.select("LocationNo"), "LocationNo")
     return rows.select(*[F.col(src).alias(dst) for dst, src in REPORT_COLUMNS]).orderBy("BusinessMonth", "LocationNo")
 
 

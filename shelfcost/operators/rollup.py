@@ -1,21 +1,18 @@
 """Key grid and rollup assembly.
 
 The grid is every (month, store) pair seen in this run's wide tables -- the
-set of rollup rows a run replaces. It is built without a cross join: the
-run's months form a calendar-bounded list (checked against
-:data:`MAX_GRID_MONTHS`), which each store row explodes into. The store side
-stays distributed; only the month list (at most a few hundred dates) passes
-through the driver.
-
-NULL keys (possible when neither the fulfilment nor the facility names a
-store) cannot be stored under the table's not-null key; they are kept out of
-the grid and reported by :func:`shelfcost.operators.quality.null_keys`.
+set of rollup rows a run replaces. It is built without a cross join: each
+store row explodes into the calendar months between the run's first and last
+month (two dates, the only values that pass through the driver), and a
+semi-join keeps the months that occur. The number of months has no cap.
+
+Rows with a NULL key (possible when neither the fulfilment nor the facility
+names a store) never reach the grid: :mod:`shelfcost.plans.monthly` splits
+them off before pivoting and routes them to a reject table.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +20,6 @@ from shelfcost.functions.columns import money, qty
 from shelfcost.operators.pivot import KEYS
 from shelfcost.sources.schemas import ROLLUP_MEASURES
 
-# A run covers at most this many distinct months (100 years).
-MAX_GRID_MONTHS = 1200
-
 # --- fixed values: rollup column sources ---------------------------------------------
 # Rollup sales columns and the wide-sales measure each is taken from.
 ROLLUP_FROM_SALES = (
@@ -64,21 +58,17 @@ def combine_wide(sales_wide: DataFrame, xfers_wide: DataFrame) -> DataFrame:
     return sales_wide.join(xfers_wide, list(KEYS), "full")
 
 
-def bounded_months(months: DataFrame, max_months: int = MAX_GRID_MONTHS) -> list[dt.date]:
-    """Sorted month list of a one-column DataFrame, refusing more than ``max_months``."""
-    rows = months.where(F.col("BusinessMonth").isNotNull()).limit(max_months + 1).collect()
-    if len(rows) > max_months:
-        raise ValueError(f"a run may cover at most {max_months} months")
-    return sorted(r[0] for r in rows)
+def key_grid(months: DataFrame, locations: DataFrame) -> DataFrame:
+    """Every store x every month of the run, as (BusinessMonth, LocationNo).
 
-
-def key_grid(months: DataFrame, locations: DataFrame, drop_null_keys: bool = True) -> DataFrame:
-    """Every store x every month of the run, as (BusinessMonth, LocationNo)."""
-    month_list = bounded_months(months)
-    locs = locations.where(F.col("LocationNo").isNotNull()) if drop_null_keys else locations
-    if not month_list:
-        return locs.select(F.lit(None).cast("date").alias("BusinessMonth"), "LocationNo").where(F.lit(False))
-    return locs.select(F.explode(F.array(*[F.lit(m) for m in month_list])).alias("BusinessMonth"), "LocationNo")
+    ``months`` is a set of first-of-month dates; a NULL month is not a key, a NULL store is kept.
+    """
+    first, last = months.agg(F.min("BusinessMonth"), F.max("BusinessMonth")).first()
+    if first is None:
+        return locations.select(F.lit(None).cast("date").alias("BusinessMonth"), "LocationNo").where(F.lit(False))
+    calendar = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
+    dense = locations.select(F.explode(calendar).alias("BusinessMonth"), "LocationNo")
+    return dense.join(months, "BusinessMonth", "left_semi")
 
 
 def assemble_rollup(grid: DataFrame, wide: DataFrame) -> DataFrame:

@@ -8,16 +8,12 @@ Plan shape (what would hold at 100 TB):
 
 * Date windows are half-open comparisons on raw date columns, pushed to the
   parquet scans of both join sides.
-* The product join (:func:`shelfcost.operators.dims.join_products`) is
-  adaptive: a size-checked product dimension is broadcast and lines are
-  priced map-side; a catalogue over the bound is joined after the lines are
-  pre-aggregated to (month, store, [type,] item). A single item (the Bookworm
-  placeholder, a best seller) may carry a third of all lines: with broadcast
-  nothing is shuffled by item, and after pre-aggregation an item has at most
-  months x stores rows per task. Cost is exact either way:
+* Lines are pre-aggregated to (month, store, [type,] item) before the product
+  join (:func:`shelfcost.operators.dims.join_products`), so an item that
+  carries a third of all lines (the Bookworm placeholder, a best seller)
+  reaches the join as at most months x stores rows. Cost stays exact:
   ``sum(q * cost) = cost * sum(q)`` in decimal.
-* Small dimensions (categories, stores, facilities) are broadcast only after
-  a bounded size check (:mod:`shelfcost.operators.dims`).
+* No join is hinted; byte statistics and AQE choose broadcasts.
 * Online orders join fulfilment header and detail at *order* level; the
   fan-out (several detail lines multiply an order's price) is the rule
   being reproduced, not a bug to dedupe.
@@ -43,7 +39,7 @@ from shelfcost.functions.columns import (
     return_sign,
 )
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import facilities_b, join_products, locations_b, products_dim
+from shelfcost.operators.dims import join_products, products_categorised
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "SldTy", "PrCat", "Qty", "Cost", "Val", "Fee")
@@ -76,7 +72,7 @@ def register_lines(src: Sources, window: Window) -> DataFrame:
 
 def active_headers(src: Sources, window: Window) -> DataFrame:
     """Keys of active sale transactions (status A, type S) in the window."""
-    return src.sales_header.where(
+    return src.having("sales_header", "Status", fixed.SALE_STATUS_ACTIVE).where(
         (F.col("Status") == fixed.SALE_STATUS_ACTIVE)
         & (F.col("XactionType") == fixed.SALE_XACTION_SALE)
         & window.contains(F.col("BusinessDate"))
@@ -93,8 +89,8 @@ def sales_register(src: Sources, window: Window) -> DataFrame:
         month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode",
         F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
-    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], products_dim(src, True))
-    priced = priced.join(locations_b(src).select("LocationID", "LocationNo"), "LocationID")
+    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], products_categorised(src, True))
+    priced = priced.join(src.locations.select("LocationID", "LocationNo"), "LocationID")
     return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
@@ -118,7 +114,7 @@ def bookworm_lines(src: Sources, window: Window) -> DataFrame:
     join, so the header join's other side is the small matched set rather
     than every register line (inner joins commute; the result is the same).
     """
-    items = src.sales_item.where(
+    items = src.having("sales_item", "ItemCode", fixed.BOOKWORM_PLACEHOLDER_ITEM).where(
         window.contains(F.col("BusinessDate")) & (F.col("ItemCode") == fixed.BOOKWORM_PLACEHOLDER_ITEM)
     )
     matched = items.join(
@@ -137,19 +133,18 @@ def sales_bookworm(src: Sources, window: Window) -> DataFrame:
         F.col("BookwormLocationNo").alias("LocationNo"), F.col("BookwormItemCode").alias("ItemCode"),
         F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
     )
-    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], products_dim(src, True))
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], products_categorised(src, True))
     return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 # --- online channels ----------------------------------------------------------------
 #
-# A channel's shipped and refund branches share every join (facility,
-# fulfilment header and detail, product). They are computed in one pass:
-# orders matching *either* branch's window and condition are joined once,
-# each joined line emits one tagged row per branch it belongs to
-# (``explode`` of an array of optional structs), and one aggregate groups by
-# (month, store, sale type, category). Asking for a single kind runs the same
-# code with one tag.
+# All four online branches share every join (facility, fulfilment header and
+# detail, product), so they are one pass. Each channel's order lines are first
+# turned into tags, one per branch they belong to; orders without a tag go.
+# The channels' orders are unioned, joined once to the fulfilment lines of
+# their own order system, and each joined line emits its tags. Asking for one
+# branch runs the same code with the other tags left out.
 
 
 @dataclass(frozen=True)
@@ -180,21 +175,6 @@ WEB_KINDS = {
 }
 
 
-def _fulfilment(src: Sources, order_system: str) -> tuple[DataFrame, DataFrame]:
-    heads = src.fulfil_header.where(F.col("OrderSystem") == order_system).select(
-        F.col("OrderID").alias("HeadOrderID"), F.col("ISISOrderID"), F.col("MarketOrderID").alias("HeadMarketOrderID")
-    )
-    fulfil = src.fulfil_detail.where(
-        F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES)) & F.col("ProblemStatusID").isNull()
-    ).select(
-        F.col("OrderID").alias("LineOrderID"),
-        F.col("ItemCode"),
-        F.col("LocationNo").alias("FulfilLocationNo"),
-        F.col("MarketOrderItemID").alias("LineMarketItemID"),
-    )
-    return heads, fulfil
-
-
 def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
     """Orders in at least one requested branch: a disjunction pushed to the order scan."""
     cond = None
@@ -204,10 +184,10 @@ def _any_kind(window: Window, kinds: list[OnlineKind]) -> Column:
     return cond
 
 
-def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
-    """One tagged row per (joined line, branch); product join; final aggregate.
+def _tags(window: Window, kinds: list[OnlineKind]) -> Column:
+    """One struct per branch the order line belongs to.
 
-    Cost is the product cost once per joined line (not x quantity): each line
+    Cost is the product cost once per joined line (not x quantity): each tag
     carries ``n = 1`` (0 for refunds), which the product join multiplies.
     """
     tags = []
@@ -215,94 +195,103 @@ def _online_tidy(joined: DataFrame, src: Sources, window: Window, kinds: list[On
         q, n, v, f = k.measures()
         tag = F.struct(
             F.lit(k.sld_ty).alias("SldTy"), month_bucket(F.col(k.date_col)).alias("BusinessMonth"),
-            q.cast("bigint").alias("q"), F.lit(n).cast("bigint").alias("n"), money(v).alias("v"),
-            money(f).alias("f"),
+            q.cast("bigint").alias("q"), F.lit(n).cast("bigint").alias("n"), money(v).alias("v"), money(f).alias("f"),
         )
         tags.append(F.when(window.contains(F.col(k.date_col)) & k.condition(), tag))
-    tagged = joined.select(
-        location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"),
-        F.col("ItemCode"),
-        F.explode(F.array(*tags)).alias("t"),
-    ).where(F.col("t").isNotNull()).select(
-        F.col("t.BusinessMonth").alias("BusinessMonth"), "LocationNo", F.col("t.SldTy").alias("SldTy"), "ItemCode",
-        F.col("t.q").alias("q"), F.col("t.n").alias("n"), F.col("t.v").alias("v"), F.col("t.f").alias("f"),
-    )
-    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "SldTy"], ["q", "n", "v", "f"],
-                           products_dim(src, False))
-    return priced.groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
-        qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
-        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
-    ).select(*TIDY_COLUMNS)
+    return F.array_compact(F.array(*tags))
 
 
-def istore_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> DataFrame:
-    """A2 + A3: iStore orders joined to facility, fulfilment header and detail
-    at order level (fan-out kept), shipped by ship month, refunds by refund month."""
-    ks = [ISTORE_KINDS[k] for k in kinds]
-    orders = src.istore_orders.where(
+def _istore_tagged(src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
+    orders = src.having("istore_orders", "SKU", fixed.ISTORE_SKU_PREFIX).where(
         ci_isin(F.col("OrderStatus"), fixed.ISTORE_OPEN_STATUSES)
         & F.col("SKU").startswith(fixed.ISTORE_SKU_PREFIX)
-        & _any_kind(window, ks)
+        & _any_kind(window, kinds)
     )
-    heads, fulfil = _fulfilment(src, fixed.ISTORE_ORDER_SYSTEM)
-    joined = (
-        orders.join(facilities_b(src), "FacilityID")
-        .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
-        .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"))
+    return orders.select(
+        F.lit(fixed.ISTORE_ORDER_SYSTEM).alias("System"), "FacilityID", "ISIS_OrderID",
+        F.lit(None).cast("string").alias("MarketKey"), F.lit(None).cast("string").alias("MarketItemKey"),
+        _tags(window, kinds).alias("tags"),
     )
-    return _online_tidy(joined, src, window, ks)
 
 
-def web_sales(src: Sources, window: Window, kinds=("shipped", "refund")) -> DataFrame:
-    """A4 + A5: web-store lines joined to facility, header on two keys and detail on
-    order and the text form of the item id (J7)."""
-    ks = [WEB_KINDS[k] for k in kinds]
+def _web_tagged(src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFrame:
     orders = src.web_orders.where(
         ~ci_isin(F.col("OrderStatus"), fixed.WEB_CANCELED_STATUSES)
         & ci_equals(F.col("ItemStatus"), fixed.WEB_SHIPPED_ITEM_STATUS)
         & (F.col("ShippingMethod") != fixed.WEB_PICKUP_SHIPPING_METHOD)
         & (F.col("Quantity") > 0)
-        & _any_kind(window, ks)
-    ).withColumn("MarketOrderItemKey", F.col("MarketOrderItemID").cast("string"))
-    heads, fulfil = _fulfilment(src, fixed.WEB_ORDER_SYSTEM)
-    joined = (
-        orders.join(facilities_b(src), "FacilityID")
-        .join(heads, (F.col("ISIS_OrderID") == F.col("ISISOrderID"))
-              & (F.col("MarketOrderID") == F.col("HeadMarketOrderID")))
-        .join(fulfil, (F.col("HeadOrderID") == F.col("LineOrderID"))
-              & (F.col("LineMarketItemID") == F.col("MarketOrderItemKey")))
+        & _any_kind(window, kinds)
+    )
+    return orders.select(
+        F.lit(fixed.WEB_ORDER_SYSTEM).alias("System"), "FacilityID", "ISIS_OrderID",
+        F.col("MarketOrderID").alias("MarketKey"), F.col("MarketOrderItemID").cast("string").alias("MarketItemKey"),
+        _tags(window, kinds).alias("tags"),
     )
-    return _online_tidy(joined, src, window, ks)
+
+
+def fulfilment_lines(src: Sources, systems: list[str]) -> DataFrame:
+    """Valid fulfilment lines with their header's order keys, of the given order systems."""
+    heads = src.having("fulfil_header", "OrderSystem", *systems).where(F.col("OrderSystem").isin(systems)).select(
+        F.col("OrderID"), F.col("ISISOrderID"), "OrderSystem", F.col("MarketOrderID").alias("HeadMarketKey"))
+    lines = src.fulfil_detail.where(
+        F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES)) & F.col("ProblemStatusID").isNull()
+    ).select("OrderID", "ItemCode", F.col("LocationNo").alias("FulfilLocationNo"),
+             F.col("MarketOrderItemID").alias("LineMarketItemKey"))
+    return heads.join(lines, "OrderID").drop("OrderID")
+
+
+def online_sales(src: Sources, window: Window, istore=("shipped", "refund"), web=("shipped", "refund")) -> DataFrame:
+    """A2-A5: online orders joined to facility and, at order level (fan-out kept), to the
+    fulfilment lines (J5, J6); web orders match on two header keys and the text form of
+    the item id as well (J7). Shipped by ship month, refunds by refund or last-modified month."""
+    channels = []
+    if istore:
+        channels.append(_istore_tagged(src, window, [ISTORE_KINDS[k] for k in istore]))
+    if web:
+        channels.append(_web_tagged(src, window, [WEB_KINDS[k] for k in web]))
+    orders = channels[0] if len(channels) == 1 else channels[0].unionByName(channels[1])
+    systems = [s for s, kinds in ((fixed.ISTORE_ORDER_SYSTEM, istore), (fixed.WEB_ORDER_SYSTEM, web)) if kinds]
+    same_item = (F.col("MarketKey") == F.col("HeadMarketKey")) & (F.col("MarketItemKey") == F.col("LineMarketItemKey"))
+    joined = orders.join(src.facilities, "FacilityID").join(
+        fulfilment_lines(src, systems),
+        (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("System") == F.col("OrderSystem"))
+        & ((F.col("System") == fixed.ISTORE_ORDER_SYSTEM) | same_item),
+    )
+    lines = joined.select(
+        location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"), "ItemCode",
+        F.explode("tags").alias("t"),
+    ).select("LocationNo", "ItemCode", "t.*")
+    priced = join_products(lines, ["BusinessMonth", "LocationNo", "SldTy"], ["q", "n", "v", "f"],
+                           products_categorised(src, False))
+    return priced.groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
+        qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
+        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
+    ).select(*TIDY_COLUMNS)
 
 
 def sales_istore_shipped(src: Sources, window: Window) -> DataFrame:
     """A2: shipped iStore orders by ship month; Cost is per line, not x quantity."""
-    return istore_sales(src, window, ("shipped",))
+    return online_sales(src, window, istore=("shipped",), web=())
 
 
 def sales_istore_refunds(src: Sources, window: Window) -> DataFrame:
     """A3: iStore refunds by refund month; negated value, zero quantity and cost."""
-    return istore_sales(src, window, ("refund",))
+    return online_sales(src, window, istore=("refund",), web=())
 
 
 def sales_web_shipped(src: Sources, window: Window) -> DataFrame:
     """A4: shipped web-store lines by ship month."""
-    return web_sales(src, window, ("shipped",))
+    return online_sales(src, window, istore=(), web=("shipped",))
 
 
 def sales_web_refunds(src: Sources, window: Window) -> DataFrame:
     """A5: web-store refunds by last-modified month."""
-    return web_sales(src, window, ("refund",))
-
-
-BRANCHES = (sales_register, sales_istore_shipped, sales_istore_refunds, sales_web_shipped, sales_web_refunds,
-            sales_bookworm)
+    return online_sales(src, window, istore=(), web=("refund",))
 
 
 def sales_tidy(src: Sources, window: Window) -> DataFrame:
-    """K2: bag union of the six branches (online pairs computed in one pass each)."""
-    parts = [sales_register(src, window), istore_sales(src, window), web_sales(src, window),
-             sales_bookworm(src, window)]
+    """K2: bag union of the six branches (the four online ones computed in one pass)."""
+    parts = [sales_register(src, window), online_sales(src, window), sales_bookworm(src, window)]
     out = parts[0].select(*TIDY_COLUMNS)
     for df in parts[1:]:
         out = out.unionByName(df.select(*TIDY_COLUMNS))

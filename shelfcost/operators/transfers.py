@@ -11,10 +11,10 @@ Rules reproduced on purpose:
 * IN has no type filter: inbound trash/donate/damage rows add keys but match
   no measure.
 
-The product join is adaptive (:func:`shelfcost.operators.dims.join_products`):
-broadcast when the product dimension is within the size bound, else after
-pre-aggregating to (month, store, type, item), so a hot item never
-concentrates in one task.
+Headers and lines are joined once: a joined line emits one tagged row per
+direction whose window it meets. Rows are pre-aggregated to (month, store,
+type, item) before the product join, so a hot item never concentrates in one
+task.
 """
 
 from __future__ import annotations
@@ -25,68 +25,50 @@ from pyspark.sql import functions as F
 from shelfcost import fixed
 from shelfcost.functions.columns import event_time, money, qty
 from shelfcost.functions.dates import Window, month_bucket
-from shelfcost.operators.dims import join_products, products_dim
+from shelfcost.operators.dims import join_products, products_categorised
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "XfrTy", "PrCat", "Qty", "Cost")
 
 
-def _detail(src: Sources, window: Window | None = None) -> DataFrame:
-    """Completed transfer lines with their event time; optionally only events in ``window``
-    (stated on the raw columns so the filter reaches the scan)."""
-    lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE)
-    if window is not None:
-        lines = lines.where(window.contains_first(F.col("UpdateTime"), F.col("CreateTime")))
-    return lines.select(
-        "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost",
-        event_time(F.col("UpdateTime"), F.col("CreateTime")).alias("EventTime"),
-    )
-
-
-def _header(src: Sources) -> DataFrame:
-    return src.xfer_header.where(F.col("StatusCode") == fixed.XFER_HEADER_DONE).select(
+def _lines(src: Sources) -> DataFrame:
+    """Completed transfer headers joined to their completed lines, with the line's event time."""
+    heads = src.xfer_header.where(F.col("StatusCode") == fixed.XFER_HEADER_DONE).select(
         "TransferBinNo", "LocationNo", "ToLocationNo", "TransferType", F.col("CreateTime").alias("HeaderTime")
     )
+    lines = src.xfer_detail.where(F.col("StatusCode") == fixed.XFER_DETAIL_DONE).select(
+        "TransferBinNo", "DipsItemCode", "Quantity", "DipsCost", "UpdateTime", F.col("CreateTime").alias("LineTime"),
+    )
+    return heads.join(lines, "TransferBinNo")
 
 
-def xfer_lines(src: Sources) -> DataFrame:
-    """Completed transfer headers joined to their completed lines."""
-    return _header(src).join(_detail(src), "TransferBinNo")
-
-
-def xfers_out(src: Sources, window: Window, window_on: str = "header") -> DataFrame:
-    """Outbound transfers by the lines' event month, at the sending store.
+def transfers(src: Sources, window: Window, directions=("out", "in"), out_window_on: str = "header") -> DataFrame:
+    """A8 + A9 in one pass over the joined lines.
 
-    ``window_on="header"`` (default, as the rule is written) filters on the
-    header's CreateTime; ``"event_time"`` is the opt-in that filters on the
-    same line time the month is bucketed on, so OUT and IN agree.
+    Outbound rows are the sending store's, inbound rows the receiving store's
+    with the type negated. ``out_window_on="header"`` (default, as the rule is
+    written) filters outbound rows on the header's CreateTime; ``"event_time"``
+    is the opt-in that filters them on the line time the month is bucketed on.
     """
-    if window_on == "header":
-        lines = _header(src).where(window.contains(F.col("HeaderTime"))).join(_detail(src), "TransferBinNo")
-    elif window_on == "event_time":
-        lines = _header(src).join(_detail(src, window), "TransferBinNo")
-    else:
-        raise ValueError(f"window_on must be 'header' or 'event_time', not {window_on!r}")
-    return _finish(src, lines, "LocationNo", F.col("TransferType"))
-
-
-def xfers_in(src: Sources, window: Window) -> DataFrame:
-    """Inbound transfers by event month, at the receiving store, type negated."""
-    lines = _header(src).join(_detail(src, window), "TransferBinNo")
-    return _finish(src, lines, "ToLocationNo", -F.col("TransferType"))
-
-
-def _finish(src: Sources, lines: DataFrame, location: str, xfr_ty) -> DataFrame:
-    """Measure lines, attach the product category (new goods only), aggregate."""
-    measured = lines.select(
-        month_bucket(F.col("EventTime")).alias("BusinessMonth"),
-        F.col(location).alias("LocationNo"),
-        xfr_ty.alias("XfrTy"),
-        F.col("DipsItemCode").alias("ItemCode"),
-        F.col("Quantity").alias("q"),
-        (F.col("Quantity") * F.col("DipsCost")).alias("c"),
-    )
-    priced = join_products(measured, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], products_dim(src, True))
+    if out_window_on not in ("header", "event_time"):
+        raise ValueError(f"out_window_on must be 'header' or 'event_time', not {out_window_on!r}")
+    line_in_window = window.contains_first(F.col("UpdateTime"), F.col("LineTime"))
+    out_in_window = window.contains(F.col("HeaderTime")) if out_window_on == "header" else line_in_window
+    sides = {
+        "out": (out_in_window, F.col("LocationNo"), F.col("TransferType")),
+        "in": (line_in_window, F.col("ToLocationNo"), -F.col("TransferType")),
+    }
+    keep, rows = F.lit(False), []
+    for d in directions:
+        in_window, store, kind = sides[d]
+        keep = keep | in_window
+        rows.append(F.when(in_window, F.struct(store.alias("LocationNo"), kind.alias("XfrTy"))))
+    tagged = _lines(src).where(keep).select(
+        month_bucket(event_time(F.col("UpdateTime"), F.col("LineTime"))).alias("BusinessMonth"),
+        F.explode(F.array_compact(F.array(*rows))).alias("side"), F.col("DipsItemCode").alias("ItemCode"),
+        F.col("Quantity").alias("q"), (F.col("Quantity") * F.col("DipsCost")).alias("c"),
+    ).select("BusinessMonth", "side.*", "ItemCode", "q", "c")
+    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], products_categorised(src, True))
     return (
         priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
         .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
@@ -94,6 +76,16 @@ def _finish(src: Sources, lines: DataFrame, location: str, xfr_ty) -> DataFrame:
     )
 
 
+def xfers_out(src: Sources, window: Window, window_on: str = "header") -> DataFrame:
+    """Outbound transfers by the lines' event month, at the sending store."""
+    return transfers(src, window, ("out",), window_on)
+
+
+def xfers_in(src: Sources, window: Window) -> DataFrame:
+    """Inbound transfers by event month, at the receiving store, type negated."""
+    return transfers(src, window, ("in",))
+
+
 def xfers_tidy(src: Sources, window: Window, out_window_on: str = "header") -> DataFrame:
-    """K3: bag union of the two transfer branches."""
-    return xfers_out(src, window, out_window_on).unionByName(xfers_in(src, window))
+    """K3: both transfer branches."""
+    return transfers(src, window, ("out", "in"), out_window_on)

@@ -1,12 +1,12 @@
 """Replace-by-key writer of the rollup table.
 
 The table is parquet partitioned by ``BusinessMonth`` (one folder per month,
-rows sorted by store inside), so report month ranges prune folders.
+files sorted by store inside), so report month ranges prune folders.
 
 A run replaces exactly the (month, store) keys of its grid:
 
-1. read only the affected month folders of the table (partition pruning on
-   a literal month list),
+1. read only the affected month folders of the table (a semi-join on the
+   grid's months, which Spark turns into dynamic partition pruning),
 2. drop rows whose key is in the grid (left anti join on both columns, so a
    store missing from this run keeps its row -- never a whole-month replace),
 3. add the run's rows,
@@ -18,8 +18,11 @@ A run replaces exactly the (month, store) keys of its grid:
 The new rows are checked against the table's key (no NULL, no repeat)
 before anything is written.
 
-The delete and insert are one overwrite, so a failed job leaves the old
-months in place instead of a deleted-but-not-reinserted gap.
+A job that fails before its commit leaves the table as it was. The commit
+itself swaps folders month by month, so a driver lost in the middle of it
+leaves new months beside old ones; running the job again replaces the same
+keys and completes it. Where that window matters, point the job at a table
+format with atomic commits.
 """
 
 from __future__ import annotations
@@ -32,7 +35,6 @@ from pyspark.errors import AnalysisException
 
 from shelfcost.operators import quality
 from shelfcost.operators.pivot import KEYS
-from shelfcost.operators.rollup import bounded_months
 from shelfcost.session import checkpoint_dir
 from shelfcost.sources.schemas import ROLLUP
 
@@ -53,10 +55,13 @@ def delete_keys(target: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """False only when nothing is at ``path``; any other failure to read it is an error."""
     try:
         spark.read.schema(ROLLUP).parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
     return True
 
 
@@ -67,20 +72,18 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
 
 def replace_by_key(spark: SparkSession, path: str, new_rows: DataFrame, grid: DataFrame) -> None:
     """K5 + K6: replace the grid's keys in the table at ``path`` with ``new_rows``."""
-    months = bounded_months(grid.select("BusinessMonth").distinct())
-    if not months:
-        return
     merged = conform(new_rows)
     quality.enforce_key(merged, KEYS)   # the table's primary key, as the database would enforce it
     if table_exists(spark, path):
-        existing = read_rollup(spark, path).where(F.col("BusinessMonth").isin(months))
+        months = grid.select("BusinessMonth").distinct()
+        existing = read_rollup(spark, path).join(months, "BusinessMonth", "left_semi").select(*ROLLUP.fieldNames())
         merged = delete_keys(existing, grid).unionByName(merged)
         # the write below replaces files this plan reads: cut the lineage first
         checkpoint_dir(spark)
         merged = merged.checkpoint(eager=True)
     (
-        merged.repartition("BusinessMonth")
-        .sortWithinPartitions("LocationNo")
+        merged.repartitionByRange("BusinessMonth", "LocationNo")   # a large month spreads over tasks
+        .sortWithinPartitions("BusinessMonth", "LocationNo")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("BusinessMonth")

@@ -9,9 +9,10 @@ Run through the root launcher (spark-submit runs a file), or ``python -m shelfco
     spark-submit run_job.py v1       --sources sources.json --start 2021-06-01 --end 2021-07-01 --out <path>
 
 ``sources.json`` maps each source name of :mod:`shelfcost.sources.schemas` to a
-parquet path or a catalog table name. The session comes from the submitting
-environment (``--conf``); nothing here sets cluster resources. Checkpoints
-go to the session's ``spark.checkpoint.dir``, which must name a shared folder.
+parquet path or a catalog table name. The session is built with the cluster
+profile of :mod:`shelfcost.session`; ``--conf`` of the submitting environment
+sets cluster resources. Checkpoints go to the session's
+``spark.checkpoint.dir``, which must name a shared folder.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from shelfcost.functions.dates import Window
 from shelfcost.operators import legacy
 from shelfcost.plans.monthly import run_category_load, run_rollup
 from shelfcost.plans.report import run_report
+from shelfcost.session import build_session
 from shelfcost.sources.catalog import from_tables
 
 
@@ -43,13 +45,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", help="run date; defaults to today")
     ap.add_argument("--out-window-on", choices=["header", "event_time"], default="header",
                     help="outbound transfers: window on header time (default) or on line event time")
+    ap.add_argument("--allow-rejects", action="store_true",
+                    help="go on when rows have a NULL month or store (they are written to <target>_rejects)")
     ap.add_argument("--type", default="All Locations")
     ap.add_argument("--location")
     ap.add_argument("--start")
     ap.add_argument("--end")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"shelfcost-{args.job}").getOrCreate()
+    spark = SparkSession.getActiveSession() or build_session("cluster", app_name=f"shelfcost-{args.job}")
     with open(args.sources) as fh:
         src = from_tables(spark, json.load(fh))
     as_of = _date(args.as_of) or dt.date.today()
@@ -57,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "category":
         run_category_load(src, args.out)
     elif args.job == "rollup":
-        run_rollup(src, args.target, _date(args.month), as_of, args.out_window_on)
+        run_rollup(src, args.target, _date(args.month), as_of, args.out_window_on, args.allow_rejects)
     elif args.job == "v1":
         # the v1 script's window: start inclusive, end exclusive
         window = Window(_date(args.start), _date(args.end))

@@ -1,12 +1,16 @@
 """Monthly jobs: category load and the rollup.
 
 ``build_rollup`` composes the lazily planned stages; the only materialisation
-point is the combined *wide* table (sales and transfer measures side by side
-per month and store). It is read three times (grid months, grid stores,
-final join) and is tiny -- months x stores -- at any input size, so it is
-checkpointed (reliably, to the shared checkpoint folder) instead of
-recomputing every branch three times. All eight branches feed that one job,
-so they run concurrently; everything upstream runs once.
+point is the *tidy* table of the run: all branches' aggregates per month,
+store, type and category, sales and transfers side by side. It is tiny at
+any input size and is read several times (rejects, both pivots, the key
+grid), so it is checkpointed (reliably, to the shared checkpoint folder)
+instead of recomputing every branch. All branches feed that one job, so
+they run concurrently; everything upstream runs once.
+
+Rows whose month or store is NULL cannot be stored under the rollup's key.
+They are split off before the pivots, written to a reject table beside the
+rollup, and fail the job unless it is told to go on without them.
 """
 
 from __future__ import annotations
@@ -15,10 +19,12 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from shelfcost.functions.columns import MONEY
 from shelfcost.functions.dates import Window, resolve_window
-from shelfcost.operators import dims, rollup, sales, transfers, writer
-from shelfcost.operators.pivot import SALES_MEASURES, XFER_MEASURES, pivot_measures
+from shelfcost.operators import dims, quality, rollup, sales, transfers, writer
+from shelfcost.operators.pivot import KEYS, SALES_MEASURES, XFER_MEASURES, pivot_measures
 from shelfcost.session import checkpoint_dir
 from shelfcost.sources.catalog import Sources
 
@@ -29,38 +35,67 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class RejectedRows(ValueError):
+    """Rows with a NULL month or store, which the rollup's key does not admit."""
+
+
 @dataclass
 class RollupRun:
     window: Window
-    sales_tidy: DataFrame
-    xfers_tidy: DataFrame
-    wide: DataFrame        # sales and transfer measures per (month, store), materialised
+    tidy: DataFrame        # every branch's rows, materialised: Source, keys, Ty, PrCat, Qty, Cost, Val, Fee
+    rejects: DataFrame     # the tidy rows with a NULL key
+    sales_wide: DataFrame  # pivots of the rows with complete keys
+    xfers_wide: DataFrame
     grid: DataFrame
     rollup: DataFrame
 
 
-def build_rollup(src: Sources, window: Window, materialise_wide: bool = True,
+def tidy_rows(st: DataFrame, xt: DataFrame) -> DataFrame:
+    """Sales and transfer branches as one table, told apart by ``Source``."""
+    s = st.select(F.lit("sales").alias("Source"), *KEYS, F.col("SldTy").alias("Ty"), "PrCat", "Qty", "Cost", "Val", "Fee")
+    none = F.lit(None).cast(MONEY)
+    x = xt.select(F.lit("xfers").alias("Source"), *KEYS, F.col("XfrTy").alias("Ty"), "PrCat", "Qty", "Cost",
+                  none.alias("Val"), none.alias("Fee"))
+    return s.unionByName(x)
+
+
+def build_rollup(src: Sources, window: Window, materialise_tidy: bool = True,
                  out_window_on: str = "header") -> RollupRun:
     """Plan one run. ``out_window_on="event_time"`` is the opt-in that windows
     outbound transfers on line time (no months past the window)."""
-    st = sales.sales_tidy(src, window)
-    xt = transfers.xfers_tidy(src, window, out_window_on)
-    wide = rollup.combine_wide(pivot_measures(st, SALES_MEASURES), pivot_measures(xt, XFER_MEASURES))
-    if materialise_wide:
-        wide = materialise(wide)
-    grid = rollup.key_grid(rollup.grid_months(wide), rollup.grid_locations(wide))
-    return RollupRun(window, st, xt, wide, grid, rollup.assemble_rollup(grid, wide))
+    tidy = tidy_rows(sales.sales_tidy(src, window), transfers.xfers_tidy(src, window, out_window_on))
+    if materialise_tidy:
+        tidy = materialise(tidy)
+    good, rejects = quality.split_null_keys(tidy, KEYS)
+    sw = pivot_measures(good.where(F.col("Source") == "sales").withColumnRenamed("Ty", "SldTy"), SALES_MEASURES)
+    xw = pivot_measures(good.where(F.col("Source") == "xfers").withColumnRenamed("Ty", "XfrTy"), XFER_MEASURES)
+    grid = rollup.key_grid(rollup.grid_months(good), rollup.grid_locations(good))
+    return RollupRun(window, tidy, rejects, sw, xw, grid, rollup.assemble_rollup(grid, rollup.combine_wide(sw, xw)))
 
 
 def run_category_load(src: Sources, path: str) -> None:
-    """Entry point A: truncate-and-reload the category dimension."""
-    dims.category_dim(src).coalesce(1).write.mode("overwrite").parquet(path)
+    """Entry point A: truncate-and-reload the category dimension, under its primary key."""
+    cat = dims.category_dim(src)
+    quality.enforce_key(cat, ("ProductType",), ("PTypeCategory", "PTypeClass"))
+    cat.write.mode("overwrite").parquet(path)
+
+
+def rejects_path(target_path: str) -> str:
+    return target_path.rstrip("/") + "_rejects"
 
 
 def run_rollup(src: Sources, target_path: str, first_day: dt.date | None = None,
-               as_of: dt.date | None = None, out_window_on: str = "header") -> RollupRun:
-    """Entry point B: roll up one month (or the default window) and replace its keys."""
+               as_of: dt.date | None = None, out_window_on: str = "header",
+               allow_rejects: bool = False) -> RollupRun:
+    """Entry point B: roll up one month (or the default window) and replace its keys.
+
+    The run's rejects replace the reject table. If there are any, nothing else is
+    written and :class:`RejectedRows` is raised, unless ``allow_rejects``.
+    """
     window = resolve_window(first_day, as_of or dt.date.today())
     run = build_rollup(src, window, out_window_on=out_window_on)
+    run.rejects.write.mode("overwrite").parquet(rejects_path(target_path))
+    if not allow_rejects and not run.rejects.isEmpty():
+        raise RejectedRows(f"rows with a NULL month or store, see {rejects_path(target_path)}")
     writer.replace_by_key(src.spark, target_path, run.rollup, run.grid)
     return run

@@ -19,7 +19,7 @@ from shelfcost import fixed
 from shelfcost.functions.columns import bookworm_xaction_id, item_code_from_sku, location_fallback, signed_quantity
 from shelfcost.functions.dates import report_default_end_col, report_default_start_col, resolve_window, month_bucket
 from shelfcost.operators import dims, legacy, quality, report, rollup, sales, transfers, writer
-from shelfcost.operators.pivot import SALES_MEASURES, XFER_MEASURES, pivot_measures
+from shelfcost.operators.pivot import KEYS, SALES_MEASURES, XFER_MEASURES, pivot_measures
 from shelfcost.plans.monthly import build_rollup
 from shelfcost.plans.report import run_report
 from shelfcost.sources.catalog import Sources, from_star
@@ -54,34 +54,34 @@ def _rollup(spark, d):
     return _run(_src(spark, d)).rollup
 
 
+def _write(src: Sources) -> str:
+    path = writer.scratch_table(src.spark, "rollup")
+    run = _run(src)
+    writer.replace_by_key(src.spark, path, run.rollup, run.grid)
+    return path
+
+
+def _persisted(src: Sources) -> str:
+    """The written, month-partitioned rollup that the reports read; built once per source set."""
+    return src.memo("persisted rollup", lambda: _write(src))
+
+
 def _report(location_type, location, start=REPORT_START, end=REPORT_END):
+    """Entry point C as deployed: the report over the persisted rollup."""
     def q(spark, d):
         src = _src(spark, d)
-        return report.report(_run(src).rollup, report.select_locations(src, location_type, location), start, end)
+        return run_report(src, _persisted(src), location_type, location, start, end)
     return q
 
 
-def _written_rollup(spark, d) -> tuple[str, Sources]:
-    src = _src(spark, d)
-    path = writer.scratch_table(spark, "rollup")
-    run = _run(src)
-    writer.replace_by_key(spark, path, run.rollup, run.grid)
-    return path, src
-
-
 def rollup_scan(spark, d):
-    path, _ = _written_rollup(spark, d)
-    return writer.read_rollup(spark, path)
-
-
-def report_persisted_region(spark, d):
-    """Entry point C as deployed: the report over the written, month-partitioned rollup."""
-    path, src = _written_rollup(spark, d)
-    return run_report(src, path, fixed.LOC_REGION, REGION, RANGE_START, RANGE_END)
+    return writer.read_rollup(spark, _persisted(_src(spark, d)))
 
 
 def rollup_replace_by_key(spark, d):
-    path, src = _written_rollup(spark, d)
+    """A table of its own (it is changed), re-run for one month."""
+    src = _src(spark, d)
+    path = _write(src)
     one = _run(src, WINDOW_ONE)
     writer.replace_by_key(spark, path, one.rollup, one.grid)
     return writer.read_rollup(spark, path)
@@ -92,6 +92,23 @@ def rollup_delete_keys(spark, d):
     return writer.delete_keys(_run(src).rollup, _run(src, WINDOW_ONE).grid)
 
 
+def rollup_rejects(spark, d):
+    return _run(_src(spark, d)).rejects
+
+
+def dq_rollup_duplicate_keys(spark, d):
+    """K7 where it can fire: the table with the re-run month's rows added, before the old ones are deleted."""
+    src = _src(spark, d)
+    both = writer.read_rollup(spark, _persisted(src)).unionByName(_run(src, WINDOW_ONE).rollup)
+    return quality.duplicate_keys(both, ["BusinessMonth", "LocationNo"])
+
+
+def dq_category_duplicate_keys(spark, d):
+    """K7 of the category table: a load appended to a table that holds the earlier load's new goods."""
+    cat = dims.category_dim(_src(spark, d))
+    return quality.duplicate_keys(cat.unionByName(cat.where(F.col("PTypeClass") == fixed.NEW_CLASS)), ["ProductType"])
+
+
 def _window_flags(window):
     def q(spark, d):
         si = _src(spark, d).sales_item
@@ -154,7 +171,7 @@ def location_fallback_q(spark, d):
                                       F.col("LocationNo").alias("FulfilLocationNo"))
     return (
         src.istore_orders.select("ISIS_OrderID", "FacilityID")
-        .join(dims.facilities_b(src), "FacilityID")
+        .join(src.facilities, "FacilityID")
         .join(heads, F.col("ISIS_OrderID") == F.col("ISISOrderID"))
         .join(fulfil, F.col("HeadOrderID") == F.col("LineOrderID"))
         .select("ISIS_OrderID", "FulfilLocationNo", "FacilityLocationNo",
@@ -181,13 +198,7 @@ def report_default_dates_q(spark, d):
 
 
 def dq_null_keys(spark, d):
-    run = _run(_src(spark, d))
-    keys = ["BusinessMonth", "LocationNo"]
-    s = quality.null_keys(run.sales_tidy, keys).select(
-        F.lit("sales").alias("Source"), "BusinessMonth", "LocationNo", F.col("SldTy").alias("Ty"), "PrCat")
-    x = quality.null_keys(run.xfers_tidy, keys).select(
-        F.lit("xfers").alias("Source"), "BusinessMonth", "LocationNo", F.col("XfrTy").alias("Ty"), "PrCat")
-    return s.unionByName(x)
+    return rollup_rejects(spark, d).select("Source", "BusinessMonth", "LocationNo", "Ty", "PrCat")
 
 
 def _v1_tidy_wide(kind):
@@ -234,17 +245,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xfers_tidy": _branch(transfers.xfers_tidy),
     "xfers_wide": lambda spark, d: pivot_measures(transfers.xfers_tidy(_src(spark, d), WINDOW), XFER_MEASURES),
     # grid and rollup
-    "grid_months": lambda spark, d: rollup.grid_months(_run(_src(spark, d)).wide),
-    "grid_locations": lambda spark, d: rollup.grid_locations(_run(_src(spark, d)).wide),
+    "grid_months": lambda spark, d: rollup.grid_months(quality.split_null_keys(_run(_src(spark, d)).tidy, KEYS)[0]),
+    "grid_locations": lambda spark, d: rollup.grid_locations(quality.split_null_keys(_run(_src(spark, d)).tidy, KEYS)[0]),
     "key_grid": lambda spark, d: _run(_src(spark, d)).grid,
     "rollup": _rollup,
     "rollup_delete_keys": rollup_delete_keys,
     "rollup_replace_by_key": rollup_replace_by_key,
     # quality
-    "dq_rollup_duplicate_keys":
-        lambda spark, d: quality.duplicate_keys(_rollup(spark, d), ["BusinessMonth", "LocationNo"]),
-    "dq_category_duplicate_keys":
-        lambda spark, d: quality.duplicate_keys(dims.category_dim(_src(spark, d)), ["ProductType"]),
+    "rollup_rejects": rollup_rejects,
+    "dq_rollup_duplicate_keys": dq_rollup_duplicate_keys,
+    "dq_category_duplicate_keys": dq_category_duplicate_keys,
     "dq_null_keys": dq_null_keys,
     # location selection and report
     "loc_all": lambda spark, d: report.select_locations(_src(spark, d), fixed.LOC_ALL, None),
@@ -258,7 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_region": _report(fixed.LOC_REGION, REGION),
     "report_unknown": _report(UNKNOWN_TYPE, REGION),
     "report_date_range": _report(fixed.LOC_ALL, None, RANGE_START, RANGE_END),
-    "report_persisted_region": report_persisted_region,
+    "report_persisted_region": _report(fixed.LOC_REGION, REGION, RANGE_START, RANGE_END),
     "report_formatted": lambda spark, d: report.report_formatted(_report(fixed.LOC_ALL, None)(spark, d)),
     "report_long": lambda spark, d: report.report_long(_report(fixed.LOC_ALL, None)(spark, d)),
     # v1 rule set

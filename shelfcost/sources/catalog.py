@@ -29,7 +29,8 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     The source system compares text ignoring trailing blanks (fixed-width
     columns are stored blank-padded), so every text column is trimmed once
     here and operators compare plain values. Date and number columns are
-    untouched, so the run windows still reach the parquet scans.
+    untouched, so the run windows still reach the parquet scans; selective text
+    predicates reach them through :meth:`Sources.having`.
     """
     cols = []
     for col, typ in SOURCE_COLUMNS[name]:
@@ -56,6 +57,20 @@ class Sources:
             self._cache[name] = normalise(name, self._builders[name]())
         return self._cache[name]
 
+    def having(self, name: str, column: str, *prefixes: str) -> DataFrame:
+        """The table, cut at the scan to rows whose *stored* text in ``column`` starts with one of ``prefixes``.
+
+        A superset of the rows that equal (or start with) a prefix after trimming, stated on the stored
+        column so that it reaches the parquet scan, which a predicate on ``rtrim`` does not.
+        """
+        raw = self._builders[name]()
+        physical = PHYSICAL_NAMES.get((name, column))
+        stored = F.col(physical if physical in raw.columns else column)
+        any_prefix = stored.startswith(prefixes[0])
+        for p in prefixes[1:]:
+            any_prefix = any_prefix | stored.startswith(p)
+        return normalise(name, raw.where(any_prefix))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -71,23 +86,25 @@ class Sources:
         return name in self._builders
 
     def memo(self, key: str, build: Callable[[], object]):
-        """Memoise a derived object (dimension, bounded-size check) per source set."""
+        """Memoise a derived object (a run, a written table) per source set."""
         if key not in self._cache:
             self._cache[key] = build()
         return self._cache[key]
 
 
-# Star readers per (session, directory): the test tables are immutable, so their
-# file listing and schema are read once per session, like registering views.
-_STAR_READERS: dict[tuple[int, str], star.StarTables] = {}
+# Source sets per (session, directory): the test tables are immutable, so their file listing and
+# schema, and what is memoised on them, are made once per session, like registering views.
+_STAR_SOURCES: dict[tuple[int, str], Sources] = {}
 
 
 def from_star(spark: SparkSession, root: str) -> Sources:
     key = (id(spark), root.rstrip("/"))
-    tables = _STAR_READERS.get(key)
-    if tables is None or tables.spark is not spark:
-        tables = _STAR_READERS[key] = star.StarTables(spark, root)
-    return Sources(spark, {name: (lambda fn=fn: fn(tables)) for name, fn in star.BUILDERS.items()})
+    src = _STAR_SOURCES.get(key)
+    if src is None or src.spark is not spark:
+        tables = star.StarTables(spark, root)
+        src = Sources(spark, {name: (lambda fn=fn: fn(tables)) for name, fn in star.BUILDERS.items()})
+        _STAR_SOURCES[key] = src
+    return src
 
 
 def from_tables(spark: SparkSession, locations: Mapping[str, str]) -> Sources:

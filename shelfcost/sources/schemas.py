@@ -26,6 +26,7 @@ def _schema(*fields: tuple) -> StructType:
     return StructType([StructField(name, typ, nullable) for name, typ, nullable in fields])
 
 
+# --- fixed values: source columns -------------------------------------------------
 # table -> [(column, type)]
 SOURCE_COLUMNS: dict[str, list[tuple[str, object]]] = {
     "sales_header": [("LocationID", I), ("BusinessDate", D), ("SalesXactionID", S), ("Status", S),
@@ -70,12 +71,7 @@ REQUIRED_SOURCES = tuple(n for n in SOURCE_COLUMNS if n not in OPTIONAL_SOURCES)
 
 # --- owned tables ---------------------------------------------------------------
 
-CATEGORY_DIM = _schema(
-    ("ProductType", S, False),
-    ("PTypeCategory", S, False),
-    ("PTypeClass", S, False),
-)
-
+# --- fixed values: rollup columns ------------------------------------------------
 # Measures of the persisted rollup, in table order: (name, kind) where kind is
 # "amt" (decimal(19,4)) or "qty" (bigint).
 ROLLUP_MEASURES: list[tuple[str, str]] = [
@@ -95,20 +91,8 @@ ROLLUP_MEASURES: list[tuple[str, str]] = [
     ("FrlnTotXfrInCost", "amt"),
 ]
 
-ROLLUP_KEYS = ("BusinessMonth", "LocationNo")
-
 ROLLUP = _schema(
     ("BusinessMonth", D, False),
     ("LocationNo", S, False),
     *[(name, MONEY if kind == "amt" else L, True) for name, kind in ROLLUP_MEASURES],
 )
-
-SALES_TIDY = _schema(
-    ("BusinessMonth", D, True), ("LocationNo", S, True), ("SldTy", I, False), ("PrCat", S, True),
-    ("Qty", L, True), ("Cost", MONEY, True), ("Val", MONEY, True), ("Fee", MONEY, True),
-)
-
-XFERS_TIDY = _schema(
-    ("BusinessMonth", D, True), ("LocationNo", S, True), ("XfrTy", I, True), ("PrCat", S, True),
-    ("Qty", L, True), ("Cost", MONEY, True),
-)

@@ -89,7 +89,8 @@ def report_locations(t: StarTables) -> DataFrame:
 
 def facilities(t: StarTables) -> DataFrame:
     k = F.col("n_nationkey")
-    return t.read("nation").select(k.cast("int").alias("FacilityID"), pad(k + 1, 5).alias("FacilityLocationNo"))
+    store = F.when(k % 12 != 7, pad(k + 1, 5))   # some facilities name no store
+    return t.read("nation").select(k.cast("int").alias("FacilityID"), store.alias("FacilityLocationNo"))
 
 
 def product_master(t: StarTables) -> DataFrame:
@@ -152,7 +153,7 @@ def sales_item(t: StarTables) -> DataFrame:
 
 def bookworm(t: StarTables) -> DataFrame:
     k = F.col("o_orderkey")
-    return _lo(t).where(_placeholder_line()).select(
+    return _lo(t).select(
         (F.col("o_custkey") % N_STORES).cast("int").alias("locationId"),
         pad(k % 4 + 1, 2).alias("tillnumber"),
         k.cast("string").alias("transactionNumber"),
@@ -177,7 +178,7 @@ def istore_orders(t: StarTables) -> DataFrame:
     status = (F.when(F.col("o_orderstatus") == "F", "Shipped")
               .when(F.col("o_orderstatus") == "O", "Pending")
               .when(F.col("o_orderstatus") == "P", "Cancelled"))
-    return _lo(t).where(F.col("l_orderkey") % 10 == 3).select(
+    return _lo(t).select(
         *_online_common(),
         F.concat(F.when(F.col("l_linenumber") == 6, "S").otherwise("D"), pad(F.col("l_partkey"), 20)).alias("SKU"),
         status.alias("OrderStatus"),
@@ -192,7 +193,7 @@ def istore_orders(t: StarTables) -> DataFrame:
 def web_orders(t: StarTables) -> DataFrame:
     ret = F.col("l_returnflag") == "R"
     line = F.col("l_linenumber")
-    return _lo(t).where(F.col("l_orderkey") % 10 == 5).select(
+    return _lo(t).select(
         *_online_common(),
         F.concat(F.lit("D"), pad(F.col("l_partkey"), 20)).alias("SKU"),
         F.concat(F.lit("M"), F.col("l_orderkey").cast("string")).alias("MarketOrderID"),
@@ -208,20 +209,16 @@ def web_orders(t: StarTables) -> DataFrame:
     )
 
 
-def _fulfil_lines(t: StarTables) -> DataFrame:
-    return t.read("lineitem").where((F.col("l_orderkey") % 10).isin(3, 5))
-
-
 def _fulfil_order_id() -> Column:
     return F.col("l_orderkey") * 8 + F.col("l_linenumber") + 1000000
 
 
 def fulfil_header(t: StarTables) -> DataFrame:
     k = F.col("l_orderkey")
-    return _fulfil_lines(t).select("l_orderkey", "l_linenumber").distinct().select(
+    return t.read("lineitem").select("l_orderkey", "l_linenumber").distinct().select(
         _fulfil_order_id().alias("OrderID"),
         (k * 8 + F.col("l_linenumber")).alias("ISISOrderID"),
-        F.when(k % 13 == 0, "SAS").when(k % 10 == 3, "MON").otherwise("HMP").alias("OrderSystem"),
+        F.when(k % 13 == 0, "SAS").when(k % 2 == 1, "MON").otherwise("HMP").alias("OrderSystem"),
         F.concat(F.lit("M"), k.cast("string")).alias("MarketOrderID"),
     )
 
@@ -229,7 +226,7 @@ def fulfil_header(t: StarTables) -> DataFrame:
 def fulfil_detail(t: StarTables) -> DataFrame:
     p = F.col("l_partkey")
     s = F.col("l_suppkey") % 5
-    return _fulfil_lines(t).select(
+    return t.read("lineitem").select(
         _fulfil_order_id().alias("OrderID"),
         pad(p, 20).alias("ItemCode"),
         F.when(p % 4 == 0, F.lit(None)).otherwise(pad(p % N_STORES + 1, 5)).alias("LocationNo"),
@@ -241,9 +238,9 @@ def fulfil_detail(t: StarTables) -> DataFrame:
 
 def xfer_header(t: StarTables) -> DataFrame:
     k = F.col("o_orderkey")
-    r = k % 20
-    ttype = F.when(r == 1, 1).when(r == 5, 2).when(r == 9, 3).when(r == 13, 7).when(r == 17, 4)
-    return t.read("orders").where(k % 4 == 1).select(
+    r = k % 5
+    ttype = F.when(r == 0, 1).when(r == 1, 2).when(r == 2, 3).when(r == 3, 7).when(r == 4, 4)
+    return t.read("orders").select(
         k.alias("TransferBinNo"),
         pad(F.col("o_custkey") % N_STORES + 1, 5).alias("LocationNo"),
         pad((F.col("o_custkey") + 11) % N_STORES + 1, 5).alias("ToLocationNo"),
@@ -256,7 +253,7 @@ def xfer_header(t: StarTables) -> DataFrame:
 def xfer_detail(t: StarTables) -> DataFrame:
     line = F.col("l_linenumber")
     part = t.read("part").select("p_partkey", "p_retailprice")
-    lo = _lo(t).where(F.col("l_orderkey") % 4 == 1)
+    lo = _lo(t)
     created = _d(F.col("o_orderdate"))
     return lo.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("TransferBinNo"),
@@ -270,7 +267,7 @@ def xfer_detail(t: StarTables) -> DataFrame:
 
 
 def item_master(t: StarTables) -> DataFrame:
-    return t.read("part").where(F.col("p_size") <= 40).select(pad(F.col("p_partkey"), 20).alias("ItemCode"))
+    return t.read("part").select(pad(F.col("p_partkey"), 20).alias("ItemCode"))
 
 
 BUILDERS = {

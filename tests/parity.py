@@ -119,7 +119,7 @@ def main(argv: list[str]) -> int:
     from shelfcost.session import build_session
 
     strict = "--strict" in argv
-    conf = dict(a.split("=", 1) for a in argv if "=" in a)   # e.g. shelfcost.broadcast.maxRows=0
+    conf = dict(a.split("=", 1) for a in argv if "=" in a)   # e.g. spark.sql.autoBroadcastJoinThreshold=-1
     argv = [a for a in argv if "=" not in a and a != "--strict"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]

@@ -139,7 +139,7 @@ def test_e11_null_location_is_rejected_not_gridded(spark):
     facilities = [{"FacilityID": 9, "FacilityLocationNo": None}]
     src = make_sources(spark, istore_orders=orders, fulfil_header=fh, fulfil_detail=fd, facilities=facilities)
     run = build_rollup(src, MAY)
-    assert quality.null_keys(run.sales_tidy, ["BusinessMonth", "LocationNo"]).count() == 1
+    assert run.rejects.count() == 1
     assert run.rollup.count() == 0
 
 
@@ -241,14 +241,6 @@ def test_e24_unknown_class_is_zzz(spark):
     assert cat == {"HB": "dist", "TRF": "frln", "SCAN": "scan", "PGC": "gc", "UHB": "used", "ODD": "zzz"}
 
 
-def test_bounded_broadcast_falls_back(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = dims.bounded_broadcast(small, 10)
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    assert dims.bounded_broadcast(big, 10) is big
-
-
 def test_persisted_category_table_is_used_when_configured(spark):
     """The rollup reads the category table written by the category load, when one is named."""
     cats = [{"ProductType": "HB", "PTypeCategory": "frln  ", "PTypeClass": "NEW"}]  # padded, as stored
@@ -333,3 +325,97 @@ def test_enforce_key_reports_nulls_and_duplicates(spark):
         enforce_key(ok.unionByName(ok), ["m", "s"])
     with pytest.raises(KeyViolation, match="NULL"):
         enforce_key(spark.createDataFrame([(1, None)], "m int, s string"), ["m", "s"])
+
+
+def _half_keyed(spark):
+    """Two web orders; the second one's facility and fulfilment line name no store."""
+    orders = [_web(ISIS_OrderID=1, MarketOrderItemID=1), _web(ISIS_OrderID=2, MarketOrderItemID=2, FacilityID=3)]
+    fh = [{"OrderID": 100 + i, "ISISOrderID": i, "OrderSystem": "HMP", "MarketOrderID": "M1"} for i in (1, 2)]
+    fd = [{"OrderID": 100 + i, "ItemCode": item(1), "LocationNo": None, "Status": 1, "MarketOrderItemID": str(i)}
+          for i in (1, 2)]
+    facilities = [{"FacilityID": 1, "FacilityLocationNo": "00001"}, {"FacilityID": 3, "FacilityLocationNo": None}]
+    return make_sources(spark, web_orders=orders, fulfil_header=fh, fulfil_detail=fd, facilities=facilities)
+
+
+def test_null_stores_fail_the_job_and_are_kept_as_rejects(spark):
+    import pytest
+
+    from shelfcost.plans.monthly import RejectedRows, rejects_path, run_rollup
+
+    src = _half_keyed(spark)
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-rej-"), "rollup")
+    with pytest.raises(RejectedRows):
+        run_rollup(src, path, D(2001, 5, 1), D(2001, 8, 1))
+    assert not writer.table_exists(spark, path)
+    run = run_rollup(src, path, D(2001, 5, 1), D(2001, 8, 1), allow_rejects=True)
+    rejects = spark.read.parquet(rejects_path(path)).collect()
+    assert [(r.Source, r.LocationNo, r.Qty) for r in rejects] == [("sales", None, run.tidy.where("LocationNo is null").first().Qty)]
+    # nothing is lost: rollup + rejects = all tidy rows
+    kept = sum(r.DistOnlineSoldVal for r in writer.read_rollup(spark, path).collect())
+    total = sum(r.Val for r in run.tidy.collect())
+    assert kept > 0 and kept + sum(r.Val for r in rejects) == total
+
+
+def test_more_than_1200_months(spark):
+    """Dirty line dates alone can spread a run over centuries; every month gets its row."""
+    bins, lines = [], []
+    for k in range(1300):
+        year, month = 1900 + k // 12, 1 + k % 12
+        bins.append({"TransferBinNo": k, "LocationNo": "00001", "ToLocationNo": "00002", "TransferType": 1, "StatusCode": 3,
+                     "CreateTime": D(2001, 5, 10)})
+        lines.append({"TransferBinNo": k, "DipsItemCode": item(1), "Quantity": 1, "DipsCost": money(1), "StatusCode": 1,
+                      "CreateTime": D(2001, 5, 10), "UpdateTime": D(year, month, 15)})
+    run = build_rollup(make_sources(spark, xfer_header=bins, xfer_detail=lines), MAY)
+    months = {r.BusinessMonth for r in run.rollup.where("DistTshQty = 1").select("BusinessMonth").collect()}
+    assert len(months) == 1300
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-months-"), "rollup")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    writer.replace_by_key(spark, path, run.rollup.where("BusinessMonth < '1910-01-01'"),
+                          run.grid.where("BusinessMonth < '1910-01-01'"))
+    assert writer.read_rollup(spark, path).select("BusinessMonth").distinct().count() == 120
+
+
+def test_grid_leaves_out_months_that_do_not_occur(spark):
+    from shelfcost.operators.rollup import key_grid
+
+    months = spark.createDataFrame([(D(2001, 1, 1),), (D(2001, 4, 1),)], "BusinessMonth date")
+    stores = spark.createDataFrame([("A",), (None,)], "LocationNo string")
+    got = {tuple(r) for r in key_grid(months, stores).collect()}
+    assert got == {(m, s) for m in (D(2001, 1, 1), D(2001, 4, 1)) for s in ("A", None)}
+
+
+def test_category_load_enforces_its_key(spark):
+    import pytest
+
+    from shelfcost.operators.quality import KeyViolation
+    from shelfcost.plans.monthly import run_category_load
+
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-cat-"), "category")
+    twice = make_sources(spark, product_types=[{"ProductType": "HB", "PTypeClass": c} for c in ("NEW", "USED")])
+    with pytest.raises(KeyViolation, match="duplicate"):
+        run_category_load(twice, path)
+    empty = make_sources(spark, product_types=[{"ProductType": "HB", "PTypeClass": None}])
+    with pytest.raises(KeyViolation, match="NULL column"):
+        run_category_load(empty, path)
+    assert not os.path.exists(path)
+    run_category_load(make_sources(spark), path)
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_only_a_missing_path_counts_as_no_table(spark):
+    import pytest
+
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-bad-"), "rollup")
+    assert not writer.table_exists(spark, path)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        writer.table_exists(spark, "nosuchscheme-://x:y")
+
+
+def test_report_selectors_ignore_case(spark):
+    from shelfcost.operators import report
+
+    src = make_sources(spark)
+    for kind, value in (("all locations", None), ("STORE", "00001"), ("district", "d1"), ("Region", "north")):
+        got = {r.LocationNo for r in report.select_locations(src, kind, value).collect()}
+        assert got == ({"00001", "00002"} if value is None else {"00001"})
+    assert report.select_locations(src, "Country", "north").count() == 0

@@ -5,26 +5,24 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from shelfcost import oracle
+from shelfcost.plans import registry
 from tests.conftest import SF_SMALL
 from tests.parity import compare, duck
 
-KEYS = [
-    "category_dim", "src_product_types", "src_sales_item", "src_fulfil_header", "location_fallback",
-    "bookworm_xaction_id", "join_bookworm_items", "sales_register", "sales_istore_shipped", "sales_istore_refunds",
-    "sales_web_shipped", "sales_web_refunds", "sales_bookworm", "xfers_out", "xfers_in", "sales_wide",
-    "xfers_wide", "key_grid", "rollup", "rollup_replace_by_key", "report_region", "report_formatted",
-    "report_long", "month_dim", "location_dim", "report_default_dates", "v1_istore_shipped", "v1_web_shipped",
-    "v1_xfers_out", "v1_report",
-]
+KEYS = sorted(registry.QUERIES)
+# nothing can match an unknown selector
+EMPTY = {"loc_unknown", "report_unknown"}
 
 
 @pytest.fixture(scope="module")
 def ctx():
-    return entry.queries(), entry.oracle_sql(), duck(SF_SMALL)
+    return registry.QUERIES, oracle.statements(), duck(SF_SMALL)
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(oracle.statements())
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", KEYS)
@@ -32,6 +30,26 @@ def test_parity(spark, ctx, name):
     queries, statements, con = ctx
     res = compare(spark, con, name, SF_SMALL, queries, statements)
     assert res["ok"], res
+    assert (con.execute(f"select count(*) from ({statements[name]})").fetchone()[0] == 0) == (name in EMPTY)
+
+
+@pytest.mark.parametrize("what", ["pivot", "report"])
+def test_an_error_in_the_library_lists_turns_rows_red(spark, ctx, what, monkeypatch):
+    """The oracle states the measure scopes and column mappings itself."""
+    import dataclasses
+
+    from shelfcost.operators import pivot, report
+
+    _, statements, con = ctx
+    if what == "pivot":
+        name = "sales_wide"
+        wrong = [dataclasses.replace(m, cats=("dist",)) if m.name == "DistSoldVal" else m for m in pivot.SALES_MEASURES]
+        monkeypatch.setattr(registry, "SALES_MEASURES", wrong)
+    else:
+        name = "report_region"
+        swap = {"DistSoldCost": "FrlnSoldCost", "FrlnSoldCost": "DistSoldCost"}
+        monkeypatch.setattr(report, "REPORT_COLUMNS", tuple((o, swap.get(c, c)) for o, c in report.REPORT_COLUMNS))
+    assert not compare(spark, con, name, SF_SMALL, registry.QUERIES, statements)["ok"]
 
 
 def test_entry_smoke(spark):
@@ -41,15 +59,19 @@ def test_entry_smoke(spark):
 
 
 NO_BROADCAST_KEYS = ["sales_register", "sales_tidy", "xfers_tidy", "rollup", "v1_report", "report_region"]
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
 @pytest.mark.parametrize("name", NO_BROADCAST_KEYS)
-def test_parity_without_dimension_broadcasts(spark, ctx, name):
-    """The shuffle-join plan (catalogue over the broadcast bound) gives the same answers."""
+def test_parity_without_broadcasts(spark, ctx, name):
+    """With every join shuffled the answers are the same."""
     queries, statements, con = ctx
-    spark.conf.set("shelfcost.broadcast.maxRows", "0")
+    old = {k: spark.conf.get(k) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
     try:
         res = compare(spark, con, name, SF_SMALL, queries, statements)
     finally:
-        spark.conf.unset("shelfcost.broadcast.maxRows")
+        for k, v in old.items():
+            spark.conf.set(k, v)
     assert res["ok"], res

@@ -51,5 +51,38 @@ def test_windows_pushed_on_file_backed_sources(spark, star_src):
     src = from_tables(spark, paths)
     inbound = plan(transfers.xfers_in(src, registry.WINDOW_ONE))
     assert "Or(And(GreaterThanOrEqual(UpdateTime" in inbound and "IsNull(UpdateTime)" in inbound
-    online = plan(sales.istore_sales(src, registry.WINDOW_ONE))
+    online = plan(sales.online_sales(src, registry.WINDOW_ONE, web=()))
     assert "Or(And(And(GreaterThanOrEqual(ShipDate" in online and "GreaterThanOrEqual(RefundDate" in online
+    assert "StringStartsWith(SKU,D)" in online and "StringStartsWith(OrderSystem,MON)" in online
+
+
+def test_text_predicates_pushed_on_file_backed_sources(spark, star_src):
+    root = tempfile.mkdtemp(prefix="shelfcost-text-")
+    names = ["sales_header", "sales_item", "bookworm", "product_master", "product_types"]
+    paths = {n: os.path.join(root, n) for n in names}
+    for n in names:
+        star_src.table(n).write.parquet(paths[n])
+    text = plan(sales.sales_bookworm(from_tables(spark, paths), registry.WINDOW))
+    assert "StringStartsWith(ItemCode,00000000000010222778)" in text and "StringStartsWith(Status,A)" in text
+
+
+def test_report_months_prune_the_persisted_rollup(spark):
+    text = plan(registry.QUERIES["report_date_range"](spark, SF_SMALL))
+    pruned = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "BusinessMonth" in ln]
+    assert pruned and "2000-01-01" in pruned[0] and "2000-06-30" in pruned[0]
+
+
+@pytest.mark.parametrize("name, scans", [("sales_tidy", 14), ("xfers_tidy", 6)])
+def test_branches_share_their_passes(spark, name, scans):
+    text = plan(registry.QUERIES[name](spark, SF_SMALL))
+    facts = sum(ln.startswith("Location: ") and ("lineitem" in ln or "orders" in ln) for ln in text.splitlines())
+    assert facts <= scans, facts
+
+
+def test_queries_start_few_jobs_while_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    registry.QUERIES["report_date_range"](spark, SF_SMALL)     # the persisted rollup is there from now on
+    before = set(tracker.getJobIdsForGroup(None))
+    for name in ("sales_tidy", "xfers_tidy", "v1_sales_wide", "report_date_range"):
+        registry.QUERIES[name](spark, SF_SMALL)
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 4

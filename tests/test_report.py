@@ -31,13 +31,12 @@ def test_bands_partition_the_measures():
     assert bands["ScanSoldQty"] == "In-Store Sales" and bands["FrlnDonateQty"] == "Trash/Damage/Donate Transfers"
 
 
-def test_report_title():
-    d = __import__("datetime").date
-    assert report.report_title("Cost Report", "All Locations", None, d(2024, 1, 1), d(2024, 1, 31)) == \
-        "Cost Report - All Locations - January 2024"
-    assert report.report_title("R", "Store", "00003", d(2023, 11, 1), d(2024, 2, 29)) == \
-        "R - Store 00003 - November 2023 to February 2024"
-    assert report.report_title("R", "Region", "ASIA", d(2024, 3, 1), d(2024, 3, 31)) == "R - ASIA Region - March 2024"
-    assert report.report_title("R", "District", "D2", d(2024, 3, 1), d(2025, 3, 31)) == \
-        "R - D2 District - March 2024 to March 2025"
-    assert report.report_title("R", "Country", "X", d(2024, 3, 1), d(2024, 3, 1)) == "R -  - March 2024"
+
+def test_reports_are_sorted(spark):
+    """By month, then store."""
+    from shelfcost.plans import registry
+    from tests.conftest import SF_SMALL
+
+    for name in ("report_all_locations", "report_date_range", "report_persisted_region", "v1_report"):
+        rows = [(r.BusinessMonth, r.LocationNo or "") for r in registry.QUERIES[name](spark, SF_SMALL).collect()]
+        assert rows and rows == sorted(rows)

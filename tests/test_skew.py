@@ -1,7 +1,7 @@
 """Hot keys: one item, one store and one transfer bin each carry a large share of rows.
 
-AQE skew splitting is forced on with tiny thresholds and dimension broadcasts
-are disabled, so the pre-aggregated, shuffle-joined plan with split partitions
+AQE skew splitting is forced on with tiny thresholds and broadcasts are
+disabled, so the pre-aggregated, shuffle-joined plan with split partitions
 is really exercised; results must equal a line-level brute force.
 """
 
@@ -24,7 +24,6 @@ SKEW_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "shelfcost.broadcast.maxRows": "0",   # force the pre-aggregate + shuffle-join plan for products
 }
 
 
