@@ -4,15 +4,16 @@ A line is the set of its five-word shingles (a shorter line: its words as one sh
 earlier line of the corpus (smaller document id, then smaller line number; removed or not) has a Jaccard
 similarity of at least ``num / den`` with it, 0.8 by default. Lines without a word are never removed.
 
-Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by the corpus-wide
-count of their first word, which bounds how often the shingle occurs (in classes by hash bucket, a fixed number of
-buckets, so the lookup has a fixed size), then by their hash. Tokens are 64-bit hashes.
+Equal lines are settled first, by their hash. For the others, tokens are ordered by rarity: by their
+corpus-wide count (in classes by hash bucket, a fixed number of buckets, so the lookup has a fixed size), then by
+their hash. Shingles of common passages so come last and are not indexed. Shingles are 64-bit hashes.
 Two similar sets share a token among the first ``n - ceil(t n) + 1`` of each, so only these are indexed; the pairs
 that meet there pass the length filter and the positional filter at their first common token before the sets
 themselves are compared.
 
 Within a token's list each line is first compared with the list's first line and with the one before it, which settles
-groups of near copies in linear time; only lines that are still unsettled meet all earlier lines of the list.
+groups of near copies in linear time; only lines that are still unsettled meet the earlier lines of the list, and of these only the ones whose 64-bit
+signatures differ in no more bits than similar sets can.
 
 Only DataFrame functions are used on this path. The tables of removed lines are broadcast to the documents while
 their files stay below ``store.BROADCAST_BYTES``, and joined by a shuffle beyond.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from shelfcost.llm.store import save, small
 from shelfcost.llm.text import words
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 SHINGLE = 5
 _NULL = -(1 << 63)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -49,23 +50,28 @@ def _words(line: Column) -> Column:
     return F.when(other, words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
-def _tokens(line: Column, classes: Column) -> Column:
-    """The line's different tokens: for each shingle the rarity class of its first word, then its own hash.
-
-    So the order of the tokens as numbers is by rarity. What is used more than once stands as a lambda's argument,
-    which is computed once.
-    """
+def _shingles(line: Column) -> Column:
+    """The 64-bit hashes of the line's shingles, each once. The words' hashes are a lambda's argument, so they are computed once per line."""
 
     def shingles(w: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE)))))
 
-        def token(i: Column) -> Column:
-            own = F.shiftrightunsigned(F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE))), 8)
-            return F.shiftleft(F.get(classes, F.pmod(F.get(w, i), F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(own)
+    return F.get(F.transform(F.array(F.transform(_words(line), lambda w: F.xxhash64(w))), shingles), F.lit(0))
 
-        return F.array_distinct(F.transform(starts, token))
 
-    return F.get(F.transform(F.array(F.transform(_words(line), lambda w: F.xxhash64(w))), shingles), F.lit(0))
+def _tokens(line: Column, classes: Column) -> Column:
+    """The line's tokens: each shingle's rarity class, then its hash, so that their order as numbers is by rarity."""
+
+    def ranked(h: Column) -> Column:
+        return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
+    return F.transform(_shingles(line), ranked)
+
+
+def _signature(shingles: Column) -> Column:
+    """64 bits, one set for each shingle: two lines' signatures differ in no more bits than their sets in shingles."""
+    return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -91,11 +97,11 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """The class (four to a doubling, at most 127) of each hash bucket's word count in all lines, as a constant array."""
-    counted = _lines(docs).select(F.explode(_words(F.col("line"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count()
-    table = [0] * BUCKETS
-    for b, n in counted.collect():  # BUCKETS rows at most
-        table[b] = min(127, round(4 * math.log2(1 + n)))
+    """The class (16 to a doubling, 0 to 127, 32 for the mean) of each hash bucket's shingle count in all lines, as a constant array."""
+    counted = _lines(docs).select(F.explode(_shingles(F.col("line"))).alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).count()
+    found = dict(counted.collect())  # BUCKETS rows at most
+    mean = max(1.0, sum(found.values()) / BUCKETS)
+    table = (min(127, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
@@ -117,12 +123,12 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
     return length & ((num + den) * reach >= num * (n + m))
 
 
-def _sets(docs: DataFrame, lists: DataFrame, classes: Column) -> DataFrame:
-    """(nid, no, tokens) of every line that shares an indexed token with another."""
+def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """(nid, no, tokens, sig) of every line that shares an indexed token with another."""
     wanted = save(lists.groupBy("nid").agg(F.collect_set("no").alias("want")), "wanted")
     d = docs.select(_nid().alias("nid"), "text").join(small(wanted), "nid").select("nid", "want", F.split("text", "\n").alias("all"))
     picked = d.select("nid", F.explode("want").alias("no"), "all").select("nid", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
-    return save(picked.select("nid", "no", _tokens(F.col("line"), classes).alias("tokens")), "sets")
+    return save(picked.select("nid", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -136,22 +142,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(nid, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
-    classes = rarity(docs)
-    postings = _postings(docs, equal, classes, num, den)
+    postings = _postings(docs, equal, rarity(docs), num, den)
     by_token = Window.partitionBy("token").orderBy("nid", "no")
     me = F.struct("nid", "no", "n", "pos")
     lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("no").over(by_token).isNotNull().alias("more"))
     lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
-    sets = _sets(docs, lists, classes)
+    sets = _sets(docs, lists)
 
     near = lists.where(F.col("p").isNotNull()).select("nid", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
     near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
     settled = save(_verified(near.select("nid", "no", F.col("e.nid").alias("e_nid"), F.col("e.no").alias("e_no")), sets, num, den), "settled")
 
-    late = lists.where(F.col("p").isNotNull()).join(settled, ["nid", "no"], "left_anti").select("token", "nid", "no", "n", "pos")
-    early = lists.select("token", F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"))
+    signed = lists.select("token", "nid", "no", "n", "pos", F.col("p").isNotNull().alias("later")).join(sets.select("nid", "no", "sig"), ["nid", "no"])
+    late = signed.where("later").join(settled, ["nid", "no"], "left_anti")
+    early = signed.select("token", F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"), F.col("sig").alias("e_sig"))
     before = F.struct("e_nid", "e_no") < F.struct("nid", "no")
-    rest = late.join(early, "token").where(before & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("e_pos"), num, den))
+    # sets that are similar enough differ in at most (den - num) / (den + num) of their sizes' sum
+    differ = (num + den) * F.bit_count(F.col("sig").bitwiseXOR(F.col("e_sig"))) <= (den - num) * (F.col("n") + F.col("m"))
+    rest = late.join(early, "token").where(before & differ & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("e_pos"), num, den))
     more = _verified(rest.select("nid", "no", "e_nid", "e_no"), sets, num, den)
     return settled.unionByName(more).groupBy("nid").agg(F.collect_set("no").alias("gone"))
 
