@@ -5,7 +5,7 @@ has its text, the number of tags since the line before it, and the element that
 by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, scripts,
 styles, hidden parts) give no lines. The lines' ratios of characters to tags are smoothed with a Gaussian, and
 split in two clusters by the threshold that separates them best; the regions (the enclosing article or main element, else
-the nearest container) that hold lines of the upper cluster are the content, with all their lines in page order.
+the nearest container, widened to containers that mostly are content) that hold lines of the upper cluster are the content, with all their lines in page order.
 
 Defined cases: a null or empty page, or one without content, gives the empty text; markup that is never closed ends with
 its parent; repeated rows are extracted one by one; other columns are ignored.
@@ -37,7 +37,8 @@ _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs "
     "sidebar side footer masthead header topbar toolbar cookie cookies consent gdpr notice notices notification popup modal overlay alert comment comments "
     "commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
-    "pagination pager widget widgets skip hidden copyright".split()
+    "pagination pager widget widgets skip hidden copyright disclaimer paywall trackback trackbacks pingback discussion feedback adsbygoogle adsense adslot "
+    "adbox adunit taboola outbrain".split()
 )
 _BODY_WORDS = frozenset("article post entry content story main body text page".split())
 _REGIONS = ("article", "main")
@@ -46,10 +47,10 @@ _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_furniture(tag: str, attrs: list[tuple[str, str | None]], in_region: bool) -> bool:
+def _is_furniture(tag: str, attrs: list[tuple[str, str | None]], in_region: bool, by_name: bool) -> bool:
     if tag in _FURNITURE or tag == "header" and not in_region:
         return True
-    if not attrs or tag in ("html", "body"):
+    if not by_name or not attrs or tag in ("html", "body"):
         return False
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -70,8 +71,10 @@ def _is_furniture(tag: str, attrs: list[tuple[str, str | None]], in_region: bool
 class _Lines(HTMLParser):
     """Collects (text, tags, region) per line."""
 
-    def __init__(self) -> None:
+    def __init__(self, by_name: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
+        self.parent: dict[int, int] = {}  # of each region but the page itself
         self.lines: list[tuple[str, int, int]] = []
         self.stack: list[tuple[str, int, bool]] = []  # tag, region, furniture
         self.parts: list[str] = []
@@ -99,7 +102,7 @@ class _Lines(HTMLParser):
             self._end_line()
         if tag in _VOID:
             return
-        furniture = _is_furniture(tag, attrs, self.whole)
+        furniture = _is_furniture(tag, attrs, self.whole, self.by_name)
         self.stack.append((tag, self.region, furniture))
         if furniture:
             self._end_line()
@@ -109,12 +112,14 @@ class _Lines(HTMLParser):
             self.region, self.whole = self.regions, True
         elif tag in _CONTAINERS and not self.whole:
             self.regions += 1
+            if tag not in ("html", "body"):
+                self.parent[self.regions] = self.region
             self.region = self.regions
 
     def _leave_loose(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         """Ends furniture that was never closed when the page's body or article begins."""
         open_ones = [t for t, _, f in self.stack if f]
-        if _is_furniture(tag, attrs, False) or (tag != "body" and any(t in ("aside", "footer", "form", "section", "template", "noscript", "dialog", "ol", "ul") for t in open_ones)):
+        if _is_furniture(tag, attrs, False, self.by_name) or (tag != "body" and any(t in ("aside", "footer", "form", "section", "template", "noscript", "dialog", "ol", "ul") for t in open_ones)):
             return False
         while self.stack and self.off:
             self._pop()
@@ -182,14 +187,39 @@ def extract(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html)
     lines = parser.finish()
+    if not lines:  # a wrapper of everything that is named like furniture
+        parser = _Lines(by_name=False)
+        parser.feed(html)
+        lines = parser.finish()
     if not lines:
         return ""
     ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, _ in lines], float))
     cut = threshold(ratios)
     content = {region for (_, _, region), r in zip(lines, ratios) if r >= cut}
+    content = _widened(content, lines, parser.parent)
     return " ".join(t for t, _, region in lines if region in content)
 
 
+def _widened(content: set[int], lines: list[tuple[str, int, int]], parent: dict[int, int]) -> set[int]:
+    """``content`` with the other regions of each container that consists of content for the most part."""
+    if not parent:
+        return content
+    above: dict[int, list[int]] = {}
+    size: dict[int, list[int]] = {}
+    for text, _, region in lines:
+        if region not in above:
+            chain = [region]
+            while chain[-1] in parent:
+                chain.append(parent[chain[-1]])
+            above[region] = [r for r in chain if r in parent]
+        for r in above[region]:
+            both = size.setdefault(r, [0, 0])
+            both[0] += len(text)
+            both[1] += len(text) * (region in content)
+    mostly = {r for r, (all_chars, chosen) in size.items() if 2 * chosen >= all_chars and chosen}
+    return content | {region for region, chain in above.items() if mostly.intersection(chain)}
+
+
 @F.pandas_udf(StringType())
 def _extracted(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in pages:

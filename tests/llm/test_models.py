@@ -21,6 +21,8 @@ TEXT = "The first paragraph is long enough to be told from a menu by its ratio o
         f"<body><header><h1>Site</h1></header><div id='side-bar' class='sidebar'>more</div><main>{ARTICLE}</main><aside>read this too</aside>",
         f"<div class='cookie-notice'>We use cookies and a very long sentence about them, as such pages have it.</div><article>{ARTICLE}<script>var a='</p>';</script></article>",
         f"<body><div class=ad>Buy<article>{ARTICLE}</article><section id=comments><article class=comment><p>A reader has a long opinion on all this, too long.</p></article></section>",
+        f"<div class='page has-sidebar'><div><p>{ARTICLE}</div></div>",
+        f"<div id=post><div>{ARTICLE.split('<p>Short')[0]}</div><div><p>Short{ARTICLE.split('<p>Short')[1]}</div></div><div><a href=1>Next</a></div>",
         f"<form><p>Enter your address in this field to get a very long newsletter each day</p></form><div class=content>{ARTICLE}</div><div class='footer'>end</div>",
     ],
 )
