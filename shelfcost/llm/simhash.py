@@ -14,8 +14,8 @@ visitors. As there are 2^36 anchors, the lists stay short when the table grows.
 Equal fingerprints are merged before anything is replicated, so exact copies cost one row.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero, which links like any other; repeated
-rows share their fingerprint; a null id is never the smallest id of a component unless all its ids are null;
-an empty table gives an empty result; other columns are ignored.
+rows share their fingerprint; a null id is never the smallest id of a component unless all its ids are null (``keep_one`` then
+keeps one row of the component); rows of one id with different texts are documents of their own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcost.llm.components import components
@@ -62,15 +62,15 @@ def fingerprint(lowered: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one narrow pass over the texts."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more: Column) -> DataFrame:
+    """(doc_id, fp) and the columns ``more``: one narrow pass over the texts."""
 
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint(t, shingle) for t in batch], dtype="int64")
 
-    return docs.select("doc_id", fp(lower_ascii(F.col("text"))).alias("fp"))
+    return docs.select("doc_id", fp(lower_ascii(F.col("text"))).alias("fp"), *more)
 
 
 class _Code:
@@ -179,15 +179,19 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return residents.hint("merge").join(visitors, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
-def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest id of the documents linked with this one."""
-    table = save(fingerprints(docs, shingle), "fingerprints")
-    classes = save(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+def _named(table: DataFrame, least: Column, distance: int) -> DataFrame:
+    """(fp, component_id): the smallest ``least`` of the rows of ``table`` whose fingerprints are linked with this one."""
+    classes = save(table.groupBy("fp").agg(F.min(least).alias("least")), "classes")
     member = components(links(classes.select("fp"), distance))
     rooted = classes.join(member, classes.fp == member.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(of_root, "root").select("fp", "component_id")
-    return table.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(of_root, "root").select("fp", "component_id")
+
+
+def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest id of the documents linked with this one."""
+    table = save(fingerprints(docs, shingle), "fingerprints")
+    return table.join(_named(table, F.col("doc_id"), distance), "fp").select("doc_id", "fp", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -196,7 +200,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component only; rows repeated under one id stay together."""
-    g = grouped(docs.select("doc_id", "text"), shingle, distance).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = g.select(F.col("doc_id").alias("__sim_id")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["__sim_id"]), "left_anti")
+    """``docs`` with the first document of each component only: the one of the smallest id, then of the smallest hash of its text.
+
+    A document's name is its id and its text's hash; rows repeated under one name stay together if they have an id, else one of them stays.
+    """
+    named = docs.withColumns({"__sim_id": F.col("doc_id"), "__sim_hash": F.xxhash64("text")})
+    key = ["__sim_id", "__sim_hash"]
+    table = save(fingerprints(docs.select("doc_id", "text"), shingle, F.xxhash64("text").alias("th")), "fingerprints")
+    me = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")  # null ids come last
+    g = table.join(_named(table, me, distance), "fp").withColumn("first", me.eqNullSafe(F.col("component_id")))
+    names = g.groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_hash")).agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n"))
+    several = F.col("first") & F.col("g_id").isNull() & (F.col("n") > 1)
+    names = save(names.where(~F.col("first") | several), "names")
+    same = named["__sim_id"].eqNullSafe(names["g_id"]) & (named["__sim_hash"] == names["g_hash"])
+    out = named.join(names, same, "left_anti").select(*docs.columns)
+    twins = named.where(F.col("__sim_id").isNull()).join(names.where("first").select("g_hash"), F.col("__sim_hash") == F.col("g_hash"))
+    row = F.struct(*docs.columns)
+    one = twins.groupBy("g_hash").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__sim_row"))
+    return out.unionByName(one.select("__sim_row.*"))

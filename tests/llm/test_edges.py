@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import pytest
 
@@ -93,6 +94,13 @@ def test_simhash_of_texts_without_words_is_zero(docs):
     assert {c for _, c in by_id[4] | by_id[5]} == {4}
 
 
+def test_keep_one_names_rows_by_id_and_text(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a, "x"), (None, a, "x"), (None, b, "x"), (2, a, "x"), (2, c, "x"), (None, d, "x"), (None, d, "y"), (None, d, "x"), (None, None, "x"), (7, "", "x"), (8, d + " e", "x"), (8, d + " e", "x")]
+    got = Counter((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    assert got == Counter({(1, a): 1, (None, b): 1, (2, c): 1, (None, d): 1, (7, ""): 1, (8, d + " e"): 2})
+
+
 def test_pipeline_stages_keep_the_columns_of_documents(spark, docs, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
