@@ -18,8 +18,9 @@ signatures differ in no more bits than similar sets can.
 Only DataFrame functions are used on this path. The tables of removed lines are broadcast to the documents while
 their files stay below ``store.BROADCAST_BYTES``, and joined by a shuffle beyond.
 
-Defined cases: a null text stays null, an empty one empty; a null id sorts first; rows that share an id are one document
-at one place, so a line number removed from one is removed from all of them; an empty table gives an empty table; other
+Defined cases: a null text stays null, an empty one empty; a null id sorts first; a row's name is its id and the hash of its
+text, in this order, so rows of one id (or of none) with different texts are documents of their own, and only rows that repeat
+both share their removed lines; an empty table gives an empty table; other
 columns are carried, whatever their names.
 """
 
@@ -44,6 +45,21 @@ def _nid() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))
 
 
+def _name() -> list[Column]:
+    """The row's name (nid, th): its id, then the hash of its text."""
+    return [_nid().alias("nid"), F.xxhash64("text").alias("th")]
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): each row's name once, as a repeated row would meet itself as an earlier one."""
+    several = save(docs.groupBy(*_name()).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
+    if several.isEmpty():
+        return docs
+    named = docs.select("doc_id", "text", *_name())
+    one = named.join(small(several), ["nid", "th"], "left_semi").groupBy("nid", "th").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    return named.join(small(several), ["nid", "th"], "left_anti").select("doc_id", "text").unionByName(save(one.select("doc_id", "text"), "once"))
+
+
 def _words(line: Column) -> Column:
     """The line's words; a plain split where blanks are the only white space, which is much cheaper."""
     other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
@@ -75,25 +91,25 @@ def _signature(shingles: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(nid, no, line): the lines with a word."""
-    lines = docs.select(_nid().alias("nid"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    """(nid, th, no, line): the lines with a word."""
+    lines = docs.select(*_name(), F.posexplode(F.split("text", "\n")).alias("no", "line"))
     return lines.where(F.col("line").rlike(_HAS_WORD))
 
 
 def equal_lines(docs: DataFrame) -> DataFrame:
-    """(nid, gone): per document the numbers of the lines that equal an earlier one."""
-    lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "no")
-    at = F.struct("nid", "no")
+    """(nid, th, gone): per document the numbers of the lines that equal an earlier one."""
+    lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "th", "no")
+    at = F.struct("nid", "th", "no")
     several = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
     several = save(several, "several")  # so that a very common line can be split over tasks in the join
     later = lines.join(small(several), ["h1", "h2"]).where(at != F.col("first"))
-    return later.groupBy("nid").agg(F.collect_set("no").alias("gone"))
+    return later.groupBy("nid", "th").agg(F.collect_set("no").alias("gone"))
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """(nid, all, gone): documents with their lines and the numbers of the removed ones (null: none)."""
-    d = docs.select(_nid().alias("nid"), F.split("text", "\n").alias("all"))
-    return d.join(small(gone), "nid", "left")
+    """(nid, th, all, gone): documents with their lines and the numbers of the removed ones (null: none)."""
+    d = docs.select(*_name(), F.split("text", "\n").alias("all"))
+    return d.join(small(gone), ["nid", "th"], "left")
 
 
 def rarity(docs: DataFrame) -> Column:
@@ -106,14 +122,14 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def _postings(docs: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
-    """(token, nid, no, n, pos): the indexed tokens of the lines that equal no earlier one."""
-    lines = _without(docs, equal).select("nid", "gone", F.posexplode("all").alias("no", "line"))
+    """(token, nid, th, no, n, pos): the indexed tokens of the lines that equal no earlier one."""
+    lines = _without(docs, equal).select("nid", "th", "gone", F.posexplode("all").alias("no", "line"))
     first = F.col("gone").isNull() | ~F.array_contains("gone", F.col("no"))
     lines = lines.where(F.col("line").rlike(_HAS_WORD) & first)
-    lines = lines.select("nid", "no", F.sort_array(_tokens(F.col("line"), classes)).alias("tokens"))
+    lines = lines.select("nid", "th", "no", F.sort_array(_tokens(F.col("line"), classes)).alias("tokens"))
     n = F.size("tokens")
     prefix = n - F.floor((num * n + den - 1) / den).cast("int") + 1
-    return lines.select("nid", "no", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
+    return lines.select("nid", "th", "no", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
 
 
 def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -> Column:
@@ -124,54 +140,54 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
 
 
 def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(nid, no, tokens, sig) of every line that shares an indexed token with another."""
-    wanted = save(lists.groupBy("nid").agg(F.collect_set("no").alias("want")), "wanted")
-    d = docs.select(_nid().alias("nid"), "text").join(small(wanted), "nid").select("nid", "want", F.split("text", "\n").alias("all"))
-    picked = d.select("nid", F.explode("want").alias("no"), "all").select("nid", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
-    return save(picked.select("nid", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
+    """(nid, th, no, tokens, sig) of every line that shares an indexed token with another."""
+    wanted = save(lists.groupBy("nid", "th").agg(F.collect_set("no").alias("want")), "wanted")
+    d = docs.select(*_name(), "text").join(small(wanted), ["nid", "th"]).select("nid", "th", "want", F.split("text", "\n").alias("all"))
+    picked = d.select("nid", "th", F.explode("want").alias("no"), "all").select("nid", "th", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
+    return save(picked.select("nid", "th", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The later sides (nid, no) of the ``pairs`` (nid, no, e_nid, e_no) that are similar enough."""
-    early = sets.select(F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("tokens").alias("early"))
-    both = pairs.distinct().join(sets, ["nid", "no"]).join(early, ["e_nid", "e_no"])
+    """The later sides (nid, th, no) of the ``pairs`` (nid, th, no, e_nid, e_th, e_no) that are similar enough."""
+    early = sets.select(F.col("nid").alias("e_nid"), F.col("th").alias("e_th"), F.col("no").alias("e_no"), F.col("tokens").alias("early"))
+    both = pairs.distinct().join(sets, ["nid", "th", "no"]).join(early, ["e_nid", "e_th", "e_no"])
     common = F.size(F.array_intersect("tokens", "early"))
     similar = (num + den) * common >= num * (F.size("tokens") + F.size("early"))
-    return both.where(similar).select("nid", "no").distinct()
+    return both.where(similar).select("nid", "th", "no").distinct()
 
 
 def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
-    """(nid, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
+    """(nid, th, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
     postings = _postings(docs, equal, rarity(docs), num, den)
-    by_token = Window.partitionBy("token").orderBy("nid", "no")
-    me = F.struct("nid", "no", "n", "pos")
+    by_token = Window.partitionBy("token").orderBy("nid", "th", "no")
+    me = F.struct("nid", "th", "no", "n", "pos")
     lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("no").over(by_token).isNotNull().alias("more"))
     lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
     sets = _sets(docs, lists)
 
-    near = lists.where(F.col("p").isNotNull()).select("nid", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
+    near = lists.where(F.col("p").isNotNull()).select("nid", "th", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
     near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
-    settled = save(_verified(near.select("nid", "no", F.col("e.nid").alias("e_nid"), F.col("e.no").alias("e_no")), sets, num, den), "settled")
+    settled = save(_verified(near.select("nid", "th", "no", F.col("e.nid").alias("e_nid"), F.col("e.th").alias("e_th"), F.col("e.no").alias("e_no")), sets, num, den), "settled")
 
-    signed = lists.select("token", "nid", "no", "n", "pos", F.col("p").isNotNull().alias("later")).join(sets.select("nid", "no", "sig"), ["nid", "no"])
-    late = signed.where("later").join(settled, ["nid", "no"], "left_anti")
-    early = signed.select("token", F.col("nid").alias("e_nid"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"), F.col("sig").alias("e_sig"))
-    before = F.struct("e_nid", "e_no") < F.struct("nid", "no")
+    signed = lists.select("token", "nid", "th", "no", "n", "pos", F.col("p").isNotNull().alias("later")).join(sets.select("nid", "th", "no", "sig"), ["nid", "th", "no"])
+    late = signed.where("later").join(settled, ["nid", "th", "no"], "left_anti")
+    early = signed.select("token", F.col("nid").alias("e_nid"), F.col("th").alias("e_th"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"), F.col("sig").alias("e_sig"))
+    before = F.struct("e_nid", "e_th", "e_no") < F.struct("nid", "th", "no")
     # sets that are similar enough differ in at most (den - num) / (den + num) of their sizes' sum
     differ = (num + den) * F.bit_count(F.col("sig").bitwiseXOR(F.col("e_sig"))) <= (den - num) * (F.col("n") + F.col("m"))
     rest = late.join(early, "token").where(before & differ & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("e_pos"), num, den))
-    more = _verified(rest.select("nid", "no", "e_nid", "e_no"), sets, num, den)
-    return settled.unionByName(more).groupBy("nid").agg(F.collect_set("no").alias("gone"))
+    more = _verified(rest.select("nid", "th", "no", "e_nid", "e_th", "e_no"), sets, num, den)
+    return settled.unionByName(more).groupBy("nid", "th").agg(F.collect_set("no").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines, with ``__line_n`` (lines) and ``__line_gone`` (removed lines); ``n_chars`` follows the text where there is such a column."""
-    texts = docs.select("doc_id", "text")
+    texts = _once(docs.select("doc_id", "text"))
     equal = save(equal_lines(texts), "equal")
     similar = save(similar_lines(texts, equal, num, den), "similar")
-    gone = save(equal.unionByName(similar).groupBy("nid").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
-    gone = gone.withColumnsRenamed({"nid": "__line_id", "gone": "__line_set"})
-    d = docs.withColumns({"__line_id": _nid(), "__line_all": F.split("text", "\n")}).join(small(gone), "__line_id", "left")
+    gone = save(equal.unionByName(similar).groupBy("nid", "th").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
+    gone = gone.withColumnsRenamed({"nid": "__line_id", "th": "__line_hash", "gone": "__line_set"})
+    d = docs.withColumns({"__line_id": _nid(), "__line_hash": F.xxhash64("text"), "__line_all": F.split("text", "\n")}).join(small(gone), ["__line_id", "__line_hash"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("__line_all") - 1), "__line_set")
     text = F.when(F.col("__line_set").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col("__line_all"), i)), "\n"))
     here = F.size(F.col("__line_all")) - F.size(stay)

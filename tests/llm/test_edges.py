@@ -101,6 +101,17 @@ def test_keep_one_names_rows_by_id_and_text(spark):
     assert got == Counter({(1, a): 1, (None, b): 1, (2, c): 1, (None, d): 1, (7, ""): 1, (8, d + " e"): 2})
 
 
+def test_line_dedup_names_rows_by_id_and_text(spark):
+    line = [" ".join(f"{x}{i}" for i in range(12)) for x in "abcdefghi"]
+    rows = [(None, [0, 1]), (None, [2, 0]), (None, [3, 4]), (None, [0, 5]), (4, [6, 7]), (4, [8, 7]), (4, [8, 7]), (5, [6, 5, 1])]
+    texts = ["\n".join(line[k] for k in at) for _, at in rows]
+    docs = spark.createDataFrame([(i, t) for (i, _), t in zip(rows, texts)], "doc_id long, text string")
+    got = [(r.doc_id, r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs).collect()]
+    assert len(got) == len(rows) and [sum(n for _, n, _, _ in got), sum(1 for g in got if not g[3])] == [17, 1]
+    kept = Counter(x for g in set(got) for x in g[3].split("\n") if x)
+    assert kept == Counter(line)  # every line stays in one document, whichever row of an id comes first
+
+
 def test_pipeline_stages_keep_the_columns_of_documents(spark, docs, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
