@@ -13,8 +13,10 @@ together, one half has fewer edits than pieces again, so a true place has a piec
 The items are taken in blocks of at most ``BLOCK_CHARS`` characters, so what each executor holds has a fixed
 bound; a benchmark beyond it is searched block by block, each against all documents.
 
-Defined cases: items that are null, or shorter than ``MIN_CHARS`` when normalised, are not searched for (they
-would match by chance); a null or empty text matches nothing; repeated items and rows are each
+An item too short for a single edit (and shorter than ``MIN_CHARS``) must stand by itself: the character before and after it is
+none, a space, or of a script that is written without spaces.
+
+Defined cases: items that are null, or empty when normalised, hold nothing to search for; a null or empty text matches nothing; repeated items and rows are each
 reported; an empty table on either side gives no match; other columns are carried.
 """
 
@@ -33,6 +35,8 @@ BUDGET = 0.1
 MIN_CHARS = 32
 BLOCK_CHARS = 1_000_000
 _GAP = re.compile(r"[\W_]+")
+# Thai to Burmese, Khmer, kana, Han, and the planes of rarer Han: words follow each other without a space
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalised(text: str | None) -> str:
@@ -93,6 +97,16 @@ def _half_stands(piece: str, text: str, at: int, before: bool) -> bool:
     return text.startswith(left, at) or any(text.startswith(right, mid + d) for d in (-1, 0, 1))
 
 
+def _ends_word(left: str, right: str) -> bool:
+    """Whether a word may end between two neighbouring characters of a normalised text (either may be missing)."""
+    return left in ("", " ") or right in ("", " ") or bool(_UNSPACED.match(left) or _UNSPACED.match(right))
+
+
+def _stands_alone(text: str, a: int, b: int) -> bool:
+    """Whether ``text[a:b]`` begins and ends at word boundaries."""
+    return _ends_word(text[a - 1 : a], text[a]) and _ends_word(text[b - 1], text[b : b + 1])
+
+
 class Matcher:
     """Searches texts for a block of items."""
 
@@ -101,9 +115,12 @@ class Matcher:
 
         self.items: list[tuple[int, str, int, list[int]]] = []  # id, text, allowed edits, where the pieces start
         self.groups: dict[tuple[int, int, int], tuple[int, dict[str, int]]] = {}
+        self.alone: set[int] = set()  # the places of the items that must stand by themselves
         by_piece: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             k = int(len(text) * budget)
+            if not k and len(text) < MIN_CHARS:
+                self.alone.add(len(self.items))
             cut = pieces(text, k)
             for number, (_, piece) in enumerate(cut):
                 by_piece.setdefault(piece, []).append((len(self.items), number))
@@ -140,8 +157,13 @@ class Matcher:
         if not self.items or not text:
             return []
         spans: dict[int, list[list[int]]] = {}
+        words: set[int] = set()  # the items found that must stand by themselves
         for end, (n, places) in self.automaton.iter(text):
             for item, number in places:
+                if item in self.alone:
+                    if item not in words and _stands_alone(text, end + 1 - n, end + 1):
+                        words.add(item)
+                    continue
                 if not self._plausible(item, number, end + 1 - n, text):
                     continue
                 _, pattern, k, cuts = self.items[item]
@@ -152,7 +174,7 @@ class Matcher:
                     found[-1][0], found[-1][1] = min(a, found[-1][0]), max(b, found[-1][1])
                 else:
                     found.append([a, b])
-        out = []
+        out = [(self.items[item][0], 0) for item in words]
         for item, found in spans.items():
             item_id, pattern, k, _ = self.items[item]
             if pattern in text:
@@ -170,7 +192,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     held = 0
     for item_id, text in benchmark.select("item_id", "text").toLocalIterator():
         text = normalised(text)
-        if len(text) < MIN_CHARS:
+        if not text:
             continue
         if block and held + len(text) > BLOCK_CHARS:
             yield block

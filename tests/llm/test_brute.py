@@ -180,6 +180,32 @@ def test_suffix_order_is_sorted():
         assert all((rank[a] == rank[b]) == (keys[a] == keys[b]) for a, b in zip(order, order[1:]))
 
 
+def test_decontamination_finds_short_items(spark):
+    items = [(1, "What is the capital of France?"), (2, "中国的首都是哪一座城市，它在哪条河边？"), (3, "Who won?"), (4, "谁赢了"), (5, "?!"), (6, "x" * 40)]
+    assert all(len(decontam.normalised(t)) < decontam.MIN_CHARS for _, t in items[:5])
+    texts = [
+        "He asked: what is the capital of  FRANCE? Paris.",
+        "He asked what iz the kapital of france and left.",
+        "what was the capitol in any franc",
+        "他问道中国的首都是哪一座城市它在哪条河边谁也不知道",
+        "Tell me who won, please",
+        "the owl who wondered",
+        "结果谁赢了呢",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for d, t in enumerate(texts):
+        text = decontam.normalised(t)
+        want[d] = {i: e for i, x in items[:2] if (e := _distance(decontam.normalised(x), text)) <= int(len(decontam.normalised(x)) * decontam.BUDGET)}
+    want[4], want[6] = {3: 0}, {4: 0}
+    assert [sorted(want[d]) for d in range(8)] == [[1], [1], [], [2], [3], [], [4], []]
+    got = {r.doc_id: (r.item_ids, r.distance) for r in decontam.report(docs, bench).collect()}
+    assert got == {d: (sorted(w), min(w.values(), default=None)) for d, w in want.items()}
+    assert {r.doc_id for r in decontam.clean(docs, bench).collect()} == {2, 5, 7}
+
+
 def test_line_dedup(docs, texts):
     def tokens(line: str) -> frozenset:
         w = WORD.findall(line)
