@@ -2,8 +2,9 @@
 
 The standard-library parser's events are read once per page. Block elements end a line; a line
 has its text, the number of tags since the line before it, and the element that contains it. Elements that are page furniture
-by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, scripts,
-styles, hidden parts) give no lines. The lines' ratios of characters to tags are smoothed with a Gaussian, and
+by their tag, role or being hidden (menus, headers, footers, scripts, styles) give no lines. A class or id that names furniture
+(sidebars, notices, adverts, reader comments), and a form, are evidence only: such elements give no lines unless they hold
+most of the page's text, and either are built like an article where no other one is, or leave only short lines to the rest. The lines' ratios of characters to tags are smoothed with a Gaussian, and
 split in two clusters by the threshold that separates them best; the regions (the enclosing article or main element, else
 the nearest container, widened to containers that mostly are content) that hold lines of the upper cluster are the content, with all their lines in page order.
 
@@ -30,7 +31,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img".split()
 )
 _FURNITURE = frozenset(
-    "nav footer aside form script style noscript template iframe object svg math canvas button select textarea dialog menu head title audio video map".split()
+    "nav footer aside script style noscript template iframe object svg math canvas button select textarea dialog menu head title audio video map".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist".split())
 _MARKS = frozenset(
@@ -40,6 +41,7 @@ _MARKS = frozenset(
     "pagination pager widget widgets skip hidden copyright disclaimer paywall trackback trackbacks pingback discussion feedback adsbygoogle adsense adslot "
     "adbox adunit taboola outbrain".split()
 )
+SHARE, REST = 0.5, 0.25  # of the text that marked elements must hold; of their text and ratio that the rest may have
 _BODY_WORDS = frozenset("article post entry content story main body text page".split())
 _REGIONS = ("article", "main")
 _CONTAINERS = frozenset("article main section div td body html blockquote center".split())
@@ -57,26 +59,44 @@ def _is_furniture(tag: str, attrs: list[tuple[str, str | None]], in_region: bool
             return True
         if not value:
             continue
-        if name == "role" and value.lower() in _ROLES or name == "style" and _HIDDEN.search(value):
+        if name == "role" and value.lower() in _ROLES - {"form"} or name == "style" and _HIDDEN.search(value):
             return True
+    return False
+
+
+def _mark(tag: str, attrs: list[tuple[str, str | None]], by_name: bool) -> tuple[str, bool] | None:
+    """What marks an element as furniture by its class, id or being a form (None: nothing), and whether it is built like an article all the same."""
+    hits: list[str] = []
+    bare = body = False
+    for name, value in attrs if by_name and tag not in ("html", "body", "main") else ():
+        if name == "role" and (value or "").lower() == "form":
+            hits.append("form")
         if name in ("class", "id"):
-            for one in value.split():
+            for one in (value or "").split():
                 marks = {w.lower() for w in _SPLIT.split(one) if w}
                 hit = marks & _MARKS
-                if hit and not (marks & _BODY_WORDS and hit <= {"header", "banner", "page", "text"}) and tag not in _REGIONS[1:]:
-                    return True
-    return False
+                if hit and not (marks & _BODY_WORDS and hit <= {"header", "banner", "page", "text"}):
+                    hits.append(" ".join(sorted(hit)))
+                    bare |= marks == hit
+                elif marks & _BODY_WORDS:
+                    body = True
+    if tag == "form":
+        hits.append("form")
+    return (" ".join(hits), body or tag == "article" and not bare) if hits else None
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, region) per line."""
+    """Collects (text, tags, region) per line, and for each the innermost marked element and whether it is inside an article."""
 
     def __init__(self, by_name: bool = True) -> None:
         super().__init__(convert_charrefs=True)
         self.by_name = by_name
         self.parent: dict[int, int] = {}  # of each region but the page itself
         self.lines: list[tuple[str, int, int]] = []
+        self.of: list[tuple[int, bool]] = []  # per line: the marked element around it (0: none), inside an article or main element
         self.stack: list[tuple[str, int, bool]] = []  # tag, region, furniture
+        self.marks: list[tuple[str, bool]] = [("", False)]  # by number of the marked element
+        self.marked: list[tuple[int, int, int, bool]] = []  # the open ones: place in the stack, number, and the tags and whole outside
         self.parts: list[str] = []
         self.tags = self.regions = 0
         self.off = 0  # open furniture elements
@@ -88,10 +108,11 @@ class _Lines(HTMLParser):
             self.parts = []
             if text:
                 self.lines.append((text, self.tags, self.region))
+                self.of.append((self.marked[-1][1] if self.marked else 0, self.whole))
                 self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("body", "article", "main") and self.off and self._leave_loose(tag, attrs):
+        if tag in ("body", "article", "main") and (self.off or self.marked) and self._leave_loose(tag, attrs):
             self._end_line()
         if self.off:
             if tag not in _VOID:
@@ -103,11 +124,18 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         furniture = _is_furniture(tag, attrs, self.whole, self.by_name)
+        mark = None if furniture else _mark(tag, attrs, self.by_name)
         self.stack.append((tag, self.region, furniture))
         if furniture:
             self._end_line()
             self.off += 1
-        elif tag in _REGIONS and not self.whole:
+            return
+        if mark:
+            self._end_line()
+            self.marked.append((len(self.stack) - 1, len(self.marks), self.tags, self.whole))
+            self.marks.append(mark)
+            self.tags = 0
+        if tag in _REGIONS and not self.whole:
             self.regions += 1
             self.region, self.whole = self.regions, True
         elif tag in _CONTAINERS and not self.whole:
@@ -118,10 +146,11 @@ class _Lines(HTMLParser):
 
     def _leave_loose(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         """Ends furniture that was never closed when the page's body or article begins."""
-        open_ones = [t for t, _, f in self.stack if f]
-        if _is_furniture(tag, attrs, False, self.by_name) or (tag != "body" and any(t in ("aside", "footer", "form", "section", "template", "noscript", "dialog", "ol", "ul") for t in open_ones)):
+        marked = {place for place, *_ in self.marked}
+        open_ones = [t for i, (t, _, f) in enumerate(self.stack) if f or i in marked]
+        if _is_furniture(tag, attrs, False, self.by_name) or _mark(tag, attrs, self.by_name) or (tag != "body" and any(t in ("aside", "footer", "form", "section", "template", "noscript", "dialog", "ol", "ul") for t in open_ones)):
             return False
-        while self.stack and self.off:
+        while self.stack and (self.off or self.marked):
             self._pop()
         return True
 
@@ -129,10 +158,14 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)  # as browsers do, "/>" closes only void elements
 
     def _pop(self) -> None:
+        if self.marked and self.marked[-1][0] == len(self.stack) - 1:
+            self._end_line()  # also where its tag is an inline one
         tag, self.region, furniture = self.stack.pop()
         if furniture:
             self.off -= 1
-        if tag in _REGIONS:
+        if self.marked and self.marked[-1][0] == len(self.stack):
+            _, _, self.tags, self.whole = self.marked.pop()
+        elif tag in _REGIONS:
             self.whole = any(t in _REGIONS for t, _, f in self.stack if not f)
 
     def handle_endtag(self, tag: str) -> None:
@@ -157,7 +190,33 @@ class _Lines(HTMLParser):
     def finish(self) -> list[tuple[str, int, int]]:
         self.close()
         self._end_line()
-        return self.lines
+        kept = self._kept()
+        return [line for line, (n, _) in zip(self.lines, self.of) if n in kept]
+
+    def _kept(self) -> set[int]:
+        """The marked elements that are content after all, and 0: their lines count like any other."""
+        own: dict[int, int] = {}
+        for (text, _, _), (n, _) in zip(self.lines, self.of):
+            own[n] = own.get(n, 0) + len(text)
+        rest = own.pop(0, 0)
+        if not own:
+            return {0}
+        total = rest + sum(own.values())
+        like = {n for n in own if self.marks[n][1] or any(k == n and whole for k, whole in self.of)}  # built like, or around, an article
+        if sum(own[n] for n in like) >= SHARE * total and not any(whole for n, whole in self.of if not n):
+            return {0} | like
+
+        def top(of: set[int]) -> float:
+            """The highest smoothed ratio of their lines."""
+            found = [len(t) / max(1, tags) for (t, tags, _), (n, _) in zip(self.lines, self.of) if n in of]
+            return float(smoothed(np.array(found)).max()) if found else 0.0
+
+        for name in {self.marks[n][0] for n in own}:
+            same = {n for n in own if self.marks[n][0] == name}
+            held = sum(own[n] for n in same)
+            if held >= SHARE * total and rest <= REST * held and top({0}) <= REST * top(same):
+                return {0} | same
+        return {0}
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -30,6 +30,33 @@ def test_article_without_furniture(html):
     assert html_extract.extract(html) == TEXT
 
 
+LONG_TEXT = "".join(f"<p>Paragraph {i} of the article has a sentence of usual length, and then another one, so that it reads like text.</p>" for i in range(8))
+LONG = " ".join(f"Paragraph {i} of the article has a sentence of usual length, and then another one, so that it reads like text." for i in range(8))
+
+
+@pytest.mark.parametrize("inner", [LONG_TEXT, LONG_TEXT.replace("</p>", "").replace("<p>", "<br>")])
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<h1>News</h1><article class='post category-advertising'>", "</article><p>teaser</p>"),
+        ("<h1>News</h1><div class='post comments-open'>", "</div><p>teaser</p>"),
+        ("<h1>News</h1><div class='page has-sidebar'><div>", "</div></div><p>teaser</p>"),
+        ("<h1>News</h1><div class='widget-area'>", "</div><p>teaser</p>"),
+        ("<form action=x><div><div class=content>", "</div></div></form>"),
+        ("<h1>News</h1><form action=x><header>Site</header><article>", "</article></form><p>teaser</p>"),
+    ],
+)
+def test_named_like_furniture_but_holds_the_article(start, end, inner):
+    got = html_extract.extract(f"<html><body><nav><a>x</a></nav>{start}{inner}{end}<footer>end</footer></body></html>")
+    assert LONG in got and got.replace(LONG, "").split() in ([], ["News"], ["teaser"], ["News", "teaser"])
+
+
+def test_long_comments_stay_furniture():
+    said = "".join(f"<div class=comment><p>Reader {i} has a very long opinion on this article, that is longer than any of its paragraphs, and says so again and again.</p></div>" for i in range(20))
+    for start, end in (("<div>", "</div>"), ("<article>", "</article>"), ("<div class=content>", "</div>")):
+        assert html_extract.extract(f"<body>{start}{LONG_TEXT}{end}<section id=comments>{said}</section></body>") == LONG
+
+
 def test_article_header_belongs_to_the_article():
     assert html_extract.extract("<header>Site</header><article><header><h1>Title</h1></header><p>Text.</p></article>") == "Title Text."
 
