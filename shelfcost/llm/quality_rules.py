@@ -7,6 +7,8 @@ count) is applied afterwards with one bitwise ``and``, without reading a text ag
 ablations (how many more documents each rule rejects by itself, or would be kept without
 it) come from one aggregation over the masks.
 
+``n_upper`` counts the upper-case letters of every script, ``n_lower`` all other letters, those without case included.
+
 Defined cases: a null or empty text has zero of everything and fails ``too_short``; repeated
 rows are measured one by one; other columns, whatever their names, are carried unchanged
 except that columns named like the ledger's own (``MEASURES``, ``failed_bits``) are replaced.
@@ -14,6 +16,8 @@ except that columns named like the ledger's own (``MEASURES``, ``failed_bits``)
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +31,21 @@ from shelfcost.llm.text import WORD_RE
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower")
 _SYMBOLS, _UPPER, _LOWER = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
+def _cased(text: str) -> tuple[int, int]:
+    """The letters in upper case, and all other letters."""
+    raw = text.encode("ascii", "ignore")
+    upper, lower = (len(raw) - len(raw.translate(None, chars)) for chars in (_UPPER, _LOWER))
+    if len(raw) < len(text):
+        for c, n in Counter(_BEYOND_ASCII.findall(text)).items():
+            if c.isalpha():
+                if c.isupper():
+                    upper += n
+                else:
+                    lower += n
+    return upper, lower
 
 
 def _repeated(words: list[str]) -> int:
@@ -59,8 +78,8 @@ def measure_text(text: str | None) -> tuple[int, ...]:
             dup += line in seen
             seen.add(line)
     raw = text.encode("utf-8", "replace")
-    symbols, upper, lower = (len(raw) - len(raw.translate(None, chars)) for chars in (_SYMBOLS, _UPPER, _LOWER))
-    return len(words), sum(map(len, words)), symbols, dup, _repeated(words), lines, upper, lower
+    symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
+    return len(words), sum(map(len, words)), symbols, dup, _repeated(words), lines, *_cased(text)
 
 
 @F.pandas_udf(StructType([StructField(m, LongType()) for m in MEASURES]))

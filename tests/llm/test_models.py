@@ -101,6 +101,20 @@ def test_ledger_policies_and_ablation(spark):
             assert row.failed == sum(bool(b & bit) for b in bits.values()) and row.failed_alone == sum(b & of == bit for b in bits.values()) and row.documents == len(texts)
 
 
+def test_shouting_counts_letters_of_every_script(spark):
+    texts = {
+        "русский": ("слово и ещё одно " * 30 + " NATO", False),
+        "РУССКИЙ": ("СЛОВО И ЕЩЁ ОДНО " * 30 + " nato", True),
+        "ελληνικά": ("μία λέξη ακόμη " * 30 + " NATO", False),
+        "中文": ("中文 的 文章 " * 30 + " NATO", False),
+        "english": ("AN UPPER word and a few " * 30, False),
+        "ENGLISH": ("AN UPPER WORD and " * 30, True),
+    }
+    led = quality_rules.ledger(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts.values())], "doc_id long, text string"))
+    bit = quality_rules.mask("shouting")
+    assert {r.doc_id: bool(r.failed_bits & bit) for r in led.collect()} == {i: loud for i, (_, loud) in enumerate(texts.values())}
+
+
 def test_rule_bits_follow_the_rule_list():
     assert [quality_rules.mask(r.name) for r in quality_rules.rules()] == [1 << i for i in range(len(quality_rules.rules()))]
 
