@@ -1,6 +1,6 @@
 """The registered queries of the subpackage and their DuckDB SQL.
 
-Each query reads the whole of its table and returns one row per document or page.
+Each query reads the whole of its table; what its rows stand for is said in its module.
 """
 
 from __future__ import annotations
@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcost.llm import decontam, html_extract, line_dedup, mixing, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc
+from shelfcost.llm import (
+    conversation_trie, decontam, html_extract, line_dedup, mixing, packing, quality_model, quality_rules, simhash, source_audit, substring_dedup, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +32,12 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.report(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": _over("pages", html_extract.report),
     "op2_simhash": _over("documents", simhash.report),
@@ -41,6 +49,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": _over("documents", mixing.report),
     "op9_line_dedup": _over("documents", line_dedup.report),
     "op10_quality_rules": _over("documents", quality_rules.report),
+    "op11_source_audit": _over("documents", source_audit.report),
+    "op12_packing": _packing,
+    "op13_conversation_trie": _over("conversations", conversation_trie.report),
 }
 
 ORACLE: dict[str, str] = {
@@ -48,4 +59,6 @@ ORACLE: dict[str, str] = {
     "op8_mixing": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_source_audit": source_audit.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }
