@@ -12,8 +12,8 @@ the fullest fits, which pads about 3 % on the given texts (windows of about thre
 Nothing is shuffled and a task holds the ids of one group (some MB) and one slice of texts, whatever the size of the input;
 groups follow the order of the rows in a partition, so a task that is run again gives the same sequences.
 
-Token ids: text is cut at spaces and line feeds, which the tokenizer never joins, and each different piece is encoded once per slice or
-taken from a bounded cache of pieces already encoded. Ids are those of the whole text (tested).
+Token ids: text is cut at spaces and line feeds, which the tokenizer never joins, and each different piece is encoded once
+and taken from a bounded cache of pieces already encoded. Ids are those of the whole text (tested).
 
 Defined cases: a null or empty text has only the id 1; special tokens' strings in a text are ordinary text; repeated rows, and rows with
 a null id, are documents of their own; an empty table gives no pieces; other columns are ignored.
@@ -39,7 +39,8 @@ GROUP = 512  # windows that the rests of a group fill
 END = 1
 ID_BYTES = 4
 SLICE = 4 << 20  # bytes of text whose pieces are looked up together
-CACHED = 1 << 18
+CACHED = 1 << 20  # pieces, about 200 bytes each
+JOINED = 1000
 LONG_PIECE = 1 << 16
 _WORD_AND_POINTS = re.compile(rb"(.*[a-z])([.,!?;:]+)", re.DOTALL)  # the tokenizer always cuts here
 _LONG_CUT = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?])")
@@ -56,27 +57,50 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = bool(suffix) and token.endswith(suffix)
+
+    def _learn_each(self, pieces: list[bytes]) -> None:
+        cuts = [_LONG_CUT.split(p.decode()) if len(p) > LONG_PIECE else [p.decode()] for p in pieces]
+        found = iter(self.tokenizer.encode_batch_fast([t for c in cuts for t in c], add_special_tokens=False))
+        for p, c in zip(pieces, cuts):
+            ids = [i for _ in c for i in next(found).ids]
+            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        texts = [t for p in pieces for t in (_LONG_CUT.split(p.decode()) if len(p) > LONG_PIECE else (p.decode(),))]
-        found = iter(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        """Encode ``pieces``. Words of lower-case letters are encoded many at a time: each ends with the only one of its tokens that ends a word."""
+        words, others = [], []
         for p in pieces:
-            n = len(_LONG_CUT.split(p.decode())) if len(p) > LONG_PIECE else 1
-            ids = [i for _ in range(n) for i in next(found).ids]
-            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
+            t = p.decode()
+            (words if t.isalpha() and t.islower() and len(p) <= LONG_PIECE else others).append(p)
+        blocks = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        for block, found in zip(blocks, self.tokenizer.encode_batch_fast([b" ".join(b).decode() for b in blocks], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = ID_BYTES * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) != len(block):
+                others.extend(block)
+                continue
+            data = ids.tobytes()
+            self.known.update(zip(block, (data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
+        self._learn_each(others)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]  # only A-Z here, the tokenizer does the rest
-        new = set().union(*split)
+        found = [list(map(self.known.get, s)) for s in split]
+        open_ = [k for k, f in enumerate(found) if None in f]
+        new = {p for k in open_ for p, ids in zip(split[k], found[k]) if ids is None}
         if len(self.known) + len(new) > CACHED:
             self.known.clear()
-        new = [p for p in new if p not in self.known]
+        known = self.known
         parts = {p: m.groups() for p in new if (m := _WORD_AND_POINTS.fullmatch(p))}
         whole = {p for p in new if p not in parts}.union(*parts.values())
-        self._learn([p for p in whole if p not in self.known])
-        known = self.known
+        self._learn([p for p in whole if p not in known])
         known.update((p, known[a] + known[b]) for p, (a, b) in parts.items())
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        for k in open_:
+            found[k] = [known[p] if ids is None else ids for p, ids in zip(split[k], found[k])]
+        return [b"".join(f) for f in found]
 
 
 _encoders: dict[str, Ids] = {}
