@@ -37,6 +37,14 @@ class Window:
         """
         return self.contains(preferred) | (preferred.isNull() & self.contains(fallback))
 
+    def months(self) -> list[dt.date]:
+        """First days of the window's months."""
+        out, month = [], first_of_month(self.start)
+        while month < self.end:
+            out.append(month)
+            month = add_months(month, 1)
+        return out
+
 
 def first_of_month(d: dt.date) -> dt.date:
     return d.replace(day=1)

@@ -106,6 +106,16 @@ def select_locations(src: Sources, location_type: str, location: str | None) ->
     return _label(chosen).distinct()
 
 
+def near_stores(rollup: DataFrame, selection: DataFrame) -> DataFrame:
+    """Rollup rows between the first and the last selected store.
+
+    Two values pass through the driver. They reach the scan, whose row groups are in store order, so those of other
+    stores are skipped; the join with the selection decides.
+    """
+    first, last = selection.agg(F.min("LocationNo"), F.max("LocationNo")).first()
+    return rollup.where(F.col("LocationNo").between(F.lit(first), F.lit(last)))
+
+
 # --- report (R6) -------------------------------------------------------------------------
 
 def report(rollup: DataFrame, selection: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -154,6 +164,16 @@ def month_dim(src: Sources, as_of: dt.date) -> DataFrame:
         .select(month_bucket(F.col("BusinessDate")).alias("PARAMDATE"))
         .distinct()
     )
+    return _labelled(months)
+
+
+def month_list(months: DataFrame, as_of: dt.date) -> DataFrame:
+    """:func:`month_dim` over the months that the rollup holds (``BusinessMonth``), which needs no fact table."""
+    held = months.where(F.col("BusinessMonth").between(F.lit(month_list_start(as_of)), F.lit(as_of)))
+    return _labelled(held.select(F.col("BusinessMonth").alias("PARAMDATE")))
+
+
+def _labelled(months: DataFrame) -> DataFrame:
     return months.select(
         "PARAMDATE",
         F.date_format("PARAMDATE", "MMMM yyyy").alias("MonthYearPARAM"),

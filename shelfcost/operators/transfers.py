@@ -42,37 +42,46 @@ def _lines(src: Sources) -> DataFrame:
     return heads.join(lines, "TransferBinNo")
 
 
-def transfers(src: Sources, window: Window, directions=("out", "in"), out_window_on: str = "header") -> DataFrame:
+def transfers(src: Sources, window: Window, directions=("out", "in"), out_window_on: str = "header",
+              run_month: bool = False) -> DataFrame:
     """A8 + A9 in one pass over the joined lines.
 
     Outbound rows are the sending store's, inbound rows the receiving store's
     with the type negated. ``out_window_on="header"`` (default, as the rule is
     written) filters outbound rows on the header's CreateTime; ``"event_time"``
     is the opt-in that filters them on the line time the month is bucketed on.
+    ``run_month`` adds the month of the window that a row was read in where it
+    cannot be told from ``BusinessMonth``: for rows with a NULL month or store.
     """
     if out_window_on not in ("header", "event_time"):
         raise ValueError(f"out_window_on must be 'header' or 'event_time', not {out_window_on!r}")
+    line_time = event_time(F.col("UpdateTime"), F.col("LineTime"))
     line_in_window = window.contains_first(F.col("UpdateTime"), F.col("LineTime"))
     out_in_window = window.contains(F.col("HeaderTime")) if out_window_on == "header" else line_in_window
     sides = {
-        "out": (out_in_window, F.col("LocationNo"), F.col("TransferType")),
-        "in": (line_in_window, F.col("ToLocationNo"), -F.col("TransferType")),
+        "out": (out_in_window, F.col("LocationNo"), F.col("TransferType"), F.col("HeaderTime") if out_window_on == "header" else line_time),
+        "in": (line_in_window, F.col("ToLocationNo"), -F.col("TransferType"), line_time),
     }
+    month = month_bucket(line_time)
     keep, rows = F.lit(False), []
     for d in directions:
-        in_window, store, kind = sides[d]
+        in_window, store, kind, read_at = sides[d]
         keep = keep | in_window
-        rows.append(F.when(in_window, F.struct(store.alias("LocationNo"), kind.alias("XfrTy"))))
+        side = [store.alias("LocationNo"), kind.alias("XfrTy")]
+        if run_month:
+            side.append(F.when(store.isNull() | month.isNull(), month_bucket(read_at)).otherwise(month).alias("RunMonth"))
+        rows.append(F.when(in_window, F.struct(*side)))
+    extra = ["RunMonth"] if run_month else []
     tagged = _lines(src).where(keep).select(
-        month_bucket(event_time(F.col("UpdateTime"), F.col("LineTime"))).alias("BusinessMonth"),
+        month.alias("BusinessMonth"),
         F.explode(F.array_compact(F.array(*rows))).alias("side"), F.col("DipsItemCode").alias("ItemCode"),
         F.col("Quantity").alias("q"), (F.col("Quantity") * F.col("DipsCost")).alias("c"),
     ).select("BusinessMonth", "side.*", "ItemCode", "q", "c")
-    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy"], ["q", "c"], products_categorised(src, True))
+    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy", *extra], ["q", "c"], products_categorised(src, True))
     return (
-        priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat")
+        priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat", *extra)
         .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
-        .select(*TIDY_COLUMNS)
+        .select(*TIDY_COLUMNS, *extra)
     )
 
 

@@ -536,6 +536,11 @@ def _finals() -> dict[str, str]:
         union all
         select 'xfers', BusinessMonth, LocationNo, XfrTy, PrCat, Qty, Cost, cast(null as {DEC}), cast(null as {DEC}) from q_xfers_tidy
         where BusinessMonth is null or LocationNo is null"""
+    f["rollup_rejects_rerun"] = f"select *, BusinessMonth as RunMonth from ({f['rollup_rejects']})"   # null stores only, read in their month
+    f["rollup_rolled_back"] = "select * from q_rollup"
+    f["report_months"] = f"""
+        select distinct BusinessMonth as PARAMDATE, strftime(BusinessMonth, '%B %Y') as MonthYearPARAM, last_day(BusinessMonth) as LastDayOfMonth
+        from q_rollup where BusinessMonth between {_d(month_list_start(R.AS_OF))} and {_d(R.AS_OF)}"""
     f["dq_null_keys"] = f"select Source, BusinessMonth, LocationNo, Ty, PrCat from ({f['rollup_rejects']})"
     for win_key, win in (("window_default", w), ("window_one_month", w1)):
         f[win_key] = f"""

@@ -1,4 +1,4 @@
-"""spark-submit entry points for the four jobs (category load, rollup, report, v1 script).
+"""spark-submit entry points: category load, rollup, report, v1 script, and upkeep of the rollup's versions.
 
 Run through the root launcher (spark-submit runs a file), or ``python -m shelfcost.plans.jobs``:
 
@@ -8,6 +8,8 @@ Run through the root launcher (spark-submit runs a file), or ``python -m shelfco
                                      --start 2024-01-01 --end 2024-03-31 --out <path>
     spark-submit run_job.py v1       --sources sources.json --start 2021-06-01 --end 2021-07-01 --out <path>
 
+    spark-submit run_job.py rollback --target <path> --version 7      (or: expire --target <path> --keep 3)
+
 ``sources.json`` maps each source name of :mod:`shelfcost.sources.schemas` to a
 parquet path or a catalog table name. The session is built with the cluster
 profile of :mod:`shelfcost.session`; ``--conf`` of the submitting environment
@@ -24,7 +26,7 @@ import json
 from pyspark.sql import SparkSession
 
 from shelfcost.functions.dates import Window
-from shelfcost.operators import legacy
+from shelfcost.operators import legacy, versions
 from shelfcost.plans.monthly import run_category_load, run_rollup
 from shelfcost.plans.report import run_report
 from shelfcost.session import build_session
@@ -37,8 +39,8 @@ def _date(text: str | None) -> dt.date | None:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shelfcost")
-    ap.add_argument("job", choices=["category", "rollup", "report", "v1"])
-    ap.add_argument("--sources", required=True, help="JSON file: source name -> path or table")
+    ap.add_argument("job", choices=["category", "rollup", "report", "v1", "rollback", "expire"])
+    ap.add_argument("--sources", help="JSON file: source name -> path or table")
     ap.add_argument("--target", help="rollup table path")
     ap.add_argument("--out", help="output path (category table, report parquet)")
     ap.add_argument("--month", help="roll up only this month (any day in it)")
@@ -46,7 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out-window-on", choices=["header", "event_time"], default="header",
                     help="outbound transfers: window on header time (default) or on line event time")
     ap.add_argument("--allow-rejects", action="store_true",
-                    help="go on when rows have a NULL month or store (they are written to <target>_rejects)")
+                    help="go on when rows have a NULL month or store (they are kept in the reject ledger of the target)")
+    ap.add_argument("--version", type=int, help="rollback: the version to go back to")
+    ap.add_argument("--keep", type=int, default=2, help="expire: versions to keep")
     ap.add_argument("--type", default="All Locations")
     ap.add_argument("--location")
     ap.add_argument("--start")
@@ -54,6 +58,12 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.getActiveSession() or build_session("cluster", app_name=f"shelfcost-{args.job}")
+    if args.job == "rollback":
+        versions.rollback(spark, args.target, args.version)
+        return
+    if args.job == "expire":
+        versions.expire(spark, args.target, args.keep)
+        return
     with open(args.sources) as fh:
         src = from_tables(spark, json.load(fh))
     as_of = _date(args.as_of) or dt.date.today()

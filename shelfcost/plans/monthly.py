@@ -9,8 +9,10 @@ instead of recomputing every branch. All branches feed that one job, so
 they run concurrently; everything upstream runs once.
 
 Rows whose month or store is NULL cannot be stored under the rollup's key.
-They are split off before the pivots, written to a reject table beside the
-rollup, and fail the job unless it is told to go on without them.
+They are split off before the pivots and kept in a ledger by the month of the
+run window they were read in, which is committed together with the rollup: a run
+replaces its own window's rejects and leaves those of other months. A job with
+rejects fails unless it is told to go on without them.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ class RejectedRows(ValueError):
 @dataclass
 class RollupRun:
     window: Window
-    tidy: DataFrame        # every branch's rows, materialised: Source, keys, Ty, PrCat, Qty, Cost, Val, Fee
+    tidy: DataFrame        # every branch's rows, materialised: Source, RunMonth, keys, Ty, PrCat, Qty, Cost, Val, Fee
     rejects: DataFrame     # the tidy rows with a NULL key
     sales_wide: DataFrame  # pivots of the rows with complete keys
     xfers_wide: DataFrame
@@ -51,10 +53,11 @@ class RollupRun:
 
 
 def tidy_rows(st: DataFrame, xt: DataFrame) -> DataFrame:
-    """Sales and transfer branches as one table, told apart by ``Source``."""
-    s = st.select(F.lit("sales").alias("Source"), *KEYS, F.col("SldTy").alias("Ty"), "PrCat", "Qty", "Cost", "Val", "Fee")
+    """Sales and transfer branches as one table, told apart by ``Source``. Sales are read in their own month."""
+    s = st.select(F.lit("sales").alias("Source"), F.col("BusinessMonth").alias("RunMonth"), *KEYS, F.col("SldTy").alias("Ty"),
+                  "PrCat", "Qty", "Cost", "Val", "Fee")
     none = F.lit(None).cast(MONEY)
-    x = xt.select(F.lit("xfers").alias("Source"), *KEYS, F.col("XfrTy").alias("Ty"), "PrCat", "Qty", "Cost",
+    x = xt.select(F.lit("xfers").alias("Source"), "RunMonth", *KEYS, F.col("XfrTy").alias("Ty"), "PrCat", "Qty", "Cost",
                   none.alias("Val"), none.alias("Fee"))
     return s.unionByName(x)
 
@@ -63,7 +66,8 @@ def build_rollup(src: Sources, window: Window, materialise_tidy: bool = True,
                  out_window_on: str = "header") -> RollupRun:
     """Plan one run. ``out_window_on="event_time"`` is the opt-in that windows
     outbound transfers on line time (no months past the window)."""
-    tidy = tidy_rows(sales.sales_tidy(src, window), transfers.xfers_tidy(src, window, out_window_on))
+    xfers = transfers.transfers(src, window, out_window_on=out_window_on, run_month=True)
+    tidy = tidy_rows(sales.sales_tidy(src, window), xfers)
     if materialise_tidy:
         tidy = materialise(tidy)
     good, rejects = quality.split_null_keys(tidy, KEYS)
@@ -80,22 +84,19 @@ def run_category_load(src: Sources, path: str) -> None:
     cat.write.mode("overwrite").parquet(path)
 
 
-def rejects_path(target_path: str) -> str:
-    return target_path.rstrip("/") + "_rejects"
-
-
 def run_rollup(src: Sources, target_path: str, first_day: dt.date | None = None,
                as_of: dt.date | None = None, out_window_on: str = "header",
                allow_rejects: bool = False) -> RollupRun:
     """Entry point B: roll up one month (or the default window) and replace its keys.
 
-    The run's rejects replace the reject table. If there are any, nothing else is
-    written and :class:`RejectedRows` is raised, unless ``allow_rejects``.
+    Rollup and reject ledger get one new version. If there are rejects, the run is refused:
+    they are kept aside (:func:`writer.read_refused`), table and ledger stay, and
+    :class:`RejectedRows` is raised, unless ``allow_rejects``.
     """
     window = resolve_window(first_day, as_of or dt.date.today())
     run = build_rollup(src, window, out_window_on=out_window_on)
-    run.rejects.write.mode("overwrite").parquet(rejects_path(target_path))
     if not allow_rejects and not run.rejects.isEmpty():
-        raise RejectedRows(f"rows with a NULL month or store, see {rejects_path(target_path)}")
-    writer.replace_by_key(src.spark, target_path, run.rollup, run.grid)
+        writer.refuse(src.spark, target_path, run.rejects)
+        raise RejectedRows(f"rows with a NULL month or store, see writer.read_refused(spark, {target_path!r})")
+    writer.replace_by_key(src.spark, target_path, run.rollup, run.grid, run.rejects, window)
     return run

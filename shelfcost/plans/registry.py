@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from shelfcost import fixed
 from shelfcost.functions.columns import bookworm_xaction_id, item_code_from_sku, location_fallback, signed_quantity
 from shelfcost.functions.dates import report_default_end_col, report_default_start_col, resolve_window, month_bucket
-from shelfcost.operators import dims, legacy, quality, report, rollup, sales, transfers, writer
+from shelfcost.operators import dims, legacy, quality, report, rollup, sales, transfers, versions, writer
 from shelfcost.operators.pivot import KEYS, SALES_MEASURES, XFER_MEASURES, pivot_measures
 from shelfcost.plans.monthly import build_rollup
-from shelfcost.plans.report import run_report
+from shelfcost.plans.report import report_months, run_report
 from shelfcost.sources.catalog import Sources, from_star
 from shelfcost.sources.schemas import REQUIRED_SOURCES
 
@@ -93,7 +93,33 @@ def rollup_delete_keys(spark, d):
 
 
 def rollup_rejects(spark, d):
-    return _run(_src(spark, d)).rejects
+    return _run(_src(spark, d)).rejects.drop("RunMonth")
+
+
+def rollup_rejects_rerun(spark, d):
+    """K8: the reject ledger after a run of the default window and a re-run of one month."""
+    src = _src(spark, d)
+    path = writer.scratch_table(spark, "rollup")
+    for window in (WINDOW, WINDOW_ONE):
+        run = _run(src, window)
+        writer.replace_by_key(spark, path, run.rollup, run.grid, run.rejects, window)
+    return writer.read_rejects(spark, path)
+
+
+def rollup_rolled_back(spark, d):
+    """K6: a run, a version without the re-run month, and the way back to the first."""
+    src = _src(spark, d)
+    path = _write(src)
+    first = versions.load(spark, path)
+    month = str(WINDOW_ONE.start)
+    versions.commit(spark, path, first, {writer.ROLLUP_TABLE: {month: None}})
+    versions.rollback(spark, path, first.number)
+    return writer.read_rollup(spark, path)
+
+
+def report_months_q(spark, d):
+    src = _src(spark, d)
+    return report_months(src, _persisted(src), AS_OF)
 
 
 def dq_rollup_duplicate_keys(spark, d):
@@ -216,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_dim": lambda spark, d: dims.category_dim(_src(spark, d)),
     "rollup_scan": rollup_scan,
     "month_dim": lambda spark, d: report.month_dim(_src(spark, d), AS_OF),
+    "report_months": report_months_q,
     "location_dim": lambda spark, d: report.location_dim(_src(spark, d)),
     # parameters and derived columns
     "window_default": _window_flags(WINDOW),
@@ -251,8 +278,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup": _rollup,
     "rollup_delete_keys": rollup_delete_keys,
     "rollup_replace_by_key": rollup_replace_by_key,
+    "rollup_rolled_back": rollup_rolled_back,
     # quality
     "rollup_rejects": rollup_rejects,
+    "rollup_rejects_rerun": rollup_rejects_rerun,
     "dq_rollup_duplicate_keys": dq_rollup_duplicate_keys,
     "dq_category_duplicate_keys": dq_category_duplicate_keys,
     "dq_null_keys": dq_null_keys,

@@ -17,9 +17,17 @@ def run_report(src: Sources, rollup_path: str, location_type: str, location: str
     """Report rows for a location selection and an inclusive month range.
 
     Missing dates default to the previous month (first to last day) of
-    ``as_of``; the month range prunes the rollup's month folders.
+    ``as_of``; the month range prunes the rollup's month folders. The stores of a
+    selection by store, district or region also skip row groups.
     """
     default_start, default_end = report_default_dates(as_of or dt.date.today())
-    return report.report(writer.read_rollup(src.spark, rollup_path),
-                         report.select_locations(src, location_type, location),
-                         start or default_start, end or default_end)
+    selection = report.select_locations(src, location_type, location)
+    rows = writer.read_rollup(src.spark, rollup_path)
+    if location is not None:
+        rows = report.near_stores(rows, selection)
+    return report.report(rows, selection, start or default_start, end or default_end)
+
+
+def report_months(src: Sources, rollup_path: str, as_of: dt.date | None = None) -> DataFrame:
+    """The month list of the report: the months that the rollup holds, from its version file alone."""
+    return report.month_list(writer.rollup_months(src.spark, rollup_path), as_of or dt.date.today())

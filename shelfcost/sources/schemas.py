@@ -96,3 +96,10 @@ ROLLUP = _schema(
     ("LocationNo", S, False),
     *[(name, MONEY if kind == "amt" else L, True) for name, kind in ROLLUP_MEASURES],
 )
+
+# --- fixed values: reject ledger columns -----------------------------------------
+# Tidy rows whose month or store is NULL; RunMonth is the month of the run window that the row was read in.
+REJECTS = _schema(
+    ("Source", S, False), ("RunMonth", D, False), ("BusinessMonth", D, True), ("LocationNo", S, True),
+    ("Ty", I, True), ("PrCat", S, True), ("Qty", L, True), ("Cost", MONEY, True), ("Val", MONEY, True), ("Fee", MONEY, True),
+)

@@ -340,15 +340,16 @@ def _half_keyed(spark):
 def test_null_stores_fail_the_job_and_are_kept_as_rejects(spark):
     import pytest
 
-    from shelfcost.plans.monthly import RejectedRows, rejects_path, run_rollup
+    from shelfcost.plans.monthly import RejectedRows, run_rollup
 
     src = _half_keyed(spark)
     path = os.path.join(tempfile.mkdtemp(prefix="shelfcost-rej-"), "rollup")
     with pytest.raises(RejectedRows):
         run_rollup(src, path, D(2001, 5, 1), D(2001, 8, 1))
-    assert not writer.table_exists(spark, path)
+    assert not writer.table_exists(spark, path) and writer.read_refused(spark, path).count() == 1
     run = run_rollup(src, path, D(2001, 5, 1), D(2001, 8, 1), allow_rejects=True)
-    rejects = spark.read.parquet(rejects_path(path)).collect()
+    rejects = writer.read_rejects(spark, path).collect()
+    assert writer.read_refused(spark, path).count() == 0
     assert [(r.Source, r.LocationNo, r.Qty) for r in rejects] == [("sales", None, run.tidy.where("LocationNo is null").first().Qty)]
     # nothing is lost: rollup + rejects = all tidy rows
     kept = sum(r.DistOnlineSoldVal for r in writer.read_rollup(spark, path).collect())
