@@ -34,6 +34,19 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def open_fs(uri: str):
+    """(file system, path) of a path or URI, for tasks that write or read files of their own."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`new_path`, once nothing reads it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files of a table that :func:`save` returned, once nothing reads it any more."""
     spark = df.sparkSession

@@ -14,6 +14,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
+from shelfcost.llm.store import open_fs
+
 CACHE_BYTES = 64 << 20
 
 
@@ -117,15 +119,9 @@ class Transducer:
         return cls(*out)
 
 
-def _open(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def write(folder: str, transducer: Transducer) -> str:
     """Write a shard to the shared folder under a name of its own; the name."""
-    fs, path = _open(folder)
+    fs, path = open_fs(folder)
     fs.create_dir(path, recursive=True)
     name = uuid.uuid4().hex
     with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
@@ -140,7 +136,7 @@ def _read(folder: str, name: str) -> Transducer:
     """A shard, from the worker's cache of the shards used last (``CACHE_BYTES`` at most)."""
     key = f"{folder}/{name}"
     if key not in _cache:
-        fs, path = _open(folder)
+        fs, path = open_fs(folder)
         with fs.open_input_file(f"{path}/{name}") as f:
             _cache[key] = Transducer.loads(f.readall())
         while len(_cache) > 1 and sum(t.keys.nbytes * 2 + t.final.nbytes for t in _cache.values()) > CACHE_BYTES:

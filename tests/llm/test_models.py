@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from shelfcost.llm import html_extract, quality_model, quality_rules, toxicity
+from shelfcost.llm.store import new_path
 
 ARTICLE = "<p>The first paragraph is long enough to be told from a menu by its ratio of text to tags.<p>Short &amp; <b>so</b>wn.<ul><li>one\n  thing<li>other</ul>"
 TEXT = "The first paragraph is long enough to be told from a menu by its ratio of text to tags. Short & sown. one thing other"
@@ -144,14 +147,80 @@ def test_toxicity_on_held_out_rows(spark):
     assert _held_out(got, labels, 4, 2) > 0.97
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(0)
-    table = np.zeros((3, toxicity.LETTERS**toxicity.ORDER), np.int64)
-    table[:, rng.integers(0, table.shape[1], 5000)] = rng.integers(1, 9, (3, 5000))
-    lower = toxicity._shared(table.sum(axis=0) > 0, toxicity.ORDER - 1)
-    assert np.allclose(lower.sum(axis=1), 1)
-    full = np.tile(lower, (toxicity.LETTERS, 1))
-    assert np.allclose(toxicity._interpolated(table[1].reshape(-1, toxicity.LETTERS), full).sum(axis=1), 1)
+def _kneser_ney(rows, labels):
+    """The log ratios of every gram by model, from the definition."""
+    counts = {}
+    for i, text in rows:
+        fold = zlib.crc32(str(i).encode()) % 4
+        row = 2 * toxicity.PARTS.index(fold) + labels[i] if fold in toxicity.PARTS and i in labels else toxicity.REST
+        for w in toxicity.words_of(text):
+            s = f" {w} "
+            for k in range(1, len(s)):
+                counts.setdefault(s[max(0, k - toxicity.ORDER + 1) : k + 1], [0] * 7)[row] += 1
+
+    def below(g):
+        return g[-max(k for k in (*toxicity.SHORTER, 0) if k < len(g)) :]
+
+    kinds, todo = {}, set(counts)
+    for n in range(toxicity.ORDER, 1, -1):
+        for g in [g for g in todo if len(g) == n]:
+            kinds[below(g)] = kinds.get(below(g), 0) + 1
+            todo.add(below(g))
+
+    def shared(g):
+        same = [n for h, n in kinds.items() if len(h) == len(g) and h[:-1] == g[:-1]]
+        if len(g) == 1:
+            return kinds[g] / sum(same)
+        return (max(kinds.get(g, 0) - 0.75, 0) + 0.75 * len(same) * shared(below(g))) / sum(same)
+
+    out = {}
+    for g in counts:
+        lower, same = shared(below(g)), [c for h, c in counts.items() if h[:-1] == g[:-1]]
+        for model in range(4):
+            p = []
+            for label in (0, 1):
+                used = [2 * k + label for k in range(3) if k != model]
+                n = [sum(c[k] for k in used) for c in same]
+                own = sum(counts[g][k] for k in used)
+                p.append((max(own - 0.75, 0) + 0.75 * sum(x > 0 for x in n) * lower) / sum(n) if sum(n) else lower)
+            out[g, model] = math.log(p[1] / p[0])
+    return out
+
+
+def test_log_ratios_equal_the_definition(spark):
+    r = random.Random(21)
+    rows = [(i, " ".join("".join(r.choices("abÄ漢", k=r.randint(1, 11))) for _ in range(6))) for i in range(24)] + [(90, None), (91, "1 2 __"), (92, "x" * 70)]
+    labels = {i: i % 2 for i, _ in rows if i % 3}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, y) for i, y in labels.items() if zlib.crc32(str(i).encode()) % 4 != 2], "doc_id long, label int")
+    grams = toxicity.gram_counts(toxicity.word_counts(docs, known)).cache()
+    table = toxicity.log_ratios(grams, toxicity.shared_model(grams)).cache()
+    want = _kneser_ney(rows, labels)
+    got = {(x.gram, m): x[f"l{m}"] for x in table.collect() for m in range(4)}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    ratios = toxicity.write_ratios(table, new_path(spark, "ratios"), shard=50)
+    assert len(ratios.shards) > 3
+    keys = {g: np.uint64(xxhash.xxh64_intdigest(g.encode(), 42)).view(np.int64) for g, _ in want}
+    held = sorted(keys, key=lambda g: keys[g])
+    found = ratios.find(np.array([keys[g] for g in held]))
+    assert np.allclose(found, [[want[g, m] for m in range(4)] for g in held], atol=1e-5)
+    words = toxicity._Words(ratios)
+    words.learn({w for _, t in rows for w in toxicity.words_of(t)})
+    for w, data in words.known.items():
+        s = f" {w} "
+        total = [sum(want[s[max(0, k - 7) : k + 1], m] for k in range(1, len(s))) for m in range(4)]
+        assert np.allclose(np.frombuffer(data, "<f4"), total, atol=1e-4)
+
+
+def test_toxicity_recall_by_language(spark):
+    """Held-out toxic documents are found in every language of the given table, and ordinary ones left alone."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.report(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND toxic IS NOT NULL").collect()
+    for lang in {r.lang for r in rows}:
+        toxic = [r.predicted for r in rows if r.lang == lang and r.toxic == 1]
+        marked = [r.toxic for r in rows if r.lang == lang and r.predicted == 1]
+        assert sum(toxic) >= 0.9 * len(toxic) and sum(marked) >= 0.9 * len(marked), lang
 
 
 def test_quality_on_held_out_rows(spark):
