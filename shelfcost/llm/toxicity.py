@@ -26,7 +26,6 @@ counts; null labels and ids are not learned from; repeated rows count each time;
 
 from __future__ import annotations
 
-import re
 import uuid
 from bisect import bisect_left
 from collections import Counter, OrderedDict
@@ -57,11 +56,20 @@ CACHE_BYTES = 96 << 20
 HELD = 300_000  # different words that a task counts before it passes them on
 KNOWN = 1 << 19  # words whose ratios a worker keeps, about 200 bytes each
 SLICE = 2 << 20
-_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+_LETTERS = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text as UTF-8: runs of letters, in lower case, cut every LONGEST letters."""
+    text = (text or "").lower()
+    for c in set(text):
+        if c > "\x7f" and not c.isalpha():
+            text = text.replace(c, " ")
+    words = text.encode("utf-8", "replace").translate(_LETTERS).split()
+    if words and max(map(len, words)) > LONGEST:
+        long = (w.decode() for w in words)
+        words = [w[at : at + LONGEST].encode() for w in long for at in range(0, len(w), LONGEST)]
+    return words
 
 
 def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -77,7 +85,7 @@ def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for row, c in found.items():
                 if not c:
                     continue
-                yield pd.DataFrame({"row": np.int32(row), "word": list(c), "n": np.fromiter(c.values(), np.int64, len(c))})
+                yield pd.DataFrame({"row": np.int32(row), "word": list(map(bytes.decode, c)), "n": np.fromiter(c.values(), np.int64, len(c))})
             found.clear()
 
         for batch in batches:
@@ -199,9 +207,7 @@ def write_ratios(ratios: DataFrame, folder: str, shard: int = SHARD) -> Ratios:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
-        def flush() -> pd.DataFrame:
-            df = pd.concat(held)
-            held.clear()
+        def flush(df: pd.DataFrame) -> pd.DataFrame:
             fs, path = open_fs(folder)
             fs.create_dir(path, recursive=True)
             name = uuid.uuid4().hex
@@ -213,10 +219,12 @@ def write_ratios(ratios: DataFrame, folder: str, shard: int = SHARD) -> Ratios:
         for batch in batches:
             if len(batch):
                 held.append(batch)
-            if sum(map(len, held)) >= shard:
-                yield flush()
+            while sum(map(len, held)) >= shard:
+                df = pd.concat(held)
+                held = [df.iloc[shard:]] if len(df) > shard else []
+                yield flush(df.iloc[:shard])
         if held:
-            yield flush()
+            yield flush(pd.concat(held))
 
     columns = [f"l{m}" for m in range(MODELS)]
     some = F.greatest(*(F.abs(c) for c in columns)) > 0
@@ -230,35 +238,41 @@ class _Words:
 
     def __init__(self, ratios: Ratios):
         self.ratios = ratios
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > KNOWN:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         if not new:
             return
-        digest = xxhash.xxh64_intdigest
-        keys = []
+        digest, keys, lengths = xxhash.xxh64_intdigest, [], []
         for w in new:
-            s = f" {w} "
-            keys.extend(digest(s[max(0, i - ORDER) : i].encode(), 42) for i in range(2, len(s) + 1))
-        different, place = np.unique(np.array(keys, np.uint64).view(np.int64), return_inverse=True)
-        lengths = np.fromiter(map(len, new), np.int64, len(new)) + 1
-        sums = np.add.reduceat(self.ratios.find(different)[place], np.cumsum(lengths) - lengths, axis=0)
-        data = sums.astype("<f4").tobytes()
+            before = len(keys)
+            if w.isascii():
+                s = b" %b " % w
+                keys.extend([digest(s[i - ORDER if i > ORDER else 0 : i], 42) for i in range(2, len(s) + 1)])
+            else:
+                t = f" {w.decode()} "
+                keys.extend([digest(t[i - ORDER if i > ORDER else 0 : i].encode(), 42) for i in range(2, len(t) + 1)])
+            lengths.append(len(keys) - before)
+        hashes = np.array(keys, np.uint64).view(np.int64)
+        order = np.argsort(hashes)
+        ratios = np.empty((len(hashes), MODELS), np.float32)
+        ratios[order] = self.ratios.find(hashes[order])
+        data = np.add.reduceat(ratios, np.cumsum(lengths) - lengths, axis=0).astype("<f4").tobytes()
         self.known.update((w, data[4 * MODELS * k : 4 * MODELS * (k + 1)]) for k, w in enumerate(new))
 
 
-def features(ratios: np.ndarray, letters: int) -> tuple[float, ...]:
-    """The FEATURES of a text from the ratios of its words: the mean per letter, the most toxic words, and how many there are."""
+def features(ratios: np.ndarray, size: int) -> tuple[float, ...]:
+    """The FEATURES of a text from the ratios of its words: the sum per byte, the most toxic words, and how many there are."""
     n = len(ratios)
     if not n:
         return (0.0,) * len(FEATURES)
     top = np.sort(np.partition(ratios, n - 3)[n - 3 :] if n > 3 else ratios)[::-1]
     top = np.concatenate((top, np.zeros(3)))[:3]
     over = [(ratios > x).sum() for x in (2, 4, 6)]
-    return (float(ratios.sum()) / letters, *map(float, top), *(float(np.log1p(x)) for x in over), over[1] / n)
+    return (float(ratios.sum()) / size, *map(float, top), *(float(np.log1p(x)) for x in over), over[1] / n)
 
 
 def described(docs: DataFrame, ratios: Ratios) -> DataFrame:
@@ -283,8 +297,9 @@ def described(docs: DataFrame, ratios: Ratios) -> DataFrame:
                 known = words.known
                 for w, model in zip(split, models[at:to]):
                     r = np.frombuffer(b"".join(map(known.__getitem__, w)), "<f4").reshape(-1, MODELS)
-                    letters = sum(map(len, w)) + len(w)
-                    out.append((*features(r[:, MODELS - 1], letters), *features(r[:, model], letters)))
+                    size = sum(map(len, w)) + len(w)
+                    full = features(r[:, MODELS - 1], size)
+                    out.append((*full, *(full if model == MODELS - 1 else features(r[:, model], size))))
                 at = to
             df = pd.DataFrame(out, columns=columns, dtype="float64")
             df.insert(0, "doc_id", batch["doc_id"].to_numpy())

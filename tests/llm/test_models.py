@@ -154,7 +154,7 @@ def _kneser_ney(rows, labels):
         fold = zlib.crc32(str(i).encode()) % 4
         row = 2 * toxicity.PARTS.index(fold) + labels[i] if fold in toxicity.PARTS and i in labels else toxicity.REST
         for w in toxicity.words_of(text):
-            s = f" {w} "
+            s = f" {w.decode()} "
             for k in range(1, len(s)):
                 counts.setdefault(s[max(0, k - toxicity.ORDER + 1) : k + 1], [0] * 7)[row] += 1
 
@@ -187,6 +187,11 @@ def _kneser_ney(rows, labels):
     return out
 
 
+def test_toxicity_words_are_runs_of_letters():
+    assert [w.decode() for w in toxicity.words_of("Été—l'HIVER «\u00a0mot\u00a0» 3x² a_b 漢字。かな")] == ["été", "l", "hiver", "mot", "x", "a", "b", "漢字", "かな"]
+    assert [len(w) for w in toxicity.words_of("x" * 70 + " y")] == [32, 32, 6, 1] and toxicity.words_of(None) == []
+
+
 def test_log_ratios_equal_the_definition(spark):
     r = random.Random(21)
     rows = [(i, " ".join("".join(r.choices("abÄ漢", k=r.randint(1, 11))) for _ in range(6))) for i in range(24)] + [(90, None), (91, "1 2 __"), (92, "x" * 70)]
@@ -207,7 +212,7 @@ def test_log_ratios_equal_the_definition(spark):
     words = toxicity._Words(ratios)
     words.learn({w for _, t in rows for w in toxicity.words_of(t)})
     for w, data in words.known.items():
-        s = f" {w} "
+        s = f" {w.decode()} "
         total = [sum(want[s[max(0, k - 7) : k + 1], m] for k in range(1, len(s))) for m in range(4)]
         assert np.allclose(np.frombuffer(data, "<f4"), total, atol=1e-4)
 
