@@ -32,7 +32,7 @@ from shelfcost.functions.dates import Window, month_bucket
 from shelfcost.operators.dims import join_products
 from shelfcost.operators.pivot import SALES_MEASURES, V1_XFER_MEASURES, pivot_measures
 from shelfcost.operators.rollup import combine_wide, grid_locations, grid_months, key_grid
-from shelfcost.operators.sales import TIDY_COLUMNS, OnlineKind, _any_kind, _signed, _tags, _tidy, bookworm_lines, register_lines
+from shelfcost.operators.sales import LINES, TIDY_COLUMNS, OnlineKind, _any_kind, _signed, _tags, _tidy, bookworm_lines, register_lines
 from shelfcost.operators.transfers import TIDY_COLUMNS as XFER_COLUMNS
 from shelfcost.session import checkpoint_dir
 from shelfcost.sources.catalog import Sources
@@ -62,19 +62,20 @@ def _register_measured(lines: DataFrame, store: str, store_as: str, item: str) -
     return _signed(lines).select(
         month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), F.col(store).alias(store_as),
         F.col(item).alias("ItemCode"), F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
+        F.lit(1).cast("bigint").alias(LINES),
     )
 
 
 def v1_sales_register(src: Sources, window: Window) -> DataFrame:
     lines = _register_measured(register_lines(src, window), "LocationID", "LocationID", "ItemCode")
-    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], v1_products(src))
+    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v", LINES], v1_products(src))
     priced = priced.join(src.locations.select("LocationID", "LocationNo"), "LocationID")
     return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 
 def v1_sales_bookworm(src: Sources, window: Window) -> DataFrame:
     lines = _register_measured(bookworm_lines(src, window), "BookwormLocationNo", "LocationNo", "BookwormItemCode")
-    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], v1_products(src))
+    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v", LINES], v1_products(src))
     return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
 
 

@@ -43,19 +43,24 @@ from shelfcost.operators.dims import join_products, products_categorised
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "SldTy", "PrCat", "Qty", "Cost", "Val", "Fee")
+LINES = "Lines"
 TXN_KEYS = ["LocationID", "BusinessDate", "SalesXactionId"]
 
 
-def _tidy(df: DataFrame, sld_ty: int, q: Column, cost: Column, val: Column, fee: Column) -> DataFrame:
+def _columns(lines: bool) -> list[str]:
+    """Tidy columns; with ``lines`` also the number of joined lines behind a row (unused, the count is pruned from the plan)."""
+    return [*TIDY_COLUMNS, *([LINES] if lines else [])]
+
+
+def _tidy(df: DataFrame, sld_ty: int, q: Column, cost: Column, val: Column, fee: Column, lines: bool = False) -> DataFrame:
     """Final aggregate of a branch to month x store x category."""
     return df.groupBy("BusinessMonth", "LocationNo", "PrCat").agg(
+        F.sum(LINES).alias(LINES),
         qty(F.sum(q)).alias("Qty"),
         money(F.sum(cost)).alias("Cost"),
         money(F.sum(val)).alias("Val"),
         money(F.sum(fee)).alias("Fee"),
-    ).select(
-        "BusinessMonth", "LocationNo", F.lit(sld_ty).alias("SldTy"), "PrCat", "Qty", "Cost", "Val", "Fee"
-    )
+    ).withColumn("SldTy", F.lit(sld_ty)).select(*_columns(lines))
 
 
 # --- register lines (J1) ----------------------------------------------------------
@@ -83,15 +88,15 @@ def _signed(df: DataFrame) -> DataFrame:
     return df.withColumn("SignedQty", F.col("Quantity") * return_sign(F.col("IsReturn")))
 
 
-def sales_register(src: Sources, window: Window) -> DataFrame:
+def sales_register(src: Sources, window: Window, lines: bool = False) -> DataFrame:
     """A1: register sales of new goods (no gift cards), per store's LocationNo."""
-    lines = _signed(register_lines(src, window)).select(
+    sold = _signed(register_lines(src, window)).select(
         month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode",
-        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
+        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"), F.lit(1).cast("bigint").alias(LINES),
     )
-    priced = join_products(lines, ["BusinessMonth", "LocationID"], ["q", "v"], products_categorised(src, True))
+    priced = join_products(sold, ["BusinessMonth", "LocationID"], ["q", "v", LINES], products_categorised(src, True))
     priced = priced.join(src.locations.select("LocationID", "LocationNo"), "LocationID")
-    return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+    return _tidy(priced, fixed.SLD_REGISTER, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0), lines)
 
 
 def bookworm_keyed(src: Sources) -> DataFrame:
@@ -126,15 +131,15 @@ def bookworm_lines(src: Sources, window: Window) -> DataFrame:
     return matched.join(active_headers(src, window), TXN_KEYS)
 
 
-def sales_bookworm(src: Sources, window: Window) -> DataFrame:
+def sales_bookworm(src: Sources, window: Window, lines: bool = False) -> DataFrame:
     """Bookworm sales, valued by the ordered item, at the Bookworm store."""
-    lines = _signed(bookworm_lines(src, window)).select(
+    sold = _signed(bookworm_lines(src, window)).select(
         month_bucket(F.col("BusinessDate")).alias("BusinessMonth"),
         F.col("BookwormLocationNo").alias("LocationNo"), F.col("BookwormItemCode").alias("ItemCode"),
-        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"),
+        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"), F.lit(1).cast("bigint").alias(LINES),
     )
-    priced = join_products(lines, ["BusinessMonth", "LocationNo"], ["q", "v"], products_categorised(src, True))
-    return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0))
+    priced = join_products(sold, ["BusinessMonth", "LocationNo"], ["q", "v", LINES], products_categorised(src, True))
+    return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0), lines)
 
 
 # --- online channels ----------------------------------------------------------------
@@ -240,7 +245,8 @@ def fulfilment_lines(src: Sources, systems: list[str]) -> DataFrame:
     return heads.join(lines, "OrderID").drop("OrderID")
 
 
-def online_sales(src: Sources, window: Window, istore=("shipped", "refund"), web=("shipped", "refund")) -> DataFrame:
+def online_sales(src: Sources, window: Window, istore=("shipped", "refund"), web=("shipped", "refund"),
+                 lines: bool = False) -> DataFrame:
     """A2-A5: online orders joined to facility and, at order level (fan-out kept), to the
     fulfilment lines (J5, J6); web orders match on two header keys and the text form of
     the item id as well (J7). Shipped by ship month, refunds by refund or last-modified month."""
@@ -257,16 +263,16 @@ def online_sales(src: Sources, window: Window, istore=("shipped", "refund"), web
         (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("System") == F.col("OrderSystem"))
         & ((F.col("System") == fixed.ISTORE_ORDER_SYSTEM) | same_item),
     )
-    lines = joined.select(
+    sold = joined.select(
         location_fallback(F.col("FulfilLocationNo"), F.col("FacilityLocationNo")).alias("LocationNo"), "ItemCode",
         F.explode("tags").alias("t"),
-    ).select("LocationNo", "ItemCode", "t.*")
-    priced = join_products(lines, ["BusinessMonth", "LocationNo", "SldTy"], ["q", "n", "v", "f"],
+    ).select("LocationNo", "ItemCode", "t.*", F.lit(1).cast("bigint").alias(LINES))
+    priced = join_products(sold, ["BusinessMonth", "LocationNo", "SldTy"], ["q", "n", "v", "f", LINES],
                            products_categorised(src, False))
     return priced.groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
         qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("n") * F.col("Cost"))).alias("Cost"),
-        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"),
-    ).select(*TIDY_COLUMNS)
+        money(F.sum("v")).alias("Val"), money(F.sum("f")).alias("Fee"), F.sum(LINES).alias(LINES),
+    ).select(*_columns(lines))
 
 
 def sales_istore_shipped(src: Sources, window: Window) -> DataFrame:
@@ -289,10 +295,10 @@ def sales_web_refunds(src: Sources, window: Window) -> DataFrame:
     return online_sales(src, window, istore=(), web=("refund",))
 
 
-def sales_tidy(src: Sources, window: Window) -> DataFrame:
+def sales_tidy(src: Sources, window: Window, lines: bool = False) -> DataFrame:
     """K2: bag union of the six branches (the four online ones computed in one pass)."""
-    parts = [sales_register(src, window), online_sales(src, window), sales_bookworm(src, window)]
-    out = parts[0].select(*TIDY_COLUMNS)
+    parts = [sales_register(src, window, lines), online_sales(src, window, lines=lines), sales_bookworm(src, window, lines)]
+    out = parts[0]
     for df in parts[1:]:
-        out = out.unionByName(df.select(*TIDY_COLUMNS))
+        out = out.unionByName(df)
     return out

@@ -26,6 +26,7 @@ from shelfcost import fixed
 from shelfcost.functions.columns import event_time, money, qty
 from shelfcost.functions.dates import Window, month_bucket
 from shelfcost.operators.dims import join_products, products_categorised
+from shelfcost.operators.sales import LINES
 from shelfcost.sources.catalog import Sources
 
 TIDY_COLUMNS = ("BusinessMonth", "LocationNo", "XfrTy", "PrCat", "Qty", "Cost")
@@ -43,7 +44,7 @@ def _lines(src: Sources) -> DataFrame:
 
 
 def transfers(src: Sources, window: Window, directions=("out", "in"), out_window_on: str = "header",
-              run_month: bool = False) -> DataFrame:
+              run_month: bool = False, lines: bool = False) -> DataFrame:
     """A8 + A9 in one pass over the joined lines.
 
     Outbound rows are the sending store's, inbound rows the receiving store's
@@ -52,6 +53,7 @@ def transfers(src: Sources, window: Window, directions=("out", "in"), out_window
     is the opt-in that filters them on the line time the month is bucketed on.
     ``run_month`` adds the month of the window that a row was read in where it
     cannot be told from ``BusinessMonth``: for rows with a NULL month or store.
+    ``lines`` adds the number of joined lines behind a row.
     """
     if out_window_on not in ("header", "event_time"):
         raise ValueError(f"out_window_on must be 'header' or 'event_time', not {out_window_on!r}")
@@ -75,13 +77,13 @@ def transfers(src: Sources, window: Window, directions=("out", "in"), out_window
     tagged = _lines(src).where(keep).select(
         month.alias("BusinessMonth"),
         F.explode(F.array_compact(F.array(*rows))).alias("side"), F.col("DipsItemCode").alias("ItemCode"),
-        F.col("Quantity").alias("q"), (F.col("Quantity") * F.col("DipsCost")).alias("c"),
-    ).select("BusinessMonth", "side.*", "ItemCode", "q", "c")
-    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy", *extra], ["q", "c"], products_categorised(src, True))
+        F.col("Quantity").alias("q"), (F.col("Quantity") * F.col("DipsCost")).alias("c"), F.lit(1).cast("bigint").alias(LINES),
+    ).select("BusinessMonth", "side.*", "ItemCode", "q", "c", LINES)
+    priced = join_products(tagged, ["BusinessMonth", "LocationNo", "XfrTy", *extra], ["q", "c", LINES], products_categorised(src, True))
     return (
         priced.groupBy("BusinessMonth", "LocationNo", "XfrTy", "PrCat", *extra)
-        .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"))
-        .select(*TIDY_COLUMNS, *extra)
+        .agg(qty(F.sum("q")).alias("Qty"), money(F.sum("c")).alias("Cost"), F.sum(LINES).alias(LINES))
+        .select(*TIDY_COLUMNS, *extra, *([LINES] if lines else []))
     )
 
 

@@ -22,6 +22,7 @@ leaves the table, the ledger and their readers as they were.
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,9 +94,13 @@ def refuse(spark: SparkSession, path: str, rejects: DataFrame) -> None:
 
 
 def replace_by_key(spark: SparkSession, path: str, new_rows: DataFrame, grid: DataFrame,
-                   rejects: DataFrame | None = None, window: Window | None = None) -> versions.Version:
-    """K5 + K6 + K8: replace the grid's keys by ``new_rows`` and the ledger of ``window`` by ``rejects``, in one commit."""
-    base = versions.load(spark, path)
+                   rejects: DataFrame | None = None, window: Window | None = None,
+                   base: versions.Version | None = None, also: Mapping[str, Mapping[str, str | None]] | None = None) -> versions.Version:
+    """K5 + K6 + K8: replace the grid's keys by ``new_rows`` and the ledger of ``window`` by ``rejects``, in one commit.
+
+    ``base`` is the version that the caller read (the newest by default), ``also`` are staged changes of other tables of it.
+    """
+    base = base or versions.load(spark, path)
     months = grid.select(MONTH).distinct()
     affected = {str(r[0]) for r in months.collect()}                          # months of the run, one value each
     held = {m: run for m, run in base.tables.get(ROLLUP_TABLE, {}).items() if m in affected}
@@ -105,7 +110,7 @@ def replace_by_key(spark: SparkSession, path: str, new_rows: DataFrame, grid: Da
         merged.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS),         # a large month spreads over tasks
         path, ROLLUP_TABLE, MONTH, {"parquet.block.size": str(ROW_GROUP_BYTES)},
     )
-    changes = {ROLLUP_TABLE: dict.fromkeys(held) | runs}
+    changes = {**(also or {}), ROLLUP_TABLE: dict.fromkeys(held) | runs}
     quality.enforce_key(versions.read(spark, path, ROLLUP_TABLE, ROLLUP, MONTH, versions.Version(0, {ROLLUP_TABLE: runs})), KEYS)
     if rejects is not None:
         changes[REJECT_TABLE] = dict.fromkeys(str(m) for m in window.months()) | _stage_rejects(rejects, path, REJECT_TABLE)

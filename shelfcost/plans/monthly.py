@@ -52,13 +52,13 @@ class RollupRun:
     rollup: DataFrame
 
 
-def tidy_rows(st: DataFrame, xt: DataFrame) -> DataFrame:
+def tidy_rows(st: DataFrame, xt: DataFrame, *extra: str) -> DataFrame:
     """Sales and transfer branches as one table, told apart by ``Source``. Sales are read in their own month."""
     s = st.select(F.lit("sales").alias("Source"), F.col("BusinessMonth").alias("RunMonth"), *KEYS, F.col("SldTy").alias("Ty"),
-                  "PrCat", "Qty", "Cost", "Val", "Fee")
+                  "PrCat", "Qty", "Cost", "Val", "Fee", *extra)
     none = F.lit(None).cast(MONEY)
     x = xt.select(F.lit("xfers").alias("Source"), "RunMonth", *KEYS, F.col("XfrTy").alias("Ty"), "PrCat", "Qty", "Cost",
-                  none.alias("Val"), none.alias("Fee"))
+                  none.alias("Val"), none.alias("Fee"), *extra)
     return s.unionByName(x)
 
 
@@ -68,8 +68,11 @@ def build_rollup(src: Sources, window: Window, materialise_tidy: bool = True,
     outbound transfers on line time (no months past the window)."""
     xfers = transfers.transfers(src, window, out_window_on=out_window_on, run_month=True)
     tidy = tidy_rows(sales.sales_tidy(src, window), xfers)
-    if materialise_tidy:
-        tidy = materialise(tidy)
+    return rollup_of(materialise(tidy) if materialise_tidy else tidy, window)
+
+
+def rollup_of(tidy: DataFrame, window: Window) -> RollupRun:
+    """The run that follows from a tidy table alone: rejects, pivots, grid and rollup."""
     good, rejects = quality.split_null_keys(tidy, KEYS)
     sw = pivot_measures(good.where(F.col("Source") == "sales").withColumnRenamed("Ty", "SldTy"), SALES_MEASURES)
     xw = pivot_measures(good.where(F.col("Source") == "xfers").withColumnRenamed("Ty", "XfrTy"), XFER_MEASURES)

@@ -103,3 +103,8 @@ REJECTS = _schema(
     ("Source", S, False), ("RunMonth", D, False), ("BusinessMonth", D, True), ("LocationNo", S, True),
     ("Ty", I, True), ("PrCat", S, True), ("Qty", L, True), ("Cost", MONEY, True), ("Val", MONEY, True), ("Fee", MONEY, True),
 )
+
+# --- fixed values: kept tidy state columns ----------------------------------------
+STATE = _schema(
+    *[(f.name, f.dataType, True) for f in REJECTS.fields], ("Lines", L, False),
+)
