@@ -32,7 +32,7 @@ from shelfcost.functions.dates import Window, month_bucket
 from shelfcost.operators.dims import join_products
 from shelfcost.operators.pivot import SALES_MEASURES, V1_XFER_MEASURES, pivot_measures
 from shelfcost.operators.rollup import combine_wide, grid_locations, grid_months, key_grid
-from shelfcost.operators.sales import LINES, TIDY_COLUMNS, OnlineKind, _any_kind, _signed, _tags, _tidy, bookworm_lines, register_lines
+from shelfcost.operators.sales import LINES, TIDY_COLUMNS, OnlineKind, _any_kind, _signed, _tags, _tidy, bookworm_lines, register_lines, store_sales
 from shelfcost.operators.transfers import TIDY_COLUMNS as XFER_COLUMNS
 from shelfcost.session import checkpoint_dir
 from shelfcost.sources.catalog import Sources
@@ -185,10 +185,8 @@ def v1_web_refunds(src: Sources, window: Window) -> DataFrame:
 
 
 def v1_sales_tidy(src: Sources, window: Window) -> DataFrame:
-    out = v1_sales_register(src, window).select(*TIDY_COLUMNS)
-    for part in (v1_online(src, window), v1_sales_bookworm(src, window)):
-        out = out.unionByName(part.select(*TIDY_COLUMNS))
-    return out
+    """All v1 sales branches: register and Bookworm in one pass, the online ones in another."""
+    return store_sales(src, window, v1_products(src)).unionByName(v1_online(src, window).select(*TIDY_COLUMNS))
 
 
 def v1_transfers(src: Sources, window: Window, directions=("out", "in")) -> DataFrame:

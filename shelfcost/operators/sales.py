@@ -142,6 +142,44 @@ def sales_bookworm(src: Sources, window: Window, lines: bool = False) -> DataFra
     return _tidy(priced, fixed.SLD_BOOKWORM, F.col("q"), F.col("q") * F.col("Cost"), F.col("v"), F.lit(0), lines)
 
 
+def store_sales(src: Sources, window: Window, products: DataFrame, lines: bool = False) -> DataFrame:
+    """A1 + A6 in one pass: lines and headers are read and joined once.
+
+    A joined line gives a register row, which is summed per item at once, and a placeholder line one more row, which keeps its
+    transaction and line number to find its Bookworm orders. Both then share the product join. Register rows pass the
+    Bookworm join by their type, which matches nothing there; their item stands in for the transaction, so they spread over its tasks.
+    """
+    register, bookworm = F.lit(fixed.SLD_REGISTER), F.lit(fixed.SLD_BOOKWORM)
+    none = F.lit(None).cast("int")
+    kinds = F.array_compact(F.array(
+        F.struct(register.alias("SldTy"), F.col("ItemCode").alias("Txn"), none.alias("Line")),
+        F.when(F.col("ItemCode") == fixed.BOOKWORM_PLACEHOLDER_ITEM,
+               F.struct(bookworm.alias("SldTy"), F.col("SalesXactionId").alias("Txn"), F.col("LineNumber").cast("int").alias("Line"))),
+    ))
+    sold = _signed(register_lines(src, window)).select(
+        month_bucket(F.col("BusinessDate")).alias("BusinessMonth"), "LocationID", "ItemCode",
+        F.col("SignedQty").alias("q"), F.col("ExtendedAmt").alias("v"), F.explode(kinds).alias("kind"),
+    )
+    keys = ["BusinessMonth", "LocationID", "SldTy", "Txn", "Line", "ItemCode"]
+    sold = sold.select(*keys[:2], "kind.*", "ItemCode", "q", "v").groupBy(*keys).agg(
+        F.sum("q").alias("q"), F.sum("v").alias("v"), F.count(F.lit(1)).alias(LINES))
+    orders = bookworm_keyed(src).withColumn("BkTy", bookworm)
+    sold = sold.join(
+        orders,
+        (F.col("LocationID") == F.col("BkLocationID")) & (F.col("Txn") == F.col("BkXactionId"))
+        & (F.col("Line") == F.col("BkLineNumber")) & (F.col("SldTy") == F.col("BkTy")), "left",
+    ).where((F.col("SldTy") == register) | F.col("BkTy").isNotNull())
+    sold = sold.withColumn("ItemCode", F.when(F.col("BkTy").isNull(), F.col("ItemCode")).otherwise(F.col("BookwormItemCode")))
+    priced = join_products(sold, ["BusinessMonth", "LocationID", "SldTy", "BookwormLocationNo"], ["q", "v", LINES], products)
+    stores = src.locations.select("LocationID", "LocationNo", register.alias("SldTy"), F.lit(True).alias("known"))
+    priced = priced.join(stores, ["LocationID", "SldTy"], "left").where((F.col("SldTy") == bookworm) | F.col("known"))
+    store = F.when(F.col("SldTy") == bookworm, F.col("BookwormLocationNo")).otherwise(F.col("LocationNo"))
+    return priced.withColumn("LocationNo", store).groupBy("BusinessMonth", "LocationNo", "SldTy", "PrCat").agg(
+        qty(F.sum("q")).alias("Qty"), money(F.sum(F.col("q") * F.col("Cost"))).alias("Cost"), money(F.sum("v")).alias("Val"),
+        money(F.lit(0)).alias("Fee"), F.sum(LINES).alias(LINES),
+    ).select(*_columns(lines))
+
+
 # --- online channels ----------------------------------------------------------------
 #
 # All four online branches share every join (facility, fulfilment header and
@@ -296,9 +334,5 @@ def sales_web_refunds(src: Sources, window: Window) -> DataFrame:
 
 
 def sales_tidy(src: Sources, window: Window, lines: bool = False) -> DataFrame:
-    """K2: bag union of the six branches (the four online ones computed in one pass)."""
-    parts = [sales_register(src, window, lines), online_sales(src, window, lines=lines), sales_bookworm(src, window, lines)]
-    out = parts[0]
-    for df in parts[1:]:
-        out = out.unionByName(df)
-    return out
+    """K2: bag union of the six branches (register and Bookworm in one pass, the four online ones in another)."""
+    return store_sales(src, window, products_categorised(src, True), lines).unionByName(online_sales(src, window, lines=lines))

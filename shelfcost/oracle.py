@@ -536,6 +536,10 @@ def _finals() -> dict[str, str]:
         union all
         select 'xfers', BusinessMonth, LocationNo, XfrTy, PrCat, Qty, Cost, cast(null as {DEC}), cast(null as {DEC}) from q_xfers_tidy
         where BusinessMonth is null or LocationNo is null"""
+    f["tidy_incremental"] = f"""
+        select 'sales' as Source, BusinessMonth, LocationNo, SldTy as Ty, PrCat, Qty, Cost, Val, Fee from q_sales_tidy
+        union all
+        select 'xfers', BusinessMonth, LocationNo, XfrTy, PrCat, Qty, Cost, cast(null as {DEC}), cast(null as {DEC}) from q_xfers_tidy"""
     f["rollup_rejects_rerun"] = f"select *, BusinessMonth as RunMonth from ({f['rollup_rejects']})"   # null stores only, read in their month
     f["rollup_rolled_back"] = "select * from q_rollup"
     f["report_months"] = f"""

@@ -20,9 +20,10 @@ from shelfcost.functions.columns import bookworm_xaction_id, item_code_from_sku,
 from shelfcost.functions.dates import report_default_end_col, report_default_start_col, resolve_window, month_bucket
 from shelfcost.operators import dims, legacy, quality, report, rollup, sales, transfers, versions, writer
 from shelfcost.operators.pivot import KEYS, SALES_MEASURES, XFER_MEASURES, pivot_measures
+from shelfcost.plans import incremental
 from shelfcost.plans.monthly import build_rollup
 from shelfcost.plans.report import report_months, run_report
-from shelfcost.sources.catalog import Sources, from_star
+from shelfcost.sources.catalog import Sources, from_frames, from_star
 from shelfcost.sources.schemas import REQUIRED_SOURCES
 
 # --- fixture run parameters ----------------------------------------------------------
@@ -106,6 +107,20 @@ def rollup_rejects_rerun(spark, d):
     return writer.read_rejects(spark, path)
 
 
+def tidy_incremental(spark, d):
+    """A1-A9 by signed deltas: the state kept before returns were keyed and bins were updated, and the changes since."""
+    new = _src(spark, d)
+    early = {
+        "sales_item": new.sales_item.where(F.col("IsReturn") == "N"),
+        "xfer_detail": new.xfer_detail.where(F.col("UpdateTime").isNull()),
+    }
+    old = from_frames(spark, {n: early.get(n, new.table(n)) for n in new.names()})
+    path = writer.scratch_table(spark, "rollup")
+    incremental.start(old, path, WINDOW, allow_rejects=True)
+    incremental.apply_changes(new, path, incremental.between(old, new), WINDOW, allow_rejects=True)
+    return incremental.read_state(new, path).drop("RunMonth", "Lines")
+
+
 def rollup_rolled_back(spark, d):
     """K6: a run, a version without the re-run month, and the way back to the first."""
     src = _src(spark, d)
@@ -279,6 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_delete_keys": rollup_delete_keys,
     "rollup_replace_by_key": rollup_replace_by_key,
     "rollup_rolled_back": rollup_rolled_back,
+    "tidy_incremental": tidy_incremental,
     # quality
     "rollup_rejects": rollup_rejects,
     "rollup_rejects_rerun": rollup_rejects_rerun,

@@ -72,7 +72,7 @@ def test_report_months_prune_the_persisted_rollup(spark):
     assert pruned and "2000-01-01" in pruned[0] and "2000-06-30" in pruned[0]
 
 
-@pytest.mark.parametrize("name, scans", [("sales_tidy", 14), ("xfers_tidy", 6)])
+@pytest.mark.parametrize("name, scans", [("sales_tidy", 11), ("xfers_tidy", 3)])
 def test_branches_share_their_passes(spark, name, scans):
     text = plan(registry.QUERIES[name](spark, SF_SMALL))
     facts = sum(ln.startswith("Location: ") and ("lineitem" in ln or "orders" in ln) for ln in text.splitlines())
