@@ -4,7 +4,7 @@ Each source gets a target number of words: its weight's share of the whole mix,
 ``max_repeat`` times its own size; what a capped source cannot take is shared by weight among the
 others until none is above its cap. Every document of a source is expected
 ``target / source size`` times. The documents of a source stand in a fixed order (by size, then by a
-hash of the id), the expected copies are summed along it, one offset in [0, 1) is added, and a
+hash of the id, then by one of the whole row, so that reruns agree also where rows share an id), the expected copies are summed along it, one offset in [0, 1) is added, and a
 document is emitted once for each whole number its interval crosses. As equal sizes stand
 together, the words taken come near the target, and no document is taken more often than its
 expectation rounded up.
@@ -82,7 +82,8 @@ def sampled(docs: DataFrame, share: float = 1.5, max_repeat: int = 2, weights: t
         (F.col("part_start") + F.col("size_start")).alias("__mix_start"), F.col("source_size").alias("__mix_source_size"), F.col("target").alias("__mix_target"),
     )
     d = d.join(p, ["__mix_key", "__mix_size", "__mix_part"])
-    rows = Window.partitionBy("__mix_key", "__mix_size", "__mix_part").orderBy("__mix_hash", F.col("doc_id").asc_nulls_first())
+    content = F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"))  # rows equal in all of it are interchangeable
+    rows = Window.partitionBy("__mix_key", "__mix_size", "__mix_part").orderBy("__mix_hash", F.col("doc_id").asc_nulls_first(), content)
     place = F.row_number().over(rows) + F.col("__mix_start")
     rate = F.when(F.col("__mix_source_size") > 0, F.col("__mix_target") / F.col("__mix_source_size")).otherwise(F.lit(0.0))
     offset = unit(F.coalesce(F.col("source"), F.lit("")))

@@ -190,7 +190,7 @@ WITH t AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
-    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS up, length(text) - length(regexp_replace(text, '[a-z]', '', 'g')) AS low
+    len(regexp_extract_all(text, '\p{Lu}')) AS up, len(regexp_extract_all(text, '\p{L}')) - len(regexp_extract_all(text, '\p{Lu}')) AS low
   FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)
 ), b AS (
   SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (100 * n_symbols > 30 * n_words)::BIGINT

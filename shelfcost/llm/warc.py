@@ -176,14 +176,14 @@ class Index:
 
     def __init__(self, folder: str, parts: list[tuple[str, str, int]]):
         self.folder, self.parts = folder, parts
+        self.firsts = [p[0] for p in parts]
 
     def read_part(self, number: int) -> "_Part":
         return _Part(self.folder, *self.parts[number][1:])
 
     def candidates(self, key: str) -> range:
         """The parts that can hold ``key``."""
-        firsts = [p[0] for p in self.parts]
-        return range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key))
+        return range(max(0, bisect_left(self.firsts, key) - 1), bisect_right(self.firsts, key))
 
 
 class _Part:
@@ -195,22 +195,23 @@ class _Part:
         tail = struct.unpack("<Q", self._range(size - 8, 8))[0]
         self.directory = json.loads(zlib.decompress(self._range(size - 8 - tail, tail)))  # (first key, offset, length)
         self.firsts = [d[0] for d in self.directory]
+        self.last: tuple[int, list[list]] = (-1, [])  # keys mostly come in order, so the next one is often in the same block
 
     def _range(self, offset: int, length: int) -> bytes:
         self.file.seek(offset)
         return self.file.read(length)
 
     def block(self, number: int) -> list[list]:
-        _, offset, length = self.directory[number]
-        return json.loads(zlib.decompress(self._range(offset, length)))
+        if self.last[0] != number:
+            _, offset, length = self.directory[number]
+            self.last = number, json.loads(zlib.decompress(self._range(offset, length)))
+        return self.last[1]
 
-    def find(self, key: str) -> list[list]:
-        """The captures (key, page id, file, offset, length) of ``key``."""
-        out = []
+    def find(self, key: str) -> Iterator[list[list]]:
+        """The captures (key, page id, file, offset, length) of ``key``, block by block: those that can hold it are bisected."""
         for number in range(max(0, bisect_left(self.firsts, key) - 1), bisect_right(self.firsts, key)):
             rows = self.block(number)
-            out += rows[bisect_left(rows, key, key=lambda r: r[0]) : bisect_right(rows, key, key=lambda r: r[0])]
-        return out
+            yield rows[bisect_left(rows, key, key=lambda r: r[0]) : bisect_right(rows, key, key=lambda r: r[0])]
 
 
 def build_index(captures: DataFrame, folder: str) -> Index:
@@ -286,7 +287,7 @@ def lookup(spark: SparkSession, index: Index, folder: str, urls: DataFrame) -> D
                 for n in index.candidates(key):
                     if n != number:
                         number, part = n, index.read_part(n)
-                    for row in part.find(key):
+                    for row in (row for rows in part.find(key) for row in rows):
                         found = records.get(*row[2:])
                         if found["url"] == (None if url is None else " ".join(url.split())):
                             yield _frame([found])
@@ -294,16 +295,37 @@ def lookup(spark: SparkSession, index: Index, folder: str, urls: DataFrame) -> D
     return urls.select("url").distinct().mapInPandas(find, _RECORD)
 
 
-def read_all(spark: SparkSession, index: Index, folder: str, payload: bool = True) -> DataFrame:
-    """Every record, read back through the index: the parts' blocks give the places, each archive is then read in order."""
+def places(pages: DataFrame, index: Index) -> DataFrame:
+    """(file, offset, length) of the captures of all pages' addresses, by search: the root names the parts that can hold a key, and each part's
+    directory the blocks. A very common address is looked up in each of its parts by another task."""
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for number in batch["id"]:
-                part = index.read_part(int(number))
-                for block in range(len(part.directory)):
-                    rows = part.block(block)
-                    yield pd.DataFrame({"file": [r[2] for r in rows], "offset": [r[3] for r in rows], "length": [r[4] for r in rows]})
+            pairs = [(number, key) for key in {surt(u) for u in batch["url"]} for number in index.candidates(key)]
+            yield pd.DataFrame(pairs, columns=["part", "key"]).astype({"part": "int64"})
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, part = -1, None
+        for batch in batches:
+            rows: list[list] = []
+            for n, key in zip(batch["part"], batch["key"]):
+                if n != number:
+                    number, part = n, index.read_part(int(n))
+                for found in part.find(key):
+                    rows += found
+                    if len(rows) >= 10_000:
+                        yield pd.DataFrame([r[2:] for r in rows], columns=["file", "offset", "length"])
+                        rows = []
+            if rows:
+                yield pd.DataFrame([r[2:] for r in rows], columns=["file", "offset", "length"])
+
+    pairs = pages.select("url").distinct().mapInPandas(candidates, "part long, key string").distinct()
+    dealt = pairs.repartition(max(1, len(index.parts)), "part").sortWithinPartitions("part", "key")
+    return dealt.mapInPandas(search, "file string, offset long, length long")
+
+
+def read_records(found: DataFrame, folder: str, tasks: int, payload: bool = True) -> DataFrame:
+    """The records at ``found`` places; ``tasks`` tasks read the archives, each in order."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         records = _Records(folder)
@@ -315,18 +337,22 @@ def read_all(spark: SparkSession, index: Index, folder: str, payload: bool = Tru
                     rows = [r | {"payload": None} for r in rows]
                 yield _frame(rows)
 
-    n = len(index.parts)
-    parts = spark.range(0, n, 1, max(1, n)).mapInPandas(places, "file string, offset long, length long")
-    return parts.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(read, _RECORD)
+    # with a number the tasks stay as many as the archives: places are tiny, so by their bytes they would be merged into one
+    return found.repartition(max(1, tasks), "file").sortWithinPartitions("file", "offset").mapInPandas(read, _RECORD)
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """Writes the archives and their index, and reads every record back. Per page: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Writes the archives and their index, finds every page's address in the index and reads the records back.
+
+    Per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
+    """
     spark = pages.sparkSession
     folder = new_path(spark, "archives")
     captures = write_archives(pages, f"{folder}/warc")
     index = build_index(captures, f"{folder}/cdx")
-    return read_all(spark, index, f"{folder}/warc", payload=False).select(*_FIELDS[:1], *_FIELDS[2:6])
+    archives = captures.select("file").distinct().count()
+    found = read_records(places(pages, index), f"{folder}/warc", archives, payload=False)
+    return found.select(*_FIELDS[:1], *_FIELDS[2:6])
 
 
 ORACLE = """

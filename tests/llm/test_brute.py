@@ -249,7 +249,7 @@ def test_warc_round_trip_and_lookup(spark, tmp_path, monkeypatch):
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
     captures = warc.write_archives(table, f"{tmp_path}/warc")
     index = warc.build_index(captures, f"{tmp_path}/cdx")
-    got = {r.page_id: r for r in warc.read_all(spark, index, f"{tmp_path}/warc").collect()}
+    got = {r.page_id: r for r in warc.read_records(warc.places(table, index), f"{tmp_path}/warc", 3).collect()}
     assert len(got) == 120
     for i, url, html in pages:
         r = got[i]
@@ -271,3 +271,24 @@ def test_broadcast_bound_does_not_change_results(docs, monkeypatch):
     want = sorted((r.doc_id, r.n_removed) for r in line_dedup.report(docs).collect())
     monkeypatch.setattr(store.small, "__defaults__", (0,))
     assert sorted((r.doc_id, r.n_removed) for r in line_dedup.report(docs).collect()) == want
+
+
+def test_a_very_common_address_is_found_in_all_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK", 7)
+    rows = [(i, "http://a.b/common" if i % 3 else f"http://a.b/{i}", f"<p>{i}") for i in range(300)] + [(500, None, "x"), (None, "http://a.b/common", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    captures = warc.write_archives(pages, f"{tmp_path}/warc")
+    index = warc.build_index(captures, f"{tmp_path}/cdx")
+    assert len(index.parts) > 1
+    found = warc.places(pages, index).collect()
+    assert len(found) == len({(r.file, r.offset) for r in found}) == len(rows)
+    assert sorted(r.page_id or -1 for r in warc.report(pages).collect()) == sorted(-1 if i is None else i for i, _, _ in rows)
+
+
+def test_mixing_agrees_where_rows_share_an_id(spark):
+    rows = [(1, f"a{i} b{i} c{i}", "s") for i in range(40)] + [(2, f"x{i} y z", None) for i in range(40)] + [(i, "w " * i, "t") for i in range(3, 30)]
+    mixes = []
+    for seed in range(3):
+        docs = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "doc_id long, text string, source string").repartition(seed + 2)
+        mixes.append(Counter(map(tuple, mixing.mix(docs).collect())))
+    assert mixes[0] == mixes[1] == mixes[2] and sum(mixes[0].values()) > 0

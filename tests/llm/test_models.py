@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -113,7 +114,12 @@ def test_shouting_counts_letters_of_every_script(spark):
         "english": ("AN UPPER word and a few " * 30, False),
         "ENGLISH": ("AN UPPER WORD and " * 30, True),
     }
-    led = quality_rules.ledger(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts.values())], "doc_id long, text string"))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts.values())], "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    sql = con.execute(quality_rules.ORACLE).fetchall()
+    assert sorted(sql) == sorted(map(tuple, quality_rules.report(docs).collect()))
+    led = quality_rules.ledger(docs)
     bit = quality_rules.mask("shouting")
     assert {r.doc_id: bool(r.failed_bits & bit) for r in led.collect()} == {i: loud for i, (_, loud) in enumerate(texts.values())}
 
