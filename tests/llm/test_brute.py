@@ -286,7 +286,7 @@ def test_a_very_common_address_is_found_in_all_parts(spark, tmp_path, monkeypatc
     assert len(index.parts) > 1
     found = warc.places(pages, index).collect()
     assert len(found) == len({(r.file, r.offset) for r in found}) == len(rows)
-    assert sorted(r.page_id or -1 for r in warc.report(pages).collect()) == sorted(-1 if i is None else i for i, _, _ in rows)
+    assert sorted(-1 if r.page_id is None else r.page_id for r in warc.report(pages).collect()) == sorted(-1 if i is None else i for i, _, _ in rows)
 
 
 def test_mixing_agrees_where_rows_share_an_id(spark):
