@@ -272,14 +272,36 @@ def _web_tagged(src: Sources, window: Window, kinds: list[OnlineKind]) -> DataFr
     )
 
 
-def fulfilment_lines(src: Sources, systems: list[str]) -> DataFrame:
-    """Valid fulfilment lines with their header's order keys, of the given order systems."""
+#: A run of at most this many months reads fulfilment rows only near its own orders' ids.
+NEAR_MONTHS = 3
+
+
+def between_ids(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` lies between the smallest and the largest of ``ids`` (one column).
+
+    The two bounds pass through the driver (a pass over the window's ids) and reach the scan of ``rows`` as literals, which
+    then skips the files and row groups outside. Ids grow with time, so the orders of a month stand close
+    together; the join decides.
+    """
+    key = ids.columns[0]
+    first, last = ids.agg(F.min(key), F.max(key)).first()
+    return rows.where(F.lit(False) if first is None else F.col(column).between(F.lit(first), F.lit(last)))
+
+
+def fulfilment_lines(src: Sources, systems: list[str], order_ids: DataFrame | None = None) -> DataFrame:
+    """Valid fulfilment lines with their header's order keys, of the given order systems.
+
+    The tables have no date. With ``order_ids`` headers are read near these orders, and lines near those headers.
+    """
     heads = src.having("fulfil_header", "OrderSystem", *systems).where(F.col("OrderSystem").isin(systems)).select(
         F.col("OrderID"), F.col("ISISOrderID"), "OrderSystem", F.col("MarketOrderID").alias("HeadMarketKey"))
     lines = src.fulfil_detail.where(
         F.col("Status").isin(list(fixed.FULFIL_VALID_STATUSES)) & F.col("ProblemStatusID").isNull()
     ).select("OrderID", "ItemCode", F.col("LocationNo").alias("FulfilLocationNo"),
              F.col("MarketOrderItemID").alias("LineMarketItemKey"))
+    if order_ids is not None:
+        heads = between_ids(heads, "ISISOrderID", order_ids)
+        lines = between_ids(lines, "OrderID", heads.select("OrderID"))
     return heads.join(lines, "OrderID").drop("OrderID")
 
 
@@ -295,9 +317,10 @@ def online_sales(src: Sources, window: Window, istore=("shipped", "refund"), web
         channels.append(_web_tagged(src, window, [WEB_KINDS[k] for k in web]))
     orders = channels[0] if len(channels) == 1 else channels[0].unionByName(channels[1])
     systems = [s for s, kinds in ((fixed.ISTORE_ORDER_SYSTEM, istore), (fixed.WEB_ORDER_SYSTEM, web)) if kinds]
+    near = orders.select("ISIS_OrderID") if len(window.months()) <= NEAR_MONTHS else None
     same_item = (F.col("MarketKey") == F.col("HeadMarketKey")) & (F.col("MarketItemKey") == F.col("LineMarketItemKey"))
     joined = orders.join(src.facilities, "FacilityID").join(
-        fulfilment_lines(src, systems),
+        fulfilment_lines(src, systems, near),
         (F.col("ISIS_OrderID") == F.col("ISISOrderID")) & (F.col("System") == F.col("OrderSystem"))
         & ((F.col("System") == fixed.ISTORE_ORDER_SYSTEM) | same_item),
     )
