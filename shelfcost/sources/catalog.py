@@ -12,7 +12,7 @@ for tables by name. Two constructors:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ from pyspark.sql.types import StringType
 from shelfcost.sources.schemas import PHYSICAL_NAMES, SOURCE_COLUMNS
 
 
-def normalise(name: str, df: DataFrame) -> DataFrame:
-    """Typed select of the used columns; text right-trimmed.
+def normalise(name: str, df: DataFrame, trimmed: bool = False) -> DataFrame:
+    """Typed select of the used columns; text right-trimmed, unless it is stored that way (``trimmed``).
 
     The source system compares text ignoring trailing blanks (fixed-width
     columns are stored blank-padded), so every text column is trimmed once
@@ -36,7 +36,7 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     for col, typ in SOURCE_COLUMNS[name]:
         physical = PHYSICAL_NAMES.get((name, col))
         c = F.col(physical if physical in df.columns else col).cast(typ)
-        if isinstance(typ, StringType):
+        if isinstance(typ, StringType) and not trimmed:
             c = F.rtrim(c)
         cols.append(c.alias(col))
     return df.select(*cols)
@@ -45,8 +45,9 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
 class Sources:
     """Lazily built, memoised source DataFrames."""
 
-    def __init__(self, spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], trimmed: Collection[str] = ()):
         self.spark = spark
+        self.trimmed = frozenset(trimmed)   # tables stored normalised, whose key columns are read as they are
         self._builders = dict(builders)
         self._cache: dict[str, DataFrame] = {}
 
@@ -54,9 +55,13 @@ class Sources:
         if name not in self._cache:
             if name not in self._builders:
                 raise KeyError(f"unknown source table {name!r}")
-            self._cache[name] = normalise(name, self._builders[name]())
+            self._cache[name] = normalise(name, self._builders[name](), name in self.trimmed)
         return self._cache[name]
 
+    def raw(self, name: str) -> DataFrame:
+        """The table as it is stored."""
+        return self._builders[name]()
+
     def having(self, name: str, column: str, *prefixes: str) -> DataFrame:
         """The table, cut at the scan to rows whose *stored* text in ``column`` starts with one of ``prefixes``.
 
@@ -69,7 +74,7 @@ class Sources:
         any_prefix = stored.startswith(prefixes[0])
         for p in prefixes[1:]:
             any_prefix = any_prefix | stored.startswith(p)
-        return normalise(name, raw.where(any_prefix))
+        return normalise(name, raw.where(any_prefix), name in self.trimmed)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
