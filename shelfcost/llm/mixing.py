@@ -65,7 +65,8 @@ def sampled(docs: DataFrame, share: float = 1.5, max_repeat: int = 2, weights: t
     """``docs`` with ``__mix_size``, ``__mix_source_size``, ``__mix_target`` and ``__mix_copies``."""
     hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))  # null has a key of its own
-    d = docs.withColumns({"__mix_size": F.size(words(F.col("text"))).cast("long"), "__mix_hash": hashed, "__mix_key": key})
+    content = F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"))  # rows equal in all of it are interchangeable
+    d = docs.withColumns({"__mix_size": F.size(words(F.col("text"))).cast("long"), "__mix_hash": hashed, "__mix_key": key, "__mix_row": content})
     d = d.withColumn("__mix_part", F.substring("__mix_hash", 1, 2))
 
     keys = d.select(F.col("__mix_key").alias("key"), F.col("__mix_size").alias("size"), F.col("__mix_part").alias("part"))
@@ -82,13 +83,12 @@ def sampled(docs: DataFrame, share: float = 1.5, max_repeat: int = 2, weights: t
         (F.col("part_start") + F.col("size_start")).alias("__mix_start"), F.col("source_size").alias("__mix_source_size"), F.col("target").alias("__mix_target"),
     )
     d = d.join(p, ["__mix_key", "__mix_size", "__mix_part"])
-    content = F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"))  # rows equal in all of it are interchangeable
-    rows = Window.partitionBy("__mix_key", "__mix_size", "__mix_part").orderBy("__mix_hash", F.col("doc_id").asc_nulls_first(), content)
+    rows = Window.partitionBy("__mix_key", "__mix_size", "__mix_part").orderBy("__mix_hash", F.col("doc_id").asc_nulls_first(), "__mix_row")
     place = F.row_number().over(rows) + F.col("__mix_start")
     rate = F.when(F.col("__mix_source_size") > 0, F.col("__mix_target") / F.col("__mix_source_size")).otherwise(F.lit(0.0))
     offset = unit(F.coalesce(F.col("source"), F.lit("")))
     copies = F.floor(offset + place * rate) - F.floor(offset + (place - 1) * rate)
-    return d.withColumn("__mix_copies", copies.cast("long")).drop("__mix_key", "__mix_hash", "__mix_part", "__mix_start")
+    return d.withColumn("__mix_copies", copies.cast("long")).drop("__mix_key", "__mix_hash", "__mix_part", "__mix_start", "__mix_row")
 
 
 def mix(docs: DataFrame, share: float = 1.5, max_repeat: int = 2, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
