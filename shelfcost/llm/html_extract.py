@@ -8,6 +8,8 @@ most of the page's text, and either are built like an article where no other one
 split in two clusters by the threshold that separates them best; the regions (the enclosing article or main element, else
 the nearest container, widened to containers that mostly are content) that hold lines of the upper cluster are the content, with all their lines in page order.
 
+Time and memory are linear in the page, however many elements are marked, nested or never closed.
+
 Defined cases: a null or empty page, or one without content, gives the empty text; markup that is never closed ends with
 its parent; repeated rows are extracted one by one; other columns are ignored.
 """
@@ -15,7 +17,7 @@ its parent; repeated rows are extracted one by one; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -44,8 +46,10 @@ _MARKS = frozenset(
 SHARE, REST = 0.5, 0.25  # of the text that marked elements must hold; of their text and ratio that the rest may have
 _BODY_WORDS = frozenset("article post entry content story main body text page".split())
 _REGIONS = ("article", "main")
+_HOLDERS = frozenset("aside footer form section template noscript dialog ol ul".split())  # furniture that an article may stand in
 _CONTAINERS = frozenset("article main section div td body html blockquote center".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SECTION = re.compile(r"<!\[\s*([a-zA-Z]*)")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -95,12 +99,16 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int]] = []
         self.of: list[tuple[int, bool]] = []  # per line: the marked element around it (0: none), inside an article or main element
         self.stack: list[tuple[str, int, bool]] = []  # tag, region, furniture
+        self.places: dict[str, list[int]] = {}  # of the open elements by tag, and of those that are blocks: their places in the stack
+        self.blocks: list[int] = []
+        self.articles = self.holders = 0  # open article and main elements; open furniture and marked elements that are holders
         self.marks: list[tuple[str, bool]] = [("", False)]  # by number of the marked element
         self.marked: list[tuple[int, int, int, bool]] = []  # the open ones: place in the stack, number, and the tags and whole outside
         self.parts: list[str] = []
         self.tags = self.regions = 0
         self.off = 0  # open furniture elements
         self.region, self.whole = 0, False  # whole: inside an article or main element
+        self.endless: set[str] = set()  # kinds of markup that were found not to end: no later one does either
 
     def _end_line(self) -> None:
         if self.parts:
@@ -116,7 +124,7 @@ class _Lines(HTMLParser):
             self._end_line()
         if self.off:
             if tag not in _VOID:
-                self.stack.append((tag, self.region, False))
+                self._push(tag, False)
             return
         self.tags += 1
         if tag not in _INLINE:
@@ -125,7 +133,8 @@ class _Lines(HTMLParser):
             return
         furniture = _is_furniture(tag, attrs, self.whole, self.by_name)
         mark = None if furniture else _mark(tag, attrs, self.by_name)
-        self.stack.append((tag, self.region, furniture))
+        self._push(tag, furniture)
+        self.holders += tag in _HOLDERS and bool(furniture or mark)
         if furniture:
             self._end_line()
             self.off += 1
@@ -146,9 +155,7 @@ class _Lines(HTMLParser):
 
     def _leave_loose(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         """Ends furniture that was never closed when the page's body or article begins."""
-        marked = {place for place, *_ in self.marked}
-        open_ones = [t for i, (t, _, f) in enumerate(self.stack) if f or i in marked]
-        if _is_furniture(tag, attrs, False, self.by_name) or _mark(tag, attrs, self.by_name) or (tag != "body" and any(t in ("aside", "footer", "form", "section", "template", "noscript", "dialog", "ol", "ul") for t in open_ones)):
+        if tag != "body" and self.holders or _is_furniture(tag, attrs, False, self.by_name) or _mark(tag, attrs, self.by_name):
             return False
         while self.stack and (self.off or self.marked):
             self._pop()
@@ -157,16 +164,28 @@ class _Lines(HTMLParser):
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, "/>" closes only void elements
 
+    def _push(self, tag: str, furniture: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in _INLINE:
+            self.blocks.append(len(self.stack))
+        self.articles += tag in _REGIONS and not furniture
+        self.stack.append((tag, self.region, furniture))
+
     def _pop(self) -> None:
-        if self.marked and self.marked[-1][0] == len(self.stack) - 1:
+        marked = bool(self.marked) and self.marked[-1][0] == len(self.stack) - 1
+        if marked:
             self._end_line()  # also where its tag is an inline one
         tag, self.region, furniture = self.stack.pop()
-        if furniture:
-            self.off -= 1
-        if self.marked and self.marked[-1][0] == len(self.stack):
+        self.places[tag].pop()
+        if tag not in _INLINE:
+            self.blocks.pop()
+        self.articles -= tag in _REGIONS and not furniture
+        self.off -= furniture
+        self.holders -= tag in _HOLDERS and (furniture or marked)
+        if marked:
             _, _, self.tags, self.whole = self.marked.pop()
         elif tag in _REGIONS:
-            self.whole = any(t in _REGIONS for t, _, f in self.stack if not f)
+            self.whole = self.articles > 0
 
     def handle_endtag(self, tag: str) -> None:
         if not self.off:
@@ -175,14 +194,37 @@ class _Lines(HTMLParser):
                 self._end_line()
         if tag in _VOID:
             return
-        at = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), -1)
-        if at < 0:
+        places = self.places.get(tag)
+        if not places:
             return
-        if tag in _INLINE and any(t not in _INLINE for t, _, _ in self.stack[at:]):
+        at = places[-1]
+        if tag in _INLINE and self.blocks and self.blocks[-1] > at:
             return  # an inline end tag does not close blocks
         while len(self.stack) > at:
             self._pop()
 
+    def _once(self, kind: str, parse: Callable[[int], int], i: int) -> int:
+        """``parse(i)``, but the rest of the page is not searched again for the end of a kind that has none."""
+        k = -1 if kind in self.endless else parse(i)
+        if k < 0:
+            self.endless.add(kind)
+        return k
+
+    def parse_starttag(self, i: int) -> int:
+        if "tag" not in self.endless and self.rawdata.find(">", i) < 0:
+            self.endless.add("tag")
+        return -1 if "tag" in self.endless else super().parse_starttag(i)
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        return self._once("comment", lambda i: super(_Lines, self).parse_comment(i, report), i)
+
+    def parse_pi(self, i: int) -> int:
+        return self._once("instruction", super().parse_pi, i)
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        name = _SECTION.match(self.rawdata, i)
+        return self._once(name.group(1).lower() if name else "section", lambda i: super(_Lines, self).parse_marked_section(i, report), i)
+
     def handle_data(self, data: str) -> None:
         if not self.off:
             self.parts.append(data)
@@ -202,8 +244,9 @@ class _Lines(HTMLParser):
         if not own:
             return {0}
         total = rest + sum(own.values())
-        like = {n for n in own if self.marks[n][1] or any(k == n and whole for k, whole in self.of)}  # built like, or around, an article
-        if sum(own[n] for n in like) >= SHARE * total and not any(whole for n, whole in self.of if not n):
+        around = {n for n, whole in self.of if whole}  # with lines inside an article
+        like = {n for n in own if self.marks[n][1] or n in around}  # built like, or around, an article
+        if sum(own[n] for n in like) >= SHARE * total and 0 not in around:
             return {0} | like
 
         def top(of: set[int]) -> float:
@@ -211,8 +254,10 @@ class _Lines(HTMLParser):
             found = [len(t) / max(1, tags) for (t, tags, _), (n, _) in zip(self.lines, self.of) if n in of]
             return float(smoothed(np.array(found)).max()) if found else 0.0
 
-        for name in {self.marks[n][0] for n in own}:
-            same = {n for n in own if self.marks[n][0] == name}
+        named: dict[str, set[int]] = {}
+        for n in own:
+            named.setdefault(self.marks[n][0], set()).add(n)
+        for same in named.values():  # two of them at most hold the share
             held = sum(own[n] for n in same)
             if held >= SHARE * total and rest <= REST * held and top({0}) <= REST * top(same):
                 return {0} | same
@@ -263,20 +308,22 @@ def _widened(content: set[int], lines: list[tuple[str, int, int]], parent: dict[
     """``content`` with the other regions of each container that consists of content for the most part."""
     if not parent:
         return content
-    above: dict[int, list[int]] = {}
-    size: dict[int, list[int]] = {}
+    size: dict[int, list[int]] = {}  # of each region with those in it: all characters, and those of content
     for text, _, region in lines:
-        if region not in above:
-            chain = [region]
-            while chain[-1] in parent:
-                chain.append(parent[chain[-1]])
-            above[region] = [r for r in chain if r in parent]
-        for r in above[region]:
-            both = size.setdefault(r, [0, 0])
-            both[0] += len(text)
-            both[1] += len(text) * (region in content)
-    mostly = {r for r, (all_chars, chosen) in size.items() if 2 * chosen >= all_chars and chosen}
-    return content | {region for region, chain in above.items() if mostly.intersection(chain)}
+        both = size.setdefault(region, [0, 0])
+        both[0] += len(text)
+        both[1] += len(text) * (region in content)
+    for region in sorted(parent, reverse=True):  # a region's number is above its parent's
+        if region in size:
+            both = size.setdefault(parent[region], [0, 0])
+            both[0] += size[region][0]
+            both[1] += size[region][1]
+    wide = set()
+    for region in sorted(parent):
+        all_chars, chosen = size.get(region, (0, 0))
+        if chosen and 2 * chosen >= all_chars or parent[region] in wide:
+            wide.add(region)
+    return content | {region for _, _, region in lines if region in wide}
 
 
 @F.pandas_udf(StringType())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 
 import pytest
@@ -135,3 +136,29 @@ def test_null_and_empty_pages(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in html_extract.report(pages).collect()) == [(0, "y", 1), (1, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1), (4, "", 0)]
     found = warc.report(pages).collect()
     assert sorted((r.page_id or 0, r.payload_digest, r.record_type) for r in found) == sorted((p or 0, hashlib.sha1((h or "").encode()).hexdigest(), "response") for p, _, h in rows)
+
+
+def _seconds(page: str) -> float:
+    start = time.process_time()
+    html_extract.extract(page)
+    return time.process_time() - start
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<div class='comment'>hello</div>", "<div>x</i></em></section>", "<article>x", "<section>x y", "<b><p>x</b>", "<p>x<!--", "<p>x<![CDATA[ ", "<?x", "<p a "],
+)
+def test_extraction_takes_linear_time(unit):
+    few, many = _seconds(unit * 4_000), _seconds(unit * 32_000)
+    assert many < 24 * few + 1  # 8 times the page; a quadratic step takes 64 times as long
+
+
+def test_long_marked_and_badly_nested_pages():
+    article = "<article><p>" + "some words of the article " * 40 + "</p></article>"
+    text = " ".join(("some words of the article " * 40).split())
+    comments = "".join(f"<div class='comment c{i}'>I agree {i}</div>" for i in range(100_000))
+    assert html_extract.extract(article + comments) == text
+    nested = "<div>" * 100_000 + article + "</i></em></span>" * 100_000
+    assert html_extract.extract(nested) == text
+    sections = "<section>" * 50_000 + "<p>" + text + "</p>" + "</section>" * 50_000
+    assert html_extract.extract(sections) == text
