@@ -11,7 +11,7 @@ dismissed early by the same argument on 2, 4, 8, ... neighbouring pieces: of m p
 together, one half has fewer edits than pieces again, so a true place has a piece all of whose enclosing groups match.
 
 The items are taken in blocks of at most ``BLOCK_CHARS`` characters, so what each executor holds has a fixed
-bound; a benchmark beyond it is searched block by block, each against all documents.
+bound; a benchmark beyond it is searched block by block, each against all documents, and only the hits are kept between blocks.
 
 An item too short for a single edit (and shorter than ``MIN_CHARS``) must stand by itself: the character before and after it is
 none, a space, or of a script that is written without spaces.
@@ -22,6 +22,7 @@ reported; an empty table on either side gives no match; other columns are carrie
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcost.llm.store import save
+from shelfcost.llm.store import new_path, save, small
 
 BUDGET = 0.1
 MIN_CHARS = 32
@@ -215,16 +216,42 @@ def _search(kind: str, block: list[tuple[int, str]], budget: float, docs: DataFr
     return search(F.col("text"))
 
 
+def _hits(block: list[tuple[int, str]], budget: float, docs: DataFrame, item: str) -> DataFrame:
+    """(__dec_text, item_id, distance): what each text, named by its hash, holds of a block; texts without a hit give no row."""
+    held = docs.sparkSession.sparkContext.broadcast(block)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher(held.value, budget)
+        for batch in batches:
+            rows = [(name, i, d) for name, t in zip(batch["__dec_text"], batch["text"]) for i, d in matcher.search(normalised(t))]
+            yield pd.DataFrame(rows, columns=["__dec_text", "item_id", "distance"], dtype=object)
+
+    texts = docs.where("text is not null").select(F.md5("text").alias("__dec_text"), "text")
+    return texts.mapInPandas(search, f"__dec_text string, item_id {item}, distance int")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """``docs`` with ``__dec_hits``, the list of (item_id, distance) found in each text; no shuffle.
+    """``docs`` with ``__dec_hits``, the list of (item_id, distance) found in each text.
 
-    Between two blocks the documents and their hits so far are written to the shared folder, so that no task holds two blocks.
+    One block is one narrow pass without a shuffle. Of several blocks each is a pass of its own that writes only its hits, by
+    the text's hash, to the shared folder, so that no task holds two blocks; the documents then meet their hits in one join.
     """
-    kind = f"array<struct<item_id:{benchmark.schema['item_id'].dataType.simpleString()},distance:int>>"
-    out = docs.withColumn("__dec_hits", F.array().cast(kind))
-    for i, block in enumerate(blocks(benchmark)):
-        out = (save(out, "hits") if i else out).withColumn("__dec_hits", F.concat("__dec_hits", _search(kind, block, budget, docs)))
-    return out
+    spark = docs.sparkSession
+    item = benchmark.schema["item_id"].dataType.simpleString()
+    kind = f"array<struct<item_id:{item},distance:int>>"
+    todo = blocks(benchmark)
+    first, second = next(todo, []), next(todo, None)
+    if second is None:
+        return docs.withColumn("__dec_hits", _search(kind, first, budget, docs))
+    paths = []
+    for block in itertools.chain((first, second), todo):
+        hits = _hits(block, budget, docs, item)
+        paths.append(new_path(spark, "hits"))
+        hits.distinct().write.parquet(paths[-1])  # copies of a text have the same hits
+    found = spark.read.schema(hits.schema).parquet(*paths).groupBy("__dec_text").agg(F.array_sort(F.collect_set(F.struct("item_id", "distance"))).alias("__dec_found"))
+    found = save(found, "found")
+    out = docs.withColumn("__dec_text", F.md5("text")).join(small(found), "__dec_text", "left")
+    return out.select(*docs.columns, F.coalesce(F.col("__dec_found").cast(kind), F.array().cast(kind)).alias("__dec_hits"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -162,3 +162,19 @@ def test_long_marked_and_badly_nested_pages():
     assert html_extract.extract(nested) == text
     sections = "<section>" * 50_000 + "<p>" + text + "</p>" + "</section>" * 50_000
     assert html_extract.extract(sections) == text
+
+
+def test_decontamination_in_blocks_equals_one_block(spark, docs, monkeypatch):
+    items = [(i, " ".join(f"word{i + k}" for k in range(9))) for i in range(40)] + [(7, "one"), (None, "with some words"), (50, "no such words here"), (51, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def rows():
+        return Counter((r.doc_id, r.text, r.source, tuple(sorted({(h.item_id or -1, h.distance) for h in r["__dec_hits"]}))) for r in decontam.matches(docs, benchmark).collect())
+
+    whole = rows()
+    kept = Counter(decontam.clean(docs, benchmark).collect())
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 300)
+    assert len(list(decontam.blocks(benchmark))) > 5
+    assert rows() == whole and sum(whole.values()) == len(ROWS)
+    assert decontam.matches(docs, benchmark).columns == [*docs.columns, "__dec_hits"]
+    assert Counter(decontam.clean(docs, benchmark).collect()) == kept and sum(kept.values()) < len(ROWS)
