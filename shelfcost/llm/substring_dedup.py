@@ -11,7 +11,11 @@ class of several occurrences needs no search. Classes that share an anchor but d
 ends of repeated passages) are searched with a suffix array over their bytes: with the suffixes in order, the previous and
 next smaller positions of each give its longest previous factor (and what that repeats), and a window is
 repeated if it reaches ``length``. Anchors with more than ``GROUP`` classes are searched by
-counting their windows' 128-bit hashes, which needs no group in one place; both ways are exact up to hash collisions of 128 bits.
+counting their windows' 128-bit hashes, which needs no group in one place. Both ways are exact up to collisions: segments are one class if the 64-bit
+hash of the anchor's bytes and another of the whole segment agree, windows are counted as equal if two 64-bit hashes of them agree.
+
+Anchors, classes and windows that are very common (more than ``ROWS`` rows, and one in ``SHARE`` of all) are at most ``SHARE`` many; their rows are dealt
+over several tasks in the joins, and their few rows on the other side are repeated for each.
 
 Defined cases: a null text is empty, and texts shorter than ``length`` lose nothing; matches never cross documents;
 repeated rows are documents of their own, so each repeats the other; documents are ordered by id (null first); an
@@ -24,14 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcost.llm.store import save, small
+from shelfcost.llm.store import save
 
 LENGTH = 400
 GRAM = 48
 GROUP = 2000  # classes of one anchor that one task takes together
+ROWS = 1000  # rows of one key that one task of a join takes, at least
+SHARE = 16384
 PIECE = 1 << 19  # windows hashed at once
 CHUNK = 1 << 20  # bytes under one suffix array, beyond one group
 
@@ -225,6 +231,21 @@ _ID = ("nid", "th")  # a row's name: its id (null: the least number) and a hash
 _NULL = -(1 << 63)
 
 
+def _dealt(many: DataFrame, one: DataFrame, keys: list[str], counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one`` (a row per key) on ``keys``; ``counts`` (keys, rows) says how many rows ``many`` has of a key, those of few rows may be missing.
+
+    A key of more than ``ROWS`` rows and of one in ``SHARE`` of all rows is dealt over tasks by the row's name. There are ``SHARE`` such keys at most, so they are broadcast.
+    """
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    limit = max(ROWS, total // SHARE)
+    common = F.broadcast(counts.where(F.col("rows") > limit).select(*keys, F.ceil(F.col("rows") / limit).cast("int").alias("ways")))
+    way = F.coalesce(F.pmod(F.hash(*(c for c in many.columns if c not in keys)), F.col("ways")), F.lit(0))
+    left = many.join(common, keys, "left").withColumn("way", way).drop("ways")
+    ways = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("ways"), F.lit(1)) - 1))
+    right = one.join(common, keys, "left").withColumn("way", ways).drop("ways")
+    return left.join(right, [*keys, "way"], how).drop("way")
+
+
 def _segment_table(d: DataFrame, length: int) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -301,8 +322,8 @@ def _counted(parts: DataFrame, length: int, later_only: bool) -> DataFrame:
     windows = parts.select(*_ID, "start", "lone", "seg").mapInPandas(hashed, "nid long, th int, a int, lone boolean, h1 long, h2 long")
     at = F.struct(*_ID, "a")
     groups = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("first")).where("c > 1")
-    groups = save(groups, "groups")  # so that a very common window can be split over tasks in the join
-    found = windows.join(small(groups), ["h1", "h2"])
+    groups = save(groups, "groups")
+    found = _dealt(windows, groups.drop("c"), ["h1", "h2"], groups.select("h1", "h2", F.col("c").alias("rows")))
     found = found.where(at != F.col("first")) if later_only else found.where("lone")
     return found.select(*_ID, "a", (F.col("a") + 1).alias("b"))
 
@@ -312,13 +333,14 @@ def repeated_windows(d: DataFrame, length: int = LENGTH, keep: str = "none", gro
     later_only = keep == "first"
     seg = _segment_table(d, length)
     at = F.struct(*_ID, "start", "n")
-    classes = seg.groupBy("key", "cls").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("at"))
-    by_key = Window.partitionBy("key")
-    classes = classes.select("*", F.count(F.lit(1)).over(by_key).alias("k"), F.min("c").over(by_key).alias("least"))
-    differ = (F.col("k") > 1) & (F.lit(later_only) | (F.col("least") == 1))
+    classes = save(seg.groupBy("key", "cls").agg(F.count(F.lit(1)).alias("c"), F.min(at).alias("at")), "classes")
+    keys = save(classes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).where("k > 1"), "keys")  # anchors whose classes differ
+    classes = _dealt(classes, keys, ["key"], keys.select("key", F.col("k").alias("rows")), "left")
+    differ = F.col("k").isNotNull() & (F.lit(later_only) | (F.col("least") == 1))
     hits = save(classes.where((F.col("c") > 1) | differ), "hits")
 
-    whole = seg.join(hits.where("c > 1").select("key", "cls", "at"), ["key", "cls"])
+    again = hits.where("c > 1")
+    whole = _dealt(seg, again.select("key", "cls", "at"), ["key", "cls"], again.select("key", "cls", F.col("c").alias("rows")))
     if later_only:
         whole = whole.where(at != F.col("at"))
     whole = whole.select(*_ID, F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
