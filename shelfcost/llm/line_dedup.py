@@ -13,7 +13,8 @@ themselves are compared.
 
 Within a token's list each line is first compared with the list's first line and with the one before it, which settles
 groups of near copies in linear time; only lines that are still unsettled meet the earlier lines of the list, and of these only the ones whose 64-bit
-signatures differ in no more bits than similar sets can.
+signatures differ in no more bits than similar sets can. The list of a token from a common hash bucket (``SPLIT_CLASS``) is dealt into parts by
+a hash of its lines, so that no task sorts a whole one; its lines still meet the first one of the whole list.
 
 Only DataFrame functions are used on this path. The tables of removed lines are broadcast to the documents while
 their files stay below ``store.BROADCAST_BYTES``, and joined by a shuffle beyond.
@@ -31,11 +32,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcost.llm.store import save, small
+from shelfcost.llm.store import drop, save, small
 from shelfcost.llm.text import words
 
 BUCKETS = 1 << 16
 SHINGLE = 5
+#: Lists of tokens from this rarity class on (buckets of twice the mean count) are split; the last class is open upwards, so it has more parts.
+SPLIT_CLASS = 48
+LAST_CLASS = 127
+LAST_PARTS = 1024
 _NULL = -(1 << 63)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -50,14 +55,15 @@ def _name() -> list[Column]:
     return [_nid().alias("nid"), F.xxhash64("text").alias("th")]
 
 
-def _once(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): each row's name once, as a repeated row would meet itself as an earlier one."""
+def _once(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc_id, text): each row's name once, as a repeated row would meet itself as an earlier one; and the written tables it reads."""
     several = save(docs.groupBy(*_name()).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
     if several.isEmpty():
-        return docs
+        return docs, [several]
     named = docs.select("doc_id", "text", *_name())
     one = named.join(small(several), ["nid", "th"], "left_semi").groupBy("nid", "th").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    return named.join(small(several), ["nid", "th"], "left_anti").select("doc_id", "text").unionByName(save(one.select("doc_id", "text"), "once"))
+    one = save(one.select("doc_id", "text"), "once")
+    return named.join(small(several), ["nid", "th"], "left_anti").select("doc_id", "text").unionByName(one), [several, one]
 
 
 def _words(line: Column) -> Column:
@@ -97,13 +103,15 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def equal_lines(docs: DataFrame) -> DataFrame:
-    """(nid, th, gone): per document the numbers of the lines that equal an earlier one."""
+    """(nid, th, gone): per document the numbers of the lines that equal an earlier one, as a written table."""
     lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "th", "no")
     at = F.struct("nid", "th", "no")
     several = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
     several = save(several, "several")  # so that a very common line can be split over tasks in the join
     later = lines.join(small(several), ["h1", "h2"]).where(at != F.col("first"))
-    return later.groupBy("nid", "th").agg(F.collect_set("no").alias("gone"))
+    equal = save(later.groupBy("nid", "th").agg(F.collect_set("no").alias("gone")), "equal")
+    drop(several)
+    return equal
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -113,11 +121,11 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """The class (16 to a doubling, 0 to 127, 32 for the mean) of each hash bucket's shingle count in all lines, as a constant array."""
+    """The class (16 to a doubling, 0 to ``LAST_CLASS``, 32 for the mean) of each hash bucket's shingle count in all lines, as a constant array."""
     counted = _lines(docs).select(F.explode(_shingles(F.col("line"))).alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).count()
     found = dict(counted.collect())  # BUCKETS rows at most
     mean = max(1.0, sum(found.values()) / BUCKETS)
-    table = (min(127, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
+    table = (min(LAST_CLASS, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
@@ -144,7 +152,9 @@ def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
     wanted = save(lists.groupBy("nid", "th").agg(F.collect_set("no").alias("want")), "wanted")
     d = docs.select(*_name(), "text").join(small(wanted), ["nid", "th"]).select("nid", "th", "want", F.split("text", "\n").alias("all"))
     picked = d.select("nid", "th", F.explode("want").alias("no"), "all").select("nid", "th", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
-    return save(picked.select("nid", "th", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
+    sets = save(picked.select("nid", "th", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
+    drop(wanted)
+    return sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -156,20 +166,41 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(similar).select("nid", "th", "no").distinct()
 
 
+def _lists(postings: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(token, nid, th, no, n, pos, f, p, later): the lines of each token that has several, the list's first line, the line before (null: none in its part), and
+    whether the line comes after the first; and the written tables it reads.
+    """
+    rank = F.shiftright("token", 56).cast("int")
+    split = rank >= SPLIT_CLASS
+    parts = F.when(rank == LAST_CLASS, F.lit(LAST_PARTS)).otherwise(F.call_function("shiftleft", F.lit(1), ((rank - 32) / 16).cast("int")))
+    part = F.when(split, F.pmod(F.xxhash64("nid", "th", "no"), parts).cast("int")).otherwise(F.lit(0))
+    by_part = Window.partitionBy("token", "part").orderBy("nid", "th", "no")
+    me = F.struct("nid", "th", "no", "n", "pos")
+    near = postings.withColumn("part", part).select(
+        "*", F.first(me).over(by_part).alias("f"), F.lag(me).over(by_part).alias("p"), F.lead("no").over(by_part).isNotNull().alias("more")
+    )
+    # a token of one line alone links nothing; of a split list that is known below
+    kept = save(near.where(F.col("p").isNotNull() | F.col("more") | split).drop("more", "part"), "lists")
+    whole = kept.where(~split).withColumn("later", F.col("p").isNotNull())
+    several = kept.where(split).groupBy("token").agg(F.min("f").alias("f"), F.count(F.lit(1)).alias("lines")).where("lines > 1").drop("lines")
+    several = save(several, "several")
+    at_first = (F.col("nid") == F.col("f.nid")) & (F.col("th") == F.col("f.th")) & (F.col("no") == F.col("f.no"))
+    dealt = save(kept.where(split).drop("f").join(small(several), "token").withColumn("later", ~at_first).select(*whole.columns), "lists")
+    drop(several)
+    return whole.unionByName(dealt), [kept, dealt]
+
+
 def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
-    """(nid, th, gone): per document the numbers of the lines that equal no earlier line but are similar to one."""
+    """(nid, th, gone): per document the numbers of the lines that equal no earlier line but are similar to one, as a written table."""
     postings = _postings(docs, equal, rarity(docs), num, den)
-    by_token = Window.partitionBy("token").orderBy("nid", "th", "no")
-    me = F.struct("nid", "th", "no", "n", "pos")
-    lists = postings.select("*", F.first(me).over(by_token).alias("f"), F.lag(me).over(by_token).alias("p"), F.lead("no").over(by_token).isNotNull().alias("more"))
-    lists = save(lists.where(F.col("p").isNotNull() | F.col("more")).drop("more"), "lists")  # a token of one line alone links nothing
+    lists, written = _lists(postings)
     sets = _sets(docs, lists)
 
-    near = lists.where(F.col("p").isNotNull()).select("nid", "th", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
+    near = lists.where("later").select("nid", "th", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
     near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
     settled = save(_verified(near.select("nid", "th", "no", F.col("e.nid").alias("e_nid"), F.col("e.th").alias("e_th"), F.col("e.no").alias("e_no")), sets, num, den), "settled")
 
-    signed = lists.select("token", "nid", "th", "no", "n", "pos", F.col("p").isNotNull().alias("later")).join(sets.select("nid", "th", "no", "sig"), ["nid", "th", "no"])
+    signed = lists.select("token", "nid", "th", "no", "n", "pos", "later").join(sets.select("nid", "th", "no", "sig"), ["nid", "th", "no"])
     late = signed.where("later").join(settled, ["nid", "th", "no"], "left_anti")
     early = signed.select("token", F.col("nid").alias("e_nid"), F.col("th").alias("e_th"), F.col("no").alias("e_no"), F.col("n").alias("m"), F.col("pos").alias("e_pos"), F.col("sig").alias("e_sig"))
     before = F.struct("e_nid", "e_th", "e_no") < F.struct("nid", "th", "no")
@@ -177,15 +208,20 @@ def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5)
     differ = (num + den) * F.bit_count(F.col("sig").bitwiseXOR(F.col("e_sig"))) <= (den - num) * (F.col("n") + F.col("m"))
     rest = late.join(early, "token").where(before & differ & _may_match(F.col("n"), F.col("pos"), F.col("m"), F.col("e_pos"), num, den))
     more = _verified(rest.select("nid", "th", "no", "e_nid", "e_th", "e_no"), sets, num, den)
-    return settled.unionByName(more).groupBy("nid", "th").agg(F.collect_set("no").alias("gone"))
+    similar = save(settled.unionByName(more).groupBy("nid", "th").agg(F.collect_set("no").alias("gone")), "similar")
+    for table in (*written, sets, settled):
+        drop(table)
+    return similar
 
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines, with ``__line_n`` (lines) and ``__line_gone`` (removed lines); ``n_chars`` follows the text where there is such a column."""
-    texts = _once(docs.select("doc_id", "text"))
-    equal = save(equal_lines(texts), "equal")
-    similar = save(similar_lines(texts, equal, num, den), "similar")
+    texts, written = _once(docs.select("doc_id", "text"))
+    equal = equal_lines(texts)
+    similar = similar_lines(texts, equal, num, den)
     gone = save(equal.unionByName(similar).groupBy("nid", "th").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
+    for table in (*written, equal, similar):
+        drop(table)
     gone = gone.withColumnsRenamed({"nid": "__line_id", "th": "__line_hash", "gone": "__line_set"})
     d = docs.withColumns({"__line_id": _nid(), "__line_hash": F.xxhash64("text"), "__line_all": F.split("text", "\n")}).join(small(gone), ["__line_id", "__line_hash"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("__line_all") - 1), "__line_set")

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from shelfcost.llm import components, decontam, line_dedup, mixing, simhash, substring_dedup, warc
 
@@ -229,6 +230,30 @@ def test_line_dedup(docs, texts):
     assert got == want and any(want[i] != t for i, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("split_from", [0, 64, 128])
+def test_line_dedup_split_lists(docs, texts, monkeypatch, split_from):
+    """The same lines go whether every list, some or none are split."""
+    want = {r.doc_id: r.text for r in line_dedup.report(docs).collect()}
+    monkeypatch.setattr(line_dedup, "SPLIT_CLASS", split_from)
+    assert {r.doc_id: r.text for r in line_dedup.report(docs).collect()} == want
+
+
+def test_a_common_passage_is_split_and_loses_no_line(spark):
+    """400 lines share a rare-word passage; each has a near copy in another document, far away in the list's order."""
+    r = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(6))
+    lines = [common + " " + " ".join(f"w{r.randrange(10**6)}" for _ in range(30)) for _ in range(400)]
+    near = [x + " end" for x in lines]
+    table = spark.createDataFrame(list(enumerate(lines)) + [(1000 + k, near[k * 7 % 400]) for k in range(400)], "doc_id long, text string")
+    equal = line_dedup.equal_lines(table)
+    shingles = line_dedup._postings(table, equal, line_dedup.rarity(table), 4, 5).withColumn("token", F.lit(line_dedup.LAST_CLASS).cast("long") * (1 << 56))
+    lists, _ = line_dedup._lists(shingles.where("pos = 0"))
+    rows = lists.collect()
+    assert len(rows) == 800 and sum(not x.later for x in rows) == 1 and {x.f.nid for x in rows} == {0}
+    got = {x.doc_id: x.text for x in line_dedup.report(table).collect()}
+    assert all(got[i] == lines[i] for i in range(400)) and all(got[1000 + k] == "" for k in range(400))
+
+
 def test_mix_takes_near_the_target(docs):
     rows = mixing.report(docs).collect()
     by_source: dict[float, list] = {}
