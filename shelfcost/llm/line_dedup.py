@@ -19,7 +19,7 @@ a hash of its lines, so that no task sorts a whole one; its lines still meet the
 Only DataFrame functions are used on this path. The tables of removed lines are broadcast to the documents while
 their files stay below ``store.BROADCAST_BYTES``, and joined by a shuffle beyond.
 
-Defined cases: a null text stays null, an empty one empty; a null id sorts first; a row's name is its id and the hash of its
+Defined cases: a null text stays null, an empty one empty; a null id sorts first; a row's name is its id and (where ids repeat) the hash of its
 text, in this order, so rows of one id (or of none) with different texts are documents of their own, and only rows that repeat
 both share their removed lines; an empty table gives an empty table; other
 columns are carried, whatever their names.
@@ -50,20 +50,20 @@ def _nid() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))
 
 
-def _name() -> list[Column]:
-    """The row's name (nid, th): its id, then the hash of its text."""
-    return [_nid().alias("nid"), F.xxhash64("text").alias("th")]
+def _texts(docs: DataFrame) -> tuple[DataFrame, Column, list[DataFrame]]:
+    """(nid, th, text): each row's name once, as a repeated row would meet itself as an earlier one; th as a column of ``docs``; and the written tables it reads.
 
-
-def _once(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """(doc_id, text): each row's name once, as a repeated row would meet itself as an earlier one; and the written tables it reads."""
-    several = save(docs.groupBy(*_name()).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
-    if several.isEmpty():
-        return docs, [several]
-    named = docs.select("doc_id", "text", *_name())
-    one = named.join(small(several), ["nid", "th"], "left_semi").groupBy("nid", "th").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    one = save(one.select("doc_id", "text"), "once")
-    return named.join(small(several), ["nid", "th"], "left_anti").select("doc_id", "text").unionByName(one), [several, one]
+    th is the hash of the text, or, where no two rows have one id, zero, as the id is a name by itself then: names go along with all indexed tokens.
+    """
+    twice = docs.groupBy(_nid().alias("nid")).count().where("count > 1")
+    if twice.isEmpty():
+        th = F.lit(0).cast("long")
+        return docs.select(_nid().alias("nid"), th.alias("th"), "text"), th, []
+    th = F.xxhash64("text")
+    named = docs.select(_nid().alias("nid"), th.alias("th"), "text")
+    several = save(named.groupBy("nid", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
+    one = save(named.join(small(several), ["nid", "th"], "left_semi").groupBy("nid", "th").agg(F.first("text").alias("text")), "once")
+    return named.join(small(several), ["nid", "th"], "left_anti").unionByName(one), th, [several, one]
 
 
 def _words(line: Column) -> Column:
@@ -96,15 +96,15 @@ def _signature(shingles: Column) -> Column:
     return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(texts: DataFrame) -> DataFrame:
     """(nid, th, no, line): the lines with a word."""
-    lines = docs.select(*_name(), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    lines = texts.select("nid", "th", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     return lines.where(F.col("line").rlike(_HAS_WORD))
 
 
-def equal_lines(docs: DataFrame) -> DataFrame:
+def equal_lines(texts: DataFrame) -> DataFrame:
     """(nid, th, gone): per document the numbers of the lines that equal an earlier one, as a written table."""
-    lines = _lines(docs).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "th", "no")
+    lines = _lines(texts).select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "nid", "th", "no")
     at = F.struct("nid", "th", "no")
     several = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
     several = save(several, "several")  # so that a very common line can be split over tasks in the join
@@ -114,24 +114,24 @@ def equal_lines(docs: DataFrame) -> DataFrame:
     return equal
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(texts: DataFrame, gone: DataFrame) -> DataFrame:
     """(nid, th, all, gone): documents with their lines and the numbers of the removed ones (null: none)."""
-    d = docs.select(*_name(), F.split("text", "\n").alias("all"))
+    d = texts.select("nid", "th", F.split("text", "\n").alias("all"))
     return d.join(small(gone), ["nid", "th"], "left")
 
 
-def rarity(docs: DataFrame) -> Column:
+def rarity(texts: DataFrame) -> Column:
     """The class (16 to a doubling, 0 to ``LAST_CLASS``, 32 for the mean) of each hash bucket's shingle count in all lines, as a constant array."""
-    counted = _lines(docs).select(F.explode(_shingles(F.col("line"))).alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).count()
+    counted = _lines(texts).select(F.explode(_shingles(F.col("line"))).alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).count()
     found = dict(counted.collect())  # BUCKETS rows at most
     mean = max(1.0, sum(found.values()) / BUCKETS)
     table = (min(LAST_CLASS, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
-def _postings(docs: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
+def _postings(texts: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     """(token, nid, th, no, n, pos): the indexed tokens of the lines that equal no earlier one."""
-    lines = _without(docs, equal).select("nid", "th", "gone", F.posexplode("all").alias("no", "line"))
+    lines = _without(texts, equal).select("nid", "th", "gone", F.posexplode("all").alias("no", "line"))
     first = F.col("gone").isNull() | ~F.array_contains("gone", F.col("no"))
     lines = lines.where(F.col("line").rlike(_HAS_WORD) & first)
     lines = lines.select("nid", "th", "no", F.sort_array(_tokens(F.col("line"), classes)).alias("tokens"))
@@ -147,10 +147,10 @@ def _may_match(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -
     return length & ((num + den) * reach >= num * (n + m))
 
 
-def _sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, lists: DataFrame) -> DataFrame:
     """(nid, th, no, tokens, sig) of every line that shares an indexed token with another."""
     wanted = save(lists.groupBy("nid", "th").agg(F.collect_set("no").alias("want")), "wanted")
-    d = docs.select(*_name(), "text").join(small(wanted), ["nid", "th"]).select("nid", "th", "want", F.split("text", "\n").alias("all"))
+    d = texts.join(small(wanted), ["nid", "th"]).select("nid", "th", "want", F.split("text", "\n").alias("all"))
     picked = d.select("nid", "th", F.explode("want").alias("no"), "all").select("nid", "th", "no", F.get("all", F.col("no")).alias("line")).where(F.col("line").isNotNull())
     sets = save(picked.select("nid", "th", "no", _shingles(F.col("line")).alias("tokens")).withColumn("sig", _signature(F.col("tokens"))), "sets")
     drop(wanted)
@@ -190,11 +190,11 @@ def _lists(postings: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return whole.unionByName(dealt), [kept, dealt]
 
 
-def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
+def similar_lines(texts: DataFrame, equal: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """(nid, th, gone): per document the numbers of the lines that equal no earlier line but are similar to one, as a written table."""
-    postings = _postings(docs, equal, rarity(docs), num, den)
+    postings = _postings(texts, equal, rarity(texts), num, den)
     lists, written = _lists(postings)
-    sets = _sets(docs, lists)
+    sets = _sets(texts, lists)
 
     near = lists.where("later").select("nid", "th", "no", "n", "pos", F.explode(F.array_distinct(F.array("f", "p"))).alias("e"))
     near = near.where(_may_match(F.col("n"), F.col("pos"), F.col("e.n"), F.col("e.pos"), num, den))
@@ -216,14 +216,14 @@ def similar_lines(docs: DataFrame, equal: DataFrame, num: int = 4, den: int = 5)
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines, with ``__line_n`` (lines) and ``__line_gone`` (removed lines); ``n_chars`` follows the text where there is such a column."""
-    texts, written = _once(docs.select("doc_id", "text"))
+    texts, th, written = _texts(docs.select("doc_id", "text"))
     equal = equal_lines(texts)
     similar = similar_lines(texts, equal, num, den)
     gone = save(equal.unionByName(similar).groupBy("nid", "th").agg(F.flatten(F.collect_list("gone")).alias("gone")), "gone")
     for table in (*written, equal, similar):
         drop(table)
     gone = gone.withColumnsRenamed({"nid": "__line_id", "th": "__line_hash", "gone": "__line_set"})
-    d = docs.withColumns({"__line_id": _nid(), "__line_hash": F.xxhash64("text"), "__line_all": F.split("text", "\n")}).join(small(gone), ["__line_id", "__line_hash"], "left")
+    d = docs.withColumns({"__line_id": _nid(), "__line_hash": th, "__line_all": F.split("text", "\n")}).join(small(gone), ["__line_id", "__line_hash"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("__line_all") - 1), "__line_set")
     text = F.when(F.col("__line_set").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col("__line_all"), i)), "\n"))
     here = F.size(F.col("__line_all")) - F.size(stay)

@@ -245,8 +245,8 @@ def test_a_common_passage_is_split_and_loses_no_line(spark):
     lines = [common + " " + " ".join(f"w{r.randrange(10**6)}" for _ in range(30)) for _ in range(400)]
     near = [x + " end" for x in lines]
     table = spark.createDataFrame(list(enumerate(lines)) + [(1000 + k, near[k * 7 % 400]) for k in range(400)], "doc_id long, text string")
-    equal = line_dedup.equal_lines(table)
-    shingles = line_dedup._postings(table, equal, line_dedup.rarity(table), 4, 5).withColumn("token", F.lit(line_dedup.LAST_CLASS).cast("long") * (1 << 56))
+    texts, _, _ = line_dedup._texts(table)
+    shingles = line_dedup._postings(texts, line_dedup.equal_lines(texts), line_dedup.rarity(texts), 4, 5).withColumn("token", F.lit(line_dedup.LAST_CLASS).cast("long") * (1 << 56))
     lists, _ = line_dedup._lists(shingles.where("pos = 0"))
     rows = lists.collect()
     assert len(rows) == 800 and sum(not x.later for x in rows) == 1 and {x.f.nid for x in rows} == {0}
