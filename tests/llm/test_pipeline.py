@@ -114,7 +114,7 @@ def test_run_against_brute_force(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLE[name])
     columns = [c[0] for c in want.description]
