@@ -29,8 +29,8 @@ def no_broadcast(spark):
         spark.conf.unset(k)
 
 
-def _world(spark):
-    """A transaction per three lines; its id comes again on another day, and some Bookworm orders come twice."""
+def _world(spark, spread=False):
+    """A transaction per three lines, with ``spread`` each of its own item; its id comes again on another day, and some Bookworm orders come twice."""
     heads, lines, orders, bins, moved = [], [], [], [], []
     for t in range(N // 3):
         xid = f"01{t // 2:09d}"
@@ -39,13 +39,13 @@ def _world(spark):
         for ln in range(1, 4):
             placeholder = ln == 1 and t % 5 == 0
             lines.append({"LocationID": 1, "BusinessDate": day, "SalesXactionId": xid, "LineNumber": ln, "Quantity": 1 + ln,
-                          "ItemCode": fixed.BOOKWORM_PLACEHOLDER_ITEM if placeholder else item(1 + t % 3 if t % 2 else 1000 + 3 * t + ln), "IsReturn": "N" if t % 4 else "Y",
+                          "ItemCode": fixed.BOOKWORM_PLACEHOLDER_ITEM if placeholder else item(1000 + 3 * t + ln if spread else 1 + t % 3), "IsReturn": "N" if t % 4 else "Y",
                           "ExtendedAmt": money(2.5 * ln)})
             if placeholder and t % 3:
                 orders += [{"locationId": 1, "tillnumber": "01", "transactionNumber": str(t // 2), "detailNumber": ln, "SKU": "1",
                             "LocationNo": "00002"}] * (1 + t % 2)
         bins.append({"TransferBinNo": t, "LocationNo": "00001", "ToLocationNo": "00002", "TransferType": 7, "StatusCode": 3, "CreateTime": day})
-        moved += [{"TransferBinNo": t, "DipsItemCode": item(1000 + 3 * t + k), "Quantity": 1, "DipsCost": money(2), "StatusCode": 1, "CreateTime": day,
+        moved += [{"TransferBinNo": t, "DipsItemCode": item(1000 + 3 * t + k if spread else 1 + k), "Quantity": 1, "DipsCost": money(2), "StatusCode": 1, "CreateTime": day,
                    "UpdateTime": None} for k in range(3)]
     return make_sources(spark, sales_header=heads, sales_item=lines, bookworm=orders, xfer_header=bins, xfer_detail=moved)
 
@@ -56,11 +56,12 @@ def _shuffled(df) -> int:
 
 
 def test_store_lines_are_shuffled_twice(spark, no_broadcast):
-    assert _shuffled(sales.store_sales(_world(spark), W, products_categorised(_world(spark), True))) < 3.5 * N
+    src = _world(spark, spread=True)
+    assert _shuffled(sales.store_sales(src, W, products_categorised(src, True))) < 3.5 * N
 
 
 def test_transfer_lines_are_shuffled_twice(spark, no_broadcast):
-    assert _shuffled(transfers.xfers_tidy(_world(spark), W)) < 3 * N
+    assert _shuffled(transfers.xfers_tidy(_world(spark, spread=True), W)) < 3 * N
 
 
 def test_one_pass_is_the_sum_of_the_branches(spark, no_broadcast):
