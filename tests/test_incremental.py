@@ -8,12 +8,14 @@ import random
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcost.functions.dates import Window
-from shelfcost.operators import versions, writer
+from shelfcost.operators import reach, versions, writer
 from shelfcost.plans import incremental
 from shelfcost.plans.monthly import build_rollup
 from tests.edge import item, make_sources, money
+from tests.test_reduction import _metric
 
 D = dt.date
 WINDOW = Window(D(2001, 4, 1), D(2001, 7, 1))
@@ -118,3 +120,36 @@ def test_no_change_no_delta_and_no_state_is_an_error(spark):
     assert incremental.delta(old, incremental.between(old, old), WINDOW).count() == 0
     incremental.apply_changes(old, path, nothing, WINDOW, allow_rejects=True)
     assert versions.load(spark, path).tables[incremental.STATE_TABLE] == before   # no month of the state was rewritten
+
+
+def _snapshots(spark, changed: int):
+    """Two snapshots of 3,000 documents of two lines, in some of which one line differs."""
+    def lines(salt):
+        return spark.range(6000).selectExpr("cast(id % 3000 as int) as doc", f"case when id < {changed} then id + {salt} else id end as v", "id as line")
+    return lines(0), lines(1)
+
+
+@pytest.mark.parametrize("changed", [0, 1, 20, 3000])
+def test_only_buckets_with_changes_are_compared_by_document(spark, monkeypatch, changed):
+    monkeypatch.setattr(incremental, "BUCKETS", 64)
+    old, new = _snapshots(spark, changed)
+    found = incremental._differing(old, new, {"Doc": F.col("doc")})
+    assert sorted(r["Doc"] for r in found.collect()) == list(range(changed))
+    documents = sum(_metric(found, "Exchange", "shuffleRecordsWritten").values())
+    assert documents <= 2 * 2 * 3000 * changed // 64
+
+
+def test_images_of_few_changes_are_few_and_unchanged_ones_cancel(spark, monkeypatch):
+    """One changed transaction; with a bitmap of 64 bits unchanged documents come along, the delta is the same."""
+    r = random.Random(5)
+    facts = _facts(r)
+    after = {n: [dict(x) for x in rows] for n, rows in facts.items()}
+    after["sales_item"][0]["Quantity"] += 1
+    old, new = (make_sources(spark, facilities=FACILITIES, **f) for f in (facts, after))
+    few = incremental.between(old, new)
+    assert few.before["sales_item"].count() <= 3 and few.before["fulfil_detail"].count() == 0 == few.after["xfer_detail"].count()
+    want = sorted(map(str, incremental.delta(new, few, WINDOW).collect()))
+    monkeypatch.setattr(reach, "BITS", 64)
+    many = incremental.between(old, new)
+    assert many.before["sales_item"].count() >= few.before["sales_item"].count()
+    assert sorted(map(str, incremental.delta(new, many, WINDOW).collect())) == want
