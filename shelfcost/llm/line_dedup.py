@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from shelfcost.llm.store import drop, save, small
 from shelfcost.llm.text import words
 
-BUCKETS = 1 << 16
+BUCKET_BITS = 16
+BUCKETS = 1 << BUCKET_BITS
 SHINGLE = 5
 #: Lists of tokens from this rarity class on (buckets of twice the mean count) are split; the last class is open upwards, so it has more parts.
 SPLIT_CLASS = 48
@@ -72,23 +73,28 @@ def _words(line: Column) -> Column:
     return F.when(other, words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
-def _shingles(line: Column) -> Column:
-    """The 64-bit hashes of the line's shingles, each once. The words' hashes are a lambda's argument, so they are computed once per line."""
+def _shingle(w: Column, i: Column) -> Column:
+    """The 64-bit hash of the shingle that starts at word ``i`` (words past the end are left out)."""
+    return F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE)))
 
-    def shingles(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(SHINGLE)))))
 
-    return F.get(F.transform(F.array(F.transform(_words(line), lambda w: F.xxhash64(w))), shingles), F.lit(0))
+def _starts(w: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
 
 
-def _tokens(line: Column, classes: Column) -> Column:
-    """The line's tokens: each shingle's rarity class, then its hash, so that their order as numbers is by rarity."""
+def _shingles(line: Column) -> Column:
+    """The hashes of the line's shingles, each once. The words are a lambda's argument, so they are cut once per line."""
+    return F.get(F.transform(F.array(_words(line)), lambda w: F.array_distinct(F.transform(_starts(w), lambda i: _shingle(w, i)))), F.lit(0))
+
 
-    def ranked(h: Column) -> Column:
-        return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+def _bucket(h: Column) -> Column:
+    """The hash bucket of a shingle: its upper bits."""
+    return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
 
-    return F.transform(_shingles(line), ranked)
+
+def _tokens(line: Column, classes: Column) -> Column:
+    """The line's tokens: each shingle's hash with its rarity class in the upper 8 bits, so that their order as numbers is by rarity."""
+    return F.transform(_shingles(line), lambda h: F.get(classes, _bucket(h)).bitwiseXOR(h))
 
 
 def _signature(shingles: Column) -> Column:
@@ -121,12 +127,19 @@ def _without(texts: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def rarity(texts: DataFrame) -> Column:
-    """The class (16 to a doubling, 0 to ``LAST_CLASS``, 32 for the mean) of each hash bucket's shingle count in all lines, as a constant array."""
-    counted = _lines(texts).select(F.explode(_shingles(F.col("line"))).alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).count()
+    """For each hash bucket the class (16 to a doubling, 0 to ``LAST_CLASS``, 32 for the mean) of its shingle count in all lines, as a constant array.
+
+    The class stands in a number that a shingle's hash is combined with by exclusive or: it changes the upper 8 bits, which the bucket holds, to the class.
+    Shingles are rows of their own here (repeats within a line count), as generated code is much cheaper than lambdas.
+    """
+    words_of = _lines(texts).select(_words(F.col("line")).alias("w"))
+    counted = words_of.select("w", F.explode(_starts(F.col("w"))).alias("i")).groupBy(_bucket(_shingle(F.col("w"), F.col("i"))).alias("b")).count()
     found = dict(counted.collect())  # BUCKETS rows at most
     mean = max(1.0, sum(found.values()) / BUCKETS)
-    table = (min(LAST_CLASS, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    classes = (min(LAST_CLASS, max(0, 32 + round(16 * math.log2(found[b] / mean)))) if b in found else 0 for b in range(BUCKETS))
+    upper = ((c ^ b >> BUCKET_BITS - 8) << 56 for b, c in enumerate(classes))
+    signed = (x - (1 << 64) if x >> 63 else x for x in upper)
+    return F.split(F.lit(",".join(map(str, signed))), ",").cast("array<bigint>")
 
 
 def _postings(texts: DataFrame, equal: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
@@ -159,11 +172,13 @@ def _sets(texts: DataFrame, lists: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The later sides (nid, th, no) of the ``pairs`` (nid, th, no, e_nid, e_th, e_no) that are similar enough."""
-    early = sets.select(F.col("nid").alias("e_nid"), F.col("th").alias("e_th"), F.col("no").alias("e_no"), F.col("tokens").alias("early"))
-    both = pairs.distinct().join(sets, ["nid", "th", "no"]).join(early, ["e_nid", "e_th", "e_no"])
-    common = F.size(F.array_intersect("tokens", "early"))
-    similar = (num + den) * common >= num * (F.size("tokens") + F.size("early"))
-    return both.where(similar).select("nid", "th", "no").distinct()
+    # both sides are read by the same select but for the names, so that Spark writes one shuffle of the sets and reads it twice
+    late, early = (sets.select(*(F.col(c).alias(f"{side}_{c}") for c in ("nid", "th", "no", "tokens"))) for side in ("l", "e"))
+    named = pairs.distinct().withColumnsRenamed({c: f"l_{c}" for c in ("nid", "th", "no")})
+    both = named.join(late, ["l_nid", "l_th", "l_no"]).join(early, ["e_nid", "e_th", "e_no"])
+    common = F.size(F.array_intersect("l_tokens", "e_tokens"))
+    similar = (num + den) * common >= num * (F.size("l_tokens") + F.size("e_tokens"))
+    return both.where(similar).select(*(F.col(f"l_{c}").alias(c) for c in ("nid", "th", "no"))).distinct()
 
 
 def _lists(postings: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -174,13 +189,12 @@ def _lists(postings: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     split = rank >= SPLIT_CLASS
     parts = F.when(rank == LAST_CLASS, F.lit(LAST_PARTS)).otherwise(F.call_function("shiftleft", F.lit(1), ((rank - 32) / 16).cast("int")))
     part = F.when(split, F.pmod(F.xxhash64("nid", "th", "no"), parts).cast("int")).otherwise(F.lit(0))
-    by_part = Window.partitionBy("token", "part").orderBy("nid", "th", "no")
+    in_part = Window.partitionBy("token", "part")
+    by_part = in_part.orderBy("nid", "th", "no")
     me = F.struct("nid", "th", "no", "n", "pos")
-    near = postings.withColumn("part", part).select(
-        "*", F.first(me).over(by_part).alias("f"), F.lag(me).over(by_part).alias("p"), F.lead("no").over(by_part).isNotNull().alias("more")
-    )
     # a token of one line alone links nothing; of a split list that is known below
-    kept = save(near.where(F.col("p").isNotNull() | F.col("more") | split).drop("more", "part"), "lists")
+    several = postings.withColumn("part", part).withColumn("lines", F.count(F.lit(1)).over(in_part)).where((F.col("lines") > 1) | split).drop("lines")
+    kept = save(several.select("*", F.first(me).over(by_part).alias("f"), F.lag(me).over(by_part).alias("p")).drop("part"), "lists")
     whole = kept.where(~split).withColumn("later", F.col("p").isNotNull())
     several = kept.where(split).groupBy("token").agg(F.min("f").alias("f"), F.count(F.lit(1)).alias("lines")).where("lines > 1").drop("lines")
     several = save(several, "several")

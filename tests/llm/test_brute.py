@@ -254,6 +254,41 @@ def test_a_common_passage_is_split_and_loses_no_line(spark):
     assert all(got[i] == lines[i] for i in range(400)) and all(got[1000 + k] == "" for k in range(400))
 
 
+def test_rarity_classes_need_no_lambdas(spark, monkeypatch):
+    """Shingles are counted as rows; a token is its shingle's hash, with the class of the counted bucket in the upper 8 bits."""
+    rows = [(i, f"a common passage of six words n{i} n{i + 1} n{i + 2}") for i in range(50)] + [(50, "short"), (51, "")]
+    texts, _, _ = line_dedup._texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    hashes = {r.no: r.h for r in line_dedup._lines(texts).select(F.col("nid").alias("no"), line_dedup._shingles(F.col("line")).alias("h")).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup, "_shingles", None)
+        classes = line_dedup.rarity(texts)
+    counts = Counter((h >> 48) & 0xFFFF for of in hashes.values() for h in of)
+    top = {b: min(line_dedup.LAST_CLASS, max(0, 32 + round(16 * float(np.log2(c / max(1.0, sum(counts.values()) / 65536)))))) for b, c in counts.items()}
+    got = {r.nid: r.t for r in line_dedup._lines(texts).select("nid", line_dedup._tokens(F.col("line"), classes).alias("t")).collect()}
+    low = (1 << 56) - 1
+    assert got == {d: [top[(h >> 48) & 0xFFFF] << 56 | h & low for h in of] for d, of in hashes.items()}
+    assert len(got) == 51 and max(t >> 56 for t in got[7]) > min(t >> 56 for t in got[7]) == 32
+
+
+def test_pairs_are_verified_over_one_shuffle_of_the_sets(spark, monkeypatch, capsys):
+    monkeypatch.setattr(line_dedup, "small", lambda df: df)
+    texts = spark.createDataFrame([(i, 0, " ".join(f"w{i // 2}x{k}" for k in range(40)) + " end" * (i % 2)) for i in range(20)], "nid long, th long, text string")
+    postings = texts.select("nid", "th", F.lit(0).alias("no"))
+    sets = line_dedup._sets(texts, postings)
+    pairs = line_dedup.save(postings.where("nid % 2 = 1").select("*", (F.col("nid") - 1).alias("e_nid"), F.col("th").alias("e_th"), F.col("no").alias("e_no")), "pairs")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        late = line_dedup._verified(pairs, sets, 4, 5)
+        late.explain()
+        assert {r.nid for r in late.collect()} == set(range(1, 20, 2))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "ReusedExchange" in capsys.readouterr().out
+
+
 def test_mix_takes_near_the_target(docs):
     rows = mixing.report(docs).collect()
     by_source: dict[float, list] = {}
